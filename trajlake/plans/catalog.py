@@ -141,3 +141,69 @@ QUERIES: dict[str, Query] = {
     "execution_timeline_events": q_execution_timeline_events,
     "pending_backlog": q_pending_backlog,
 }
+
+
+# ---------------------------------------------------------------------------
+# Job path (events)
+# ---------------------------------------------------------------------------
+from trajlake.operators import jobs as jb  # noqa: E402
+from trajlake.sources.jobs import flatten_job_collection  # noqa: E402
+
+WAIT_TIMEOUT_S = 12 * 3600          # the events span 30 days: 12 h limits
+RUN_MAX_WAIT_S = 24 * 3600
+IDLE_POLLS = 3
+
+
+def q_flatten_job_collection(spark: SparkSession, sf: str) -> DataFrame:
+    flat = flatten_job_collection(dv.collection_payloads(spark, sf))
+    return flat.select("collection_id", "poll_id", "pos", "job_id", "status", "robot_id")
+
+
+def q_latest_job_status(spark: SparkSession, sf: str) -> DataFrame:
+    return jb.latest_job_status(dv.job_polls(spark, sf))
+
+
+def q_collection_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    return jb.collection_rollup(dv.collection_polls(spark, sf)).select(
+        "collection_id", "poll_id", "n_jobs", "has_active", "n_terminal", "is_idle")
+
+
+def q_idle_exit(spark: SparkSession, sf: str) -> DataFrame:
+    return jb.idle_exit(jb.collection_rollup(dv.collection_polls(spark, sf)), n=IDLE_POLLS, chunk_us=EVENT_CHUNK_US)
+
+
+def q_ready_queue(spark: SparkSession, sf: str) -> DataFrame:
+    flat = flatten_job_collection(dv.collection_polls(spark, sf), payload=None)
+    return jb.ready_queue(flat).select("collection_id", "poll_id", "pos", "job_id", "robot_id")
+
+
+def q_await_running_outcome(spark: SparkSession, sf: str) -> DataFrame:
+    polls = dv.job_polls(spark, sf)
+    return jb.await_running_outcome(polls, dv.job_starts(polls), timeout_s=WAIT_TIMEOUT_S)
+
+
+def q_job_run_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return jb.job_run_summary(dv.job_run_log(spark, sf), dv.job_starts(dv.job_polls(spark, sf)),
+                              max_wait_s=RUN_MAX_WAIT_S)
+
+
+def q_first_device_assignment(spark: SparkSession, sf: str) -> DataFrame:
+    return jb.first_device_assignment(dv.job_polls(spark, sf))
+
+
+def q_actionable_observations(spark: SparkSession, sf: str) -> DataFrame:
+    obs = dv.job_observations(spark, sf).withColumn("skip_reason", jb.skip_reason())
+    return obs.select("obs_id", "job_id", "state", "pending_actions", "skip_reason")
+
+
+QUERIES.update({
+    "flatten_job_collection": q_flatten_job_collection,
+    "latest_job_status": q_latest_job_status,
+    "collection_rollup": q_collection_rollup,
+    "idle_exit": q_idle_exit,
+    "ready_queue": q_ready_queue,
+    "await_running_outcome": q_await_running_outcome,
+    "job_run_summary": q_job_run_summary,
+    "first_device_assignment": q_first_device_assignment,
+    "actionable_observations": q_actionable_observations,
+})

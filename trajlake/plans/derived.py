@@ -154,7 +154,8 @@ def job_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_starts(polls: DataFrame) -> DataFrame:
     """Start of each job's wait: its first ``ready`` poll."""
     return (polls.filter(F.col("status") == "ready").groupBy("job_id")
-            .agg(F.min("poll_ts_us").alias("start_us")))
+            .agg(F.min("poll_ts_us").alias("start_us"),
+                 F.min_by("start_ok", "poll_ts_us").alias("start_ok")))
 
 
 def collection_polls(spark: SparkSession, sf_dir: str) -> DataFrame:

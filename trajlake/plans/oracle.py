@@ -288,3 +288,148 @@ ORACLE["pending_backlog"] = _with(_SCALAR) + """
 )
 SELECT obs_id, robot, t AS t_us, CAST(pending AS BIGINT) AS pending FROM ev2 WHERE obs_id IS NOT NULL
 """
+
+# --- job path from events ---------------------------------------------------
+_EVK = """
+evk AS (
+  SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         CASE event_type WHEN 'signup' THEN 0 WHEN 'view' THEN 1 WHEN 'click' THEN 2
+                         WHEN 'purchase' THEN 3 WHEN 'error' THEN 4 END AS tidx,
+         CASE event_type WHEN 'signup' THEN 'assigned' WHEN 'view' THEN 'prepare' WHEN 'click' THEN 'ready'
+                         WHEN 'purchase' THEN 'running' WHEN 'error' THEN 'failed' END AS mapped_status
+  FROM events
+),
+polls AS (
+  SELECT event_id AS poll_id, CAST(user_id AS VARCHAR) AS job_id, epoch_us(ts) AS poll_ts_us,
+         CASE WHEN k % 50 = 7 THEN NULL ELSE mapped_status END AS status,
+         CASE WHEN event_type <> 'signup' THEN 'robot-' || CAST(user_id % 8 AS VARCHAR) END AS robot_id,
+         k >= 97 AS poll_error, k % 13 <> 0 AS start_ok
+  FROM evk
+),
+starts AS (
+  SELECT job_id, min(poll_ts_us) AS start_us, arg_min(start_ok, poll_ts_us) AS start_ok
+  FROM polls WHERE status = 'ready' GROUP BY job_id
+),
+jobobs AS (
+  SELECT event_id AS obs_id, CAST(user_id AS VARCHAR) AS job_id,
+         CASE WHEN k % 10 <> 0 THEN epoch_us(ts) END AS state_ts_us,
+         CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 = 1 THEN 'size_none' WHEN k % 10 = 2 THEN 'abnormal'
+              ELSE 'normal' END AS state,
+         CAST(CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 = 3 THEN 1 + k % 4 ELSE 0 END AS INTEGER) AS pending_actions
+  FROM evk
+),
+cpolls AS (
+  SELECT user_id % 10 AS collection_id, event_id AS poll_id, epoch_us(ts) AS poll_ts_us, user_id, k, tidx,
+         CASE WHEN k < 5 THEN 0 ELSE 1 + k % 3 END AS n_jobs
+  FROM evk
+),
+cjobs AS (
+  SELECT collection_id, poll_id, poll_ts_us, CAST(i AS INTEGER) AS pos, CAST(user_id + 10 * i AS VARCHAR) AS job_id,
+         CASE WHEN i = 0 AND k >= 95 THEN 'paused'
+              ELSE ['assigned','prepare','ready','running','finished','cancelled','failed'][(tidx + i * k) % 7 + 1]
+         END AS status,
+         'robot-' || CAST((user_id + i) % 8 AS VARCHAR) AS robot_id
+  FROM (SELECT *, unnest(range(n_jobs)) AS i FROM cpolls)
+),
+rollup AS (
+  SELECT c.collection_id, c.poll_id, c.poll_ts_us, CAST(c.n_jobs AS INTEGER) AS n_jobs,
+         coalesce(j.has_active, false) AS has_active, CAST(coalesce(j.n_terminal, 0) AS INTEGER) AS n_terminal,
+         NOT coalesce(j.has_active, false) AND coalesce(j.n_terminal, 0) = c.n_jobs AS is_idle
+  FROM cpolls c LEFT JOIN (
+    SELECT poll_id, bool_or(status IN ('assigned','prepare','ready','running')) AS has_active,
+           count(*) FILTER (WHERE status IN ('finished','cancelled','failed')) AS n_terminal
+    FROM cjobs GROUP BY poll_id) j USING (poll_id)
+)
+"""
+
+ORACLE["flatten_job_collection"] = _with(_EVK) + """
+SELECT collection_id, poll_id, pos, job_id, status, robot_id FROM cjobs
+"""
+
+ORACLE["latest_job_status"] = _with(_EVK) + """
+SELECT job_id, l.st AS status, l.rid AS robot_id, last_poll_us, n_polls FROM (
+  SELECT job_id, arg_max(struct_pack(st := status, rid := robot_id), poll_ts_us) AS l,
+         max(poll_ts_us) AS last_poll_us, count(*) AS n_polls
+  FROM polls WHERE status IS NOT NULL GROUP BY job_id)
+"""
+
+ORACLE["collection_rollup"] = _with(_EVK) + """
+SELECT collection_id, poll_id, n_jobs, has_active, n_terminal, is_idle FROM rollup
+"""
+
+ORACLE["idle_exit"] = _with(_EVK) + """
+, r1 AS (
+  SELECT *, sum(CASE WHEN is_idle THEN 0 ELSE 1 END) OVER (PARTITION BY collection_id ORDER BY poll_ts_us, poll_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM rollup
+), r2 AS (
+  SELECT *, sum(CASE WHEN is_idle THEN 1 ELSE 0 END) OVER (PARTITION BY collection_id, grp ORDER BY poll_ts_us, poll_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM r1
+)
+SELECT collection_id, count(*) AS n_polls, arg_min(poll_id, poll_ts_us) FILTER (WHERE run >= 3) AS exit_poll_id,
+       min(poll_ts_us) FILTER (WHERE run >= 3) AS exit_ts_us
+FROM r2 GROUP BY collection_id
+"""
+
+ORACLE["ready_queue"] = _with(_EVK) + """
+SELECT collection_id, poll_id, pos, job_id, robot_id FROM cjobs WHERE status = 'ready'
+"""
+
+ORACLE["await_running_outcome"] = _with(_EVK) + """
+, dec AS (
+  SELECT p.job_id, arg_min(struct_pack(err := p.poll_error, st := p.status, t := p.poll_ts_us), p.poll_ts_us) AS f
+  FROM polls p JOIN starts s USING (job_id)
+  WHERE p.poll_ts_us > s.start_us AND p.poll_ts_us <= s.start_us + 43200000000
+    AND (p.poll_error OR (p.status IS NOT NULL AND p.status <> 'prepare'))
+  GROUP BY p.job_id
+)
+SELECT s.job_id, s.start_us,
+       CASE WHEN d.f IS NULL THEN 2 WHEN d.f.err THEN 3 WHEN d.f.st = 'running' THEN 0 ELSE 1 END AS code,
+       coalesce(d.f.t, s.start_us + 43200000000) AS decided_us, d.f.st AS status
+FROM starts s LEFT JOIN dec d USING (job_id)
+"""
+
+ORACLE["job_run_summary"] = _with(_EVK) + """
+, it AS (
+  SELECT p.job_id, p.poll_ts_us, s.start_us, p.status, p.poll_error, o.state, o.state_ts_us, o.pending_actions,
+         CASE WHEN o.state IS NULL AND o.state_ts_us IS NULL THEN 'no_state' WHEN o.state = 'size_none' THEN 'size_none'
+              WHEN o.state <> 'normal' THEN 'not_normal' WHEN coalesce(o.pending_actions, 0) <> 0 THEN 'pending'
+         END AS skip
+  FROM polls p JOIN starts s USING (job_id) JOIN jobobs o ON o.obs_id = p.poll_id
+  WHERE s.start_ok AND p.poll_ts_us > s.start_us
+), it2 AS (
+  SELECT *, CASE WHEN poll_error OR status IS NULL THEN 'exception' WHEN status <> 'running' THEN 'not_running'
+                 WHEN skip = 'size_none' THEN 'exception'
+                 WHEN skip IS NULL AND poll_ts_us - start_us > 86400000000 THEN 'max_wait' END AS endr
+  FROM it
+), ends AS (
+  SELECT job_id, min(poll_ts_us) AS end_us, arg_min(endr, poll_ts_us) AS end_reason FROM it2
+  WHERE endr IS NOT NULL GROUP BY job_id
+), agg AS (
+  SELECT i.job_id, count(*) AS n_iterations,
+         count(*) FILTER (WHERE (i.endr IS NULL AND i.skip IS NULL) OR i.endr = 'max_wait') AS n_inferences,
+         count(*) FILTER (WHERE (i.endr IS NULL OR i.endr = 'max_wait') AND i.skip = 'no_state') AS n_skip_no_state,
+         count(*) FILTER (WHERE (i.endr IS NULL OR i.endr = 'max_wait') AND i.skip = 'not_normal') AS n_skip_not_normal,
+         count(*) FILTER (WHERE (i.endr IS NULL OR i.endr = 'max_wait') AND i.skip = 'pending') AS n_skip_pending
+  FROM it2 i LEFT JOIN ends e USING (job_id)
+  WHERE e.end_us IS NULL OR i.poll_ts_us <= e.end_us GROUP BY i.job_id
+)
+SELECT s.job_id, s.start_us, e.end_us,
+       coalesce(a.n_iterations, 0) AS n_iterations, coalesce(a.n_inferences, 0) AS n_inferences,
+       coalesce(a.n_skip_no_state, 0) AS n_skip_no_state, coalesce(a.n_skip_not_normal, 0) AS n_skip_not_normal,
+       coalesce(a.n_skip_pending, 0) AS n_skip_pending, e.end_reason
+FROM starts s LEFT JOIN agg a USING (job_id) LEFT JOIN ends e USING (job_id)
+WHERE s.start_ok
+"""
+
+ORACLE["first_device_assignment"] = _with(_EVK) + """
+SELECT job_id, arg_min(robot_id, poll_ts_us) AS robot_id, min(poll_ts_us) AS assigned_us
+FROM polls WHERE robot_id IS NOT NULL GROUP BY job_id
+"""
+
+ORACLE["actionable_observations"] = _with(_EVK) + """
+SELECT obs_id, job_id, state, pending_actions,
+       CASE WHEN state IS NULL AND state_ts_us IS NULL THEN 'no_state' WHEN state = 'size_none' THEN 'size_none'
+            WHEN state <> 'normal' THEN 'not_normal' WHEN coalesce(pending_actions, 0) <> 0 THEN 'pending' END
+         AS skip_reason
+FROM jobobs
+"""
