@@ -207,3 +207,126 @@ QUERIES.update({
     "first_device_assignment": q_first_device_assignment,
     "actionable_observations": q_actionable_observations,
 })
+
+
+# ---------------------------------------------------------------------------
+# Observations, alignment, clock, logs, policy
+# ---------------------------------------------------------------------------
+from trajlake.operators import align as al  # noqa: E402
+from trajlake.operators import clock as ck  # noqa: E402
+from trajlake.operators import observations as ob  # noqa: E402
+from trajlake.operators.policy import ScaledStatePolicy, score_policy  # noqa: E402
+from trajlake.sources.observations import deserialize_observation, serialize_observation  # noqa: E402
+from trajlake.sources.runlog import parse_run_log  # noqa: E402
+
+
+def q_observation_state(spark: SparkSession, sf: str) -> DataFrame:
+    fr = ob.observation_status(ob.select_state_vector(dv.frames(spark, sf)))
+    return fr.select("episode", "frame_idx", "action_type", "arm", "mode", "state",
+                     F.size("vector").alias("vec_len"), array_round_sum("vector").alias("vec_sum"))
+
+
+def q_positional_zip(spark: SparkSession, sf: str) -> DataFrame:
+    return dv.frames(spark, sf).select("episode", "frame_idx", "left_turn", "right_turn")
+
+
+def q_cyclic_align(spark: SparkSession, sf: str) -> DataFrame:
+    st = dv.with_ordinals(dv.arm_streams(spark, sf)).select("episode", "arm", "frame_idx", "turn")
+    ticks = st.groupBy("episode", "arm").count().groupBy("episode").agg(F.max("count").alias("n_ticks"))
+    return al.cyclic_align(st, ticks).select("episode", "tick", "arm", "frame_idx", "turn")
+
+
+def q_frame_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    st = dv.with_ordinals(dv.arm_streams(spark, sf)).filter(F.col("arm") == "left").select("episode", "frame_idx")
+    return al.frame_timestamps(st, dv.episode_meta_rows(spark, sf)).select(
+        "episode", "frame_idx", "nominal_us", "measured_us")
+
+
+def q_episode_stats(spark: SparkSession, sf: str) -> DataFrame:
+    s = al.episode_stats(dv.episode_meta_rows(spark, sf))
+    return s.select("task", "episode", "frames", F.round("duration_s", 6).alias("duration_s"),
+                    F.round("fps", 6).alias("fps"), F.round("fps_drift", 6).alias("fps_drift"), "replay_frames")
+
+
+def q_episode_task_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    r = al.episode_task_rollup(al.episode_stats(dv.episode_meta_rows(spark, sf)))
+    return r.select("task", "n_episodes", "frames", *[F.round(c, 6).alias(c) for c in
+                                                       ("duration_s", "avg_fps", "min_fps", "max_fps")])
+
+
+def q_clock_offset(spark: SparkSession, sf: str) -> DataFrame:
+    c = ck.clock_offset(dv.clock_samples(spark, sf))
+    return c.select("session", "n_samples", F.round("offset_us", 3).alias("offset_us"), "min_rtt_us")
+
+
+def _latency(spark: SparkSession, sf: str, with_offset: bool) -> DataFrame:
+    offs = ck.clock_offset(dv.clock_samples(spark, sf)) if with_offset else None
+    lat = ck.observation_latency(dv.job_observations(spark, sf), offs)
+    return lat.select("job_id", "n_obs", F.round("avg_latency_us", 3).alias("avg_latency_us"),
+                      F.round("max_latency_us", 3).alias("max_latency_us"))
+
+
+def q_observation_latency(spark: SparkSession, sf: str) -> DataFrame:
+    return _latency(spark, sf, False)
+
+
+def q_observation_latency_offset(spark: SparkSession, sf: str) -> DataFrame:
+    return _latency(spark, sf, True)
+
+
+CAMERA_REQUESTS = [["left_hand", "right_hand", "high"], ["high"], ["left_hand", "right_hand"], ["high", "depth"]]
+
+
+def q_select_cameras(spark: SparkSession, sf: str) -> DataFrame:
+    fr = dv.frames(spark, sf)
+    images = F.create_map(F.lit("left_hand"), F.encode("left_text", "UTF-8"),
+                          F.lit("right_hand"), F.encode("right_text", "UTF-8"),
+                          F.lit("high"), F.encode(F.concat("left_text", "right_text"), "UTF-8"))
+    req = F.element_at(F.array(*[F.array(*[F.lit(s) for s in r]) for r in CAMERA_REQUESTS]),
+                       (F.col("episode") % 4 + 1).cast("int"))
+    sel = ob.select_cameras(fr.withColumn("images", images).withColumn("image_types", req))
+    return sel.select("episode", "frame_idx", F.explode("images").alias("slot", "img")).select(
+        "episode", "frame_idx", "slot", F.length("img").alias("n_bytes"))
+
+
+def q_letterbox_geometry(spark: SparkSession, sf: str) -> DataFrame:
+    g = ob.letterbox_geometry(dv.image_sizes(spark, sf))
+    return g.select("doc_id", "src_w", "src_h", "resize_name", "resized_w", "resized_h", "pad_x", "pad_y",
+                    "identity", "degenerate")
+
+
+def q_parse_run_log(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_run_log(dv.run_log_lines(spark, sf)).select(
+        "line_no", "ts_us", "level", "kind", "job_id", "status", "latency_s", "message")
+
+
+def q_serialize_observation(spark: SparkSession, sf: str) -> DataFrame:
+    js = serialize_observation(dv.policy_observations(spark, sf), cols=("state", "pending_actions", "action"))
+    back = deserialize_observation(js.select("obs_id", "json"))
+    return back.select("obs_id", "state", "pending_actions", F.size("action").alias("action_len"),
+                       array_round_sum("action").alias("action_sum"))
+
+
+def q_score_policy(spark: SparkSession, sf: str) -> DataFrame:
+    sc = score_policy(dv.policy_observations(spark, sf), ScaledStatePolicy, checkpoint=None)
+    return sc.select("obs_id", "robot", F.size("actions").alias("n_actions"),
+                     array_round_sum(F.element_at("actions", 1)).alias("a0_sum"),
+                     array_round_sum(F.element_at("actions", 2)).alias("a1_sum"))
+
+
+QUERIES.update({
+    "observation_state": q_observation_state,
+    "positional_zip": q_positional_zip,
+    "cyclic_align": q_cyclic_align,
+    "frame_timestamps": q_frame_timestamps,
+    "episode_stats": q_episode_stats,
+    "episode_task_rollup": q_episode_task_rollup,
+    "clock_offset": q_clock_offset,
+    "observation_latency": q_observation_latency,
+    "observation_latency_offset": q_observation_latency_offset,
+    "select_cameras": q_select_cameras,
+    "letterbox_geometry": q_letterbox_geometry,
+    "parse_run_log": q_parse_run_log,
+    "serialize_observation": q_serialize_observation,
+    "score_policy": q_score_policy,
+})

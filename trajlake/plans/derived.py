@@ -202,11 +202,13 @@ def job_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Arm streams and frames (from conversations)
 # ---------------------------------------------------------------------------
 def arm_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """episode = conv_id; user turns are the left-arm stream, assistant turns the right.
+    """episode = conv_id; user turns are the left-arm stream, assistant turns the right
+    (system turns are not part of either stream).
 
     Joint vector (6) and pose (16) are functions of the text length; gripper = turn / 10.
     """
-    cv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    cv = (table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+          .filter(F.col("role").isin("user", "assistant")))
     ln = F.length("text")
     joint = F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: ((ln * i) % 1000) / 100.0)
     pose = F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: ((ln + i * 7) % 100) / 10.0)
@@ -274,6 +276,19 @@ def run_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("line_no"), line.alias("value"))
 
 
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zipped two-arm frames with an action type per episode and arm-enable flags."""
+    from trajlake.operators.align import positional_zip
+    st = with_ordinals(arm_streams(spark, sf_dir))
+    cols = ["episode", "frame_idx", "turn", "text", "joint", "gripper", "pose"]
+    left = st.filter(F.col("arm") == "left").select(*cols)
+    right = st.filter(F.col("arm") == "right").select(*cols)
+    z = positional_zip(left, right)
+    return (z.withColumn("action_type", _pick(OBS_ACTION_TYPES, F.col("episode") % 7))
+            .withColumn("left_enabled", F.length("left_text") % 11 != 0)
+            .withColumn("right_enabled", F.length("right_text") % 13 != 0))
+
+
 # ---------------------------------------------------------------------------
 # Policy observations (from embeddings)
 # ---------------------------------------------------------------------------

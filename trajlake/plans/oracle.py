@@ -433,3 +433,234 @@ SELECT obs_id, job_id, state, pending_actions,
          AS skip_reason
 FROM jobobs
 """
+
+# --- arm streams and frames from conversations -------------------------------
+_STREAMS = """
+streams AS (
+  SELECT conv_id AS episode, CASE WHEN role = 'user' THEN 'left' ELSE 'right' END AS arm, turn, text,
+         list_transform(range(1, 7), lambda i: ((length(text) * i) % 1000) / 100.0::DOUBLE) AS joint,
+         turn / 10.0::DOUBLE AS gripper,
+         list_transform(range(1, 17), lambda i: ((length(text) + i * 7) % 100) / 10.0::DOUBLE) AS pose,
+         CAST(row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) - 1 AS BIGINT) AS frame_idx
+  FROM conversations WHERE role IN ('user', 'assistant')
+),
+frames AS (
+  SELECT l.episode, l.frame_idx, l.turn AS left_turn, r.turn AS right_turn, l.text AS left_text, r.text AS right_text,
+         l.joint AS left_joint, l.gripper AS left_gripper, l.pose AS left_pose,
+         r.joint AS right_joint, r.gripper AS right_gripper, r.pose AS right_pose,
+         ['joint','pos','leftjoint','leftpos','rightjoint','rightpos',NULL][l.episode % 7 + 1] AS action_type,
+         length(l.text) % 11 <> 0 AS left_enabled, length(r.text) % 13 <> 0 AS right_enabled
+  FROM streams l JOIN streams r ON l.episode = r.episode AND l.frame_idx = r.frame_idx
+  WHERE l.arm = 'left' AND r.arm = 'right'
+),
+meta AS (
+  SELECT 'task_' || CAST(conv_id % 4 AS VARCHAR) AS task, conv_id AS episode,
+         1.75e9::DOUBLE + CAST(conv_id AS DOUBLE) * 100.0::DOUBLE AS start_time,
+         1.75e9::DOUBLE + CAST(conv_id AS DOUBLE) * 100.0::DOUBLE
+           + CAST(count(*) * 30 AS DOUBLE) / (29.5::DOUBLE + CAST(conv_id % 5 AS DOUBLE) * 0.25::DOUBLE) AS end_time,
+         CAST(count(*) * 30 AS BIGINT) AS frames
+  FROM conversations GROUP BY conv_id
+)
+"""
+
+_SUM = "CASE WHEN {x} IS NOT NULL THEN round(list_reduce(list_prepend(0.0::DOUBLE, {x}), lambda a, b: a + b), 6) END"
+
+ORACLE["observation_state"] = _with(_STREAMS) + """
+, v AS (
+  SELECT *, CASE WHEN action_type IS NULL THEN NULL WHEN contains(action_type, 'left') THEN 'left'
+                 WHEN contains(action_type, 'right') THEN 'right' ELSE 'both' END AS arm,
+            CASE WHEN action_type IS NULL THEN NULL WHEN contains(action_type, 'pos') THEN 'pos' ELSE 'joint' END AS mode
+  FROM frames
+), v2 AS (
+  SELECT *,
+    CASE WHEN mode = 'pos' THEN list_append(left_pose, left_gripper) ELSE list_append(left_joint, left_gripper) END AS lv,
+    CASE WHEN mode = 'pos' THEN list_append(right_pose, right_gripper) ELSE list_append(right_joint, right_gripper) END AS rv,
+    CASE WHEN action_type IS NULL THEN 'size_none'
+         WHEN (CASE WHEN arm = 'left' THEN left_enabled WHEN arm = 'right' THEN right_enabled
+                    ELSE left_enabled AND right_enabled END) THEN 'normal' ELSE 'abnormal' END AS state
+  FROM v
+), v3 AS (
+  SELECT *, CASE WHEN state <> 'normal' THEN NULL WHEN arm = 'left' THEN lv WHEN arm = 'right' THEN rv
+                 WHEN arm = 'both' THEN list_concat(lv, rv) END AS vector
+  FROM v2
+)
+SELECT episode, frame_idx, action_type, arm, mode, state, CAST(len(vector) AS INTEGER) AS vec_len,
+       """ + _SUM.format(x="vector") + """ AS vec_sum
+FROM v3
+"""
+
+ORACLE["positional_zip"] = _with(_STREAMS) + """
+SELECT episode, frame_idx, left_turn, right_turn FROM frames
+"""
+
+ORACLE["cyclic_align"] = _with(_STREAMS) + """
+, lens AS (SELECT episode, arm, count(*) AS n FROM streams GROUP BY episode, arm),
+ticks AS (SELECT episode, max(n) AS n_ticks FROM lens GROUP BY episode),
+grid AS (
+  SELECT l.episode, l.arm, l.n, unnest(range(t.n_ticks)) AS tick FROM lens l JOIN ticks t USING (episode)
+)
+SELECT g.episode, CAST(g.tick AS BIGINT) AS tick, g.arm, s.frame_idx, s.turn
+FROM grid g JOIN streams s ON s.episode = g.episode AND s.arm = g.arm AND s.frame_idx = g.tick % g.n
+"""
+
+ORACLE["frame_timestamps"] = _with(_STREAMS) + """
+, m AS (SELECT episode, CAST(round(start_time * 1000000.0::DOUBLE) AS BIGINT) AS s,
+               CAST(round(end_time * 1000000.0::DOUBLE) AS BIGINT) AS e, frames FROM meta)
+SELECT st.episode, st.frame_idx,
+       m.s + CAST(round(CAST(st.frame_idx AS DOUBLE) * 1e6::DOUBLE / 30.0::DOUBLE) AS BIGINT) AS nominal_us,
+       m.s + CAST(round(CAST(st.frame_idx AS DOUBLE) * CAST(m.e - m.s AS DOUBLE) / CAST(m.frames AS DOUBLE)) AS BIGINT)
+         AS measured_us
+FROM streams st JOIN m USING (episode) WHERE st.arm = 'left'
+"""
+
+_STATS = """
+stats AS (
+  SELECT *, end_time - start_time AS duration_s,
+         CAST(frames AS DOUBLE) / (end_time - start_time) AS fps,
+         CAST(frames AS DOUBLE) / (end_time - start_time) - 30.0::DOUBLE AS fps_drift,
+         greatest(frames - 1, 0) AS replay_frames
+  FROM meta
+)
+"""
+
+ORACLE["episode_stats"] = _with(_STREAMS, _STATS) + """
+SELECT task, episode, frames, round(duration_s, 6) AS duration_s, round(fps, 6) AS fps,
+       round(fps_drift, 6) AS fps_drift, replay_frames
+FROM stats
+"""
+
+ORACLE["episode_task_rollup"] = _with(_STREAMS, _STATS) + """
+SELECT task, count(*) AS n_episodes, CAST(sum(frames) AS BIGINT) AS frames, round(sum(duration_s), 6) AS duration_s,
+       round(avg(fps), 6) AS avg_fps, round(min(fps), 6) AS min_fps, round(max(fps), 6) AS max_fps
+FROM stats GROUP BY task
+"""
+
+_CLOCK = """
+evk2 AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+samples AS (
+  SELECT CAST(user_id AS VARCHAR) AS session, epoch_us(ts) AS t1,
+         epoch_us(ts) + k * 500 + CAST(round(value * 100) AS BIGINT) AS t2, epoch_us(ts) + k * 1000 AS t3
+  FROM evk2
+),
+offsets AS (
+  SELECT session, count(*) AS n_samples, avg(((t2 - t1) + (t2 - t3)) / 2) AS offset_us, min(t3 - t1) AS min_rtt_us
+  FROM samples GROUP BY session
+),
+lat_obs AS (
+  SELECT CAST(user_id AS VARCHAR) AS job_id, epoch_us(ts) AS state_ts_us, epoch_us(ts) + k * 1000 + 2000 AS recv_us
+  FROM evk2 WHERE k % 10 <> 0
+)
+"""
+
+ORACLE["clock_offset"] = _with(_CLOCK) + """
+SELECT session, n_samples, round(offset_us, 3) AS offset_us, min_rtt_us FROM offsets
+"""
+
+ORACLE["observation_latency"] = _with(_CLOCK) + """
+SELECT job_id, count(*) AS n_obs, round(avg(CAST(recv_us - state_ts_us AS DOUBLE)), 3) AS avg_latency_us,
+       round(max(CAST(recv_us - state_ts_us AS DOUBLE)), 3) AS max_latency_us
+FROM lat_obs GROUP BY job_id
+"""
+
+ORACLE["observation_latency_offset"] = _with(_CLOCK) + """
+, l AS (SELECT o.job_id, CAST(o.recv_us - o.state_ts_us AS DOUBLE) + coalesce(f.offset_us, 0.0) AS lat
+        FROM lat_obs o LEFT JOIN offsets f ON f.session = o.job_id)
+SELECT job_id, count(*) AS n_obs, round(avg(lat), 3) AS avg_latency_us, round(max(lat), 3) AS max_latency_us
+FROM l GROUP BY job_id
+"""
+
+ORACLE["select_cameras"] = _with(_STREAMS) + """
+, req AS (
+  SELECT episode, frame_idx, left_text, right_text,
+         [['left_hand','right_hand','high'], ['high'], ['left_hand','right_hand'], ['high','depth']][episode % 4 + 1] AS types
+  FROM frames
+), slots AS (
+  SELECT episode, frame_idx, 'left_hand' AS slot, strlen(left_text) AS n FROM req WHERE list_contains(types, 'left_hand')
+  UNION ALL
+  SELECT episode, frame_idx, 'right_hand', strlen(right_text) FROM req WHERE list_contains(types, 'right_hand')
+  UNION ALL
+  SELECT episode, frame_idx, 'high', strlen(left_text) + strlen(right_text) FROM req WHERE list_contains(types, 'high')
+)
+SELECT episode, frame_idx, slot, CAST(n AS INTEGER) AS n_bytes FROM slots
+"""
+
+ORACLE["letterbox_geometry"] = """
+WITH s AS (
+  SELECT doc_id, CAST(1 + n_chars % 1920 AS INTEGER) AS src_w, CAST(1 + (doc_id * 37) % 1080 AS INTEGER) AS src_h,
+         CASE WHEN doc_id % 2 = 0 THEN 'padding' ELSE 'stretch' END AS resize_name
+  FROM documents
+), g AS (
+  SELECT *, resize_name = 'padding' AS pad, src_w = 224 AND src_h = 224 AS same,
+         greatest(CAST(src_w AS DOUBLE) / 224.0::DOUBLE, CAST(src_h AS DOUBLE) / 224.0::DOUBLE) AS ratio
+  FROM s
+), g2 AS (
+  SELECT *, CAST(trunc(CAST(src_w AS DOUBLE) / ratio) AS INTEGER) AS rw,
+            CAST(trunc(CAST(src_h AS DOUBLE) / ratio) AS INTEGER) AS rh, pad AND NOT same AS fit
+  FROM g
+), g3 AS (
+  SELECT doc_id, src_w, src_h, resize_name,
+         CASE WHEN fit THEN rw WHEN pad THEN src_w ELSE 224 END AS resized_w,
+         CASE WHEN fit THEN rh WHEN pad THEN src_h ELSE 224 END AS resized_h,
+         CASE WHEN fit THEN greatest(0, CAST(trunc((224.0::DOUBLE - rw) / 2) AS INTEGER)) ELSE 0 END AS pad_x,
+         CASE WHEN fit THEN greatest(0, CAST(trunc((224.0::DOUBLE - rh) / 2) AS INTEGER)) ELSE 0 END AS pad_y,
+         pad AND same AS identity
+  FROM g2
+)
+SELECT *, resized_w = 0 OR resized_h = 0 AS degenerate FROM g3
+"""
+
+ORACLE["parse_run_log"] = """
+WITH e AS (
+  SELECT event_id, ts, user_id, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         'job-' || CAST(user_id AS VARCHAR) AS job,
+         CASE event_type WHEN 'signup' THEN 'assigned' WHEN 'view' THEN 'prepare' WHEN 'click' THEN 'ready'
+                         WHEN 'purchase' THEN 'running' WHEN 'error' THEN 'failed' END AS st,
+         event_type
+  FROM events
+), m AS (
+  SELECT *, k % 9 AS kd,
+         CASE k % 9
+           WHEN 0 THEN printf('Processing job_id: %s, status: %s', job, st)
+           WHEN 1 THEN printf('Started robot: b''{"job_id": "%s"}''', job)
+           WHEN 2 THEN printf('get_robot_state time: %.2f', value)
+           WHEN 3 THEN printf('Inference result: [[%.2f]]', value)
+           WHEN 4 THEN printf('Job %s exceeded max wait time.', job)
+           WHEN 5 THEN printf('Error processing job %s: %s', job, event_type)
+           WHEN 6 THEN printf('No active jobs, poll count: %d', k % 10 + 1)
+           WHEN 7 THEN 'No new jobs after multiple checks, exiting.'
+           ELSE printf('Job id: %s, status: %s, remaining jobs: %d', job, st, k % 5 + 1) END AS message
+  FROM e
+)
+SELECT event_id AS line_no, (epoch_us(ts) // 1000) * 1000 AS ts_us,
+       CASE WHEN kd = 4 THEN 'WARNING' WHEN kd = 5 THEN 'ERROR' ELSE 'INFO' END AS level,
+       ['processing_job','started','state_latency','inference_result','max_wait','error','no_active_poll','exit',
+        'job_status'][kd + 1] AS kind,
+       CASE WHEN kd IN (0, 4, 5, 8) THEN job END AS job_id,
+       CASE WHEN kd IN (0, 8) THEN st END AS status,
+       CASE WHEN kd = 2 THEN round(value, 2) END AS latency_s,
+       message
+FROM m
+"""
+
+ORACLE["serialize_observation"] = """
+WITH o AS (
+  SELECT vec_id AS obs_id,
+         CAST(list_slice(embedding, 1, [14,7,7,8][label % 4 + 1]) AS DOUBLE[]) AS action
+  FROM embeddings
+)
+SELECT obs_id, 'normal' AS state, 0 AS pending_actions, CAST(len(action) AS INTEGER) AS action_len,
+       """ + _SUM.format(x="action") + """ AS action_sum
+FROM o
+"""
+
+ORACLE["score_policy"] = """
+WITH o AS (
+  SELECT vec_id AS obs_id, ['aloha','arx5','ur5','franka'][label % 4 + 1] AS robot,
+         CAST(list_slice(embedding, 1, [14,7,7,8][label % 4 + 1]) AS DOUBLE[]) AS action
+  FROM embeddings
+)
+SELECT obs_id, robot, 2 AS n_actions,
+       """ + _SUM.format(x="list_transform(action, lambda x: x * 0.5::DOUBLE)") + """ AS a0_sum,
+       """ + _SUM.format(x="list_transform(action, lambda x: x * 0.25::DOUBLE)") + """ AS a1_sum
+FROM o
+"""
