@@ -24,6 +24,7 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TRAJLAKE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )

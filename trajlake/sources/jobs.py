@@ -19,7 +19,11 @@ def flatten_job_collection(df: DataFrame, payload: str | None = "payload") -> Da
     An empty collection yields no rows. Accepts raw JSON (``payload``) or an
     already parsed ``jobs`` array (``payload=None``)."""
     parsed = parse_job_collection(df, payload) if payload else df
-    ex = parsed.select("*", F.posexplode("jobs").alias("pos", "__job")).drop("jobs")
+    # posexplode_outer + filter on the generated ordinal: the inner generator would make
+    # Catalyst infer ``size(jobs) > 0`` and push it below the projection that builds
+    # ``jobs``, evaluating that expression twice per row.
+    ex = (parsed.select("*", F.posexplode_outer("jobs").alias("pos", "__job")).drop("jobs")
+          .filter(F.col("pos").isNotNull()))
     return (ex.withColumn("job_id", F.col("__job.job_id"))
             .withColumn("status", F.col("__job.status"))
             .withColumn("robot_id", F.col("__job.device.robot_id"))
