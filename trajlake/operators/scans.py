@@ -34,13 +34,15 @@ def _cols(names: Sequence[str]) -> list[Column]:
 
 
 def _join_back(df: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left-join chunk summaries back on (key, chunk), null-safe on the keys."""
-    renamed = summary
-    for i, name in enumerate(on):
-        renamed = renamed.withColumnRenamed(name, f"__sc_k{i}")
-    cond = [df[name].eqNullSafe(renamed[f"__sc_k{i}"]) for i, name in enumerate(on)]
-    out = df.join(renamed, cond, "left")
-    return out.drop(*[f"__sc_k{i}" for i in range(len(on))])
+    """Left-join chunk summaries back on (key, chunk).
+
+    A plain equi-join on the same columns the first window partitioned by, so
+    the large side keeps its hash partitioning (no second shuffle, and the
+    windows after the join reuse it too). A null-safe join would rewrite the
+    keys and force the large side to be shuffled again, so keys must be
+    non-null (they are ids); a null key still gets its local scan.
+    """
+    return df.join(summary, list(on), "left")
 
 
 def _order(order: Sequence[str | Column]) -> list[Column]:
