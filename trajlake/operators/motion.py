@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from trajlake.functions.timecols import time_chunk
 from trajlake.functions.vectors import array_abs_max, scale_dims
-from trajlake.operators.scans import (chunked_carry_last, chunked_lag, chunked_queue_timeline,
+from trajlake.operators.scans import (chunked_carry_last, chunked_lag, chunked_prefix, chunked_queue_timeline,
                                       chunked_running_sum)
 from trajlake.schemas import DEFAULT_VELOCITY_LIMIT
 
@@ -115,9 +115,11 @@ def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str]
     ev = a.unionByName(c, allowMissingColumns=True)
     ev_order = [order[0], "__tag", *order[1:]]
     ev = ev.withColumn("__chunk", time_chunk(order[0], chunk_us))
-    ev = chunked_running_sum(ev, ["robot"], "__chunk", ev_order, "__is_clear", "segment_id")
+    # Clears come in time order, so the latest clear so far is the running max
+    # of clear times: segment number and start come from one fused scan.
     ev = ev.withColumn("__clear_ts", F.when(F.col("__is_clear") == 1, F.col(order[0])))
-    ev = chunked_carry_last(ev, ["robot"], "__chunk", ev_order, "__clear_ts", "segment_start_us")
+    ev = chunked_prefix(ev, ["robot"], "__chunk", ev_order,
+                        {"segment_id": ("sum", "__is_clear"), "segment_start_us": ("max", "__clear_ts")})
     ev = ev.withColumn("segment_id", F.col("segment_id").cast("bigint")).drop("__chunk", "__clear_ts")
     numbered = (ev.filter(F.col("__is_clear") == 1)
                 .select(F.col("robot").alias("__crobot"), (F.col("segment_id") - 1).alias("__cseg"),

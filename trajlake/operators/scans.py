@@ -49,22 +49,39 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def chunked_running_sum(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str | Column],
-                        value: str, out: str, range_frame: bool = False) -> DataFrame:
-    """``out = sum(value)`` over all rows of the key up to and including this one.
+_FNS = {"sum": F.sum, "max": F.max, "min": F.min}
+
+
+def chunked_prefix(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str | Column],
+                   aggs: dict[str, tuple[str, str]], range_frame: bool = False) -> DataFrame:
+    """Several running aggregates in one two-level pass.
 
-    With ``range_frame`` (a single order column) rows with equal order value are
-    summed together, so ties apply at once.
+    ``aggs`` maps an output column to ``(fn, value)`` with ``fn`` in sum, max,
+    min (associative and commutative, so chunk totals combine with the same
+    function). With ``range_frame`` (a single order column) rows with equal
+    order value are aggregated together, so ties apply at once.
     """
     w = Window.partitionBy(*_cols(keys), F.col(chunk)).orderBy(*_order(order))
     w = (w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if range_frame
          else w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = df.withColumn("__sc_local", F.sum(value).over(w))
-    summary = df.groupBy(*keys, chunk).agg(F.sum(value).alias(_SUM))
+    local = df.select("*", *[_FNS[fn](v).over(w).alias(f"__l_{o}") for o, (fn, v) in aggs.items()])
+    summary = df.groupBy(*keys, chunk).agg(*[_FNS[fn](v).alias(f"__t_{o}") for o, (fn, v) in aggs.items()])
     wc = Window.partitionBy(*_cols(keys)).orderBy(F.col(chunk)).rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(*keys, chunk, F.coalesce(F.sum(_SUM).over(wc), F.lit(0)).alias("__sc_off"))
+    summary = summary.select(*keys, chunk, *[_FNS[fn](f"__t_{o}").over(wc).alias(f"__c_{o}")
+                                             for o, (fn, _) in aggs.items()])
     joined = _join_back(local, summary, [*keys, chunk])
-    return joined.withColumn(out, F.col("__sc_local") + F.col("__sc_off")).drop("__sc_local", "__sc_off")
+    for o, (fn, _) in aggs.items():
+        loc, car = F.col(f"__l_{o}"), F.col(f"__c_{o}")
+        val = (loc + F.coalesce(car, F.lit(0)) if fn == "sum"
+               else F.greatest(loc, car) if fn == "max" else F.least(loc, car))
+        joined = joined.withColumn(o, val)
+    return joined.drop(*[f"__l_{o}" for o in aggs], *[f"__c_{o}" for o in aggs])
+
+
+def chunked_running_sum(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str | Column],
+                        value: str, out: str, range_frame: bool = False) -> DataFrame:
+    """``out = sum(value)`` over all rows of the key up to and including this one."""
+    return chunked_prefix(df, keys, chunk, order, {out: ("sum", value)}, range_frame)
 
 
 def chunked_carry_last(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str | Column],

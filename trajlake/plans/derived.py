@@ -222,12 +222,13 @@ def arm_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
         joint.alias("joint"), (F.col("turn") / 10.0).alias("gripper"), pose.alias("pose"))
 
 
-def with_ordinals(streams: DataFrame) -> DataFrame:
-    """0-based frame index per (episode, arm) by turn. An episode's stream is
-    bounded by its recording length, so this window's groups are bounded."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("episode", "arm").orderBy("turn")
-    return streams.withColumn("frame_idx", (F.row_number().over(w) - 1).cast("bigint"))
+def with_ordinals(streams: DataFrame, turn_chunk: int = 4096) -> DataFrame:
+    """0-based frame index per (episode, arm) in turn order: a running count,
+    computed chunked (``turn div turn_chunk``) so a long stream is not one task."""
+    from trajlake.operators.scans import chunked_running_sum
+    df = streams.withColumn("__one", F.lit(1)).withColumn("__chunk", F.floor(F.col("turn") / turn_chunk))
+    df = chunked_running_sum(df, ["episode", "arm"], "__chunk", ["turn"], "__one", "__n")
+    return df.withColumn("frame_idx", (F.col("__n") - 1).cast("bigint")).drop("__one", "__chunk", "__n")
 
 
 def episode_meta_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

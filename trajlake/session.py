@@ -21,6 +21,7 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", os.environ.get("TRAJLAKE_MIN_PARTITION", "1MB"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")

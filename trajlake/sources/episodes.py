@@ -48,23 +48,44 @@ def episode_catalog(spark: SparkSession, root: str) -> DataFrame:
                      "start_time", "end_time", "frames")
 
 
-def read_states(spark: SparkSession, root: str, pattern: str = "*/*/data/*/states/*.jsonl") -> DataFrame:
+def read_states(spark: SparkSession, root: str, pattern: str = "*/*/data/*/states/*.jsonl",
+                index_field: str | None = None) -> DataFrame:
     """JSONL state logs -> one row per line with ``frame_idx`` = 0-based line number.
 
-    Each file is read whole (``wholetext``; an episode log is bounded by the
-    recording length) and split, so ordinals are exact without any global
-    ordering. The empty string after a final newline is not a frame; any
-    other line that does not parse is kept with ``corrupt = true``.
+    Default: each file is read whole (``wholetext``; a file is one recorded
+    episode) and split, so ordinals are exact without any global ordering.
+    The empty string after a final newline is not a frame; any other line
+    that does not parse is kept with ``corrupt = true``.
+
+    For very large logs whose lines carry their own frame number, pass
+    ``index_field``: the files are then read line by line (splittable across
+    tasks) and ``frame_idx`` is taken from that field.
     """
-    raw = (spark.read.text(f"{root.rstrip('/')}/{pattern}", wholetext=True)
+    base = f"{root.rstrip('/')}/{pattern}"
+    fields = list(STATE_LINE_SCHEMA.fields)
+    if index_field:
+        fields.append(T.StructField(index_field, T.LongType(), True))
+    schema = T.StructType(fields + [T.StructField("_corrupt_record", T.StringType(), True)])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    if index_field:
+        raw = spark.read.text(base).select(F.col("value").alias("line"),
+                                           F.col("_metadata.file_path").alias("__path"))
+        p = _path_parts(F.col("__path"))
+        lines = raw.filter(F.trim("line") != "").select(p["episode_dir"].alias("episode_dir"),
+                                                         p["file"].alias("file"), "line")
+        parsed = lines.withColumn("__s", F.from_json(F.col("line"), schema, opts))
+        return (parsed.withColumn("frame_idx", F.col(f"__s.{index_field}"))
+                .withColumn("corrupt", F.col("__s._corrupt_record").isNotNull() | F.col("frame_idx").isNull())
+                .select("episode_dir", "file", "frame_idx", "corrupt", "__s.*")
+                .drop("_corrupt_record", index_field))
+    raw = (spark.read.text(base, wholetext=True)
            .select("value", F.col("_metadata.file_path").alias("__path")))
     p = _path_parts(F.col("__path"))
     lines = raw.select(p["episode_dir"].alias("episode_dir"), p["file"].alias("file"),
                        F.posexplode(F.split("value", "\n")).alias("frame_idx", "line"),
                        F.size(F.split("value", "\n")).alias("__n"))
     lines = lines.filter(~((F.col("frame_idx") == F.col("__n") - 1) & (F.col("line") == ""))).drop("__n")
-    schema = T.StructType(STATE_LINE_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType(), True)])
-    parsed = F.from_json(F.col("line"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = F.from_json(F.col("line"), schema, opts)
     return (lines.withColumn("__s", parsed)
             .withColumn("corrupt", F.col("__s").isNull() | F.col("__s._corrupt_record").isNotNull()
                         | (F.trim(F.col("line")) == ""))
