@@ -314,7 +314,23 @@ def q_score_policy(spark: SparkSession, sf: str) -> DataFrame:
                      array_round_sum(F.element_at("actions", 2)).alias("a1_sum"))
 
 
+def q_policy_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Evaluation-run flow: usable observations -> policy -> validate -> explode ->
+    velocity -> retime -> timeline, summarised per robot."""
+    obs = jb.actionable_observations(dv.policy_observations(spark, sf))
+    scored = score_policy(obs, ScaledStatePolicy, checkpoint=None)
+    req = dv.policy_requests(scored)
+    ex = act.explode_action_chunk(act.validate_action_arity(req, spec_for_join(spark)))
+    tl = mo.execution_timeline(mo.retime_actions(mo.step_velocity(ex, chunk_us=ACTION_CHUNK_US), VELOCITY_LIMIT),
+                               chunk_us=ACTION_CHUNK_US)
+    return tl.groupBy("robot").agg(
+        F.count(F.lit(1)).alias("n_actions"), F.round(F.max("max_abs"), 6).alias("max_velocity"),
+        F.count_if("retimed").alias("n_retimed"), F.round(F.sum("busy_us") / 1e6, 6).alias("busy_s"),
+        F.round(F.sum("gap_us") / 1e6, 6).alias("idle_s"))
+
+
 QUERIES.update({
+    "policy_execution_summary": q_policy_execution_summary,
     "observation_state": q_observation_state,
     "positional_zip": q_positional_zip,
     "cyclic_align": q_cyclic_align,

@@ -301,5 +301,16 @@ def policy_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     li = F.col("label") % 4
     return emb.select(F.col("vec_id").alias("obs_id"), _pick(ROBOTS_BY_LABEL, li).alias("robot"),
+                      _pick(TYPE_BY_LABEL, li).alias("action_type"),
+                      (F.col("vec_id") * 45000).cast("bigint").alias("state_ts_us"),
                       F.lit("normal").alias("state"), F.lit(0).alias("pending_actions"),
                       F.slice("embedding", F.lit(1), _pick(LEN_BY_LABEL, li)).cast("array<double>").alias("action"))
+
+
+def policy_requests(scored: DataFrame, duration_us: int = 50000) -> DataFrame:
+    """Action requests posted from policy output: one request per scored
+    observation, at the observation's time, with the robot's action type and
+    the default 0.05 s per action."""
+    return scored.select(F.concat(F.lit("p-"), F.col("obs_id").cast("string")).alias("request_id"), "robot",
+                         F.col("state_ts_us").alias("ts_us"), "action_type", "actions",
+                         F.lit(int(duration_us)).cast("bigint").alias("duration_us"))

@@ -8,7 +8,7 @@ also check the chunked scans of the Spark side.
 from __future__ import annotations
 
 # --- action requests from embeddings ---------------------------------------
-_REQUESTS = """
+_EMB_REQUESTS = """
 emb_rows AS (
   SELECT ['aloha','arx5','ur5','franka'][label % 4 + 1] AS robot,
          vec_id // 3 AS req_no,
@@ -26,6 +26,10 @@ requests AS (
          CAST(CASE WHEN req_no % 53 = 11 THEN 0 ELSE 20000 + 10000 * (req_no % 4) END AS BIGINT) AS duration_us
   FROM emb_rows GROUP BY robot, req_no, action_type
 ),
+"""
+
+# --- validation -> explode -> velocity -> retime -> timeline over `requests` ---
+_CHAIN = """
 spec(robot, dof_num, pos_num) AS (VALUES ('aloha', 6, 16), ('arx5', 6, 6), ('ur5', 6, 6), ('franka', 7, 7)),
 req_typed AS (
   SELECT r.*, s.dof_num, s.pos_num,
@@ -113,6 +117,9 @@ timeline AS (
 )
 """
 
+_REQUESTS = _EMB_REQUESTS.rstrip().rstrip('"') + _CHAIN
+
+
 # --- scalar action log from events -----------------------------------------
 _SCALAR = """
 slog AS (
@@ -664,3 +671,26 @@ SELECT obs_id, robot, 2 AS n_actions,
        """ + _SUM.format(x="list_transform(action, lambda x: x * 0.25::DOUBLE)") + """ AS a1_sum
 FROM o
 """
+
+_POLICY_REQUESTS = """
+pobs AS (
+  SELECT vec_id AS obs_id, ['aloha','arx5','ur5','franka'][label % 4 + 1] AS robot,
+         ['joint','leftjoint','leftpos','leftjoint'][label % 4 + 1] AS action_type,
+         CAST(list_slice(embedding, 1, [14,7,7,8][label % 4 + 1]) AS DOUBLE[]) AS action
+  FROM embeddings
+),
+requests AS (
+  SELECT 'p-' || CAST(obs_id AS VARCHAR) AS request_id, robot, CAST(obs_id * 45000 AS BIGINT) AS ts_us, action_type,
+         [list_transform(action, lambda x: x * 0.5::DOUBLE), list_transform(action, lambda x: x * 0.25::DOUBLE)]
+           AS actions,
+         CAST(50000 AS BIGINT) AS duration_us
+  FROM pobs
+),
+"""
+
+ORACLE["policy_execution_summary"] = _with(_POLICY_REQUESTS.rstrip() + _CHAIN) + """
+SELECT robot, count(*) AS n_actions, round(max(max_abs), 6) AS max_velocity,
+       count(*) FILTER (WHERE retimed) AS n_retimed,
+       round(sum(busy_us) / 1e6, 6) AS busy_s, round(sum(gap_us) / 1e6, 6) AS idle_s
+FROM timeline GROUP BY robot
+"""
