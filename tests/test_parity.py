@@ -192,3 +192,31 @@ def test_await_outcome_codes(spark):
                                    "job_id string, start_us long")
     out = {r.job_id: r.code for r in jb.await_running_outcome(polls, starts, timeout_s=0.001).collect()}
     assert out == {"ok": 0, "bad": 1, "err": 3, "slow": 2, "silent": 2}
+
+
+def test_await_outcome_as_of(spark):
+    polls = spark.createDataFrame([("a", 5, "running", False)], "job_id string, poll_ts_us long, status string, poll_error boolean")
+    starts = spark.createDataFrame([("a", 0), ("open", 0), ("expired", -2_000_000)], "job_id string, start_us long")
+    out = {r.job_id: r.code for r in jb.await_running_outcome(polls, starts, timeout_s=1, as_of_us=500_000).collect()}
+    # "open" is still inside its window at as_of and undecided: left out
+    assert out == {"a": 0, "expired": 2}
+
+
+def test_stream_await_late_decisive_row_gives_timeout(spark):
+    import os
+    import tempfile
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from trajlake.streaming.operators import stream_await_running
+    d = tempfile.mkdtemp(prefix="trajlake-t1-")
+    rows = {"job_id": ["j", "j"], "poll_ts_us": [0, 5_000_000], "status": ["ready", "running"], "poll_error": [False, False]}
+    pq.write_table(pa.table(rows), os.path.join(d, "part-000.parquet"))
+    sdf = (spark.readStream.schema("job_id string, poll_ts_us long, status string, poll_error boolean").parquet(d)
+           .withColumn("poll_ts", F.timestamp_micros("poll_ts_us")))
+    q = (stream_await_running(sdf, timeout_s=1, watermark="1 hour").writeStream.format("memory")
+         .queryName("t1_late").outputMode("append").option("checkpointLocation", tempfile.mkdtemp())
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = [tuple(r) for r in spark.table("t1_late").collect()]
+    # the running row came 5 s after a 1 s limit, in the same batch, before any timer: code 2
+    assert got == [("j", 0, 2, 1_000_000)]
