@@ -209,7 +209,9 @@ def test_stream_await_late_decisive_row_gives_timeout(spark):
     import pyarrow.parquet as pq
     from trajlake.streaming.operators import stream_await_running
     d = tempfile.mkdtemp(prefix="trajlake-t1-")
-    rows = {"job_id": ["j", "j"], "poll_ts_us": [0, 5_000_000], "status": ["ready", "running"], "poll_error": [False, False]}
+    t0 = 1_700_000_000_000_000   # event times must be after the initial watermark (the epoch)
+    rows = {"job_id": ["j", "j"], "poll_ts_us": [t0, t0 + 5_000_000], "status": ["ready", "running"],
+            "poll_error": [False, False]}
     pq.write_table(pa.table(rows), os.path.join(d, "part-000.parquet"))
     sdf = (spark.readStream.schema("job_id string, poll_ts_us long, status string, poll_error boolean").parquet(d)
            .withColumn("poll_ts", F.timestamp_micros("poll_ts_us")))
@@ -219,4 +221,4 @@ def test_stream_await_late_decisive_row_gives_timeout(spark):
     q.awaitTermination(120)
     got = [tuple(r) for r in spark.table("t1_late").collect()]
     # the running row came 5 s after a 1 s limit, in the same batch, before any timer: code 2
-    assert got == [("j", 0, 2, 1_000_000)]
+    assert got == [("j", t0, 2, t0 + 1_000_000)]
