@@ -8,7 +8,6 @@ import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
