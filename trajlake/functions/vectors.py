@@ -84,3 +84,9 @@ def array_abs_max(arr: Column | str) -> Column:
 def array_round_sum(arr: Column | str, digits: int = 6) -> Column:
     """Rounded sum of an array's values (for order-independent comparison of vectors)."""
     return F.round(F.aggregate(_c(arr).cast("array<double>"), F.lit(0.0), lambda acc, x: acc + x), digits)
+
+
+def array_len(arr: Column | str) -> Column:
+    """Array length, null for a null array (``size`` gives -1 there when ANSI mode is off)."""
+    a = _c(arr)
+    return F.when(a.isNotNull(), F.size(a))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.functions.vectors import expected_action_len, parse_action_type, split_arm_vector
+from trajlake.functions.vectors import array_len, expected_action_len, parse_action_type, split_arm_vector
 from trajlake.schemas import BAD_ARITY_MESSAGE, MISSING_TYPE_MESSAGE
 
 
@@ -33,7 +33,7 @@ def _with_request_checks(requests: DataFrame, spec: DataFrame) -> DataFrame:
     # First action (0-based) whose length differs, computed inside the array:
     # no window, no shuffle, and valid on streams as well.
     bad_positions = F.filter(
-        F.transform("actions", lambda a, i: F.when(F.size(a) != F.col("expected_len"), i)),
+        F.transform("actions", lambda a, i: F.when(array_len(a) != F.col("expected_len"), i)),
         lambda x: x.isNotNull())
     n = F.size("actions")
     known = F.col("dof_num").isNotNull()
@@ -80,7 +80,7 @@ def validate_action_arity(requests: DataFrame, spec: DataFrame) -> DataFrame:
     reason = F.coalesce(
         F.col("request_error"),
         F.when(F.col("duration_us").isNull() | (F.col("duration_us") <= 0), F.lit("bad_duration")))
-    return (ex.withColumn("actual_len", F.size("action").cast("int"))
+    return (ex.withColumn("actual_len", array_len("action").cast("int"))
             .withColumn("is_bad", F.coalesce(F.col("actual_len") != F.col("expected_len"), F.lit(False)))
             .withColumn("quarantine_reason", reason)
             .withColumn("effective", reason.isNull()))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.functions.vectors import array_round_sum
+from trajlake.functions.vectors import array_len, array_round_sum
 from trajlake.operators import actions as act
 from trajlake.operators import motion as mo
 from trajlake.plans import derived as dv
@@ -60,7 +60,7 @@ def q_batch_outcome(spark: SparkSession, sf: str) -> DataFrame:
 def q_action_chunk(spark: SparkSession, sf: str) -> DataFrame:
     return _executable(spark, sf).select(
         "request_id", "seq", "robot", "arm", "t_nominal_us",
-        F.size("left").alias("left_len"), F.size("right").alias("right_len"),
+        array_len("left").alias("left_len"), array_len("right").alias("right_len"),
         array_round_sum("left").alias("left_sum"), array_round_sum("right").alias("right_sum"))
 
 
@@ -223,7 +223,7 @@ from trajlake.sources.runlog import parse_run_log  # noqa: E402
 def q_observation_state(spark: SparkSession, sf: str) -> DataFrame:
     fr = ob.observation_status(ob.select_state_vector(dv.frames(spark, sf)))
     return fr.select("episode", "frame_idx", "action_type", "arm", "mode", "state",
-                     F.size("vector").alias("vec_len"), array_round_sum("vector").alias("vec_sum"))
+                     array_len("vector").alias("vec_len"), array_round_sum("vector").alias("vec_sum"))
 
 
 def q_positional_zip(spark: SparkSession, sf: str) -> DataFrame:
@@ -303,13 +303,13 @@ def q_parse_run_log(spark: SparkSession, sf: str) -> DataFrame:
 def q_serialize_observation(spark: SparkSession, sf: str) -> DataFrame:
     js = serialize_observation(dv.policy_observations(spark, sf), cols=("state", "pending_actions", "action"))
     back = deserialize_observation(js.select("obs_id", "json"))
-    return back.select("obs_id", "state", "pending_actions", F.size("action").alias("action_len"),
+    return back.select("obs_id", "state", "pending_actions", array_len("action").alias("action_len"),
                        array_round_sum("action").alias("action_sum"))
 
 
 def q_score_policy(spark: SparkSession, sf: str) -> DataFrame:
     sc = score_policy(dv.policy_observations(spark, sf), ScaledStatePolicy, checkpoint=None)
-    return sc.select("obs_id", "robot", F.size("actions").alias("n_actions"),
+    return sc.select("obs_id", "robot", array_len("actions").alias("n_actions"),
                      array_round_sum(F.element_at("actions", 1)).alias("a0_sum"),
                      array_round_sum(F.element_at("actions", 2)).alias("a1_sum"))
 
