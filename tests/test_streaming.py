@@ -136,3 +136,25 @@ def test_stream_retime_marks_late_rows(spark):
     rows = out.collect()
     assert sum(1 for r in rows if r.late) == tbl.num_rows
     assert {tuple(r)[:8] for r in rows if not r.late} == _batch_retimed(spark, ex)
+
+
+def test_stream_job_status_update_mode(spark):
+    polls = dv.job_polls(spark, SF001)
+    d, schema = _write_parts(polls, "poll_id", 3)
+    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
+    out_rows = []
+
+    def collect_batch(df, epoch):
+        out_rows.extend((epoch, *r) for r in df.collect())
+
+    q = (so.stream_job_status(sdf).writeStream.outputMode("update").foreachBatch(collect_batch)
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="trajlake-stream-ckpt-"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    # the last update per job equals the batch result; each batch only re-emits changed jobs
+    last = {}
+    for epoch, job, status, robot, ts in sorted(out_rows, key=lambda r: r[0]):
+        last[job] = (job, status, robot, ts)
+    want = {tuple(r) for r in jb.latest_job_status(polls).select("job_id", "status", "robot_id", "last_poll_us").collect()}
+    assert set(last.values()) == want
+    assert len(out_rows) < 3 * len(want)
