@@ -157,4 +157,4 @@ def test_stream_job_status_update_mode(spark):
         last[job] = (job, status, robot, ts)
     want = {tuple(r) for r in jb.latest_job_status(polls).select("job_id", "status", "robot_id", "last_poll_us").collect()}
     assert set(last.values()) == want
-    assert len(out_rows) < 3 * len(want)
+    assert len(out_rows) <= 3 * len(want)   # at most one update per job per batch
