@@ -222,3 +222,38 @@ def test_stream_await_late_decisive_row_gives_timeout(spark):
     got = [tuple(r) for r in spark.table("t1_late").collect()]
     # the running row came 5 s after a 1 s limit, in the same batch, before any timer: code 2
     assert got == [("j", t0, 2, t0 + 1_000_000)]
+
+
+def test_d9_offset_applied_only_on_request(spark):
+    from trajlake.operators.clock import clock_offset, observation_latency
+    samples = spark.createDataFrame([("j", 0, 1_000, 100), ("j", 10, 1_010, 110)], "session string, t1 long, t2 long, t3 long")
+    off = clock_offset(samples).collect()[0]
+    assert off.offset_us == 950.0 and off.n_samples == 2 and off.min_rtt_us == 100
+    obs = spark.createDataFrame([("j", 5_000, 5_300)], "job_id string, state_ts_us long, recv_us long")
+    raw = observation_latency(obs).collect()[0]
+    shifted = observation_latency(obs, clock_offset(samples)).collect()[0]
+    assert raw.avg_latency_us == 300.0 and shifted.avg_latency_us == 1_250.0
+
+
+def test_d15_stop_and_end_motion_both_clear(spark):
+    acts = spark.createDataFrame([("r", "a", 0, 0, 100), ("r", "a2", 0, 1, 100), ("r", "b", 0, 10, 100),
+                                  ("r", "c", 0, 20, 100)],
+                                 "robot string, request_id string, seq int, ts_us long, period_us long")
+    for kind in ("stop_motion", "end_motion", "start_motion", "format_error"):
+        clears = spark.createDataFrame([("r", 15, kind)], "robot string, ts_us long, kind string")
+        out = {r.request_id: (r.segment_id, r.dropped) for r in mo.motion_segments(acts, clears).collect()}
+        # a finds the worker idle and ends at once (t=0); a2 is dequeued at 1 and ends at 0 + 100;
+        # b (arrived at 10) would be dequeued at 100, after the clear at 15: dropped
+        assert out == {"a": (0, False), "a2": (0, False), "b": (0, True), "c": (1, False)}, kind
+
+
+def test_d12_index_key_drift(spark, tmp_path):
+    import json
+    from trajlake.sources.episodes import episode_catalog
+    for pid, key, idx in (("000001", "episode_index", 1), ("FFFFFF", "episode_idx", 80)):
+        d = tmp_path / "20250919" / "task" / "data" / f"episode_{pid}" / "meta"
+        d.mkdir(parents=True)
+        (d / "episode_meta.json").write_text(json.dumps({key: idx, "start_time": 1.0, "end_time": 2.0, "frames": 30},
+                                                        indent=2))
+    got = {r.episode_id: r.episode_index for r in episode_catalog(spark, str(tmp_path)).collect()}
+    assert got == {"000001": 1, "FFFFFF": 80}
