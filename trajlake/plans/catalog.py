@@ -14,9 +14,17 @@ from pyspark.sql import functions as F
 
 from trajlake.functions.vectors import array_len, array_round_sum
 from trajlake.operators import actions as act
+from trajlake.operators import align as al
+from trajlake.operators import clock as ck
+from trajlake.operators import jobs as jb
 from trajlake.operators import motion as mo
+from trajlake.operators import observations as ob
+from trajlake.operators.policy import ScaledStatePolicy, score_policy
 from trajlake.plans import derived as dv
 from trajlake.schemas import spec_for_join
+from trajlake.sources.jobs import flatten_job_collection
+from trajlake.sources.observations import deserialize_observation, serialize_observation
+from trajlake.sources.runlog import parse_run_log
 
 # Parameters of the bindings (fixed; the oracle uses the same numbers).
 VELOCITY_LIMIT = 10.0
@@ -146,8 +154,6 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------------------
 # Job path (events)
 # ---------------------------------------------------------------------------
-from trajlake.operators import jobs as jb  # noqa: E402
-from trajlake.sources.jobs import flatten_job_collection  # noqa: E402
 
 WAIT_TIMEOUT_S = 12 * 3600          # the events span 30 days: 12 h limits
 RUN_MAX_WAIT_S = 24 * 3600
@@ -212,12 +218,6 @@ QUERIES.update({
 # ---------------------------------------------------------------------------
 # Observations, alignment, clock, logs, policy
 # ---------------------------------------------------------------------------
-from trajlake.operators import align as al  # noqa: E402
-from trajlake.operators import clock as ck  # noqa: E402
-from trajlake.operators import observations as ob  # noqa: E402
-from trajlake.operators.policy import ScaledStatePolicy, score_policy  # noqa: E402
-from trajlake.sources.observations import deserialize_observation, serialize_observation  # noqa: E402
-from trajlake.sources.runlog import parse_run_log  # noqa: E402
 
 
 def q_observation_state(spark: SparkSession, sf: str) -> DataFrame:
