@@ -257,3 +257,14 @@ def test_d12_index_key_drift(spark, tmp_path):
                                                         indent=2))
     got = {r.episode_id: r.episode_index for r in episode_catalog(spark, str(tmp_path)).collect()}
     assert got == {"000001": 1, "FFFFFF": 80}
+
+
+def test_policy_batch_entry_point_equals_per_state(spark):
+    from conftest import SF001
+    from trajlake.operators.policy import DummyPolicy, ScaledStateBatchPolicy, ScaledStatePolicy, score_policy
+    from trajlake.plans.derived import policy_observations
+    obs = policy_observations(spark, SF001)
+    a = {r.obs_id: r.actions for r in score_policy(obs, ScaledStatePolicy).collect()}
+    b = {r.obs_id: r.actions for r in score_policy(obs, ScaledStateBatchPolicy).collect()}
+    assert a == b and len(a) > 0
+    assert all(r.actions == [] for r in score_policy(obs, DummyPolicy).collect())
