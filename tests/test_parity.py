@@ -268,3 +268,34 @@ def test_policy_batch_entry_point_equals_per_state(spark):
     b = {r.obs_id: r.actions for r in score_policy(obs, ScaledStateBatchPolicy).collect()}
     assert a == b and len(a) > 0
     assert all(r.actions == [] for r in score_policy(obs, DummyPolicy).collect())
+
+
+def test_stream_await_done_retention(spark):
+    import os
+    import tempfile
+    import time as _time
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from trajlake.streaming.operators import stream_await_running
+    t0 = 1_700_000_000_000_000
+    hour = 3_600_000_000
+    d = tempfile.mkdtemp(prefix="trajlake-t1r-")
+    batches = [
+        {"job_id": ["j", "j"], "poll_ts_us": [t0, t0 + 1_000_000], "status": ["ready", "running"]},
+        {"job_id": ["k"], "poll_ts_us": [t0 + 10 * hour], "status": ["prepare"]},        # pushes the watermark
+        {"job_id": ["k"], "poll_ts_us": [t0 + 11 * hour], "status": ["prepare"]},        # timers fire here
+        {"job_id": ["j", "j"], "poll_ts_us": [t0 + 12 * hour, t0 + 12 * hour + 1], "status": ["ready", "failed"]},
+    ]
+    for i, b in enumerate(batches):
+        b["poll_error"] = [False] * len(b["job_id"])
+        pq.write_table(pa.table(b), os.path.join(d, f"part-{i:03d}.parquet"))
+        _time.sleep(0.05)
+    sdf = (spark.readStream.schema("job_id string, poll_ts_us long, status string, poll_error boolean")
+           .option("maxFilesPerTrigger", 1).parquet(d).withColumn("poll_ts", F.timestamp_micros("poll_ts_us")))
+    q = (stream_await_running(sdf, timeout_s=60, watermark="1 second", done_retention_s=3600).writeStream
+         .format("memory").queryName("t1_ret").outputMode("append").option("checkpointLocation", tempfile.mkdtemp())
+         .trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    got = sorted(tuple(r) for r in spark.table("t1_ret").filter(F.col("job_id") == "j").collect())
+    # first wait decided (running); after the retention the marker is gone and a new wait runs
+    assert got == [("j", t0, 0, t0 + 1_000_000), ("j", t0 + 12 * hour, 1, t0 + 12 * hour + 1)]

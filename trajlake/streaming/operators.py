@@ -55,22 +55,34 @@ AWAIT_STATE = "start_us long, done boolean"
 
 
 def stream_await_running(sdf: DataFrame, timeout_s: float = DEFAULT_JOB_LIMIT_S, watermark: str = "1 hour",
-                         start_status: str = "ready", ts_us: str = "poll_ts_us", event_time: str = "poll_ts") -> DataFrame:
+                         start_status: str = "ready", ts_us: str = "poll_ts_us", event_time: str = "poll_ts",
+                         done_retention_s: float | None = None) -> DataFrame:
     """Streaming W8. The wait starts at the job's first ``start_status``
     row; the first decisive later row within the limit emits 0/1 (3 for a
     failed poll); the event-time timer emits 2 once the watermark passes
     ``start + timeout``. A ``done`` marker stays in state so a later row of
-    the same job does not start a second wait."""
+    the same job does not start a second wait. With ``done_retention_s`` the
+    marker is dropped once the watermark passes ``decided + retention``
+    (bounded state; a job that becomes ready again after that starts a new
+    wait)."""
     lim = int(round(timeout_s * 1_000_000))
+    keep = None if done_retention_s is None else int(round(done_retention_s * 1_000_000))
+
+    def finish(state, start_us: int, decided_us: int) -> None:
+        state.update((start_us, True))
+        if keep is not None:
+            state.setTimeoutTimestamp(max((decided_us + keep) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         job = key[0]
         if state.hasTimedOut:
             start_us, done = state.get
-            if not done:
-                state.update((start_us, True))
-                yield pd.DataFrame({"job_id": [job], "start_us": [start_us], "code": [RC_TIMEOUT],
-                                    "decided_us": [start_us + lim]})
+            if done:
+                state.remove()   # retention passed
+                return
+            finish(state, start_us, start_us + lim)
+            yield pd.DataFrame({"job_id": [job], "start_us": [start_us], "code": [RC_TIMEOUT],
+                                "decided_us": [start_us + lim]})
             return
         pdf = pd.concat(list(batches), ignore_index=True)
         start_us, done = state.get if state.exists else (None, False)
@@ -102,7 +114,7 @@ def stream_await_running(sdf: DataFrame, timeout_s: float = DEFAULT_JOB_LIMIT_S,
         if decided is None and start_us + lim <= watermark_us:
             decided = (RC_TIMEOUT, start_us + lim)
         if decided is not None:
-            state.update((start_us, True))
+            finish(state, start_us, decided[1])
             yield pd.DataFrame({"job_id": [job], "start_us": [start_us], "code": [decided[0]],
                                 "decided_us": [decided[1]]})
         else:
