@@ -28,8 +28,12 @@ from trajlake.sources.runlog import parse_run_log
 
 # Parameters of the bindings (fixed; the oracle uses the same numbers).
 VELOCITY_LIMIT = 10.0
-ACTION_CHUNK_US = 1_000_000          # the embeddings log spans seconds: 1 s chunks
-EVENT_CHUNK_US = 3_600_000_000       # the events log spans 30 days: 1 h chunks
+# Chunk widths of the two-level scans. A chunk should hold many rows of one key:
+# the embeddings log spans seconds (~17 actions per robot-second) -> 1 s;
+# the events log has ~66 rows per key over 30 days -> 1 day (1 h chunks would
+# hold about one row each and make the chunk summaries as large as the data).
+ACTION_CHUNK_US = 1_000_000
+EVENT_CHUNK_US = 86_400_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
