@@ -29,6 +29,16 @@ JOB_ID_KINDS = {"processing_job": 1, "max_wait": 1, "error": 1, "job_status": 1}
 STATUS_KINDS = {"processing_job": 2, "job_status": 2}
 
 
+def _literal_prefix(pattern: str) -> str:
+    """Literal text a ``^...`` pattern must start with (up to its first regex operator)."""
+    out = []
+    for ch in pattern[1:]:
+        if ch in "\\.[](){}*+?|^$":
+            break
+        out.append(ch)
+    return "".join(out)
+
+
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """Log files as lines (``value``), splittable text source."""
     return spark.read.text(path)
@@ -41,15 +51,18 @@ def parse_run_log(df: DataFrame, value: str = "value") -> DataFrame:
     ts_txt = F.regexp_extract(v, LINE_PATTERN, 1)
     level = F.regexp_extract(v, LINE_PATTERN, 2)
     msg = F.regexp_extract(v, LINE_PATTERN, 3)
-    matched = v.rlike(LINE_PATTERN)
-    out = (df.withColumn("__ok", matched)
+    out = (df.withColumn("__ts", ts_txt)
+           .withColumn("__ok", F.col("__ts") != "")      # group 1 is empty only when the line does not match
            .withColumn("message", F.when(F.col("__ok"), msg))
            .withColumn("level", F.when(F.col("__ok"), level))
-           .withColumn("ts_us", F.when(F.col("__ok"), micros(F.to_timestamp_ntz(ts_txt, F.lit("yyyy-MM-dd HH:mm:ss,SSS"))))))
+           .withColumn("ts_us", F.when(F.col("__ok"), micros(F.to_timestamp_ntz(F.col("__ts"),
+                                                                                F.lit("yyyy-MM-dd HH:mm:ss,SSS"))))))
     m = F.col("message")
     kind = None
     for name, pat in KIND_PATTERNS:
-        kind = F.when(m.rlike(pat), F.lit(name)) if kind is None else kind.when(m.rlike(pat), F.lit(name))
+        # the literal start of each pattern is a cheap pre-test before the regex
+        test = m.startswith(_literal_prefix(pat)) & m.rlike(pat)
+        kind = F.when(test, F.lit(name)) if kind is None else kind.when(test, F.lit(name))
     out = out.withColumn("kind", F.when(F.col("__ok"), kind.otherwise(F.lit("other"))).otherwise(F.lit("other")))
     pats = dict(KIND_PATTERNS)
 
@@ -64,4 +77,4 @@ def parse_run_log(df: DataFrame, value: str = "value") -> DataFrame:
             .withColumn("status", field(STATUS_KINDS))
             .withColumn("latency_s", F.when(F.col("kind") == "state_latency",
                                             F.regexp_extract(m, pats["state_latency"], 1).cast("double")))
-            .drop("__ok"))
+            .drop("__ok", "__ts"))
