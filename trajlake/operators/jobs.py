@@ -150,8 +150,12 @@ def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = D
            .when(F.col("status") != "running", F.lit("not_running"))
            .when(skip == "size_none", F.lit("exception"))
            .when(infer & (F.col(ts) - F.col("start_us") > lim), F.lit("max_wait")))
-    it = it.withColumn("__end", end).withColumn("__skip", F.when(F.col("__end").isNull() | (F.col("__end") == "max_wait"), skip)) \
-           .withColumn("__infer", F.col("__end").isNull() & infer | (F.col("__end") == "max_wait"))
+    open_or_wait = F.col("__end").isNull() | (F.col("__end") == "max_wait")
+    # a skip counts only in a turn that was not ended before the observation was used;
+    # an inference happens in an open turn, and in the turn that then ends on max_wait
+    it = (it.withColumn("__end", end)
+          .withColumn("__skip", F.when(open_or_wait, skip))
+          .withColumn("__infer", (F.col("__end").isNull() & infer) | (F.col("__end") == "max_wait")))
     ends = (it.filter(F.col("__end").isNotNull()).groupBy("job_id")
             .agg(F.min_by(F.struct(F.col(ts).alias("t"), F.col("__end").alias("r")), F.col(ts)).alias("__e")))
     it = it.join(ends, "job_id", "left").filter(F.col("__e").isNull() | (F.col(ts) <= F.col("__e.t")))
