@@ -299,3 +299,11 @@ def test_stream_await_done_retention(spark):
     got = sorted(tuple(r) for r in spark.table("t1_ret").filter(F.col("job_id") == "j").collect())
     # first wait decided (running); after the retention the marker is gone and a new wait runs
     assert got == [("j", t0, 0, t0 + 1_000_000), ("j", t0 + 12 * hour, 1, t0 + 12 * hour + 1)]
+
+
+def test_skip_reason_order(spark):
+    df = spark.createDataFrame([(None, None, None), (1, None, 0), (1, "size_none", 0), (1, "abnormal", 0),
+                                (1, "normal", 2), (1, "normal", 0)],
+                               "state_ts_us long, state string, pending_actions int")
+    got = [r.r for r in df.select(jb.skip_reason().alias("r")).collect()]
+    assert got == ["no_state", "not_normal", "size_none", "not_normal", "pending", None]

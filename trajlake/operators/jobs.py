@@ -119,7 +119,7 @@ def skip_reason(state: Column | str = "state", pending: Column | str = "pending_
     t = F.col(state_ts) if isinstance(state_ts, str) else state_ts
     return (F.when(s.isNull() & t.isNull(), F.lit("no_state"))
             .when(s == "size_none", F.lit("size_none"))
-            .when(s != "normal", F.lit("not_normal"))
+            .when(s.isNull() | (s != "normal"), F.lit("not_normal"))   # present but no state: not normal
             .when(F.coalesce(p, F.lit(0)) != 0, F.lit("pending")))
 
 

@@ -399,7 +399,7 @@ ORACLE["job_run_summary"] = _with(_EVK) + """
 , it AS (
   SELECT p.job_id, p.poll_ts_us, s.start_us, p.status, p.poll_error, o.state, o.state_ts_us, o.pending_actions,
          CASE WHEN o.state IS NULL AND o.state_ts_us IS NULL THEN 'no_state' WHEN o.state = 'size_none' THEN 'size_none'
-              WHEN o.state <> 'normal' THEN 'not_normal' WHEN coalesce(o.pending_actions, 0) <> 0 THEN 'pending'
+              WHEN o.state IS NULL OR o.state <> 'normal' THEN 'not_normal' WHEN coalesce(o.pending_actions, 0) <> 0 THEN 'pending'
          END AS skip
   FROM polls p JOIN starts s USING (job_id) JOIN jobobs o ON o.obs_id = p.poll_id
   WHERE s.start_ok AND p.poll_ts_us > s.start_us
@@ -436,7 +436,7 @@ FROM polls WHERE robot_id IS NOT NULL GROUP BY job_id
 ORACLE["actionable_observations"] = _with(_EVK) + """
 SELECT obs_id, job_id, state, pending_actions,
        CASE WHEN state IS NULL AND state_ts_us IS NULL THEN 'no_state' WHEN state = 'size_none' THEN 'size_none'
-            WHEN state <> 'normal' THEN 'not_normal' WHEN coalesce(pending_actions, 0) <> 0 THEN 'pending' END
+            WHEN state IS NULL OR state <> 'normal' THEN 'not_normal' WHEN coalesce(pending_actions, 0) <> 0 THEN 'pending' END
          AS skip_reason
 FROM jobobs
 """
