@@ -307,3 +307,9 @@ def test_skip_reason_order(spark):
                                "state_ts_us long, state string, pending_actions int")
     got = [r.r for r in df.select(jb.skip_reason().alias("r")).collect()]
     assert got == ["no_state", "not_normal", "size_none", "not_normal", "pending", None]
+
+
+def test_letterbox_zero_size_is_degenerate(spark):
+    df = spark.createDataFrame([(0, 0, "padding")], "src_w int, src_h int, resize_name string")
+    r = ob.letterbox_geometry(df).collect()[0]
+    assert r.degenerate

@@ -71,12 +71,12 @@ def letterbox_geometry(df: DataFrame, src_w: str = "src_w", src_h: str = "src_h"
     pad_mode = _c(mode) == "padding"
     same = (F.col(src_w) == target_w) & (F.col(src_h) == target_h)
     ratio = F.greatest(w / F.lit(W), h / F.lit(H))
-    rw = (w / ratio).cast("int")
-    rh = (h / ratio).cast("int")
+    rw = F.try_divide(w, ratio).cast("int")      # a 0x0 source has ratio 0: null, flagged degenerate
+    rh = F.try_divide(h, ratio).cast("int")
     fit = pad_mode & ~same
     return (df.withColumn("resized_w", F.when(fit, rw).when(pad_mode, F.col(src_w)).otherwise(F.lit(target_w)))
             .withColumn("resized_h", F.when(fit, rh).when(pad_mode, F.col(src_h)).otherwise(F.lit(target_h)))
             .withColumn("pad_x", F.when(fit, F.greatest(F.lit(0), ((F.lit(W) - rw) / 2).cast("int"))).otherwise(F.lit(0)))
             .withColumn("pad_y", F.when(fit, F.greatest(F.lit(0), ((F.lit(H) - rh) / 2).cast("int"))).otherwise(F.lit(0)))
             .withColumn("identity", pad_mode & same)
-            .withColumn("degenerate", (F.col("resized_w") == 0) | (F.col("resized_h") == 0)))
+            .withColumn("degenerate", F.coalesce((F.col("resized_w") == 0) | (F.col("resized_h") == 0), F.lit(True))))
