@@ -158,3 +158,15 @@ def test_stream_job_status_update_mode(spark):
     want = {tuple(r) for r in jb.latest_job_status(polls).select("job_id", "status", "robot_id", "last_poll_us").collect()}
     assert set(last.values()) == want
     assert len(out_rows) <= 3 * len(want)   # at most one update per job per batch
+
+
+def test_stream_execute_requests_equals_batch(spark):
+    req = dv.action_requests(spark, SF01)
+    d, schema = _write_parts(req, "ts_us", 3)
+    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
+    out_dir = tempfile.mkdtemp(prefix="trajlake-stream-out-")
+    got = _run_to_files(spark, so.stream_execute_requests(sdf, spec_for_join(spark), 10.0), out_dir,
+                        tempfile.mkdtemp(prefix="trajlake-stream-ckpt-"))
+    rows = {tuple(r) for r in got.select("robot", "request_id", "seq", "ts_us", "period_us", "retimed",
+                                         "g_us", "e_us").collect()}
+    assert rows == _batch_retimed(spark, _executable(spark, SF01))

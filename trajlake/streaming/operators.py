@@ -207,3 +207,19 @@ def stream_retime_actions(sdf: DataFrame, velocity_limit: float = DEFAULT_VELOCI
 
     return sdf.groupBy("robot").applyInPandasWithState(step, RETIME_OUT, RETIME_STATE, "append",
                                                        GroupStateTimeout.NoTimeout)
+
+
+# ---------------------------------------------------------------------------
+# Posted requests -> executed timeline, on a stream (T3 -> C2 -> T2)
+# ---------------------------------------------------------------------------
+def stream_execute_requests(sdf: DataFrame, spec: DataFrame,
+                            velocity_limit: float = DEFAULT_VELOCITY_LIMIT) -> DataFrame:
+    """A stream of posted requests -> validated, exploded, retimed and queued actions.
+
+    Validation and explosion are narrow (no state); the per-robot state lives
+    in ``stream_retime_actions``. Bad requests never reach the queue.
+    """
+    from trajlake.operators.actions import explode_action_chunk
+    ex = explode_action_chunk(stream_validate_actions(sdf, spec))
+    return stream_retime_actions(ex.select("robot", "arm", "request_id", "seq", "ts_us", "duration_us", "position"),
+                                 velocity_limit)
