@@ -313,3 +313,15 @@ def test_letterbox_zero_size_is_degenerate(spark):
     df = spark.createDataFrame([(0, 0, "padding")], "src_w int, src_h int, resize_name string")
     r = ob.letterbox_geometry(df).collect()[0]
     assert r.degenerate
+
+
+def test_cameras_long_form_and_ordered_ready_queue(spark):
+    rows = spark.createDataFrame([(0, "high"), (0, "left_hand"), (0, "right_hand"), (1, "high")],
+                                 "frame_idx int, slot string")
+    kept = sorted(tuple(r) for r in ob.select_camera_rows(rows, ["high", "depth"]).collect())
+    assert kept == [(0, "high"), (1, "high")]
+    flat = spark.createDataFrame([(1, 20, 2, 0, "ready"), (1, 10, 1, 1, "ready"), (1, 10, 1, 0, "ready"),
+                                  (0, 30, 3, 0, "failed")],
+                                 "collection_id int, poll_ts_us long, poll_id int, pos int, status string")
+    order = [(r.poll_id, r.pos) for r in jb.ready_queue(flat, ordered=True).collect()]
+    assert order == [(1, 0), (1, 1), (2, 0)]

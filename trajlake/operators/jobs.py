@@ -71,12 +71,13 @@ def idle_exit(rollup: DataFrame, n: int = DEFAULT_IDLE_POLLS, ts: str = "poll_ts
                     F.col("__x.t").alias("exit_ts_us")))
 
 
-def ready_queue(flat_jobs: DataFrame) -> DataFrame:
+def ready_queue(flat_jobs: DataFrame, ordered: bool = False, ts: str = "poll_ts_us") -> DataFrame:
     """L1: jobs listed as ``ready``; processing order is ``(poll, pos)`` within a collection.
 
-    No global sort is imposed here (the caller sorts only if it needs an
-    ordered output)."""
-    return flat_jobs.filter(F.col("status") == "ready")
+    By default no global sort is imposed (it would range-partition the whole
+    output); ``ordered=True`` sorts by ``(collection_id, poll time, poll_id, pos)``."""
+    out = flat_jobs.filter(F.col("status") == "ready")
+    return out.orderBy("collection_id", ts, "poll_id", "pos") if ordered else out
 
 
 def await_running_outcome(polls: DataFrame, starts: DataFrame, timeout_s: float = DEFAULT_JOB_LIMIT_S,

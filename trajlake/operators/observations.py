@@ -80,3 +80,9 @@ def letterbox_geometry(df: DataFrame, src_w: str = "src_w", src_h: str = "src_h"
             .withColumn("pad_y", F.when(fit, F.greatest(F.lit(0), ((F.lit(H) - rh) / 2).cast("int"))).otherwise(F.lit(0)))
             .withColumn("identity", pad_mode & same)
             .withColumn("degenerate", F.coalesce((F.col("resized_w") == 0) | (F.col("resized_h") == 0), F.lit(True))))
+
+
+def select_camera_rows(df: DataFrame, image_types: list[str], slot: str = "slot") -> DataFrame:
+    """P5, long form: one row per (frame, camera slot); keep the requested slots.
+    Unknown names in ``image_types`` simply match nothing."""
+    return df.filter(F.col(slot).isin(*image_types))
