@@ -50,7 +50,7 @@ def _sequential(rows, e0=None):
     return out
 
 
-@pytest.mark.parametrize("seed,chunk", [(1, 10_000), (2, 997), (3, 10**12)])
+@pytest.mark.parametrize("seed,chunk", [(1, 10_000), (2, 997), (3, 10**12), (4, None), (5, "auto")])
 def test_timeline_matches_sequential_loop(spark, seed, chunk):
     rows = _random_log(seed)
     df = spark.createDataFrame(rows, SCHEMA)
@@ -133,13 +133,14 @@ def test_asof_position_brute_force(spark):
         assert got[oid] == want
 
 
-def test_chunked_scans_vs_pandas(spark):
+@pytest.mark.parametrize("chunk", ["c", None])
+def test_chunked_scans_vs_pandas(spark, chunk):
     rnd = random.Random(13)
     rows = [(rnd.choice(["a", "b"]), i, rnd.choice([None, 1, 2, 3])) for i in range(300)]
     df = spark.createDataFrame(rows, "k string, t long, v int").withColumn("c", F.floor(F.col("t") / 37))
-    s = chunked_running_sum(df.withColumn("v0", F.coalesce("v", F.lit(0))), ["k"], "c", ["t"], "v0", "rs")
-    s = chunked_carry_last(s, ["k"], "c", ["t"], "v", "cl")
-    s = chunked_lag(s, ["k"], "c", ["t"], "v", "lg")
+    s = chunked_running_sum(df.withColumn("v0", F.coalesce("v", F.lit(0))), ["k"], chunk, ["t"], "v0", "rs")
+    s = chunked_carry_last(s, ["k"], chunk, ["t"], "v", "cl")
+    s = chunked_lag(s, ["k"], chunk, ["t"], "v", "lg")
     got = {(r.k, r.t): (r.rs, r.cl, r.lg) for r in s.collect()}
     for key in ("a", "b"):
         run, last, prev = 0, None, "START"
@@ -164,3 +165,26 @@ def test_idle_exit_loop(spark):
                 want = p
                 break
         assert got[c] == want
+
+
+def test_auto_chunk_decision(spark):
+    from trajlake.functions.timecols import auto_chunk_us
+    small = spark.createDataFrame([("r", i * 10) for i in range(100)], "robot string, ts_us long")
+    assert auto_chunk_us(small, ["robot"], "ts_us") is None                 # no large key: plain windows
+    big = spark.range(600_000).select(F.lit("hot").alias("robot"), (F.col("id") * 1000).alias("ts_us"))
+    w = auto_chunk_us(big, ["robot"], "ts_us", target_rows=100_000)
+    assert 90_000_000 <= w <= 110_000_000                                    # ~100k rows per chunk
+
+
+def test_segments_and_backlog_unchunked(spark):
+    rows = _random_log(8, robots=("r0",), n=50)
+    df = spark.createDataFrame(rows, SCHEMA)
+    cdf = spark.createDataFrame([("r0", rows[20][3], "end_motion")], "robot string, ts_us long, kind string")
+    a = {(r.request_id, r.seq): (r.segment_id, r.g_us, r.dropped) for r in mo.motion_segments(df, cdf, chunk_us=None).collect()}
+    b = {(r.request_id, r.seq): (r.segment_id, r.g_us, r.dropped) for r in mo.motion_segments(df, cdf, chunk_us=500).collect()}
+    assert a == b
+    tl = mo.execution_timeline(df, chunk_us=None)
+    obs = spark.createDataFrame([("o", "r0", t) for t in range(0, 60_000, 997)], "obs_id string, robot string, t_us long")
+    p1 = {r.t_us: r.pending for r in mo.pending_backlog(tl, obs, chunk_us=None).collect()}
+    p2 = {r.t_us: r.pending for r in mo.pending_backlog(tl, obs, chunk_us=800).collect()}
+    assert p1 == p2

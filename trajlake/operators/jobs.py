@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.functions.timecols import time_chunk
-from trajlake.operators.scans import chunked_carry_last, chunked_running_sum
+from trajlake.functions.timecols import resolve_chunk
+from trajlake.operators.scans import chunked_carry_last, chunked_running_sum, with_chunk
 from trajlake.schemas import (ACTIVE_STATUSES, DEFAULT_IDLE_POLLS, DEFAULT_JOB_LIMIT_S, RC_EXCEPTION, RC_FAILURE,
                               RC_SUCCESS, RC_TIMEOUT, TERMINAL_STATUSES)
 
@@ -50,7 +50,8 @@ def collection_rollup(collections: DataFrame) -> DataFrame:
             .drop("jobs"))
 
 
-def idle_exit(rollup: DataFrame, n: int = DEFAULT_IDLE_POLLS, ts: str = "poll_ts_us", chunk_us: int = HOUR_US) -> DataFrame:
+def idle_exit(rollup: DataFrame, n: int = DEFAULT_IDLE_POLLS, ts: str = "poll_ts_us",
+              chunk_us: int | str | None = HOUR_US) -> DataFrame:
     """Per collection, the first poll at which ``n`` consecutive polls were idle.
 
     Run length at a poll = idle polls so far minus idle polls so far at the
@@ -60,10 +61,10 @@ def idle_exit(rollup: DataFrame, n: int = DEFAULT_IDLE_POLLS, ts: str = "poll_ts
     """
     order = [ts, "poll_id"]
     df = rollup.select("collection_id", "poll_id", ts, F.col("is_idle").cast("int").alias("__idle"))
-    df = df.withColumn("__chunk", time_chunk(ts, chunk_us))
-    df = chunked_running_sum(df, ["collection_id"], "__chunk", order, "__idle", "__c")
+    df, ch = with_chunk(df, ts, resolve_chunk(df, ["collection_id"], ts, chunk_us))
+    df = chunked_running_sum(df, ["collection_id"], ch, order, "__idle", "__c")
     df = df.withColumn("__reset", F.when(F.col("__idle") == 0, F.col("__c")))
-    df = chunked_carry_last(df, ["collection_id"], "__chunk", order, "__reset", "__l")
+    df = chunked_carry_last(df, ["collection_id"], ch, order, "__reset", "__l")
     df = df.withColumn("run", F.col("__c") - F.coalesce(F.col("__l"), F.lit(0)))
     first = F.min(F.when(F.col("run") >= n, F.struct(F.col(ts).alias("t"), F.col("poll_id").alias("p"))))
     return (df.groupBy("collection_id").agg(F.count(F.lit(1)).alias("n_polls"), first.alias("__x"))

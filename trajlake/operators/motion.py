@@ -14,17 +14,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.functions.timecols import time_chunk
+from trajlake.functions.timecols import resolve_chunk
 from trajlake.functions.vectors import array_abs_max, scale_dims
 from trajlake.operators.scans import (chunked_carry_last, chunked_lag, chunked_prefix, chunked_queue_timeline,
-                                      chunked_running_sum)
+                                      chunked_running_sum, with_chunk)
 from trajlake.schemas import DEFAULT_VELOCITY_LIMIT
 
 HOUR_US = 3_600_000_000
 QUEUE_ORDER = ("ts_us", "request_id", "seq")
 
 
-def step_velocity(actions: DataFrame, order: Sequence[str] = QUEUE_ORDER, chunk_us: int = HOUR_US) -> DataFrame:
+def step_velocity(actions: DataFrame, order: Sequence[str] = QUEUE_ORDER,
+                  chunk_us: int | str | None = HOUR_US) -> DataFrame:
     """Per ``(robot, arm)`` in queue order, ``(cur - last) / duration`` per dimension.
 
     The first action of a ``(robot, arm)`` compares with zeros of its own
@@ -32,8 +33,9 @@ def step_velocity(actions: DataFrame, order: Sequence[str] = QUEUE_ORDER, chunk_
     ``shape_mismatch`` (the reference raises and keeps the nominal period).
     Adds ``velocity``, ``max_abs`` (all dims) and ``max_abs_no_gripper``.
     """
-    df = actions.withColumn("__chunk", time_chunk(order[0], chunk_us))
-    df = chunked_lag(df, ["robot", "arm"], "__chunk", list(order), "position", "last_position")
+    chunk_us = resolve_chunk(actions, ["robot", "arm"], order[0], chunk_us)
+    df, ch = with_chunk(actions, order[0], chunk_us)
+    df = chunked_lag(df, ["robot", "arm"], ch, list(order), "position", "last_position")
     last = F.coalesce(F.col("last_position"), F.array_repeat(F.lit(0.0), F.size("position")))
     dur_s = F.col("duration_us").cast("double") / F.lit(1e6)
     mismatch = F.size(last) != F.size("position")
@@ -62,7 +64,7 @@ def retime_actions(velocities: DataFrame, velocity_limit: float = DEFAULT_VELOCI
 
 def execution_timeline(actions: DataFrame, keys: Sequence[str] = ("robot",), order: Sequence[str] = QUEUE_ORDER,
                        arrival: str = "ts_us", period: str = "period_us", start: str | None = None,
-                       chunk_us: int = HOUR_US) -> DataFrame:
+                       chunk_us: int | str | None = HOUR_US) -> DataFrame:
     """Dequeue time ``g_us``, end ``e_us`` and the overrun flag per action.
 
     The worker's clock starts before its blocking get, so waiting counts
@@ -70,9 +72,11 @@ def execution_timeline(actions: DataFrame, keys: Sequence[str] = ("robot",), ord
     ``overrun`` marks iterations that did not sleep (``g - e_prev >= p``), which
     includes every action that found the worker idle. Also ``wait_us`` (queue
     wait), ``busy_us`` (``e - g``) and ``gap_us`` (``g - e_prev``).
+    ``chunk_us="auto"`` sizes the chunks from the densest key (one small extra job).
     """
-    df = actions.withColumn("__chunk", time_chunk(arrival, chunk_us))
-    df = chunked_queue_timeline(df, list(keys), "__chunk", list(order), arrival, period, start)
+    chunk_us = resolve_chunk(actions, list(keys), arrival, chunk_us)
+    df, ch = with_chunk(actions, arrival, chunk_us)
+    df = chunked_queue_timeline(df, list(keys), ch, list(order), arrival, period, start)
     prev = F.col("prev_end_us")
     return (df.drop("__chunk")
             .withColumn("overrun", prev.isNull() | ((F.col("g_us") - prev) >= F.col(period)))
@@ -82,7 +86,7 @@ def execution_timeline(actions: DataFrame, keys: Sequence[str] = ("robot",), ord
 
 
 def pending_backlog(timeline: DataFrame, observations: DataFrame, key: str = "robot", arrival: str = "ts_us",
-                    obs_time: str = "t_us", chunk_us: int = HOUR_US) -> DataFrame:
+                    obs_time: str = "t_us", chunk_us: int | str | None = HOUR_US) -> DataFrame:
     """Queue length seen by each observation = #{actions: a <= t < g}.
 
     Event sweep: arrivals +1, dequeues -1, observations 0, summed over a range
@@ -93,14 +97,14 @@ def pending_backlog(timeline: DataFrame, observations: DataFrame, key: str = "ro
     deq = timeline.select(F.col(key), F.col("g_us").alias("__t"), F.lit(-1).alias("__d"))
     obs = observations.withColumn("__t", F.col(obs_time)).withColumn("__d", F.lit(0)).withColumn("__obs", F.lit(True))
     ev = arr.unionByName(deq, allowMissingColumns=True).unionByName(obs, allowMissingColumns=True)
-    ev = ev.withColumn("__chunk", time_chunk("__t", chunk_us))
-    ev = chunked_running_sum(ev, [key], "__chunk", ["__t"], "__d", "pending", range_frame=True)
+    ev, ch = with_chunk(ev, "__t", resolve_chunk(ev, [key], "__t", chunk_us))
+    ev = chunked_running_sum(ev, [key], ch, ["__t"], "__d", "pending", range_frame=True)
     return (ev.filter(F.col("__obs")).drop("__t", "__d", "__obs", "__chunk")
             .withColumn("pending", F.col("pending").cast("bigint")))
 
 
 def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str] = QUEUE_ORDER,
-                    chunk_us: int = HOUR_US) -> DataFrame:
+                    chunk_us: int | str | None = HOUR_US) -> DataFrame:
     """Queue clears cut the action log into segments; actions not dequeued
     before the next clear are ``dropped``.
 
@@ -114,11 +118,12 @@ def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str]
     c = (clears.select("robot", "ts_us").withColumn("__is_clear", F.lit(1)).withColumn("__tag", F.lit(0)))
     ev = a.unionByName(c, allowMissingColumns=True)
     ev_order = [order[0], "__tag", *order[1:]]
-    ev = ev.withColumn("__chunk", time_chunk(order[0], chunk_us))
+    chunk_us = resolve_chunk(ev, ["robot"], order[0], chunk_us)
+    ev, ch = with_chunk(ev, order[0], chunk_us)
     # Clears come in time order, so the latest clear so far is the running max
     # of clear times: segment number and start come from one fused scan.
     ev = ev.withColumn("__clear_ts", F.when(F.col("__is_clear") == 1, F.col(order[0])))
-    ev = chunked_prefix(ev, ["robot"], "__chunk", ev_order,
+    ev = chunked_prefix(ev, ["robot"], ch, ev_order,
                         {"segment_id": ("sum", "__is_clear"), "segment_start_us": ("max", "__clear_ts")})
     ev = ev.withColumn("segment_id", F.col("segment_id").cast("bigint")).drop("__chunk", "__clear_ts")
     numbered = (ev.filter(F.col("__is_clear") == 1)
@@ -133,7 +138,7 @@ def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str]
 
 
 def asof_position(commands: DataFrame, observations: DataFrame, time_col: str = "g_us", obs_time: str = "t_us",
-                  chunk_us: int = HOUR_US) -> DataFrame:
+                  chunk_us: int | str | None = HOUR_US) -> DataFrame:
     """Latest commanded position at or before each observation, per ``(robot, arm)``.
 
     ``commands`` carry ``robot, arm, <time_col>, request_id, seq, position``
@@ -146,8 +151,9 @@ def asof_position(commands: DataFrame, observations: DataFrame, time_col: str =
                                    F.col("position").alias("cmd_position")).alias("__cmd"))
     obs = (observations.withColumn("__t", F.col(obs_time)).withColumn("__tag", F.lit(1))
            .withColumn("__cmd", F.lit(None).cast(cmd.schema["__cmd"].dataType)))
-    ev = cmd.unionByName(obs, allowMissingColumns=True).withColumn("__chunk", time_chunk("__t", chunk_us))
-    ev = chunked_carry_last(ev, ["robot", "arm"], "__chunk", ["__t", "__tag", F.col("__cmd.cmd_request_id"),
+    ev = cmd.unionByName(obs, allowMissingColumns=True)
+    ev, ch = with_chunk(ev, "__t", resolve_chunk(ev, ["robot", "arm"], "__t", chunk_us))
+    ev = chunked_carry_last(ev, ["robot", "arm"], ch, ["__t", "__tag", F.col("__cmd.cmd_request_id"),
                                                               F.col("__cmd.cmd_seq")], "__cmd", "__last")
     out = ev.filter(F.col("__tag") == 1)
     return (out.select("*", "__last.*").drop("__t", "__tag", "__cmd", "__last", "__chunk"))

@@ -17,6 +17,9 @@ first window's exchange, so only the small summary side moves; AQE may turn
 that side into a broadcast when its measured size is under the threshold.
 
 Callers guarantee that ``chunk`` is non-decreasing in the order columns.
+``chunk=None`` skips the second level: plain per-key windows, for data where
+no key is large (see ``functions.timecols.auto_chunk_us``, which decides this
+from one small aggregate).
 """
 
 from __future__ import annotations
@@ -52,7 +55,19 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
 _FNS = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def chunked_prefix(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str | Column],
+def with_chunk(df: DataFrame, ts: str, chunk_us: int | None) -> tuple[DataFrame, str | None]:
+    """Add the ``__chunk`` column for a width, or nothing when not chunking."""
+    if chunk_us is None:
+        return df, None
+    from trajlake.functions.timecols import time_chunk
+    return df.withColumn("__chunk", time_chunk(ts, chunk_us)), "__chunk"
+
+
+def _part(keys: Sequence[str], chunk: str | None) -> list[Column]:
+    return _cols(keys) + ([F.col(chunk)] if chunk else [])
+
+
+def chunked_prefix(df: DataFrame, keys: Sequence[str], chunk: str | None, order: Sequence[str | Column],
                    aggs: dict[str, tuple[str, str]], range_frame: bool = False) -> DataFrame:
     """Several running aggregates in one two-level pass.
 
@@ -61,9 +76,11 @@ def chunked_prefix(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequen
     function). With ``range_frame`` (a single order column) rows with equal
     order value are aggregated together, so ties apply at once.
     """
-    w = Window.partitionBy(*_cols(keys), F.col(chunk)).orderBy(*_order(order))
+    w = Window.partitionBy(*_part(keys, chunk)).orderBy(*_order(order))
     w = (w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if range_frame
          else w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if chunk is None:
+        return df.select("*", *[_FNS[fn](v).over(w).alias(o) for o, (fn, v) in aggs.items()])
     local = df.select("*", *[_FNS[fn](v).over(w).alias(f"__l_{o}") for o, (fn, v) in aggs.items()])
     summary = df.groupBy(*keys, chunk).agg(*[_FNS[fn](v).alias(f"__t_{o}") for o, (fn, v) in aggs.items()])
     wc = Window.partitionBy(*_cols(keys)).orderBy(F.col(chunk)).rowsBetween(Window.unboundedPreceding, -1)
@@ -78,17 +95,19 @@ def chunked_prefix(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequen
     return joined.drop(*[f"__l_{o}" for o in aggs], *[f"__c_{o}" for o in aggs])
 
 
-def chunked_running_sum(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str | Column],
+def chunked_running_sum(df: DataFrame, keys: Sequence[str], chunk: str | None, order: Sequence[str | Column],
                         value: str, out: str, range_frame: bool = False) -> DataFrame:
     """``out = sum(value)`` over all rows of the key up to and including this one."""
     return chunked_prefix(df, keys, chunk, order, {out: ("sum", value)}, range_frame)
 
 
-def chunked_carry_last(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str | Column],
+def chunked_carry_last(df: DataFrame, keys: Sequence[str], chunk: str | None, order: Sequence[str | Column],
                        value: str, out: str) -> DataFrame:
     """``out`` = last non-null ``value`` at or before this row (per key)."""
-    w = (Window.partitionBy(*_cols(keys), F.col(chunk)).orderBy(*_order(order))
+    w = (Window.partitionBy(*_part(keys, chunk)).orderBy(*_order(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if chunk is None:
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
     local = df.withColumn("__sc_local", F.last(value, ignorenulls=True).over(w))
     ordering = F.struct(*_order(order))
     summary = df.groupBy(*keys, chunk).agg(
@@ -99,10 +118,12 @@ def chunked_carry_last(df: DataFrame, keys: Sequence[str], chunk: str, order: Se
     return joined.withColumn(out, F.coalesce("__sc_local", "__sc_carry")).drop("__sc_local", "__sc_carry")
 
 
-def chunked_lag(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str | Column],
+def chunked_lag(df: DataFrame, keys: Sequence[str], chunk: str | None, order: Sequence[str | Column],
                 value: str, out: str) -> DataFrame:
     """``out`` = ``value`` of the previous row of the same key (null for the first)."""
-    w = Window.partitionBy(*_cols(keys), F.col(chunk)).orderBy(*_order(order))
+    w = Window.partitionBy(*_part(keys, chunk)).orderBy(*_order(order))
+    if chunk is None:
+        return df.withColumn(out, F.lag(value).over(w))
     local = (df.withColumn("__sc_local", F.lag(value).over(w))
              .withColumn("__sc_rn", F.row_number().over(w)))
     summary = df.groupBy(*keys, chunk).agg(F.max_by(F.col(value), F.struct(*_order(order))).alias("__sc_last"))
@@ -113,7 +134,7 @@ def chunked_lag(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[
             .drop("__sc_local", "__sc_rn", "__sc_carry"))
 
 
-def chunked_queue_timeline(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str | Column],
+def chunked_queue_timeline(df: DataFrame, keys: Sequence[str], chunk: str | None, order: Sequence[str | Column],
                            arrival: str, period: str, start: str | None = None) -> DataFrame:
     """Single-server queue where the wait counts toward the period.
 
@@ -131,14 +152,20 @@ def chunked_queue_timeline(df: DataFrame, keys: Sequence[str], chunk: str, order
     Adds ``e_us``, ``g_us`` and ``prev_end_us`` (``e_{i-1}``; ``e_0`` for the
     first row, which may be null).
     """
-    k = [*keys, chunk]
-    w = Window.partitionBy(*_cols(k)).orderBy(*_order(order))
+    w = Window.partitionBy(*_part(keys, chunk)).orderBy(*_order(order))
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     e0 = F.col(start) if start else F.lit(None).cast("bigint")
     loc = (df.withColumn("__q_e0", e0)
            .withColumn("__q_s", F.sum(period).over(w_run))
            .withColumn("__q_m", F.max(F.col(arrival) - F.col("__q_s")).over(w_run))
            .withColumn("__q_rn", F.row_number().over(w)))
+    if chunk is None:
+        out = (loc.withColumn("e_us", F.col("__q_s") + F.greatest(F.col("__q_e0"), F.col("__q_m")))
+               .withColumn("prev_end_us", F.when(F.col("__q_rn") == 1, F.col("__q_e0"))
+                           .otherwise(F.lag("e_us").over(w)))
+               .withColumn("g_us", F.greatest(F.col(arrival), F.col("prev_end_us"))))
+        return out.drop("__q_e0", "__q_s", "__q_m", "__q_rn")
+    k = [*keys, chunk]
     summary = loc.groupBy(*k).agg(F.sum(period).alias("__q_t"),
                                   F.max(F.col(arrival) - F.col("__q_s")).alias("__q_mc"),
                                   F.max("__q_e0").alias("__q_e0c"))
