@@ -34,6 +34,9 @@ VELOCITY_LIMIT = 10.0
 # hold about one row each and make the chunk summaries as large as the data).
 ACTION_CHUNK_US = 1_000_000
 EVENT_CHUNK_US = 86_400_000_000
+# The two end-to-end summaries size their chunks from the data (chunking
+# behind a check: plain per-key windows unless some key is large).
+FLOW_CHUNK = "auto"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,7 +97,8 @@ def q_execution_timeline(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_robot_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: validate -> explode -> velocity -> retime -> timeline, per robot."""
-    tl = _timeline(spark, sf)
+    vel = mo.step_velocity(_executable(spark, sf), chunk_us=FLOW_CHUNK)
+    tl = mo.execution_timeline(mo.retime_actions(vel, VELOCITY_LIMIT), chunk_us=FLOW_CHUNK)
     bad = (_validated(spark, sf).groupBy("robot")
            .agg(F.count_if(F.col("is_bad")).alias("n_bad")))
     per = tl.groupBy("robot").agg(
@@ -325,8 +329,8 @@ def q_policy_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
     scored = score_policy(obs, ScaledStatePolicy, checkpoint=None)
     req = dv.policy_requests(scored)
     ex = act.explode_action_chunk(act.validate_action_arity(req, spec_for_join(spark)))
-    tl = mo.execution_timeline(mo.retime_actions(mo.step_velocity(ex, chunk_us=ACTION_CHUNK_US), VELOCITY_LIMIT),
-                               chunk_us=ACTION_CHUNK_US)
+    tl = mo.execution_timeline(mo.retime_actions(mo.step_velocity(ex, chunk_us=FLOW_CHUNK), VELOCITY_LIMIT),
+                               chunk_us=FLOW_CHUNK)
     return tl.groupBy("robot").agg(
         F.count(F.lit(1)).alias("n_actions"), F.round(F.max("max_abs"), 6).alias("max_velocity"),
         F.count_if("retimed").alias("n_retimed"), F.round(F.sum("busy_us") / 1e6, 6).alias("busy_s"),
