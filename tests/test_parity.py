@@ -325,3 +325,16 @@ def test_cameras_long_form_and_ordered_ready_queue(spark):
                                  "collection_id int, poll_ts_us long, poll_id int, pos int, status string")
     order = [(r.poll_id, r.pos) for r in jb.ready_queue(flat, ordered=True).collect()]
     assert order == [(1, 0), (1, 1), (2, 0)]
+
+
+def test_null_action_in_request(spark):
+    ok, short = [0.0] * 7, [0.0] * 6
+    rows = [("n1", "arx5", 0, "leftjoint", [ok, None, ok], 50000),      # null first: 400, prefix runs
+            ("n2", "arx5", 1, "leftjoint", [short, None], 50000)]       # mismatch first: clear, nothing runs
+    spec = spec_for_join(spark)
+    out = {r.request_id: r for r in act.batch_outcome(_req(spark, rows), spec).collect()}
+    assert (out["n1"].result, out["n1"].http_status, out["n1"].clears_queue) == ("error", 400, False)
+    assert (out["n2"].message, out["n2"].clears_queue) == (BAD_ARITY_MESSAGE, True)
+    eff = {(r.request_id, r.seq): r.quarantine_reason for r in act.validate_action_arity(_req(spark, rows), spec).collect()}
+    assert eff == {("n1", 0): None, ("n1", 1): "null_action", ("n1", 2): "null_action",
+                   ("n2", 0): "bad_arity", ("n2", 1): "bad_arity"}

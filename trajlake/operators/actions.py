@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.functions.vectors import array_len, expected_action_len, parse_action_type, split_arm_vector
-from trajlake.schemas import BAD_ARITY_MESSAGE, MISSING_TYPE_MESSAGE
+from trajlake.schemas import BAD_ARITY_MESSAGE, MISSING_TYPE_MESSAGE, NULL_ACTION_MESSAGE
 
 
 def _with_request_checks(requests: DataFrame, spec: DataFrame) -> DataFrame:
@@ -35,12 +35,20 @@ def _with_request_checks(requests: DataFrame, spec: DataFrame) -> DataFrame:
     bad_positions = F.filter(
         F.transform("actions", lambda a, i: F.when(array_len(a) != F.col("expected_len"), i)),
         lambda x: x.isNotNull())
+    null_positions = F.filter(F.transform("actions", lambda a, i: F.when(a.isNull(), i)), lambda x: x.isNotNull())
     n = F.size("actions")
     known = F.col("dof_num").isNotNull()
-    df = df.withColumn("first_bad_pos", F.when(F.col("action_type").isNotNull() & known,
-                                               F.array_min(bad_positions)).cast("int"))
+    df = (df.withColumn("first_bad_pos", F.when(F.col("action_type").isNotNull() & known,
+                                                F.array_min(bad_positions)).cast("int"))
+          .withColumn("null_pos", F.array_min(null_positions).cast("int")))
+    # Checked action by action in order: a length mismatch clears the queue and
+    # replies with an error; a null action fails the length check itself (HTTP
+    # 400) after the actions before it were queued, and clears nothing.
+    null_first = F.col("null_pos").isNotNull() & (F.col("first_bad_pos").isNull()
+                                                  | (F.col("null_pos") < F.col("first_bad_pos")))
     status = (F.when(~known, F.lit("unknown_robot"))
               .when(F.col("action_type").isNull() & (n > 0), F.lit("missing_action_type"))
+              .when(null_first, F.lit("null_action"))
               .when(F.col("first_bad_pos").isNotNull(), F.lit("bad_arity")))
     return df.withColumn("request_error", status).withColumn("n_actions", n.cast("int"))
 
@@ -60,8 +68,9 @@ def batch_outcome(requests: DataFrame, spec: DataFrame) -> DataFrame:
         F.when(err.isNull(), F.lit("success")).otherwise(F.lit("error")).alias("result"),
         F.when(err == "bad_arity", F.lit(BAD_ARITY_MESSAGE))
          .when(err == "missing_action_type", F.lit(MISSING_TYPE_MESSAGE))
+         .when(err == "null_action", F.lit(NULL_ACTION_MESSAGE))
          .when(err == "unknown_robot", F.lit("unknown robot tag")).alias("message"),
-        F.when(err == "missing_action_type", F.lit(400)).otherwise(F.lit(200)).alias("http_status"),
+        F.when(err.isin("missing_action_type", "null_action"), F.lit(400)).otherwise(F.lit(200)).alias("http_status"),
         (err == "bad_arity").alias("clears_queue"),
     )
 
@@ -77,8 +86,11 @@ def validate_action_arity(requests: DataFrame, spec: DataFrame) -> DataFrame:
     """
     df = _with_request_checks(requests, spec)
     ex = df.select("*", F.posexplode("actions").alias("seq", "action")).drop("actions")
+    err = F.col("request_error")
+    # after a null action nothing more was queued; the actions before it run
+    req_reason = F.when(err == "null_action", F.when(F.col("seq") >= F.col("null_pos"), err)).otherwise(err)
     reason = F.coalesce(
-        F.col("request_error"),
+        req_reason,
         F.when(F.col("duration_us").isNull() | (F.col("duration_us") <= 0), F.lit("bad_duration")))
     return (ex.withColumn("actual_len", array_len("action").cast("int"))
             .withColumn("is_bad", F.coalesce(F.col("actual_len") != F.col("expected_len"), F.lit(False)))

@@ -54,12 +54,16 @@ act_bad AS (
   SELECT *, CAST(len(action) AS INTEGER) AS actual_len,
          coalesce(CAST(len(action) AS INTEGER) <> expected_len, false) AS is_bad,
          CAST(min(CASE WHEN action_type IS NOT NULL AND dof_num IS NOT NULL AND len(action) <> expected_len
-                       THEN seq END) OVER (PARTITION BY request_id) AS INTEGER) AS first_bad_pos
+                       THEN seq END) OVER (PARTITION BY request_id) AS INTEGER) AS first_bad_pos,
+         CAST(min(CASE WHEN action IS NULL THEN seq END) OVER (PARTITION BY request_id) AS INTEGER) AS null_pos
   FROM act_rows
 ),
 validated AS (
   SELECT *, CASE WHEN dof_num IS NULL THEN 'unknown_robot'
                  WHEN action_type IS NULL AND n_actions > 0 THEN 'missing_action_type'
+                 WHEN null_pos IS NOT NULL AND (first_bad_pos IS NULL OR null_pos < first_bad_pos)
+                   THEN CASE WHEN seq >= null_pos THEN 'null_action'
+                             WHEN duration_us IS NULL OR duration_us <= 0 THEN 'bad_duration' END
                  WHEN first_bad_pos IS NOT NULL THEN 'bad_arity'
                  WHEN duration_us IS NULL OR duration_us <= 0 THEN 'bad_duration' END AS quarantine_reason
   FROM act_bad
@@ -162,11 +166,13 @@ ORACLE["batch_outcome"] = _with(_REQUESTS) + """
 , outc AS (
   SELECT r.request_id, r.robot, CAST(len(r.actions) AS INTEGER) AS n_actions,
          (SELECT any_value(v.first_bad_pos) FROM validated v WHERE v.request_id = r.request_id) AS first_bad_pos,
+         (SELECT any_value(v.null_pos) FROM validated v WHERE v.request_id = r.request_id) AS null_pos,
          r.dof_num, r.action_type
   FROM req_checked r
 ), outc2 AS (
   SELECT *, CASE WHEN dof_num IS NULL THEN 'unknown_robot'
                  WHEN action_type IS NULL AND n_actions > 0 THEN 'missing_action_type'
+                 WHEN null_pos IS NOT NULL AND (first_bad_pos IS NULL OR null_pos < first_bad_pos) THEN 'null_action'
                  WHEN first_bad_pos IS NOT NULL THEN 'bad_arity' END AS err
   FROM outc
 )
@@ -174,8 +180,9 @@ SELECT request_id, robot, n_actions, first_bad_pos,
        CASE WHEN err IS NULL THEN 'success' ELSE 'error' END AS result,
        CASE WHEN err = 'bad_arity' THEN 'The number and type of actions do not match!'
             WHEN err = 'missing_action_type' THEN 'argument of type ''NoneType'' is not iterable'
+            WHEN err = 'null_action' THEN 'object of type ''NoneType'' has no len()'
             WHEN err = 'unknown_robot' THEN 'unknown robot tag' END AS message,
-       CASE WHEN err = 'missing_action_type' THEN 400 ELSE 200 END AS http_status,
+       CASE WHEN err IN ('missing_action_type', 'null_action') THEN 400 ELSE 200 END AS http_status,
        err = 'bad_arity' AS clears_queue
 FROM outc2
 """

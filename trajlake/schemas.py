@@ -36,6 +36,7 @@ DEFAULT_JOB_LIMIT_S = 600
 DEFAULT_IDLE_POLLS = 10
 BAD_ARITY_MESSAGE = "The number and type of actions do not match!"
 MISSING_TYPE_MESSAGE = "argument of type 'NoneType' is not iterable"
+NULL_ACTION_MESSAGE = "object of type 'NoneType' has no len()"
 # Return codes of a bounded wait.
 RC_SUCCESS, RC_FAILURE, RC_TIMEOUT, RC_EXCEPTION = 0, 1, 2, 3
 
