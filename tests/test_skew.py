@@ -30,3 +30,23 @@ def test_hot_robot_is_split_across_partitions(spark):
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
+
+
+def test_chunked_plan_shuffles_large_side_once(spark):
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).select((F.col("id") % 3).cast("string").alias("robot"), F.col("id").cast("string").alias("request_id"),
+                                      F.lit(0).alias("seq"), (F.col("id") * 1000).alias("ts_us"),
+                                      F.lit(10).cast("bigint").alias("period_us"))
+        plan = mo.execution_timeline(df, chunk_us=100_000)._jdf.queryExecution().executedPlan().toString()
+        exchanges = [ln for ln in plan.split("\n") if "Exchange hashpartitioning" in ln]
+        # large side once on (key, chunk); summaries: final aggregate, chunk window, join back
+        assert len(exchanges) == 4, plan
+        assert "coalesce(" not in plan.split("SortMergeJoin")[1].split("\n")[0]   # plain equi-join keys
+        plain = mo.execution_timeline(df, chunk_us=None)._jdf.queryExecution().executedPlan().toString()
+        assert sum("Exchange hashpartitioning" in ln for ln in plain.split("\n")) == 1
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
