@@ -188,3 +188,23 @@ def test_segments_and_backlog_unchunked(spark):
     p1 = {r.t_us: r.pending for r in mo.pending_backlog(tl, obs, chunk_us=None).collect()}
     p2 = {r.t_us: r.pending for r in mo.pending_backlog(tl, obs, chunk_us=800).collect()}
     assert p1 == p2
+
+
+def test_backlog_after_clears_counts_until_the_clear(spark):
+    rows = _random_log(12, robots=("r0",), n=80)
+    df = spark.createDataFrame(rows, SCHEMA)
+    clear_ts = sorted(r[3] for r in rows)[40] + 1
+    cdf = spark.createDataFrame([("r0", clear_ts, "end_motion")], "robot string, ts_us long, kind string")
+    seg = mo.motion_segments(df, cdf, chunk_us=2_000)
+    segs = {(r.request_id, r.seq): (r.g_us, r.next_clear_us) for r in seg.collect()}
+    instants = sorted({r[3] for r in rows} | {clear_ts, clear_ts - 1} | {g for g, _ in segs.values()})
+    obs = spark.createDataFrame([(f"o{i}", "r0", t) for i, t in enumerate(instants)],
+                                "obs_id string, robot string, t_us long")
+    got = {r.t_us: r.pending for r in mo.pending_backlog(seg, obs, chunk_us=2_000).collect()}
+    for t in instants:
+        want = 0
+        for r in rows:
+            g, nxt = segs[(r[1], r[2])]
+            leave = g if nxt is None else min(g, nxt)
+            want += r[3] <= t < leave
+        assert got[t] == want, t

@@ -87,14 +87,18 @@ def execution_timeline(actions: DataFrame, keys: Sequence[str] = ("robot",), ord
 
 def pending_backlog(timeline: DataFrame, observations: DataFrame, key: str = "robot", arrival: str = "ts_us",
                     obs_time: str = "t_us", chunk_us: int | str | None = HOUR_US) -> DataFrame:
-    """Queue length seen by each observation = #{actions: a <= t < g}.
+    """Queue length seen by each observation = #{actions: a <= t < leave}.
 
-    Event sweep: arrivals +1, dequeues -1, observations 0, summed over a range
-    frame on time so that events at the same instant apply together.
-    Returns the observation rows with ``pending``.
+    ``leave`` is the dequeue time ``g``; for a ``motion_segments`` timeline an
+    action cleared from the queue leaves at the clear instead (the earlier of
+    ``g`` and ``next_clear_us``). Event sweep: arrivals +1, leaves -1,
+    observations 0, summed over a range frame on time so that events at the
+    same instant apply together. Returns the observation rows with ``pending``.
     """
+    leave = (F.least(F.col("g_us"), F.col("next_clear_us")) if "next_clear_us" in timeline.columns
+             else F.col("g_us"))
     arr = timeline.select(F.col(key), F.col(arrival).alias("__t"), F.lit(1).alias("__d"))
-    deq = timeline.select(F.col(key), F.col("g_us").alias("__t"), F.lit(-1).alias("__d"))
+    deq = timeline.select(F.col(key), leave.alias("__t"), F.lit(-1).alias("__d"))
     obs = observations.withColumn("__t", F.col(obs_time)).withColumn("__d", F.lit(0)).withColumn("__obs", F.lit(True))
     ev = arr.unionByName(deq, allowMissingColumns=True).unionByName(obs, allowMissingColumns=True)
     ev, ch = with_chunk(ev, "__t", resolve_chunk(ev, [key], "__t", chunk_us))

@@ -66,10 +66,11 @@ def write_action_reports(spark: SparkSession, requests: DataFrame, spec: DataFra
     if motion_clears is not None:
         clears = clears.unionByName(motion_clears.select("robot", "ts_us", "kind"))
     seg_input = timeline.drop("e_us", "g_us", "prev_end_us", "overrun", "wait_us", "busy_us", "gap_us", "velocity")
-    write("segments", mo.motion_segments(seg_input, clears, chunk_us=chunk_us)
-          .select("robot", "request_id", "seq", "segment_id", "segment_start_us", "next_clear_us", "g_us", "e_us",
-                  "dropped"))
+    segments = mo.motion_segments(seg_input, clears, chunk_us=chunk_us)
+    write("segments", segments.select("robot", "request_id", "seq", "segment_id", "segment_start_us",
+                                      "next_clear_us", "g_us", "e_us", "dropped"))
     if observations is not None:
-        write("backlog", mo.pending_backlog(timeline, observations, chunk_us=chunk_us))
+        # queue length with clears: a cleared action leaves the queue at the clear
+        write("backlog", mo.pending_backlog(segments, observations, chunk_us=chunk_us))
         write("positions", mo.asof_position(timeline, observations, chunk_us=chunk_us).drop("cmd_position"))
     return paths
