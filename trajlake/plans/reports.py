@@ -72,5 +72,7 @@ def write_action_reports(spark: SparkSession, requests: DataFrame, spec: DataFra
     if observations is not None:
         # queue length with clears: a cleared action leaves the queue at the clear
         write("backlog", mo.pending_backlog(segments, observations, chunk_us=chunk_us))
-        write("positions", mo.asof_position(timeline, observations, chunk_us=chunk_us).drop("cmd_position"))
+        # a command cleared before it was dequeued never becomes the current position
+        executed = segments.filter(~F.col("dropped"))
+        write("positions", mo.asof_position(executed, observations, chunk_us=chunk_us).drop("cmd_position"))
     return paths
