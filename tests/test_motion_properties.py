@@ -208,3 +208,24 @@ def test_backlog_after_clears_counts_until_the_clear(spark):
             leave = g if nxt is None else min(g, nxt)
             want += r[3] <= t < leave
         assert got[t] == want, t
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(gaps=st.lists(st.integers(min_value=0, max_value=5_000), min_size=1, max_size=40),
+       periods=st.lists(st.sampled_from([0, 1, 50, 999, 4_000]), min_size=40, max_size=40),
+       chunk=st.sampled_from([None, 1, 700, 10_000, 10**12]),
+       start=st.one_of(st.none(), st.integers(min_value=-1_000, max_value=3_000)))
+def test_timeline_hypothesis(spark, gaps, periods, chunk, start):
+    t, rows = 0, []
+    for i, gap in enumerate(gaps):
+        t += gap
+        rows.append(("r", f"q{i:03d}", 0, t, periods[i], start))
+    df = spark.createDataFrame(rows, SCHEMA + ", e0 long")
+    got = {(r.request_id, r.seq): (r.g_us, r.e_us) for r in
+           mo.execution_timeline(df, chunk_us=chunk, start="e0").collect()}
+    want = {k[1:]: v[:2] for k, v in _sequential([r[:5] for r in rows], e0=start).items()}
+    assert got == want
