@@ -1,0 +1 @@
+"""Column -> Column helpers: action types, arm vectors, time conversions."""
