@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajlake.functions.timecols import resolve_chunk
 from trajlake.functions.vectors import array_len, array_round_sum
 from trajlake.operators import actions as act
 from trajlake.operators import align as al
@@ -97,8 +98,10 @@ def q_execution_timeline(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_robot_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: validate -> explode -> velocity -> retime -> timeline, per robot."""
-    vel = mo.step_velocity(_executable(spark, sf), chunk_us=FLOW_CHUNK)
-    tl = mo.execution_timeline(mo.retime_actions(vel, VELOCITY_LIMIT), chunk_us=FLOW_CHUNK)
+    ex = _executable(spark, sf)
+    width = resolve_chunk(ex, ["robot"], "ts_us", FLOW_CHUNK)      # one check serves both scans
+    vel = mo.step_velocity(ex, chunk_us=width)
+    tl = mo.execution_timeline(mo.retime_actions(vel, VELOCITY_LIMIT), chunk_us=width)
     bad = (_validated(spark, sf).groupBy("robot")
            .agg(F.count_if(F.col("is_bad")).alias("n_bad")))
     per = tl.groupBy("robot").agg(
@@ -329,8 +332,9 @@ def q_policy_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
     scored = score_policy(obs, ScaledStatePolicy, checkpoint=None)
     req = dv.policy_requests(scored)
     ex = act.explode_action_chunk(act.validate_action_arity(req, spec_for_join(spark)))
-    tl = mo.execution_timeline(mo.retime_actions(mo.step_velocity(ex, chunk_us=FLOW_CHUNK), VELOCITY_LIMIT),
-                               chunk_us=FLOW_CHUNK)
+    width = resolve_chunk(ex, ["robot"], "ts_us", FLOW_CHUNK)      # one check serves both scans
+    tl = mo.execution_timeline(mo.retime_actions(mo.step_velocity(ex, chunk_us=width), VELOCITY_LIMIT),
+                               chunk_us=width)
     return tl.groupBy("robot").agg(
         F.count(F.lit(1)).alias("n_actions"), F.round(F.max("max_abs"), 6).alias("max_velocity"),
         F.count_if("retimed").alias("n_retimed"), F.round(F.sum("busy_us") / 1e6, 6).alias("busy_s"),
