@@ -35,8 +35,9 @@ VELOCITY_LIMIT = 10.0
 # hold about one row each and make the chunk summaries as large as the data).
 ACTION_CHUNK_US = 1_000_000
 EVENT_CHUNK_US = 86_400_000_000
-# The two end-to-end summaries size their chunks from the data (chunking
-# behind a check: plain per-key windows unless some key is large).
+# The end-to-end policy flow sizes its chunks from the data (chunking behind a
+# check: plain per-key windows unless some key is large); this runs one small
+# statistics job while the query is built.
 FLOW_CHUNK = "auto"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,11 +98,10 @@ def q_execution_timeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_robot_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: validate -> explode -> velocity -> retime -> timeline, per robot."""
-    ex = _executable(spark, sf)
-    width = resolve_chunk(ex, ["robot"], "ts_us", FLOW_CHUNK)      # one check serves both scans
-    vel = mo.step_velocity(ex, chunk_us=width)
-    tl = mo.execution_timeline(mo.retime_actions(vel, VELOCITY_LIMIT), chunk_us=width)
+    """Flagship: validate -> explode -> velocity -> retime -> timeline, per robot.
+
+    Fixed chunk widths keep it lazy: building it runs no Spark job."""
+    tl = _timeline(spark, sf)
     bad = (_validated(spark, sf).groupBy("robot")
            .agg(F.count_if(F.col("is_bad")).alias("n_bad")))
     per = tl.groupBy("robot").agg(
