@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 US_PER_S = 1_000_000
@@ -32,7 +34,8 @@ def time_chunk(us: Column | str, chunk_us: int) -> Column:
     return F.floor(c / F.lit(int(chunk_us))).cast("bigint")
 
 
-def auto_chunk_us(df, keys, ts: str, target_rows: int = 250_000, min_us: int = 1_000) -> int | None:
+def auto_chunk_us(df: DataFrame, keys: Sequence[str], ts: str, target_rows: int = 250_000,
+                  min_us: int = 1_000) -> int | None:
     """Chunk width for the scans, chosen from the data (chunking behind a check).
 
     One aggregate pass over the key and time columns (map-side partial
@@ -50,7 +53,7 @@ def auto_chunk_us(df, keys, ts: str, target_rows: int = 250_000, min_us: int = 1
     return max(int(min_us), int(target_rows / row["r"]))
 
 
-def resolve_chunk(df, keys, ts: str, chunk_us: int | str | None) -> int | None:
+def resolve_chunk(df: DataFrame, keys: Sequence[str], ts: str, chunk_us: int | str | None) -> int | None:
     """``"auto"`` -> ``auto_chunk_us``; an int or None passes through (None = no chunking)."""
     return auto_chunk_us(df, keys, ts) if chunk_us == "auto" else chunk_us
 

@@ -64,17 +64,20 @@ def _timeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_action_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 over the action requests derived from embeddings."""
     return _validated(spark, sf).select(
         "request_id", "seq", "robot", "action_type", "arm", "mode", "expected_len", "actual_len",
         "is_bad", "first_bad_pos", "quarantine_reason", "effective")
 
 
 def q_batch_outcome(spark: SparkSession, sf: str) -> DataFrame:
+    """A5: the server reply per request."""
     return act.batch_outcome(dv.action_requests(spark, sf), spec_for_join(spark)).select(
         "request_id", "robot", "n_actions", "first_bad_pos", "result", "message", "http_status", "clears_queue")
 
 
 def q_action_chunk(spark: SparkSession, sf: str) -> DataFrame:
+    """C2 with P4 (arm split) and P9 (nominal action times)."""
     return _executable(spark, sf).select(
         "request_id", "seq", "robot", "arm", "t_nominal_us",
         array_len("left").alias("left_len"), array_len("right").alias("right_len"),
@@ -82,6 +85,7 @@ def q_action_chunk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_step_velocity(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 per (robot, arm), 1 s chunks."""
     v = mo.step_velocity(_executable(spark, sf), chunk_us=ACTION_CHUNK_US)
     return v.select("request_id", "seq", "robot", "arm", "shape_mismatch",
                     F.round("max_abs", 6).alias("max_abs"),
@@ -89,10 +93,12 @@ def q_step_velocity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_retime_actions(spark: SparkSession, sf: str) -> DataFrame:
+    """W2 with a velocity limit of 10."""
     return _retimed(spark, sf).select("request_id", "seq", "robot", "retimed", "period_us")
 
 
 def q_execution_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 over the retimed embeddings log, 1 s chunks."""
     return _timeline(spark, sf).select("request_id", "seq", "robot", "ts_us", "period_us", "g_us", "e_us",
                                        "overrun")
 
@@ -115,6 +121,7 @@ def q_robot_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_motion_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Clears from bad requests cut the log; dropped actions."""
     req = dv.action_requests(spark, sf)
     clears = act.clear_events(req, spec_for_join(spark))
     seg = mo.motion_segments(_retimed(spark, sf), clears, chunk_us=ACTION_CHUNK_US)
@@ -123,6 +130,7 @@ def q_motion_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_asof_position(spark: SparkSession, sf: str) -> DataFrame:
+    """Current command at each request's observation instant."""
     obs = dv.request_observations(dv.action_requests(spark, sf))
     out = mo.asof_position(_timeline(spark, sf), obs, chunk_us=ACTION_CHUNK_US)
     return out.select("obs_id", "robot", "arm", "t_us", "cmd_request_id", "cmd_seq",
@@ -137,11 +145,13 @@ def _scalar_timeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_execution_timeline_events(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 at scale over the scalar events log (one day chunks)."""
     return _scalar_timeline(spark, sf).select("robot", "request_id", "ts_us", "period_us", "g_us", "e_us",
                                               "overrun", "wait_us")
 
 
 def q_pending_backlog(spark: SparkSession, sf: str) -> DataFrame:
+    """Queue length at each observation of the events log."""
     out = mo.pending_backlog(_scalar_timeline(spark, sf), dv.backlog_observations(spark, sf),
                              chunk_us=EVENT_CHUNK_US)
     return out.select("obs_id", "robot", "t_us", "pending")
@@ -172,43 +182,52 @@ IDLE_POLLS = 3
 
 
 def q_flatten_job_collection(spark: SparkSession, sf: str) -> DataFrame:
+    """Collection JSON bodies to one row per job."""
     flat = flatten_job_collection(dv.collection_payloads(spark, sf))
     return flat.select("collection_id", "poll_id", "pos", "job_id", "status", "robot_id")
 
 
 def q_latest_job_status(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 over the job polls."""
     return jb.latest_job_status(dv.job_polls(spark, sf))
 
 
 def q_collection_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 per collection poll."""
     return jb.collection_rollup(dv.collection_polls(spark, sf)).select(
         "collection_id", "poll_id", "n_jobs", "has_active", "n_terminal", "is_idle")
 
 
 def q_idle_exit(spark: SparkSession, sf: str) -> DataFrame:
+    """W6 with n = 3 consecutive idle polls."""
     return jb.idle_exit(jb.collection_rollup(dv.collection_polls(spark, sf)), n=IDLE_POLLS, chunk_us=EVENT_CHUNK_US)
 
 
 def q_ready_queue(spark: SparkSession, sf: str) -> DataFrame:
+    """L1: ready jobs in collection order."""
     flat = flatten_job_collection(dv.collection_polls(spark, sf), payload=None)
     return jb.ready_queue(flat).select("collection_id", "poll_id", "pos", "job_id", "robot_id")
 
 
 def q_await_running_outcome(spark: SparkSession, sf: str) -> DataFrame:
+    """W8 with a 12 h limit, waits starting at each job's first ready poll."""
     polls = dv.job_polls(spark, sf)
     return jb.await_running_outcome(polls, dv.job_starts(polls), timeout_s=WAIT_TIMEOUT_S)
 
 
 def q_job_run_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A7 with a one day max wait."""
     return jb.job_run_summary(dv.job_run_log(spark, sf), dv.job_starts(dv.job_polls(spark, sf)),
                               max_wait_s=RUN_MAX_WAIT_S)
 
 
 def q_first_device_assignment(spark: SparkSession, sf: str) -> DataFrame:
+    """A8 over the job polls."""
     return jb.first_device_assignment(dv.job_polls(spark, sf))
 
 
 def q_actionable_observations(spark: SparkSession, sf: str) -> DataFrame:
+    """Skip reason per received observation."""
     obs = dv.job_observations(spark, sf).withColumn("skip_reason", jb.skip_reason())
     return obs.select("obs_id", "job_id", "state", "pending_actions", "skip_reason")
 
@@ -232,40 +251,47 @@ QUERIES.update({
 
 
 def q_observation_state(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 + P1 + P2 + P3 + P6 over the two-arm frames."""
     fr = ob.observation_status(ob.select_state_vector(dv.frames(spark, sf)))
     return fr.select("episode", "frame_idx", "action_type", "arm", "mode", "state",
                      array_len("vector").alias("vec_len"), array_round_sum("vector").alias("vec_sum"))
 
 
 def q_positional_zip(spark: SparkSession, sf: str) -> DataFrame:
+    """Left and right streams zipped by frame."""
     return dv.frames(spark, sf).select("episode", "frame_idx", "left_turn", "right_turn")
 
 
 def q_cyclic_align(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks up to the longer stream; the shorter wraps."""
     st = dv.with_ordinals(dv.arm_streams(spark, sf)).select("episode", "arm", "frame_idx", "turn")
     ticks = st.groupBy("episode", "arm").count().groupBy("episode").agg(F.max("count").alias("n_ticks"))
     return al.cyclic_align(st, ticks).select("episode", "tick", "arm", "frame_idx", "turn")
 
 
 def q_frame_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    """Nominal and measured frame times."""
     st = dv.with_ordinals(dv.arm_streams(spark, sf)).filter(F.col("arm") == "left").select("episode", "frame_idx")
     return al.frame_timestamps(st, dv.episode_meta_rows(spark, sf)).select(
         "episode", "frame_idx", "nominal_us", "measured_us")
 
 
 def q_episode_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """A6 per episode."""
     s = al.episode_stats(dv.episode_meta_rows(spark, sf))
     return s.select("task", "episode", "frames", F.round("duration_s", 6).alias("duration_s"),
                     F.round("fps", 6).alias("fps"), F.round("fps_drift", 6).alias("fps_drift"), "replay_frames")
 
 
 def q_episode_task_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """A6 rollup per task."""
     r = al.episode_task_rollup(al.episode_stats(dv.episode_meta_rows(spark, sf)))
     return r.select("task", "n_episodes", "frames", *[F.round(c, 6).alias(c) for c in
                                                        ("duration_s", "avg_fps", "min_fps", "max_fps")])
 
 
 def q_clock_offset(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 per session."""
     c = ck.clock_offset(dv.clock_samples(spark, sf))
     return c.select("session", "n_samples", F.round("offset_us", 3).alias("offset_us"), "min_rtt_us")
 
@@ -278,10 +304,12 @@ def _latency(spark: SparkSession, sf: str, with_offset: bool) -> DataFrame:
 
 
 def q_observation_latency(spark: SparkSession, sf: str) -> DataFrame:
+    """A2, raw."""
     return _latency(spark, sf, False)
 
 
 def q_observation_latency_offset(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 with the A1 offset applied."""
     return _latency(spark, sf, True)
 
 
@@ -289,6 +317,7 @@ CAMERA_REQUESTS = [["left_hand", "right_hand", "high"], ["high"], ["left_hand",
 
 
 def q_select_cameras(spark: SparkSession, sf: str) -> DataFrame:
+    """P5: requested camera slots per frame."""
     fr = dv.frames(spark, sf)
     images = F.create_map(F.lit("left_hand"), F.encode("left_text", "UTF-8"),
                           F.lit("right_hand"), F.encode("right_text", "UTF-8"),
@@ -301,17 +330,20 @@ def q_select_cameras(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_letterbox_geometry(spark: SparkSession, sf: str) -> DataFrame:
+    """P8 over image sizes derived from documents."""
     g = ob.letterbox_geometry(dv.image_sizes(spark, sf))
     return g.select("doc_id", "src_w", "src_h", "resize_name", "resized_w", "resized_h", "pad_x", "pad_y",
                     "identity", "degenerate")
 
 
 def q_parse_run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 over run-log lines in three layouts."""
     return parse_run_log(dv.run_log_lines(spark, sf)).select(
         "line_no", "ts_us", "level", "kind", "job_id", "status", "latency_s", "message")
 
 
 def q_serialize_observation(spark: SparkSession, sf: str) -> DataFrame:
+    """Observation to JSON and back."""
     js = serialize_observation(dv.policy_observations(spark, sf), cols=("state", "pending_actions", "action"))
     back = deserialize_observation(js.select("obs_id", "json"))
     return back.select("obs_id", "state", "pending_actions", array_len("action").alias("action_len"),
@@ -319,6 +351,7 @@ def q_serialize_observation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_score_policy(spark: SparkSession, sf: str) -> DataFrame:
+    """U1 with a deterministic example policy."""
     sc = score_policy(dv.policy_observations(spark, sf), ScaledStatePolicy, checkpoint=None)
     return sc.select("obs_id", "robot", array_len("actions").alias("n_actions"),
                      array_round_sum(F.element_at("actions", 1)).alias("a0_sum"),

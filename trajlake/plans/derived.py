@@ -26,6 +26,7 @@ OBS_ACTION_TYPES = ["joint", "pos", "leftjoint", "leftpos", "rightjoint", "right
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's parquet tables (callers select only the columns they use)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "trajlake") -> SparkSession:
+    """Local session: UTC zone, AQE with skew-join and coalescing, UI off."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
