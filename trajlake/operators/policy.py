@@ -11,13 +11,19 @@ Arrow batch instead (vectorised inference; batch size from
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# The functions and example policies of this module run in Python workers;
+# ship them by value so workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class DummyPolicy:
     """The default policy: no actions."""

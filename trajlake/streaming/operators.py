@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -25,6 +27,10 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from trajlake.operators.actions import validate_action_arity
 from trajlake.schemas import DEFAULT_JOB_LIMIT_S, DEFAULT_VELOCITY_LIMIT, RC_EXCEPTION, RC_FAILURE, RC_SUCCESS, RC_TIMEOUT
 
+# The state functions below run in Python workers; ship them by value so
+# workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # ---------------------------------------------------------------------------
 # T4: running latest status per job
