@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from trajlake.functions.timecols import resolve_chunk
 from trajlake.functions.vectors import array_abs_max, scale_dims
-from trajlake.operators.scans import (chunked_carry_last, chunked_lag, chunked_prefix, chunked_queue_timeline,
-                                      chunked_running_sum, with_chunk)
+from trajlake.operators.scans import (chunked_carry_last, chunked_lag_by_key, chunked_prefix,
+                                      chunked_queue_timeline, chunked_running_sum, with_chunk)
 from trajlake.schemas import DEFAULT_VELOCITY_LIMIT
 
 HOUR_US = 3_600_000_000
@@ -33,14 +33,16 @@ def step_velocity(actions: DataFrame, order: Sequence[str] = QUEUE_ORDER,
     ``shape_mismatch`` (the reference raises and keeps the nominal period).
     Adds ``velocity``, ``max_abs`` (all dims) and ``max_abs_no_gripper``.
     """
-    chunk_us = resolve_chunk(actions, ["robot", "arm"], order[0], chunk_us)
+    chunk_us = resolve_chunk(actions, ["robot"], order[0], chunk_us)
     df, ch = with_chunk(actions, order[0], chunk_us)
-    df = chunked_lag(df, ["robot", "arm"], ch, list(order), "position", "last_position")
+    # shuffled once on (robot, chunk); the chunk column is kept so that the
+    # queue timeline over the same rows reuses this partitioning
+    df = chunked_lag_by_key(df, ["robot"], ["arm"], ch, list(order), "position", "last_position")
     last = F.coalesce(F.col("last_position"), F.array_repeat(F.lit(0.0), F.size("position")))
     dur_s = F.col("duration_us").cast("double") / F.lit(1e6)
     mismatch = F.size(last) != F.size("position")
     vel = F.when(~mismatch, F.zip_with("position", last, lambda c, l: F.try_divide(c - l, dur_s)))
-    return (df.drop("__chunk")
+    return (df
             .withColumn("shape_mismatch", mismatch)
             .withColumn("velocity", vel)
             .withColumn("max_abs", array_abs_max("velocity"))
@@ -75,10 +77,11 @@ def execution_timeline(actions: DataFrame, keys: Sequence[str] = ("robot",), ord
     ``chunk_us="auto"`` sizes the chunks from the densest key (one small extra job).
     """
     chunk_us = resolve_chunk(actions, list(keys), arrival, chunk_us)
-    df, ch = with_chunk(actions, arrival, chunk_us)
+    df, ch = with_chunk(actions, arrival, chunk_us, reuse=(list(keys) == ["robot"] and arrival == order[0]))
     df = chunked_queue_timeline(df, list(keys), ch, list(order), arrival, period, start)
     prev = F.col("prev_end_us")
-    return (df.drop("__chunk")
+    chunk_cols = [c for c in df.columns if c.startswith("__chunk_")]
+    return (df.drop(*chunk_cols)
             .withColumn("overrun", prev.isNull() | ((F.col("g_us") - prev) >= F.col(period)))
             .withColumn("wait_us", F.col("g_us") - F.col(arrival))
             .withColumn("busy_us", F.col("e_us") - F.col("g_us"))
@@ -103,7 +106,7 @@ def pending_backlog(timeline: DataFrame, observations: DataFrame, key: str = "ro
     ev = arr.unionByName(deq, allowMissingColumns=True).unionByName(obs, allowMissingColumns=True)
     ev, ch = with_chunk(ev, "__t", resolve_chunk(ev, [key], "__t", chunk_us))
     ev = chunked_running_sum(ev, [key], ch, ["__t"], "__d", "pending", range_frame=True)
-    return (ev.filter(F.col("__obs")).drop("__t", "__d", "__obs", "__chunk")
+    return (ev.filter(F.col("__obs")).drop("__t", "__d", "__obs", *([ch] if ch else []))
             .withColumn("pending", F.col("pending").cast("bigint")))
 
 
@@ -129,7 +132,7 @@ def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str]
     ev = ev.withColumn("__clear_ts", F.when(F.col("__is_clear") == 1, F.col(order[0])))
     ev = chunked_prefix(ev, ["robot"], ch, ev_order,
                         {"segment_id": ("sum", "__is_clear"), "segment_start_us": ("max", "__clear_ts")})
-    ev = ev.withColumn("segment_id", F.col("segment_id").cast("bigint")).drop("__chunk", "__clear_ts")
+    ev = ev.withColumn("segment_id", F.col("segment_id").cast("bigint")).drop("__clear_ts", *([ch] if ch else []))
     numbered = (ev.filter(F.col("__is_clear") == 1)
                 .select(F.col("robot").alias("__crobot"), (F.col("segment_id") - 1).alias("__cseg"),
                         F.col(order[0]).alias("next_clear_us")))
@@ -160,4 +163,4 @@ def asof_position(commands: DataFrame, observations: DataFrame, time_col: str =
     ev = chunked_carry_last(ev, ["robot", "arm"], ch, ["__t", "__tag", F.col("__cmd.cmd_request_id"),
                                                               F.col("__cmd.cmd_seq")], "__cmd", "__last")
     out = ev.filter(F.col("__tag") == 1)
-    return (out.select("*", "__last.*").drop("__t", "__tag", "__cmd", "__last", "__chunk"))
+    return (out.select("*", "__last.*").drop("__t", "__tag", "__cmd", "__last", *([ch] if ch else [])))

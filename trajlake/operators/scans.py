@@ -55,12 +55,20 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
 _FNS = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def with_chunk(df: DataFrame, ts: str, chunk_us: int | None) -> tuple[DataFrame, str | None]:
-    """Add the ``__chunk`` column for a width, or nothing when not chunking."""
+def with_chunk(df: DataFrame, ts: str, chunk_us: int | None, reuse: bool = False) -> tuple[DataFrame, str | None]:
+    """Add the chunk column for a width (named after the width), or nothing when not chunking.
+
+    With ``reuse`` an existing column of the same width (left by an earlier
+    operator over the same rows and time column) is kept, so the data keeps
+    the hash partitioning that operator gave it and no second shuffle is needed.
+    """
     if chunk_us is None:
         return df, None
     from trajlake.functions.timecols import time_chunk
-    return df.withColumn("__chunk", time_chunk(ts, chunk_us)), "__chunk"
+    name = f"__chunk_{int(chunk_us)}"
+    if reuse and name in df.columns:
+        return df, name
+    return df.withColumn(name, time_chunk(ts, chunk_us)), name
 
 
 def _part(keys: Sequence[str], chunk: str | None) -> list[Column]:
@@ -134,6 +142,34 @@ def chunked_lag(df: DataFrame, keys: Sequence[str], chunk: str | None, order: Se
             .drop("__sc_local", "__sc_rn", "__sc_carry"))
 
 
+def chunked_lag_by_key(df: DataFrame, keys: Sequence[str], sub_keys: Sequence[str], chunk: str | None,
+                       order: Sequence[str | Column], value: str, out: str) -> DataFrame:
+    """``chunked_lag`` per ``(keys, sub_keys)`` while the data stays hash-partitioned
+    on ``(keys, chunk)`` only.
+
+    ``sub_keys`` take few values per key (the arms of one robot), so the carry
+    between chunks travels as a small map per ``(keys, chunk)``. The join back
+    and any later scan on ``(keys, chunk)`` reuse the one shuffle made here.
+    """
+    if chunk is None:
+        return chunked_lag(df, [*keys, *sub_keys], None, order, value, out)
+    df = df.repartition(*_cols(keys), F.col(chunk))
+    w = Window.partitionBy(*_cols(keys), *_cols(sub_keys), F.col(chunk)).orderBy(*_order(order))
+    local = (df.withColumn("__sc_local", F.lag(value).over(w))
+             .withColumn("__sc_rn", F.row_number().over(w)))
+    last = df.groupBy(*keys, *sub_keys, chunk).agg(
+        F.max_by(F.col(value), F.struct(*_order(order))).alias("__sc_last"))
+    wc = Window.partitionBy(*_cols(keys), *_cols(sub_keys)).orderBy(F.col(chunk))
+    carry = last.select(*keys, *sub_keys, chunk, F.lag("__sc_last").over(wc).alias("__sc_carry"))
+    sub = F.struct(*_cols(sub_keys)) if len(sub_keys) > 1 else F.col(sub_keys[0])
+    packed = carry.groupBy(*keys, chunk).agg(
+        F.map_from_entries(F.collect_list(F.struct(sub.alias("k"), F.col("__sc_carry").alias("v")))).alias("__sc_map"))
+    joined = _join_back(local, packed, [*keys, chunk])
+    return (joined.withColumn(out, F.when(F.col("__sc_rn") == 1, F.element_at("__sc_map", sub))
+                              .otherwise(F.col("__sc_local")))
+            .drop("__sc_local", "__sc_rn", "__sc_map"))
+
+
 def chunked_queue_timeline(df: DataFrame, keys: Sequence[str], chunk: str | None, order: Sequence[str | Column],
                            arrival: str, period: str, start: str | None = None) -> DataFrame:
     """Single-server queue where the wait counts toward the period.
