@@ -153,11 +153,14 @@ def chunked_lag_by_key(df: DataFrame, keys: Sequence[str], sub_keys: Sequence[st
     """
     if chunk is None:
         return chunked_lag(df, [*keys, *sub_keys], None, order, value, out)
+    src = df
     df = df.repartition(*_cols(keys), F.col(chunk))
     w = Window.partitionBy(*_cols(keys), *_cols(sub_keys), F.col(chunk)).orderBy(*_order(order))
     local = (df.withColumn("__sc_local", F.lag(value).over(w))
              .withColumn("__sc_rn", F.row_number().over(w)))
-    last = df.groupBy(*keys, *sub_keys, chunk).agg(
+    # from the input before the repartition: partial aggregation map-side, so
+    # only one small row per (key, chunk) and task is shuffled for the summary
+    last = src.groupBy(*keys, *sub_keys, chunk).agg(
         F.max_by(F.col(value), F.struct(*_order(order))).alias("__sc_last"))
     wc = Window.partitionBy(*_cols(keys), *_cols(sub_keys)).orderBy(F.col(chunk))
     carry = last.select(*keys, *sub_keys, chunk, F.lag("__sc_last").over(wc).alias("__sc_carry"))
