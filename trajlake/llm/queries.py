@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.llm import hyper_shuffle, pivotal_mix, token_rans
+from trajlake.llm import (
+    decontaminate,
+    embed_pstable,
+    hyper_shuffle,
+    lang_backoff,
+    pii_transducer,
+    pivotal_mix,
+    quality_rff,
+    simhash_bits,
+    suffix_doubling,
+    token_rans,
+)
 from trajlake.llm.shared import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -21,12 +32,48 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a near copy of a benchmark item, with the item and the edits between them."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "edits", "ends_at")
+
+
 def op2_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as rANS blocks and read back."""
     decoded = token_rans.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
     return decoded.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_bit_sliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    groups = simhash_bits.simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "fingerprint", "component_id")
+
+
+def op4_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, plain and disguised."""
+    found = pii_transducer.find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"),
+                        "spans", "n_disguised")
+
+
+def op5_word_backoff_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from two folds of three."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = lang_backoff.fold(F.col("doc_id"), 3) == 1
+    found = lang_backoff.identify(docs, lang_backoff.learn(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_rff_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from four folds of five."""
+    measured = quality_rff.measure(table(spark, sf_dir, "documents"))
+    model = quality_rff.fit(quality_rff.training_rows(measured), table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return quality_rff.score(measured, model).select(
+        "doc_id", (lang_backoff.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= quality_rff.CUT).cast("int").alias("predicted"))
+
+
 def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of equal row counts, uniformly shuffled."""
     dealt = hyper_shuffle.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
@@ -34,6 +81,17 @@ def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that also start earlier."""
+    cut = suffix_doubling.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_pstable_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of embeddings at cosine 0.98 within a label."""
+    return embed_pstable.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources takes of each document."""
     mixed = pivotal_mix.mix_sources(table(spark, sf_dir, "documents"))
@@ -41,8 +99,15 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
     "op2_rans_token_files": op2_rans_token_files,
+    "op3_bit_sliced_simhash": op3_bit_sliced_simhash,
+    "op4_deobfuscated_pii": op4_deobfuscated_pii,
+    "op5_word_backoff_language": op5_word_backoff_language,
+    "op6_rff_quality": op6_rff_quality,
     "op7_hypergeometric_shards": op7_hypergeometric_shards,
+    "op8_prefix_doubling": op8_prefix_doubling,
+    "op9_pstable_neighbours": op9_pstable_neighbours,
     "op10_pivotal_mix": op10_pivotal_mix,
 }
 
