@@ -1,0 +1,575 @@
+"""The operators against brute force, on small tables and on frames with odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from trajlake.llm import (
+    components,
+    decontaminate,
+    embed_pstable,
+    hyper_shuffle,
+    lang_backoff,
+    pii_transducer,
+    pivotal_mix,
+    quality_rff,
+    simhash_bits,
+    suffix_doubling,
+    token_rans,
+)
+from trajlake.llm import queries as llm
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, uid long, shard int, _copies int"
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shared(spark, tmp_path_factory):
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+
+
+def words(rng: random.Random, n: int) -> str:
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd_rows():
+    """Nulls in every column, empty and very long texts, ties, repeated rows, and columns with clashing names."""
+    rng = random.Random(3)
+    passage, copy = words(rng, 60), words(rng, 80)
+    rows = [(1, copy, "en", "a", 1, 9, 3, 7), (2, copy, "en", "a", 1, 9, 3, 7), (2, copy, "en", "a", 1, 9, 3, 7), (3, copy + " tail", "en", None, 1, 9, 3, 7),
+            (4, None, None, None, None, None, None, None), (5, "", "de", "b", 0, 1, 1, 1), (6, " \t\n", "de", "b", 3, 1, 1, 1),
+            (None, words(rng, 30), "fr", "b", 3, 1, 1, 1), (None, None, None, "b", 3, 1, 1, 1),
+            (7, words(rng, 40000) + " " + passage, "en", "a", 1, 1, 1, 1), (8, passage + words(rng, 10), "de", "c", 1, 1, 1, 1),
+            (9, "éèü " + passage + " 日本語", "fr", "c", 1, 1, 1, 1), (10, "x", "en", "c", 1, 1, 1, 1), (11, "ab" * 300, "en", "c", 1, 1, 1, 1)]
+    rows += [(100 + i, words(rng, rng.randint(1, 60)), rng.choice(["en", "de"]), rng.choice(["a", "b", "c"]), 1, 1, 1, 1) for i in range(40)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def odd(spark, odd_rows):
+    return spark.createDataFrame(odd_rows, SCHEMA).coalesce(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def documents(spark, sf=SF001):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def text_rows(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+# ---------------------------------------------------------------- 1 decontamination
+
+def edit_search(item: str, text: str) -> int:
+    """Least edits between the whole item and any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
+
+
+def test_pigeonhole_matches_equal_brute_force():
+    rng = random.Random(5)
+    items = [decontaminate.normalise(words(rng, 12)) for _ in range(6)]
+    matcher = decontaminate.Matcher(list(enumerate(items)))
+    found = 0
+    for _ in range(60):
+        item = rng.choice(items)
+        other = list(item)
+        for _ in range(rng.randint(0, decontaminate.budget(len(item)) + 2)):
+            k = rng.randrange(len(other))
+            other[k:k + 1] = rng.choice([[], ["z"], [other[k], "y"]])
+        text = decontaminate.normalise(words(rng, 8) + " " + "".join(other) + " " + words(rng, 8))
+        got = {k: v[0] for k, v in matcher.find(text).items()}
+        want = {k: d for k, it in enumerate(items) if (d := edit_search(it, text)) <= decontaminate.budget(len(it))}
+        assert got == want
+        found += len(want)
+    assert found > 20
+
+
+def test_decontamination_query(spark, odd, none):
+    docs, bench = documents(spark), spark.read.parquet(f"{SF001}/benchmark.parquet")
+    items = {r["item_id"]: decontaminate.normalise(r["text"]) for r in bench.collect()}
+    items = {k: v for k, v in items.items() if len(v.split()) >= decontaminate.MIN_WORDS}
+    exact = {(d, k) for d, t in text_rows(docs) for k, v in items.items() if v in decontaminate.normalise(t)}
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in llm.op1_pigeonhole_decontamination(spark, SF001).collect()}
+    assert {k for k, v in got.items() if v == 0} == exact
+    blocks = decontaminate.contaminated(docs, bench, block_chars=500)   # several passes, the same rows
+    assert {(r["doc_id"], r["item_id"]): r["edits"] for r in blocks.collect()} == got
+    kept = {r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert kept == {d for d, _ in text_rows(docs)} - {d for d, _ in got}
+    rows = [(1, "one two three four"), (2, None), (3, ""), (None, odd.where("doc_id = 1").first()["text"]), (5, odd.where("doc_id = 1").first()["text"])]
+    few = spark.createDataFrame(rows, "item_id long, text string")
+    hits = decontaminate.contaminated(odd, few).select("doc_id", "item_id").collect()
+    assert sorted((r[0], r[1] or 0) for r in hits) == sorted([(d, k) for d in (1, 2, 2, 3) for k in (0, 5)])
+    assert decontaminate.contaminated(none, few).count() == 0 and decontaminate.contaminated(odd, few.limit(0)).count() == 0
+    assert decontaminate.decontaminate(none, few).columns == none.columns and decontaminate.decontaminate(odd, few.limit(0)).count() == odd.count()
+
+
+# ---------------------------------------------------------------- 2 token files
+
+def test_rans_round_trip_and_checkpoints():
+    rng = np.random.default_rng(1)
+    ids = np.minimum(rng.zipf(1.3, 300_000), 60_000)
+    freq = token_rans.quantise(np.bincount(ids, minlength=60_001))
+    assert freq.sum() == 1 << token_rans.SCALE_BITS and (freq[np.unique(ids)] > 0).all()
+    t = token_rans.Table(freq)
+    for n in (1, 2, token_rans.LANES - 1, token_rans.LANES, token_rans.LANES + 1, len(ids)):
+        payload = token_rans.encode_block(ids[:n], t)
+        assert (token_rans.decode_block(payload, t) == ids[:n]).all()
+    size = token_rans.LANES * token_rans.STEPS
+    assert (token_rans.decode_block(payload, t, [1]) == ids[size:2 * size]).all()
+    assert len(payload) < 2 * len(ids)
+    broken = bytearray(payload)
+    broken[-100] ^= 1
+    with pytest.raises(ValueError):
+        token_rans.decode_block(bytes(broken), t)
+
+
+def test_one_id_and_even_table():
+    t = token_rans.Table(token_rans.quantise(np.array([0, 7])))
+    ids = np.ones(5000, np.int64)
+    assert (token_rans.decode_block(token_rans.encode_block(ids, t), t) == ids).all()
+
+
+def test_word_coder_equals_library():
+    from tokenizers import Tokenizer
+
+    path = llm.tokenizer_path()
+    lib = Tokenizer.from_file(path)
+    lib.encode_special_tokens = True
+    coder = token_rans.WordCoder(path)
+    texts = ["", " ", "it's WE'LL 'S don't", "İstanbul ΑΣ ς é é a\x1cb \xa0x ½²3 日本語 <|endoftext|>", "a'sb's''s !!'s%%'t", "a\x85b c　d\x00", "x" * 3000]
+    for text, raw in zip(texts, coder.encode(texts), strict=True):
+        assert np.frombuffer(raw, coder.kind).tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
+def brute_tokens(rows):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(llm.tokenizer_path())
+    lib.encode_special_tokens = True
+    out, start = [], 0
+    for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*lib.encode(text or "", add_special_tokens=False).ids, llm.END_ID]
+        out.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_token_files(spark, odd, none):
+    got = sorted(tuple(r) for r in llm.op2_rans_token_files(spark, SF001).collect())
+    assert got == brute_tokens(text_rows(documents(spark)))
+    odd_got = [tuple(r) for r in token_rans.encode_documents(odd, llm.tokenizer_path(), llm.END_ID).select("doc_id", "start", "n_tokens", "ids_crc32").collect()]
+    want = brute_tokens(text_rows(odd))
+    assert sorted((r[0] or -1, *r[2:]) for r in odd_got) == sorted((r[0] or -1, *r[2:]) for r in want)
+    by_start = sorted(odd_got, key=lambda r: r[1])
+    assert [r[1] for r in by_start] == [sum(x[2] for x in by_start[:i]) for i in range(len(by_start))]
+    assert [r[0] for r in by_start if r[0] is not None] == sorted(r[0] for r in want if r[0] is not None)
+    assert token_rans.encode_documents(none, llm.tokenizer_path(), llm.END_ID).count() == 0
+
+
+# ---------------------------------------------------------------- 3 SimHash
+
+def brute_fingerprint(text):
+    ws = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    sh = [" ".join(ws[i:i + 3]) for i in range(len(ws) - 2)] or ([" ".join(ws)] if ws else [])
+    hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in hs) > len(hs))
+
+
+def brute_components(nodes, linked):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in linked:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def brute_simhash(rows):
+    fps = [brute_fingerprint(t) for _, t in rows]
+    distinct = sorted(set(fps))
+    root = brute_components(distinct, [(a, b) for i, a in enumerate(distinct) for b in distinct[:i] if (a ^ b).bit_count() <= 2])
+    first = defaultdict(list)
+    for (d, _), f in zip(rows, fps, strict=True):
+        first[root[f]].append(d)
+    least = {k: min([d for d in v if d is not None], default=None) for k, v in first.items()}
+    return sorted([(d, f"{f:016x}", least[root[f]]) for (d, _), f in zip(rows, fps, strict=True)], key=str)
+
+
+def test_simhash_groups(spark, odd, none):
+    got = sorted((tuple(r) for r in llm.op3_bit_sliced_simhash(spark, SF001).collect()), key=str)
+    assert got == brute_simhash(text_rows(documents(spark)))
+    got = simhash_bits.simhash_groups(odd).select("doc_id", "fingerprint", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == brute_simhash(text_rows(odd))
+    assert simhash_bits.simhash_groups(none).count() == 0
+    kept = simhash_bits.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert kept.count() == len({c for _, _, c in brute_simhash(text_rows(odd)) if c is not None}) + 1   # and one group of a null id only
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert ids.count(1) == 1 and 2 not in ids and 5 not in ids and 6 not in ids and 4 in ids
+
+
+def test_bit_sliced_links_and_large_buckets(spark):
+    rng = np.random.default_rng(7)
+    centre = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    values = [int(c) for c in centre]
+    for c in centre.tolist():
+        for _ in range(12):
+            v = c
+            for b in rng.choice(64, rng.integers(1, 4), replace=False):
+                v ^= 1 << int(b)
+            values.append(v)
+    values = sorted(set(values))
+    want = brute_components(values, [(a, b) for i, a in enumerate(values) for b in values[:i] if (a ^ b).bit_count() <= 2])
+    for bucket in (4096, 2):   # compared in buckets, and through shared neighbours
+        df = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp long")
+        links = [(r["a"] & (2**64 - 1), r["b"] & (2**64 - 1)) for r in simhash_bits.fingerprint_links(df, bucket=bucket).collect()]
+        assert all((a ^ b).bit_count() <= 4 for a, b in links)
+        assert brute_components(values, links) == want
+    one = np.array(values, np.uint64)
+    pairs = simhash_bits.bit_sliced_links(one, np.zeros(len(one), np.int64), lanes=64)
+    assert brute_components(values, [(values[i], values[j]) for i, j in pairs.tolist()]) == want
+    assert all((values[i] ^ values[j]).bit_count() <= 2 for i, j in pairs.tolist())
+
+
+def test_components_of_long_chain(spark):
+    chain = [(i, i + 1) for i in range(1, 200)] + [(1000, 1001), (1001, 999), (5000, 5000)]
+    random.Random(1).shuffle(chain)
+    got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 201)}, 999: 999, 1000: 999, 1001: 999}
+
+
+# ---------------------------------------------------------------- 4 personal data
+
+def brute_spans(text):
+    text = text or ""
+    found = [(m.start(), "email", m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [(m.start(), "ip", m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub(r"\D", "", m[0])
+        if 14 <= len(d) <= 19 and sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0:
+            found.append((m.start(), "card", m.end()))
+    found += [(m.start(), "phone", m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= len(re.sub(r"\D", "", m[0])) <= 15]
+    return sorted(found, key=lambda x: (x[0], pii_transducer.KINDS.index(x[1])))
+
+
+def test_plain_spans_equal_the_patterns():
+    rng = random.Random(11)
+    for _ in range(4000):
+        text = "".join(rng.choice(["a", "b.", "@", "1", "25", ".", "-", " ", "+", "(", "4111", "x@y.z", "_", "é", "1.2.3.4"]) for _ in range(rng.randint(0, 40)))
+        assert pii_transducer.find_spans(text) == brute_spans(text), text
+
+
+@pytest.mark.parametrize(("text", "kind", "part"), [
+    ("mail john.doe [at] example [dot] com now", "email", "john.doe [at] example [dot] com"),
+    ("écrire à anna at mail dot example dot org merci", "email", "anna at mail dot example dot org"),
+    ("joe(at)example(dot)com", "email", "joe(at)example(dot)com"),
+    ("jоe@exаmple.com", "email", "jоe@exаmple.com"),
+    ("call plus one four one five five five five one two one two now", "phone", "plus one four one five five five five one two one two"),
+    ("+1 (４１５) 555-2671", "phone", "+1 (４１５) 555-2671"),
+    ("ip one nine two dot one six eight dot one dot one end", "ip", "one nine two dot one six eight dot one dot one"),
+    ("192 dot 168 dot 1 dot 20", "ip", "192 dot 168 dot 1 dot 20"),
+    ("card four two four two four two four two four two four two four two four two ok", "card", " ".join(["four two"] * 8)),
+])
+def test_disguises_map_back_to_the_source(text, kind, part):
+    base, more = pii_transducer.detect(text)
+    assert not base and [(k, text[a:b]) for a, k, b in more] == [(kind, part)]
+
+
+def test_clean_prose_stays_clean():
+    for text in ("We look at one of the two dots at home.", "meet at noon dot. One two three go", "a (dot) on the map", "at the point of the plan", "1 2 3 4 5"):
+        assert pii_transducer.detect(text) == ([], [])
+
+
+def test_pii_query(spark, odd, none):
+    got = {r["doc_id"]: r for r in llm.op4_deobfuscated_pii(spark, SF01).collect()}
+    for d, text in text_rows(documents(spark, SF01)):
+        spans = brute_spans(text)
+        said = ",".join(f"{k}:{a}:{b}" for a, k, b in spans)
+        assert got[d]["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+        assert set(said.split(",")) - {""} <= set(got[d]["spans"].split(","))
+        assert got[d]["n_email"] >= sum(k == "email" for _, k, _ in spans)
+    assert pii_transducer.find_personal_data(odd).count() == odd.count() and pii_transducer.find_personal_data(none).count() == 0
+    assert pii_transducer.mask("x a@b.cc y", [(2, "email", 8)]) == "x [email] y"
+
+
+# ---------------------------------------------------------------- 5 language, 6 quality
+
+def test_language_held_out(spark, odd, none):
+    got = {r["doc_id"]: r for r in llm.op5_word_backoff_language(spark, SF01).collect()}
+    rows = documents(spark, SF01).collect()
+    held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    assert {r["doc_id"] for r in got.values() if r["held_out"]} == {r["doc_id"] for r in held}
+    assert np.mean([got[r["doc_id"]]["lang_pred"] == r["lang"] for r in held]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    model = lang_backoff.learn(odd)
+    out = [tuple(r) for r in lang_backoff.identify(odd, model).select("doc_id", "lang_pred", "score").collect()]
+    assert len(out) == odd.count()
+    assert {(d, p, s) for d, p, s in out if d in (4, 5, 6)} == {(d, "und", 0.0) for d in (4, 5, 6)}
+    nothing = lang_backoff.learn(none)
+    assert {r["lang_pred"] for r in lang_backoff.identify(odd, nothing).collect()} == {"und"}
+    assert lang_backoff.identify(none, model).count() == 0
+    assert lang_backoff.drop_unidentified(odd, model).columns == odd.columns
+
+
+def test_backoff_takes_the_longest_known_grams():
+    model = lang_backoff.Model(["x", "y"], {"word": [-1.0, -5.0]}, [{"a": [-2.0, -3.0]}, {"<a": [-9.0, -1.0]}, {}, {}])
+    assert model.predict("word")[0] == "x" and model.predict("ab")[0] == "y" and model.predict("ba")[0] == "x"
+    assert model.predict("zz") == ("x", 0.5) and model.predict("12 ²") == ("und", 0.0) and model.predict(None) == ("und", 0.0)
+
+
+def test_quality_held_out(spark, odd, none):
+    got = {r["doc_id"]: r for r in llm.op6_rff_quality(spark, SF01).collect()}
+    y = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
+    assert len(got) == documents(spark, SF01).count()
+    held = [d for d in y if zlib.crc32(str(d).encode()) % 5 == 0]
+    assert all(got[d]["held_out"] for d in held)
+    assert np.mean([got[d]["predicted"] == y[d] for d in held]) > 0.93
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in got.values())
+    measured = quality_rff.measure(odd)
+    labels = spark.createDataFrame([(1, 1), (2, 1), (2, 0), (None, 1), (100, 0), (101, None)], "doc_id long, quality int")
+    model = quality_rff.fit(measured, labels)
+    assert quality_rff.score(measured, model).count() == odd.count()
+    assert {r["score"] for r in quality_rff.score(measured, quality_rff.fit(measured, labels.limit(0))).collect()} == {0.5}
+    assert quality_rff.score(quality_rff.measure(none), model).count() == 0
+    assert len(quality_rff.statistics(b"")) == len(quality_rff.statistics(b"a b")) == len(quality_rff.STATS)
+
+
+def test_isotonic_pools_violators():
+    fit = quality_rff.pool_adjacent(np.array([0.0, 3.0, 1.0, 4.0]), np.array([2.0, 3.0, 3.0, 4.0]))
+    assert np.allclose(fit, [0, 4 / 6, 4 / 6, 1])
+
+
+# ---------------------------------------------------------------- 7 sharding
+
+def check_shards(rows, n_docs, shards=24):
+    by = defaultdict(list)
+    for shard, slot in rows:
+        by[shard].append(slot)
+    assert sum(map(len, by.values())) == n_docs
+    sizes = [len(by[s]) for s in range(shards)]
+    assert max(sizes) - min(sizes) <= 1 and all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
+def test_shards(spark, odd, none):
+    docs = documents(spark, SF01)
+    got = llm.op7_hypergeometric_shards(spark, SF01).collect()
+    check_shards([(r["shard"], r["slot"]) for r in got], docs.count())
+    want = {d: (len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in text_rows(docs)}
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in got} == want
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, llm.op7_hypergeometric_shards(spark, SF01).collect()), key=str)
+    r = np.corrcoef([x["doc_id"] for x in got], [x["shard"] for x in got])[0, 1]
+    assert abs(r) < 0.15   # neighbours don't stay together
+    out = hyper_shuffle.attach_shards(odd, 5)
+    assert sorted(out.columns) == sorted({*odd.columns, "slot"})
+    check_shards([(x["shard"], x["slot"]) for x in out.collect()], odd.count(), 5)
+    check_shards([(x["shard"], x["slot"]) for x in hyper_shuffle.shuffle_shards(odd.select("doc_id"), 4, ["doc_id"], block_rows=3).collect()], odd.count(), 4)
+    assert hyper_shuffle.attach_shards(none, 5).count() == 0
+
+
+def test_matrix_has_exact_margins_and_is_uniform():
+    m = hyper_shuffle.draw_matrix([5, 0, 700, 12], [240, 239, 238], 3)
+    assert m.sum(1).tolist() == [5, 0, 700, 12] and m.sum(0).tolist() == [240, 239, 238]
+    firsts = np.mean([hyper_shuffle.draw_matrix([10, 30], [20, 20], s)[0, 0] for s in range(400)])
+    assert abs(firsts - 5) < 0.3
+
+
+# ---------------------------------------------------------------- 8 repeated bytes
+
+def brute_cut(rows, k=100):
+    seen, out = set(), []
+    for d, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        raw = (text or "").encode()
+        gone = np.zeros(len(raw) + 1, bool)
+        for p in range(len(raw) - k + 1):
+            s = raw[p:p + k]
+            if s in seen:
+                gone[p:p + k] = True
+            seen.add(s)
+        kept = bytes(np.frombuffer(raw, np.uint8)[~gone[:-1]])
+        spans = int((gone[:-1] & ~np.concatenate([[False], gone[:-2]])[:len(raw)]).sum()) if len(raw) else 0
+        out.append((d, len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_prefix_doubling(spark, odd, none):
+    got = sorted((tuple(r) for r in llm.op8_prefix_doubling(spark, SF001).collect()), key=str)
+    want = brute_cut(text_rows(documents(spark)))
+    assert got == want and sum(r[2] for r in want) > 0
+
+    def cuts(df, **options):
+        return sorted([(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest())
+                       for r in suffix_doubling.remove_repeats(df, **options).collect()], key=str)
+
+    want = brute_cut(text_rows(odd))
+    assert cuts(odd) == want and sum(r[2] for r in want) > 0
+    assert cuts(odd.select("doc_id", F.col("text")), threshold=20, rounds=(8, 16)) == brute_cut(text_rows(odd), 20)
+    assert suffix_doubling.remove_repeats(none).count() == 0
+
+
+def test_runs_of_pieces_agree(monkeypatch):
+    """Runs of long texts are found piece by piece; every window is in one run, equal windows in runs of equal rank."""
+    rng = random.Random(2)
+    text = np.frombuffer((words(rng, 3000) * 2).encode(), np.uint8)
+    monkeypatch.setattr(suffix_doubling, "_CHUNK", 2000)
+    monkeypatch.setattr(suffix_doubling, "_PIECE", 1000)
+    seg, lo, hi, rank, _ = suffix_doubling.find_runs(text, np.array([0, len(text)]), 32)
+    assert (np.concatenate([np.arange(a, b + 1) for a, b in zip(lo, hi, strict=True)]) == np.arange(len(text) - 99)).all()
+    of = np.repeat(rank, hi - lo + 1)
+    half = len(text) // 2
+    assert (of[:half - 99] == of[half:]).all()
+
+
+# ---------------------------------------------------------------- 9 embeddings
+
+def brute_links(rows, cosine=0.98):
+    n, links = len(rows), []
+    for i, (_, v, lab) in enumerate(rows):
+        for j in range(i):
+            _, w, other = rows[j]
+            if lab is None or lab != other or not v or not w or len(v) != len(w):
+                continue
+            if any(x is None or not np.isfinite(x) for x in [*v, *w]) or not any(v) or not any(w):
+                continue
+            a, b = np.array(v, float), np.array(w, float)
+            if a @ b / np.sqrt((a @ a) * (b @ b)) >= cosine:
+                links.append((j, i))
+    root = brute_components(list(range(n)), links)
+    least = defaultdict(list)
+    for i in range(n):
+        least[root[i]].append(rows[i][0])
+    count = [0] * n
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+    comp = [min([x for x in least[root[i]] if x is not None], default=None) for i in range(n)]
+    return sorted([(rows[i][0], count[i], comp[i], rows[i][0] is not None and rows[i][0] == comp[i]) for i in range(n)], key=str)
+
+
+def test_near_vectors(spark):
+    rng = np.random.default_rng(4)
+    rows, k = [], 0
+    for c in range(12):
+        centre = rng.standard_normal(16)
+        for _ in range(25):
+            v = centre + rng.standard_normal(16) * rng.choice([0.02, 0.1])
+            rows.append((k, [float(x) for x in v.astype(np.float32)], int(c % 3)))
+            k += 1
+    same = rows[0][1]
+    inf, nan = float("inf"), float("nan")
+    rows += [(900 + i, same, 0) for i in range(30)] + [(950, [2 * x for x in same], 0), (951, same, 1), (952, same, None), (953, None, 0), (954, [], 0),
+             (955, [0.0] * 16, 0), (956, [*same[:-1], None], 0), (957, [*same[:-1], nan], 0), (958, [*same[:-1], inf], 0), (959, same[:8], 0), (900, same, 0), (None, same, 0)]
+    schema = "vec_id long, embedding array<float>, label int, uid long, rep string, n int"
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], schema)
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()]
+    want = brute_links(rows)
+    for block in (2048, 7):   # whole buckets, and buckets cut into pairs of blocks
+        got = sorted((tuple(r) for r in embed_pstable.near_vectors(df, tables=40, functions=4, block=block).collect()), key=str)
+        assert got == want
+    assert embed_pstable.near_vectors(df.limit(0)).count() == 0
+
+
+def test_recall_on_the_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    got = {r["vec_id"]: r["n_links"] for r in llm.op9_pstable_neighbours(spark, "/root/testdata/sf0.1").collect()}
+    v = np.array([r["embedding"] for r in rows], float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    lab = np.array([r["label"] for r in rows])
+    near = (v @ v.T >= 0.98) & (lab[:, None] == lab[None])
+    np.fill_diagonal(near, False)
+    want = dict(zip([r["vec_id"] for r in rows], near.sum(1).tolist(), strict=True))
+    assert all(got[k] <= want[k] for k in want)
+    assert sum(got.values()) >= 0.95 * sum(want.values())
+
+
+# ---------------------------------------------------------------- 10 mixing
+
+def brute_targets(sizes):
+    """Targets by the iteration of the definition; ``sizes`` by source, None last."""
+    names = sorted([s for s in sizes if s is not None]) + ([None] if None in sizes else [])
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target, rest, left = {}, 1.5 * sum(sizes.values()), list(names)
+    while left:
+        total = sum(weight[s] for s in left)
+        over = [s for s in left if rest * weight[s] / total > 2 * sizes[s]]
+        if not over:
+            target.update({s: rest * weight[s] / total for s in left})
+            break
+        for s in over:
+            target[s] = 2 * sizes[s]
+        rest -= sum(2 * sizes[s] for s in over)
+        left = [s for s in left if s not in over]
+    return target
+
+
+def check_mix(got, rows):
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += size(t)
+    target = brute_targets(sizes)
+    assert sorted([(r["doc_id"], r["size"], r["source_size"]) for r in got], key=str) == sorted([(d, size(t), sizes[s]) for d, t, s in rows], key=str)
+    taken = defaultdict(int)
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"] and r["taken"] == r["copies"] * r["size"]
+        assert abs(r["target"] - target[r["source"]]) < 1e-6 * max(1, target[r["source"]])
+        taken[r["source"]] += r["taken"]
+    return target, taken
+
+
+def test_mix(spark, odd, none):
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in documents(spark, SF01).collect()]
+    got = llm.op10_pivotal_mix(spark, SF01).collect()
+    target, taken = check_mix(got, rows)
+    assert all(abs(taken[s] - t) <= 0.05 * t for s, t in target.items())
+    again = llm.op10_pivotal_mix(spark, SF01).collect()
+    other = pivotal_mix.mix_sources(documents(spark, SF01).repartition(7, "text").select("doc_id", "text", "source"))
+    key = lambda r: (r["doc_id"], r["copies"])
+    assert sorted(map(key, got)) == sorted(map(key, again)) == sorted(map(key, other.collect()))
+    check_mix(pivotal_mix.mix_sources(odd, arity=4).collect(), [(r["doc_id"], r["text"], r["source"]) for r in odd.collect()])
+    assert pivotal_mix.mix_sources(none).count() == 0
+    assert pivotal_mix.apply_mix(odd).columns == odd.columns
+
+
+def test_mix_is_unbiased(spark):
+    """Over many seeds every document is taken at its source's rate."""
+    rows = [(i, "w " * (1 + i % 7), "a") for i in range(30)] + [(100 + i, "w " * 5, "b") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    total, n = defaultdict(float), 12
+    for seed in range(n):
+        got = pivotal_mix.mix_sources(df, seed=seed, arity=8).collect()
+        for r in got:
+            total[r["source"]] += r["copies"] * r["size"] / n
+        for s in "ab":
+            own = [r for r in got if r["source"] == s]
+            assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 8
+    target = {r["source"]: r["target"] for r in got}
+    assert all(abs(total[s] - target[s]) < 3 for s in target)

@@ -28,7 +28,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 
-_UNIT = "struct<uid:bigint,doc_id:bigint,size:bigint,base:int,w:double,p:double>"
+_UNIT = "struct<uid:bigint,h:bigint,doc_id:bigint,size:bigint,base:int,w:double,p:double>"
 _DONE = "struct<uid:bigint,doc_id:bigint,size:bigint,copies:int>"
 
 
@@ -69,7 +69,7 @@ def _uniform(seed: int, *cols: Column) -> Column:
 
 
 def _unit(u: Column, p: Column) -> Column:
-    return F.struct(u["uid"].alias("uid"), u["doc_id"].alias("doc_id"), u["size"].alias("size"), u["base"].alias("base"),
+    return F.struct(u["uid"].alias("uid"), u["h"].alias("h"), u["doc_id"].alias("doc_id"), u["size"].alias("size"), u["base"].alias("base"),
                     u["w"].alias("w"), F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0)).alias("p"))
 
 
@@ -95,7 +95,7 @@ def _fold(units: Column, seed: int) -> Column:
         room_a, has_a = (1 - a["p"]) * a["w"], a["p"] * a["w"]
         room_b, has_b = (1 - b["p"]) * b["w"], b["p"] * b["w"]
         up, down = F.least(room_a, has_b), F.least(has_a, room_b)
-        to_a = _uniform(seed, a["uid"], b["uid"]) * (up + down) < down
+        to_a = _uniform(seed, a["h"], b["h"]) * (up + down) < down
         a_settles = F.when(to_a, room_a <= has_b).otherwise(has_a <= room_b)
         rest_b = F.when(to_a, has_b - room_a).otherwise(has_b + has_a) / b["w"]
         rest_a = F.when(to_a, has_a + has_b).otherwise(has_a - room_b) / a["w"]
@@ -171,7 +171,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     total = placed.count()
     ranked = placed.join(parts, "_part").withColumn("_pos", F.col("_ahead") + F.col("_row"))
     base_copies = F.floor("_rate").cast("int")
-    ranked = stage(ranked.select("_src", "_stratum", "_pos", "uid", "doc_id", "size", base_copies.alias("base"),
+    ranked = stage(ranked.select("_src", "_stratum", "_pos", "uid", F.col("_h").alias("h"), "doc_id", "size", base_copies.alias("base"),
                                  (F.col("_rate") - base_copies).alias("_p")))
     words = ranked.groupBy("_src", "_stratum").agg(F.sum("size").alias("_words"))
 
@@ -183,12 +183,12 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
         p = F.col("_p") + F.coalesce("_shift", F.lit(0.0))
         units = (ranked.where(F.col("_stratum") == k).join(shift, "_src", "left")
                  .select("_src", "_pos", F.col("_pos").alias("_pos0"),
-                         F.struct("uid", "doc_id", "size", "base", F.col("size").cast("double").alias("w"),
+                         F.struct("uid", "h", "doc_id", "size", "base", F.col("size").cast("double").alias("w"),
                                   F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0)).alias("p")).alias("unit")))
         settled, last = _tree(units, total, arity, seed + 100 * k)
         ended = stage(last.withColumn("_up", F.when(
             _settled(F.col("unit")), _rounded(F.col("unit"))).otherwise(
-            (_uniform(seed + 7 + k, F.col("unit.uid"), F.col("unit.doc_id")) < F.col("unit.p")).cast("int"))))
+            (_uniform(seed + 7 + k, F.col("unit.h")) < F.col("unit.p")).cast("int"))))
         found += settled
         found.append(ended.select("_src", _done(F.col("unit"), F.col("_up")).alias("d")).select("_src", "d.*"))
         off = ended.select("_src", ((F.col("unit.p") - F.col("_up")) * F.col("unit.w")).alias("_off"))
