@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajlake.llm.shared import stage, with_uid
+from trajlake.llm.shared import free_name, stage, with_uid
 
 #: Rows that one block of a shard holds at the most on average while slots are dealt.
 BLOCK_ROWS = 200_000
@@ -132,7 +132,9 @@ def attach_shards(docs: DataFrame, n_shards: int, seed: int = 17) -> DataFrame:
 
     ``docs`` has to be a table scan, as rows are matched by their place in it.
     """
-    whole = with_uid(docs.drop("shard", "slot"), "_doc_uid")
+    docs = docs.drop("shard", "slot")
+    uid = free_name(docs, "_doc_uid")
+    whole = with_uid(docs, uid)
     digest = F.xxhash64(F.col("doc_id"), F.col("text"))
-    dealt = shuffle_shards(whole.select("_doc_uid", digest.alias("_digest")), n_shards, ["_digest"], seed)
-    return whole.join(dealt.select("_doc_uid", "shard", "slot"), "_doc_uid").drop("_doc_uid")
+    dealt = shuffle_shards(whole.select(F.col(uid).alias("_doc_uid"), digest.alias("_digest")), n_shards, ["_digest"], seed)
+    return whole.join(dealt.select(F.col("_doc_uid").alias(uid), "shard", "slot"), uid).drop(uid)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajlake.llm.shared import WORD, stage, with_uid
+from trajlake.llm.shared import WORD, free_name, stage, with_uid
 
 #: Units that meet in one task of the tree; also the bound of every collected list.
 ARITY = 64
@@ -211,6 +211,7 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
 
     ``docs`` has to be a table scan, as rows are matched by their place in it.
     """
-    mixed = mix_sources(docs, **options).where("copies > 0").select(F.col("uid").alias("_uid"), F.col("copies").alias("_copies"))
-    return (with_uid(docs, "_uid").join(mixed, "_uid")
-            .withColumn("_again", F.explode(F.expr("sequence(1, _copies)"))).drop("_uid", "_copies", "_again"))
+    uid, copies, again = (free_name(docs, n) for n in ("_uid", "_copies", "_again"))
+    mixed = mix_sources(docs, **options).where("copies > 0").select(F.col("uid").alias(uid), F.col("copies").alias(copies))
+    return (with_uid(docs, uid).join(mixed, uid)
+            .withColumn(again, F.explode(F.sequence(F.lit(1), F.col(copies)))).drop(uid, copies, again))

@@ -31,6 +31,14 @@ def with_uid(df: DataFrame, name: str = "uid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; a scratch one only where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.llm.components import connected_components
-from trajlake.llm.shared import stage, text_arrays, with_uid
+from trajlake.llm.shared import free_name, stage, text_arrays, with_uid
 
 BITS = 64
 SHINGLE = 3
@@ -219,4 +219,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     """
     groups = simhash_groups(docs, shingle, radius)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("first"))
-    return with_uid(docs, "_uid").join(first.select(F.col("first.uid").alias("_uid")), "_uid", "left_semi").drop("_uid")
+    uid = free_name(docs, "_uid")
+    return with_uid(docs, uid).join(first.select(F.col("first.uid").alias(uid)), uid, "left_semi").drop(uid)
