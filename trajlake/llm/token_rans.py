@@ -18,6 +18,7 @@ since its checkpoint holds the states with which its decoder begins.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -25,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -155,10 +155,11 @@ def decode_block(payload: bytes, table: Table, segments: list[int] | None = None
 
 # ---------------------------------------------------------------- tokenizing
 
-# The pre-tokenizer's pattern of the 49k vocabulary.
-_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The pre-tokenizer's pattern of the 49k vocabulary, over lower-cased text in the plain ranges below.
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
+_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\x09-\x0d {_LETTERS}{_NUMBERS}]+"
 # Texts in these ranges are the same before and after NFC, and lower-casing them is per character.
-_PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7e\xa1-įı-ɏ‐-‧‰-⁞]*+")
+_NOT_PLAIN = re.compile(r"[^\x09-\x0d\x20-\x7e\xa1-įı-ɏ‐-‧‰-⁞]")
 _state: dict = {}
 
 
@@ -185,7 +186,7 @@ class WordCoder:
         normal = str(type(self.tok.normalizer).__name__), str(type(self.tok.pre_tokenizer).__name__)
         spec = self.tok.to_str()
         self.by_word = normal == ("Sequence", "Sequence") and "[\\\\p{L}]+|[\\\\p{N}]|" in spec and '"end_of_word_suffix":"</w>"' in spec
-        self.pieces = regex.compile(_PIECES)
+        self.pieces = re.compile(_PIECES)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -210,13 +211,13 @@ class WordCoder:
             return [np.asarray(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         out = []
         for text in texts:
-            if not _PLAIN.fullmatch(text):
+            if _NOT_PLAIN.search(text):
                 out.append(self._raw(text))
                 continue
             words = self.pieces.findall(text.lower())
             new, old = self.new, self.old
             try:
-                out.append(b"".join([new[w] for w in words]))
+                out.append(b"".join(map(new.__getitem__, words)))
                 continue
             except KeyError:
                 pass
@@ -232,7 +233,7 @@ class WordCoder:
                         missing.append(w)
             if missing:
                 self._learn(missing)
-            out.append(b"".join([new[w] for w in words]))
+            out.append(b"".join(map(new.__getitem__, words)))
         return out
 
 
