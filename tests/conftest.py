@@ -10,7 +10,8 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from trajlake.session import get_session
-    s = get_session(cpus="*", shuffle_partitions=8)
+    # one machine: a scratch folder is shared
+    s = get_session(cpus="*", shuffle_partitions=8, checkpoint=str(tmp_path_factory.mktemp("checkpoints")))
     yield s

@@ -50,7 +50,7 @@ def _sequential(rows, e0=None):
     return out
 
 
-@pytest.mark.parametrize("seed,chunk", [(1, 10_000), (2, 997), (3, 10**12), (4, None), (5, "auto")])
+@pytest.mark.parametrize("seed,chunk", [(1, 10_000), (2, 997), (3, 10**12), (4, None)])
 def test_timeline_matches_sequential_loop(spark, seed, chunk):
     rows = _random_log(seed)
     df = spark.createDataFrame(rows, SCHEMA)
@@ -167,15 +167,6 @@ def test_idle_exit_loop(spark):
         assert got[c] == want
 
 
-def test_auto_chunk_decision(spark):
-    from trajlake.functions.timecols import auto_chunk_us
-    small = spark.createDataFrame([("r", i * 10) for i in range(100)], "robot string, ts_us long")
-    assert auto_chunk_us(small, ["robot"], "ts_us") is None                 # no large key: plain windows
-    big = spark.range(600_000).select(F.lit("hot").alias("robot"), (F.col("id") * 1000).alias("ts_us"))
-    w = auto_chunk_us(big, ["robot"], "ts_us", target_rows=100_000)
-    assert 90_000_000 <= w <= 110_000_000                                    # ~100k rows per chunk
-
-
 def test_segments_and_backlog_unchunked(spark):
     rows = _random_log(8, robots=("r0",), n=50)
     df = spark.createDataFrame(rows, SCHEMA)

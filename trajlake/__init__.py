@@ -6,6 +6,6 @@ Time is carried as ``bigint`` microseconds (columns named ``*_us``) so that
 sums of periods are exact and independent of the session time zone.
 """
 
-from trajlake.session import get_session, checkpoint_dir
+from trajlake.session import get_session
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = ["get_session"]

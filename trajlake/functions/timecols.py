@@ -32,32 +32,3 @@ def time_chunk(us: Column | str, chunk_us: int) -> Column:
     bounded pieces for the chunked scans in ``operators.scans``."""
     c = F.col(us) if isinstance(us, str) else us
     return F.floor(c / F.lit(int(chunk_us))).cast("bigint")
-
-
-def auto_chunk_us(df: DataFrame, keys: Sequence[str], ts: str, target_rows: int = 250_000,
-                  min_us: int = 1_000) -> int | None:
-    """Chunk width for the scans, chosen from the data (chunking behind a check).
-
-    One aggregate pass over the key and time columns (map-side partial
-    aggregation; the driver receives two numbers): the largest key's row
-    count and the densest key's rate. If no key has more than
-    ``target_rows`` rows, returns None: plain per-key windows suffice and
-    the chunk summaries are skipped. Otherwise returns the width that gives
-    the densest key about ``target_rows`` rows per chunk.
-    """
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                  (F.max(ts) - F.min(ts) + 1).alias("__span"))
-    row = stats.select(F.max("__n").alias("n"), F.max(F.col("__n") / F.col("__span")).alias("r")).first()
-    if row["n"] is None or row["n"] <= target_rows:
-        return None
-    return max(int(min_us), int(target_rows / row["r"]))
-
-
-def resolve_chunk(df: DataFrame, keys: Sequence[str], ts: str, chunk_us: int | str | None) -> int | None:
-    """``"auto"`` -> ``auto_chunk_us``; an int or None passes through (None = no chunking)."""
-    return auto_chunk_us(df, keys, ts) if chunk_us == "auto" else chunk_us
-
-
-def chunk_col(us: Column | str, chunk_us: int | None) -> Column:
-    """``time_chunk`` or a constant when not chunking."""
-    return F.lit(0).cast("bigint") if chunk_us is None else time_chunk(us, chunk_us)

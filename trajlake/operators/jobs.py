@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.functions.timecols import resolve_chunk
 from trajlake.operators.scans import chunked_carry_last, chunked_running_sum, with_chunk
 from trajlake.schemas import (ACTIVE_STATUSES, DEFAULT_IDLE_POLLS, DEFAULT_JOB_LIMIT_S, RC_EXCEPTION, RC_FAILURE,
                               RC_SUCCESS, RC_TIMEOUT, TERMINAL_STATUSES)
@@ -20,11 +19,16 @@ from trajlake.schemas import (ACTIVE_STATUSES, DEFAULT_IDLE_POLLS, DEFAULT_JOB_L
 HOUR_US = 3_600_000_000
 
 
+def _turn(polls: DataFrame, ts: str) -> Column:
+    """Order of polls: by time, then by ``poll_id`` where there is one."""
+    return F.struct(F.col(ts), F.col("poll_id")) if "poll_id" in polls.columns else F.struct(F.col(ts))
+
+
 def latest_job_status(polls: DataFrame, ts: str = "poll_ts_us") -> DataFrame:
     """A3: last polled status and device per job (records without a status are skipped)."""
     p = polls.filter(F.col("status").isNotNull())
     last = F.max_by(F.struct(F.col("status"), F.col("device.robot_id").alias("robot_id"), F.col(ts).alias("ts")),
-                    F.col(ts))
+                    _turn(polls, ts))
     return (p.groupBy("job_id").agg(last.alias("__l"), F.count(F.lit(1)).alias("n_polls"))
             .select("job_id", F.col("__l.status").alias("status"), F.col("__l.robot_id").alias("robot_id"),
                     F.col("__l.ts").alias("last_poll_us"), "n_polls"))
@@ -51,7 +55,7 @@ def collection_rollup(collections: DataFrame) -> DataFrame:
 
 
 def idle_exit(rollup: DataFrame, n: int = DEFAULT_IDLE_POLLS, ts: str = "poll_ts_us",
-              chunk_us: int | str | None = HOUR_US) -> DataFrame:
+              chunk_us: int | None = HOUR_US) -> DataFrame:
     """Per collection, the first poll at which ``n`` consecutive polls were idle.
 
     Run length at a poll = idle polls so far minus idle polls so far at the
@@ -61,7 +65,7 @@ def idle_exit(rollup: DataFrame, n: int = DEFAULT_IDLE_POLLS, ts: str = "poll_ts
     """
     order = [ts, "poll_id"]
     df = rollup.select("collection_id", "poll_id", ts, F.col("is_idle").cast("int").alias("__idle"))
-    df, ch = with_chunk(df, ts, resolve_chunk(df, ["collection_id"], ts, chunk_us))
+    df, ch = with_chunk(df, ts, chunk_us)
     df = chunked_running_sum(df, ["collection_id"], ch, order, "__idle", "__c")
     df = df.withColumn("__reset", F.when(F.col("__idle") == 0, F.col("__c")))
     df = chunked_carry_last(df, ["collection_id"], ch, order, "__reset", "__l")
@@ -98,7 +102,7 @@ def await_running_outcome(polls: DataFrame, starts: DataFrame, timeout_s: float
     decisive = F.col("poll_error") | (F.col("status").isNotNull() & (F.col("status") != "prepare"))
     first = (p.filter(decisive).groupBy("job_id")
              .agg(F.min_by(F.struct(F.col("poll_error").alias("err"), F.col("status").alias("st"),
-                                    F.col(ts).alias("t")), F.col(ts)).alias("__f")))
+                                    F.col(ts).alias("t")), _turn(polls, ts)).alias("__f")))
     out = starts.select("job_id", "start_us").join(first, "job_id", "left")
     code = (F.when(F.col("__f").isNull(), F.lit(RC_TIMEOUT))
             .when(F.col("__f.err"), F.lit(RC_EXCEPTION))
@@ -115,14 +119,15 @@ def await_running_outcome(polls: DataFrame, starts: DataFrame, timeout_s: float
 def skip_reason(state: Column | str = "state", pending: Column | str = "pending_actions",
                 state_ts: Column | str = "state_ts_us") -> Column:
     """Why an observation is not used for inference, first of
-    ``no_state``, ``size_none``, ``not_normal``, ``pending``; null when usable."""
+    ``no_state``, ``size_none``, ``not_normal``, ``pending`` (also when the count is
+    null, which differs from 0); null when usable."""
     s = F.col(state) if isinstance(state, str) else state
     p = F.col(pending) if isinstance(pending, str) else pending
     t = F.col(state_ts) if isinstance(state_ts, str) else state_ts
     return (F.when(s.isNull() & t.isNull(), F.lit("no_state"))
             .when(s == "size_none", F.lit("size_none"))
             .when(s.isNull() | (s != "normal"), F.lit("not_normal"))   # present but no state: not normal
-            .when(F.coalesce(p, F.lit(0)) != 0, F.lit("pending")))
+            .when(p.isNull() | (p != 0), F.lit("pending")))
 
 
 def actionable_observations(obs: DataFrame) -> DataFrame:
@@ -136,8 +141,8 @@ def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = D
 
     A run exists when the job was ``ready`` and the start succeeded
     (``starts(job_id, start_us, start_ok)``). Each later poll is one loop
-    turn, checked in this order: failed poll or missing status -> end
-    ``exception``; status not running -> end ``not_running``; no observation ->
+    turn, checked in this order: failed poll, missing status or missing device
+    key (``has_device`` false; a null device is not missing) -> end ``exception``; status not running -> end ``not_running``; no observation ->
     skip; ``size_none`` -> end ``exception`` (the client calls a method it
     lacks); not normal / pending -> skip; else one inference, then end
     ``max_wait`` if more than ``max_wait_s`` passed since the start (tested
@@ -148,7 +153,8 @@ def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = D
     it = run_log.join(runs, "job_id").filter(F.col(ts) > F.col("start_us"))
     skip = skip_reason()
     infer = skip.isNull()
-    end = (F.when(F.col("poll_error") | F.col("status").isNull(), F.lit("exception"))
+    no_device = ~F.col("has_device") if "has_device" in run_log.columns else F.lit(False)
+    end = (F.when(F.col("poll_error") | F.col("status").isNull() | no_device, F.lit("exception"))
            .when(F.col("status") != "running", F.lit("not_running"))
            .when(skip == "size_none", F.lit("exception"))
            .when(infer & (F.col(ts) - F.col("start_us") > lim), F.lit("max_wait")))
@@ -159,8 +165,8 @@ def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = D
           .withColumn("__skip", F.when(open_or_wait, skip))
           .withColumn("__infer", (F.col("__end").isNull() & infer) | (F.col("__end") == "max_wait")))
     ends = (it.filter(F.col("__end").isNotNull()).groupBy("job_id")
-            .agg(F.min_by(F.struct(F.col(ts).alias("t"), F.col("__end").alias("r")), F.col(ts)).alias("__e")))
-    it = it.join(ends, "job_id", "left").filter(F.col("__e").isNull() | (F.col(ts) <= F.col("__e.t")))
+            .agg(F.min_by(F.struct(F.col(ts).alias("t"), F.col("__end").alias("r"), _turn(run_log, ts).alias("turn")), _turn(run_log, ts)).alias("__e")))
+    it = it.join(ends, "job_id", "left").filter(F.col("__e").isNull() | (_turn(run_log, ts) <= F.col("__e.turn")))
     agg = it.groupBy("job_id").agg(
         F.count(F.lit(1)).alias("n_iterations"),
         F.count_if(F.col("__infer")).alias("n_inferences"),
@@ -178,5 +184,5 @@ def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = D
 def first_device_assignment(polls: DataFrame, ts: str = "poll_ts_us") -> DataFrame:
     """First poll that carries ``device.robot_id`` per job."""
     p = polls.filter(F.col("device.robot_id").isNotNull())
-    return (p.groupBy("job_id").agg(F.min_by(F.col("device.robot_id"), F.col(ts)).alias("robot_id"),
+    return (p.groupBy("job_id").agg(F.min_by(F.col("device.robot_id"), _turn(polls, ts)).alias("robot_id"),
                                     F.min(ts).alias("assigned_us")))

@@ -11,10 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.functions.timecols import resolve_chunk
 from trajlake.functions.vectors import array_abs_max, scale_dims
 from trajlake.operators.scans import (chunked_carry_last, chunked_lag_by_key, chunked_prefix,
                                       chunked_queue_timeline, chunked_running_sum, with_chunk)
@@ -25,7 +24,7 @@ QUEUE_ORDER = ("ts_us", "request_id", "seq")
 
 
 def step_velocity(actions: DataFrame, order: Sequence[str] = QUEUE_ORDER,
-                  chunk_us: int | str | None = HOUR_US) -> DataFrame:
+                  chunk_us: int | None = HOUR_US) -> DataFrame:
     """Per ``(robot, arm)`` in queue order, ``(cur - last) / duration`` per dimension.
 
     The first action of a ``(robot, arm)`` compares with zeros of its own
@@ -33,7 +32,6 @@ def step_velocity(actions: DataFrame, order: Sequence[str] = QUEUE_ORDER,
     ``shape_mismatch`` (the reference raises and keeps the nominal period).
     Adds ``velocity``, ``max_abs`` (all dims) and ``max_abs_no_gripper``.
     """
-    chunk_us = resolve_chunk(actions, ["robot"], order[0], chunk_us)
     df, ch = with_chunk(actions, order[0], chunk_us)
     # shuffled once on (robot, chunk); the chunk column is kept so that the
     # queue timeline over the same rows reuses this partitioning
@@ -66,7 +64,7 @@ def retime_actions(velocities: DataFrame, velocity_limit: float = DEFAULT_VELOCI
 
 def execution_timeline(actions: DataFrame, keys: Sequence[str] = ("robot",), order: Sequence[str] = QUEUE_ORDER,
                        arrival: str = "ts_us", period: str = "period_us", start: str | None = None,
-                       chunk_us: int | str | None = HOUR_US) -> DataFrame:
+                       chunk_us: int | None = HOUR_US) -> DataFrame:
     """Dequeue time ``g_us``, end ``e_us`` and the overrun flag per action.
 
     The worker's clock starts before its blocking get, so waiting counts
@@ -74,9 +72,7 @@ def execution_timeline(actions: DataFrame, keys: Sequence[str] = ("robot",), ord
     ``overrun`` marks iterations that did not sleep (``g - e_prev >= p``), which
     includes every action that found the worker idle. Also ``wait_us`` (queue
     wait), ``busy_us`` (``e - g``) and ``gap_us`` (``g - e_prev``).
-    ``chunk_us="auto"`` sizes the chunks from the densest key (one small extra job).
     """
-    chunk_us = resolve_chunk(actions, list(keys), arrival, chunk_us)
     df, ch = with_chunk(actions, arrival, chunk_us, reuse=(list(keys) == ["robot"] and arrival == order[0]))
     df = chunked_queue_timeline(df, list(keys), ch, list(order), arrival, period, start)
     prev = F.col("prev_end_us")
@@ -89,7 +85,7 @@ def execution_timeline(actions: DataFrame, keys: Sequence[str] = ("robot",), ord
 
 
 def pending_backlog(timeline: DataFrame, observations: DataFrame, key: str = "robot", arrival: str = "ts_us",
-                    obs_time: str = "t_us", chunk_us: int | str | None = HOUR_US) -> DataFrame:
+                    obs_time: str = "t_us", chunk_us: int | None = HOUR_US) -> DataFrame:
     """Queue length seen by each observation = #{actions: a <= t < leave}.
 
     ``leave`` is the dequeue time ``g``; for a ``motion_segments`` timeline an
@@ -104,14 +100,14 @@ def pending_backlog(timeline: DataFrame, observations: DataFrame, key: str = "ro
     deq = timeline.select(F.col(key), leave.alias("__t"), F.lit(-1).alias("__d"))
     obs = observations.withColumn("__t", F.col(obs_time)).withColumn("__d", F.lit(0)).withColumn("__obs", F.lit(True))
     ev = arr.unionByName(deq, allowMissingColumns=True).unionByName(obs, allowMissingColumns=True)
-    ev, ch = with_chunk(ev, "__t", resolve_chunk(ev, [key], "__t", chunk_us))
+    ev, ch = with_chunk(ev, "__t", chunk_us)
     ev = chunked_running_sum(ev, [key], ch, ["__t"], "__d", "pending", range_frame=True)
     return (ev.filter(F.col("__obs")).drop("__t", "__d", "__obs", *([ch] if ch else []))
             .withColumn("pending", F.col("pending").cast("bigint")))
 
 
 def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str] = QUEUE_ORDER,
-                    chunk_us: int | str | None = HOUR_US) -> DataFrame:
+                    chunk_us: int | None = HOUR_US) -> DataFrame:
     """Queue clears cut the action log into segments; actions not dequeued
     before the next clear are ``dropped``.
 
@@ -125,7 +121,6 @@ def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str]
     c = (clears.select("robot", "ts_us").withColumn("__is_clear", F.lit(1)).withColumn("__tag", F.lit(0)))
     ev = a.unionByName(c, allowMissingColumns=True)
     ev_order = [order[0], "__tag", *order[1:]]
-    chunk_us = resolve_chunk(ev, ["robot"], order[0], chunk_us)
     ev, ch = with_chunk(ev, order[0], chunk_us)
     # Clears come in time order, so the latest clear so far is the running max
     # of clear times: segment number and start come from one fused scan.
@@ -144,23 +139,29 @@ def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str]
     return tl.withColumn("dropped", F.coalesce(F.col("g_us") >= F.col("next_clear_us"), F.lit(False)))
 
 
+def _queued(commands: DataFrame) -> Column:
+    return F.col("ts_us") if "ts_us" in commands.columns else F.lit(None).cast("bigint")
+
+
 def asof_position(commands: DataFrame, observations: DataFrame, time_col: str = "g_us", obs_time: str = "t_us",
-                  chunk_us: int | str | None = HOUR_US) -> DataFrame:
+                  chunk_us: int | None = HOUR_US) -> DataFrame:
     """Latest commanded position at or before each observation, per ``(robot, arm)``.
 
     ``commands`` carry ``robot, arm, <time_col>, request_id, seq, position``
     (the position becomes current when the worker dequeues it);
     ``observations`` carry ``robot, arm, <obs_time>`` plus their own columns.
+    Commands dequeued at one instant follow the order in which they were
+    queued (``ts_us`` if there is one, then request and sequence number).
     Adds ``cmd_request_id``, ``cmd_seq`` and ``cmd_position`` (null before any command).
     """
     cmd = commands.select("robot", "arm", F.col(time_col).alias("__t"), F.lit(0).alias("__tag"),
-                          F.struct(F.col("request_id").alias("cmd_request_id"), F.col("seq").alias("cmd_seq"),
+                          _queued(commands).alias("__ts"), F.struct(F.col("request_id").alias("cmd_request_id"), F.col("seq").alias("cmd_seq"),
                                    F.col("position").alias("cmd_position")).alias("__cmd"))
-    obs = (observations.withColumn("__t", F.col(obs_time)).withColumn("__tag", F.lit(1))
+    obs = (observations.withColumn("__t", F.col(obs_time)).withColumn("__tag", F.lit(1)).withColumn("__ts", F.lit(None).cast("bigint"))
            .withColumn("__cmd", F.lit(None).cast(cmd.schema["__cmd"].dataType)))
     ev = cmd.unionByName(obs, allowMissingColumns=True)
-    ev, ch = with_chunk(ev, "__t", resolve_chunk(ev, ["robot", "arm"], "__t", chunk_us))
-    ev = chunked_carry_last(ev, ["robot", "arm"], ch, ["__t", "__tag", F.col("__cmd.cmd_request_id"),
+    ev, ch = with_chunk(ev, "__t", chunk_us)
+    ev = chunked_carry_last(ev, ["robot", "arm"], ch, ["__t", "__tag", "__ts", F.col("__cmd.cmd_request_id"),
                                                               F.col("__cmd.cmd_seq")], "__cmd", "__last")
     out = ev.filter(F.col("__tag") == 1)
-    return (out.select("*", "__last.*").drop("__t", "__tag", "__cmd", "__last", *([ch] if ch else [])))
+    return (out.select("*", "__last.*").drop("__t", "__tag", "__ts", "__cmd", "__last", *([ch] if ch else [])))

@@ -18,8 +18,7 @@ that side into a broadcast when its measured size is under the threshold.
 
 Callers guarantee that ``chunk`` is non-decreasing in the order columns.
 ``chunk=None`` skips the second level: plain per-key windows, for data where
-no key is large (see ``functions.timecols.auto_chunk_us``, which decides this
-from one small aggregate).
+no key is large.
 """
 
 from __future__ import annotations

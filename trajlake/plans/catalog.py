@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.functions.timecols import resolve_chunk
 from trajlake.functions.vectors import array_len, array_round_sum
 from trajlake.operators import actions as act
 from trajlake.operators import align as al
@@ -35,10 +34,6 @@ VELOCITY_LIMIT = 10.0
 # hold about one row each and make the chunk summaries as large as the data).
 ACTION_CHUNK_US = 1_000_000
 EVENT_CHUNK_US = 86_400_000_000
-# The end-to-end policy flow sizes its chunks from the data (chunking behind a
-# check: plain per-key windows unless some key is large); this runs one small
-# statistics job while the query is built.
-FLOW_CHUNK = "auto"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,8 +111,9 @@ def q_robot_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if("retimed").alias("n_retimed"),
         F.round(F.sum("busy_us") / 1e6, 6).alias("busy_s"),
         F.round(F.sum("gap_us") / 1e6, 6).alias("idle_s"))
-    return per.join(bad, "robot", "left").select("robot", "n_actions", "n_bad", "max_velocity", "n_retimed",
-                                                 "busy_s", "idle_s")
+    # From the requests: a robot all of whose requests are bad still has a row.
+    return bad.join(per, "robot", "left").select("robot", F.coalesce("n_actions", F.lit(0)).alias("n_actions"), "n_bad", "max_velocity",
+                                                 F.coalesce("n_retimed", F.lit(0)).alias("n_retimed"), "busy_s", "idle_s")
 
 
 def q_motion_segments(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,9 +267,9 @@ def q_cyclic_align(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_frame_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     """Nominal and measured frame times."""
-    st = dv.with_ordinals(dv.arm_streams(spark, sf)).filter(F.col("arm") == "left").select("episode", "frame_idx")
+    st = dv.with_ordinals(dv.arm_streams(spark, sf)).select("episode", "arm", "frame_idx")
     return al.frame_timestamps(st, dv.episode_meta_rows(spark, sf)).select(
-        "episode", "frame_idx", "nominal_us", "measured_us")
+        "episode", "arm", "frame_idx", "nominal_us", "measured_us")
 
 
 def q_episode_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -365,9 +361,8 @@ def q_policy_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
     scored = score_policy(obs, ScaledStatePolicy, checkpoint=None)
     req = dv.policy_requests(scored)
     ex = act.explode_action_chunk(act.validate_action_arity(req, spec_for_join(spark)))
-    width = resolve_chunk(ex, ["robot"], "ts_us", FLOW_CHUNK)      # one check serves both scans
-    tl = mo.execution_timeline(mo.retime_actions(mo.step_velocity(ex, chunk_us=width), VELOCITY_LIMIT),
-                               chunk_us=width)
+    tl = mo.execution_timeline(mo.retime_actions(mo.step_velocity(ex, chunk_us=ACTION_CHUNK_US), VELOCITY_LIMIT),
+                               chunk_us=ACTION_CHUNK_US)
     return tl.groupBy("robot").agg(
         F.count(F.lit(1)).alias("n_actions"), F.round(F.max("max_abs"), 6).alias("max_velocity"),
         F.count_if("retimed").alias("n_retimed"), F.round(F.sum("busy_us") / 1e6, 6).alias("busy_s"),

@@ -45,12 +45,20 @@ def _status_of(event_type: Column) -> Column:
     return expr
 
 
+def _fold(n: Column) -> Column:
+    """A vector of ``n`` values from all values of an embedding: value i is the sum of embedding values i, i + n, ..."""
+    e = F.col("embedding").cast("array<double>")
+    return F.transform(F.sequence(F.lit(1), n), lambda i: F.aggregate(
+        F.sequence(i, F.size("embedding"), n), F.lit(0.0), lambda acc, j: acc + F.element_at(e, j)))
+
+
 # ---------------------------------------------------------------------------
 # Action requests (from embeddings)
 # ---------------------------------------------------------------------------
 def action_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per posted request: 3 consecutive vectors of one robot form a request.
 
+    The embedding is folded to the robot's vector length, so every value counts.
     robot = label % 4; request number = vec_id div 3; a vector is one element
     short when vec_id % 17 = 0; action type missing when req_no % 37 = 5;
     duration 0 when req_no % 53 = 11; arrival = req_no * 45 ms.
@@ -64,7 +72,7 @@ def action_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         req_no.alias("req_no"),
         F.when(req_no % 37 == 5, F.lit(None).cast("string")).otherwise(_pick(TYPE_BY_LABEL, li)).alias("action_type"),
         F.col("vec_id"),
-        F.slice("embedding", F.lit(1), n).cast("array<double>").alias("vec"))
+        _fold(n.cast("int")).alias("vec"))
     # A request holds at most 3 vectors (fixed by the rule): bounded collect.
     req = rows.groupBy("robot", "req_no", "action_type").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "vec"))), lambda x: x["vec"]).alias("actions"))
@@ -120,6 +128,7 @@ def job_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations a job worker received: job = user_id, state by k % 10.
 
     k%10 = 0: no observation; 1: size_none; 2: abnormal; 3: pending 1 + k % 4;
+    k%20 = 14: normal without a count of pending actions;
     else normal. Received k ms + 2 ms after the state timestamp.
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
@@ -130,7 +139,7 @@ def job_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("obs_id"), F.col("user_id").cast("string").alias("job_id"),
                      F.when(k % 10 != 0, ts).alias("state_ts_us"), (ts + k * 1000 + 2000).alias("recv_us"),
                      state.alias("state"),
-                     F.when(k % 10 == 0, F.lit(None)).when(k % 10 == 3, 1 + k % 4).otherwise(F.lit(0))
+                     F.when((k % 10 == 0) | (k % 20 == 14), F.lit(None)).when(k % 10 == 3, 1 + k % 4).otherwise(F.lit(0))
                       .cast("int").alias("pending_actions"))
 
 
@@ -156,7 +165,7 @@ def job_starts(polls: DataFrame) -> DataFrame:
     """Start of each job's wait: its first ``ready`` poll."""
     return (polls.filter(F.col("status") == "ready").groupBy("job_id")
             .agg(F.min("poll_ts_us").alias("start_us"),
-                 F.min_by("start_ok", "poll_ts_us").alias("start_ok")))
+                 F.min_by("start_ok", F.struct("poll_ts_us", "poll_id")).alias("start_ok")))
 
 
 def collection_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,29 +205,27 @@ def collection_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Worker loop iterations per job: every poll of the job with its observation."""
+    """Worker loop iterations per job: every poll of the job with its observation; the device key lacks when poll_id % 23 = 7."""
     polls = job_polls(spark, sf_dir)
     obs = job_observations(spark, sf_dir).withColumnRenamed("obs_id", "poll_id").drop("job_id")
-    return polls.join(obs, "poll_id")
+    return polls.join(obs, "poll_id").withColumn("has_device", F.pmod("poll_id", F.lit(23)) != 7)
 
 
 # ---------------------------------------------------------------------------
 # Arm streams and frames (from conversations)
 # ---------------------------------------------------------------------------
 def arm_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """episode = conv_id; user turns are the left-arm stream, assistant turns the right
-    (system turns are not part of either stream).
+    """episode = conv_id; assistant turns are the right-arm stream, all others (user, system) the left.
 
     Joint vector (6) and pose (16) are functions of the text length; gripper = turn / 10.
     """
-    cv = (table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-          .filter(F.col("role").isin("user", "assistant")))
+    cv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     ln = F.length("text")
     joint = F.array(*[((ln * i) % 1000) / 100.0 for i in range(1, 7)])
     pose = F.array(*[((ln + i * 7) % 100) / 10.0 for i in range(1, 17)])
     return cv.select(
         F.col("conv_id").alias("episode"),
-        F.when(F.col("role") == "user", F.lit("left")).otherwise(F.lit("right")).alias("arm"),
+        F.when(F.col("role") == "assistant", F.lit("right")).otherwise(F.lit("left")).alias("arm"),
         "turn", "text",
         joint.alias("joint"), (F.col("turn") / 10.0).alias("gripper"), pose.alias("pose"))
 
@@ -298,14 +305,14 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Policy observations (from embeddings)
 # ---------------------------------------------------------------------------
 def policy_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One observation per embedding: the robot's state vector is the embedding prefix of its length."""
+    """One observation per embedding: the robot's state vector is the whole embedding folded to its length."""
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     li = F.col("label") % 4
     return emb.select(F.col("vec_id").alias("obs_id"), _pick(ROBOTS_BY_LABEL, li).alias("robot"),
                       _pick(TYPE_BY_LABEL, li).alias("action_type"),
                       (F.col("vec_id") * 45000).cast("bigint").alias("state_ts_us"),
                       F.lit("normal").alias("state"), F.lit(0).alias("pending_actions"),
-                      F.slice("embedding", F.lit(1), _pick(LEN_BY_LABEL, li)).cast("array<double>").alias("action"))
+                      _fold(_pick(LEN_BY_LABEL, li).cast("int")).alias("action"))
 
 
 def policy_requests(scored: DataFrame, duration_us: int = 50000) -> DataFrame:

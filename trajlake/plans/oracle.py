@@ -15,8 +15,7 @@ emb_rows AS (
          CASE WHEN (vec_id // 3) % 37 = 5 THEN NULL
               ELSE ['joint','leftjoint','leftpos','leftjoint'][label % 4 + 1] END AS action_type,
          vec_id,
-         CAST(list_slice(embedding, 1, [14,7,7,8][label % 4 + 1]
-              - CASE WHEN vec_id % 17 = 0 THEN 1 ELSE 0 END) AS DOUBLE[]) AS vec
+         list_transform(range(1, CAST(([14,7,7,8][label % 4 + 1] - CASE WHEN vec_id % 17 = 0 THEN 1 ELSE 0 END) AS BIGINT) + 1), lambda i: list_sum(list_transform(range(i, len(embedding) + 1, CAST(([14,7,7,8][label % 4 + 1] - CASE WHEN vec_id % 17 = 0 THEN 1 ELSE 0 END) AS BIGINT)), lambda j: CAST(embedding[j] AS DOUBLE)))) AS vec
   FROM embeddings
 ),
 requests AS (
@@ -227,8 +226,8 @@ ORACLE["robot_execution_summary"] = _with(_REQUESTS) + """
 ), bad AS (
   SELECT robot, count(*) FILTER (WHERE is_bad) AS n_bad FROM validated GROUP BY robot
 )
-SELECT per.robot, n_actions, n_bad, max_velocity, n_retimed, busy_s, idle_s
-FROM per LEFT JOIN bad USING (robot)
+SELECT bad.robot, coalesce(n_actions, 0) AS n_actions, n_bad, max_velocity, coalesce(n_retimed, 0) AS n_retimed, busy_s, idle_s
+FROM bad LEFT JOIN per USING (robot)
 """
 
 ORACLE["motion_segments"] = _with(_REQUESTS) + """
@@ -271,13 +270,13 @@ ORACLE["asof_position"] = _with(_REQUESTS) + """
 , obs AS (
   SELECT request_id AS obs_id, robot, arm, ts_us + 10000 AS t_us FROM req_checked WHERE action_type IS NOT NULL
 ), ev AS (
-  SELECT robot, arm, g_us AS t, 0 AS tag, request_id AS cmd_request_id, seq AS cmd_seq,
+  SELECT robot, arm, g_us AS t, 0 AS tag, ts_us AS cmd_ts, request_id AS cmd_request_id, seq AS cmd_seq,
          position AS cmd_position, NULL AS obs_id, NULL::BIGINT AS t_us FROM timeline
   UNION ALL
-  SELECT robot, arm, t_us, 1, NULL, NULL, NULL, obs_id, t_us FROM obs
+  SELECT robot, arm, t_us, 1, NULL, NULL, NULL, NULL, obs_id, t_us FROM obs
 ), ev2 AS (
   SELECT *, last_value(CASE WHEN tag = 0 THEN struct_pack(r := cmd_request_id, s := cmd_seq, p := cmd_position) END
-                       IGNORE NULLS) OVER (PARTITION BY robot, arm ORDER BY t, tag, cmd_request_id, cmd_seq
+                       IGNORE NULLS) OVER (PARTITION BY robot, arm ORDER BY t, tag, cmd_ts, cmd_request_id, cmd_seq
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lastc
   FROM ev
 )
@@ -329,7 +328,7 @@ jobobs AS (
          CASE WHEN k % 10 <> 0 THEN epoch_us(ts) END AS state_ts_us,
          CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 = 1 THEN 'size_none' WHEN k % 10 = 2 THEN 'abnormal'
               ELSE 'normal' END AS state,
-         CAST(CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 = 3 THEN 1 + k % 4 ELSE 0 END AS INTEGER) AS pending_actions
+         CAST(CASE WHEN k % 10 = 0 OR k % 20 = 14 THEN NULL WHEN k % 10 = 3 THEN 1 + k % 4 ELSE 0 END AS INTEGER) AS pending_actions
   FROM evk
 ),
 cpolls AS (
@@ -404,14 +403,14 @@ FROM starts s LEFT JOIN dec d USING (job_id)
 
 ORACLE["job_run_summary"] = _with(_EVK) + """
 , it AS (
-  SELECT p.job_id, p.poll_ts_us, s.start_us, p.status, p.poll_error, o.state, o.state_ts_us, o.pending_actions,
+  SELECT p.job_id, p.poll_id, p.poll_ts_us, s.start_us, p.status, p.poll_error, o.state, o.state_ts_us, o.pending_actions,
          CASE WHEN o.state IS NULL AND o.state_ts_us IS NULL THEN 'no_state' WHEN o.state = 'size_none' THEN 'size_none'
-              WHEN o.state IS NULL OR o.state <> 'normal' THEN 'not_normal' WHEN coalesce(o.pending_actions, 0) <> 0 THEN 'pending'
+              WHEN o.state IS NULL OR o.state <> 'normal' THEN 'not_normal' WHEN o.pending_actions IS NULL OR o.pending_actions <> 0 THEN 'pending'
          END AS skip
   FROM polls p JOIN starts s USING (job_id) JOIN jobobs o ON o.obs_id = p.poll_id
   WHERE s.start_ok AND p.poll_ts_us > s.start_us
 ), it2 AS (
-  SELECT *, CASE WHEN poll_error OR status IS NULL THEN 'exception' WHEN status <> 'running' THEN 'not_running'
+  SELECT *, CASE WHEN poll_error OR status IS NULL OR poll_id % 23 = 7 THEN 'exception' WHEN status <> 'running' THEN 'not_running'
                  WHEN skip = 'size_none' THEN 'exception'
                  WHEN skip IS NULL AND poll_ts_us - start_us > 86400000000 THEN 'max_wait' END AS endr
   FROM it
@@ -443,7 +442,7 @@ FROM polls WHERE robot_id IS NOT NULL GROUP BY job_id
 ORACLE["actionable_observations"] = _with(_EVK) + """
 SELECT obs_id, job_id, state, pending_actions,
        CASE WHEN state IS NULL AND state_ts_us IS NULL THEN 'no_state' WHEN state = 'size_none' THEN 'size_none'
-            WHEN state IS NULL OR state <> 'normal' THEN 'not_normal' WHEN coalesce(pending_actions, 0) <> 0 THEN 'pending' END
+            WHEN state IS NULL OR state <> 'normal' THEN 'not_normal' WHEN pending_actions IS NULL OR pending_actions <> 0 THEN 'pending' END
          AS skip_reason
 FROM jobobs
 """
@@ -451,12 +450,12 @@ FROM jobobs
 # --- arm streams and frames from conversations -------------------------------
 _STREAMS = """
 streams AS (
-  SELECT conv_id AS episode, CASE WHEN role = 'user' THEN 'left' ELSE 'right' END AS arm, turn, text,
+  SELECT conv_id AS episode, CASE WHEN role = 'assistant' THEN 'right' ELSE 'left' END AS arm, turn, text,
          list_transform(range(1, 7), lambda i: ((length(text) * i) % 1000) / 100.0::DOUBLE) AS joint,
          turn / 10.0::DOUBLE AS gripper,
          list_transform(range(1, 17), lambda i: ((length(text) + i * 7) % 100) / 10.0::DOUBLE) AS pose,
-         CAST(row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) - 1 AS BIGINT) AS frame_idx
-  FROM conversations WHERE role IN ('user', 'assistant')
+         CAST(row_number() OVER (PARTITION BY conv_id, role = 'assistant' ORDER BY turn) - 1 AS BIGINT) AS frame_idx
+  FROM conversations
 ),
 frames AS (
   SELECT l.episode, l.frame_idx, l.turn AS left_turn, r.turn AS right_turn, l.text AS left_text, r.text AS right_text,
@@ -520,11 +519,11 @@ FROM grid g JOIN streams s ON s.episode = g.episode AND s.arm = g.arm AND s.fram
 ORACLE["frame_timestamps"] = _with(_STREAMS) + """
 , m AS (SELECT episode, CAST(round(start_time * 1000000.0::DOUBLE) AS BIGINT) AS s,
                CAST(round(end_time * 1000000.0::DOUBLE) AS BIGINT) AS e, frames FROM meta)
-SELECT st.episode, st.frame_idx,
+SELECT st.episode, st.arm, st.frame_idx,
        m.s + CAST(round(CAST(st.frame_idx AS DOUBLE) * 1e6::DOUBLE / 30.0::DOUBLE) AS BIGINT) AS nominal_us,
        m.s + CAST(round(CAST(st.frame_idx AS DOUBLE) * CAST(m.e - m.s AS DOUBLE) / CAST(m.frames AS DOUBLE)) AS BIGINT)
          AS measured_us
-FROM streams st JOIN m USING (episode) WHERE st.arm = 'left'
+FROM streams st JOIN m USING (episode)
 """
 
 _STATS = """
@@ -659,7 +658,7 @@ FROM m
 ORACLE["serialize_observation"] = """
 WITH o AS (
   SELECT vec_id AS obs_id,
-         CAST(list_slice(embedding, 1, [14,7,7,8][label % 4 + 1]) AS DOUBLE[]) AS action
+         list_transform(range(1, CAST([14,7,7,8][label % 4 + 1] AS BIGINT) + 1), lambda i: list_sum(list_transform(range(i, len(embedding) + 1, CAST([14,7,7,8][label % 4 + 1] AS BIGINT)), lambda j: CAST(embedding[j] AS DOUBLE)))) AS action
   FROM embeddings
 )
 SELECT obs_id, 'normal' AS state, 0 AS pending_actions, CAST(len(action) AS INTEGER) AS action_len,
@@ -670,7 +669,7 @@ FROM o
 ORACLE["score_policy"] = """
 WITH o AS (
   SELECT vec_id AS obs_id, ['aloha','arx5','ur5','franka'][label % 4 + 1] AS robot,
-         CAST(list_slice(embedding, 1, [14,7,7,8][label % 4 + 1]) AS DOUBLE[]) AS action
+         list_transform(range(1, CAST([14,7,7,8][label % 4 + 1] AS BIGINT) + 1), lambda i: list_sum(list_transform(range(i, len(embedding) + 1, CAST([14,7,7,8][label % 4 + 1] AS BIGINT)), lambda j: CAST(embedding[j] AS DOUBLE)))) AS action
   FROM embeddings
 )
 SELECT obs_id, robot, 2 AS n_actions,
@@ -683,7 +682,7 @@ _POLICY_REQUESTS = """
 pobs AS (
   SELECT vec_id AS obs_id, ['aloha','arx5','ur5','franka'][label % 4 + 1] AS robot,
          ['joint','leftjoint','leftpos','leftjoint'][label % 4 + 1] AS action_type,
-         CAST(list_slice(embedding, 1, [14,7,7,8][label % 4 + 1]) AS DOUBLE[]) AS action
+         list_transform(range(1, CAST([14,7,7,8][label % 4 + 1] AS BIGINT) + 1), lambda i: list_sum(list_transform(range(i, len(embedding) + 1, CAST([14,7,7,8][label % 4 + 1] AS BIGINT)), lambda j: CAST(embedding[j] AS DOUBLE)))) AS action
   FROM embeddings
 ),
 requests AS (

@@ -22,7 +22,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's ``spark.checkpoint.dir``.
 
     The folder must be shared storage named by the cluster; it is never made
-    up here (``session.get_session`` sets a scratch one for local runs only).
+    up here.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -74,5 +74,5 @@ def write_action_reports(spark: SparkSession, requests: DataFrame, spec: DataFra
         write("backlog", mo.pending_backlog(segments, observations, chunk_us=chunk_us))
         # a command cleared before it was dequeued never becomes the current position
         executed = segments.filter(~F.col("dropped"))
-        write("positions", mo.asof_position(executed, observations, chunk_us=chunk_us).drop("cmd_position"))
+        write("positions", mo.asof_position(executed, observations, chunk_us=chunk_us))
     return paths

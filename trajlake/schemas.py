@@ -78,15 +78,6 @@ JOB_SCHEMA = T.StructType([
 ])
 JOB_COLLECTION_SCHEMA = T.StructType([T.StructField("jobs", T.ArrayType(JOB_SCHEMA), True)])
 
-ACTION_REQUEST_SCHEMA = T.StructType([
-    T.StructField("request_id", T.StringType(), False),
-    T.StructField("robot", T.StringType(), True),
-    T.StructField("ts_us", T.LongType(), True),
-    T.StructField("action_type", T.StringType(), True),
-    T.StructField("actions", T.ArrayType(T.ArrayType(T.DoubleType())), True),
-    T.StructField("duration_us", T.LongType(), True),
-])
-
 
 def robot_spec(spark: SparkSession) -> DataFrame:
     """The embodiment dimension table (4 rows, fixed size: safe to broadcast)."""

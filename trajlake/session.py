@@ -1,21 +1,21 @@
 """Session construction for tests, the bench and local runs.
 
 On a cluster the session comes from the platform; only the options that the
-operators rely on (UTC session zone, AQE) are asserted there. A checkpoint
-directory is set only when the cluster did not name one.
+operators rely on (UTC session zone, AQE) are asserted there. The checkpoint
+folder is the one that the cluster names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "trajlake") -> SparkSession:
-    """Local session: UTC zone, AQE with skew-join and coalescing, UI off."""
-    spark = (
+def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "trajlake",
+                checkpoint: str | None = None) -> SparkSession:
+    """Local session: UTC zone, AQE with skew-join and coalescing, UI off; ``checkpoint`` names the shared folder."""
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -28,21 +28,9 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TRAJLAKE_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
     )
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    Sets a scratch folder only when the session names none (local tests).
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="trajlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current

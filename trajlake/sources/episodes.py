@@ -17,9 +17,12 @@ from trajlake.schemas import CAMERA_SLOTS, EPISODE_META_SCHEMA, STATE_LINE_SCHEM
 PATH_PATTERN = r"^(.*)/([^/]+)/([^/]+)/data/episode_([^/]+)/(meta|states|videos)/([^/]+)$"
 
 
-def _path_parts(path: F.Column) -> dict[str, F.Column]:
+def _path_parts(path: F.Column, encoded: bool = False) -> dict[str, F.Column]:
     # Readers spell local URIs differently (file:/x vs file:///x); keep one form.
     path = F.regexp_replace(path, r"^file:/+", "/")
+    # _metadata.file_path is percent-encoded, binaryFile.path is not; a plus sign stands for itself.
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return {
         "date": F.regexp_extract(path, PATH_PATTERN, 2),
         "task": F.regexp_extract(path, PATH_PATTERN, 3),
@@ -41,7 +44,7 @@ def episode_catalog(spark: SparkSession, root: str) -> DataFrame:
     df = (spark.read.schema(EPISODE_META_SCHEMA).option("multiLine", True)
           .json(f"{root.rstrip('/')}/*/*/data/*/meta/episode_meta.json")
           .select("*", F.col("_metadata.file_path").alias("__path")))
-    p = _path_parts(F.col("__path"))
+    p = _path_parts(F.col("__path"), encoded=True)
     return df.select(p["episode_dir"].alias("episode_dir"), p["date"].alias("date"), p["task"].alias("task"),
                      p["episode_id"].alias("episode_id"),
                      F.coalesce("episode_index", "episode_idx").alias("episode_index"),
@@ -70,8 +73,8 @@ def read_states(spark: SparkSession, root: str, pattern: str = "*/*/data/*/state
     if index_field:
         raw = spark.read.text(base).select(F.col("value").alias("line"),
                                            F.col("_metadata.file_path").alias("__path"))
-        p = _path_parts(F.col("__path"))
-        lines = raw.filter(F.trim("line") != "").select(p["episode_dir"].alias("episode_dir"),
+        p = _path_parts(F.col("__path"), encoded=True)
+        lines = raw.select(p["episode_dir"].alias("episode_dir"),
                                                          p["file"].alias("file"), "line")
         parsed = lines.withColumn("__s", F.from_json(F.col("line"), schema, opts))
         return (parsed.withColumn("frame_idx", F.col(f"__s.{index_field}"))
@@ -80,7 +83,7 @@ def read_states(spark: SparkSession, root: str, pattern: str = "*/*/data/*/state
                 .drop("_corrupt_record", index_field))
     raw = (spark.read.text(base, wholetext=True)
            .select("value", F.col("_metadata.file_path").alias("__path")))
-    p = _path_parts(F.col("__path"))
+    p = _path_parts(F.col("__path"), encoded=True)
     lines = raw.select(p["episode_dir"].alias("episode_dir"), p["file"].alias("file"),
                        F.posexplode(F.split("value", "\n")).alias("frame_idx", "line"),
                        F.size(F.split("value", "\n")).alias("__n"))

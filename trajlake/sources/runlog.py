@@ -7,7 +7,7 @@ Three layouts are accepted (the three logger formats in use):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.functions.timecols import micros
@@ -16,7 +16,7 @@ from trajlake.functions.timecols import micros
 LINE_PATTERN = r"^\[?(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\]? ([A-Z]+):? ?(.*)$"
 KIND_PATTERNS = [
     ("processing_job", r"^Processing job_id: ([^,]+), status: (\S+)$"),
-    ("started", r"^Started robot: "),
+    ("started", r"^Started robot(?:: |$)"),
     ("state_latency", r"^get_robot_state time: (-?[0-9.]+)$"),
     ("inference_result", r"^Inference result: "),
     ("max_wait", r"^Job (\S+) exceeded max wait time\.$"),
@@ -39,11 +39,6 @@ def _literal_prefix(pattern: str) -> str:
     return "".join(out)
 
 
-def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """Log files as lines (``value``), splittable text source."""
-    return spark.read.text(path)
-
-
 def parse_run_log(df: DataFrame, value: str = "value") -> DataFrame:
     """Adds ``ts_us, level, kind, job_id, status, latency_s, message``; lines
     that match no layout get ``kind = 'other'`` and null fields."""

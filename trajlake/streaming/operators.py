@@ -184,7 +184,7 @@ def stream_retime_actions(sdf: DataFrame, velocity_limit: float = DEFAULT_VELOCI
             dur = int(r.duration_us)
             period = float(dur)
             retimed = False
-            if prev.shape == cur.shape:
+            if prev.shape == cur.shape and dur:     # no velocity over a zero duration, as in the batch form
                 vel = (cur - prev) / (dur / 1e6)
                 mx = _abs_max(vel)
                 if r.arm == "both" and vel.size:
