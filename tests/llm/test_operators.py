@@ -34,12 +34,6 @@ SF01 = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, uid long, shard int, _copies int"
 
 
-@pytest.fixture(scope="module", autouse=True)
-def shared(spark, tmp_path_factory):
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-
-
 def words(rng: random.Random, n: int) -> str:
     return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
 

@@ -41,13 +41,11 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; a scratch one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="trajlake-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="trajlake-shared-"))
+    return root or sc.getCheckpointDir()
 
 
 def stage(df: DataFrame) -> DataFrame:
