@@ -37,7 +37,7 @@ LANES = 1024
 STEPS = 128          # a checkpoint every LANES * STEPS ids
 BLOCK_TOKENS = 524_288
 LOW = np.uint64(1 << 31)   # states stay in [LOW, LOW << 32)
-CACHE_WORDS = 250_000      # words that one worker remembers in each of two generations
+CACHE_WORDS = 500_000      # words that one worker remembers in each of two generations (about 100 MB each)
 
 U = np.uint64
 
