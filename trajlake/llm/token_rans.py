@@ -160,6 +160,9 @@ _LETTERS, _NUMBERS = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
 _PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\x09-\x0d {_LETTERS}{_NUMBERS}]+"
 # Texts in these ranges are the same before and after NFC, and lower-casing them is per character.
 _NOT_PLAIN = re.compile(r"[^\x09-\x0d\x20-\x7e\xa1-įı-ɏ‐-‧‰-⁞]")
+# The vocabulary spells the bytes of a piece as letters: visible ones stand for themselves, the others follow from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 _state: dict = {}
 
 
@@ -167,8 +170,7 @@ class WordCoder:
     """Token ids of whole texts, word by word: a word seen before is not coded again.
 
     The vocabulary's pre-tokenizer cuts a text into pieces that are coded
-    independently, each ending in one id marked as a word's end. So the ids of a
-    text are those of its pieces in a row. Texts outside the plain ranges go to
+    independently. So the ids of a text are those of its pieces in a row. Texts outside the plain ranges go to
     the library whole. Memory is bounded: two generations of ``CACHE_WORDS``.
     """
 
@@ -180,12 +182,11 @@ class WordCoder:
         self.tok.encode_special_tokens = True   # the special tokens' strings in a text are ordinary text
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.kind = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        for piece, i in vocab.items():
-            self.ends[i] = piece.endswith("</w>")
+        self.letter = "H" if self.kind.itemsize == 2 else "I"
+        self.size = max(vocab.values()) + 1
         normal = str(type(self.tok.normalizer).__name__), str(type(self.tok.pre_tokenizer).__name__)
         spec = self.tok.to_str()
-        self.by_word = normal == ("Sequence", "Sequence") and "[\\\\p{L}]+|[\\\\p{N}]|" in spec and '"end_of_word_suffix":"</w>"' in spec
+        self.by_word = normal == ("Sequence", "Sequence") and "[\\\\p{L}]+|[\\\\p{N}]|" in spec and '"ByteLevel","add_prefix_space":false' in spec and '"end_of_word_suffix":"</w>"' in spec
         self.pieces = re.compile(_PIECES)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -194,16 +195,11 @@ class WordCoder:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        ids = np.asarray(self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
-        cut = np.flatnonzero(self.ends[ids]) + 1
-        if len(cut) == len(words) and (not len(ids) or cut[-1] == len(ids)):
-            a, width, raw = 0, self.kind.itemsize, ids.tobytes()
-            for w, b in zip(words, cut.tolist(), strict=True):
-                self.new[w] = raw[a * width:b * width]
-                a = b
-        else:
-            for w in words:
-                self.new[w] = self._raw(w)
+        """Code pieces with the vocabulary's merges alone: they are normalised and cut already."""
+        code, letter = self.tok.model.tokenize, self.letter
+        for w in words:
+            got = code(w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(_BYTE_LETTERS))
+            self.new[w] = struct.pack(f"<{len(got)}{letter}", *[t.id for t in got])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``kind``."""
@@ -328,7 +324,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     """
     spark = docs.sparkSession
     coder = _coder(tokenizer_path)
-    kind, size = coder.kind.str, len(coder.ends)
+    kind, size = coder.kind.str, coder.size
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                .withColumn("tie", F.xxhash64("text")).withColumn("uid", F.monotonically_increasing_id())
                .repartitionByRange("doc_id", "tie", "uid").sortWithinPartitions("doc_id", "tie", "uid")
