@@ -6,6 +6,7 @@ independent check of the algebra (including the chunk carry).
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -119,6 +120,60 @@ def test_motion_segments_sequential(spark):
                 e_prev = e
 
 
+def _worker_with_clears(acts, clears, limit):
+    """One robot, one arm: only dequeued commands become the last position."""
+    out, last, bounds = {}, 0.0, [None, *sorted(clears), None]
+    for k in range(len(bounds) - 1):
+        lo, hi = bounds[k], bounds[k + 1]
+        e_prev, prev = lo, last
+        for (req, ts, dur, pos) in [a for a in acts if (lo is None or a[1] >= lo) and (hi is None or a[1] < hi)]:
+            v = abs(pos - prev) / (dur / 1e6)
+            period = math.floor(dur * v / limit + 0.5) if v > limit else dur
+            g = ts if e_prev is None else max(ts, e_prev)
+            e_prev = ts if e_prev is None else max(ts, e_prev + period)
+            dropped = hi is not None and g >= hi
+            out[req] = (k, True, None) if dropped else (k, False, (period, g, e_prev))
+            prev = pos
+            last = last if dropped else pos
+    return out
+
+
+@pytest.mark.parametrize("seed,chunk", [(21, 400_000), (22, 1_000), (23, None)])
+def test_execute_with_clears_matches_worker_loop(spark, seed, chunk):
+    rnd = random.Random(seed)
+    rows, clears = [], []
+    for robot in ("r0", "r1"):
+        t = 0
+        for i in range(50):
+            t += rnd.choice([0, 20_000, 60_000])
+            rows.append((robot, "left", f"q{i:03d}", 0, t, 100_000, [float(rnd.choice([0, 9, 11, 50, 73])), 0.0]))
+        clears += [(robot, c, "end_motion") for c in sorted(rnd.sample(range(1, t), 8))]
+    df = spark.createDataFrame(rows, "robot string, arm string, request_id string, seq int, ts_us long, duration_us long, position array<double>")
+    cdf = spark.createDataFrame(clears, "robot string, ts_us long, kind string")
+    got = {(r.robot, r.request_id): (r.segment_id, r.dropped, None if r.dropped else (r.period_us, r.g_us, r.e_us))
+           for r in mo.execute_with_clears(df, cdf, velocity_limit=100.0, chunk_us=chunk).collect()}
+    want = {}
+    for robot in ("r0", "r1"):
+        acts = [(r[2], r[4], r[5], r[6][0]) for r in rows if r[0] == robot]
+        want.update({(robot, q): x for q, x in _worker_with_clears(acts, [c[1] for c in clears if c[0] == robot], 100.0).items()})
+    assert got == want
+    assert any(x[1] for x in want.values()) and any(not x[1] and x[0] > 0 for x in want.values())
+
+
+def test_removed_command_is_not_the_last_position(spark):
+    rows = [("r", "left", "b", 0, 0, 100_000, [9.0, 0.0]), ("r", "left", "x", 0, 10_000, 100_000, [50.0, 0.0]),
+            ("r", "left", "x2", 0, 20_000, 100_000, [50.0, 0.0]), ("r", "left", "y", 0, 60_000, 100_000, [9.0, 0.0])]
+    df = spark.createDataFrame(rows, "robot string, arm string, request_id string, seq int, ts_us long, duration_us long, position array<double>")
+    cdf = spark.createDataFrame([("r", 50_000, "end_motion")], "robot string, ts_us long, kind string")
+    got = {r.request_id: r for r in mo.execute_with_clears(df, cdf, velocity_limit=1000.0).collect()}
+    assert [got[q].dropped for q in ("b", "x", "x2", "y")] == [False, False, True, False]
+    assert got["y"].last_position == [50.0, 0.0]     # x ran
+    early = spark.createDataFrame([("r", 5_000, "end_motion"), ("r", 50_000, "end_motion")], "robot string, ts_us long, kind string")
+    slow = df.withColumn("ts_us", F.when(F.col("request_id") == "x", 10_000).otherwise(F.col("ts_us")).cast("bigint"))
+    again = {r.request_id: r for r in mo.execute_with_clears(slow, early, velocity_limit=1000.0).collect()}
+    assert again["x"].dropped is False and again["y"].segment_id == 2
+
+
 def test_asof_position_brute_force(spark):
     rnd = random.Random(11)
     cmds = [("r0", rnd.choice(["left", "right"]), rnd.randint(0, 10_000), f"q{i}", 0, [float(i)]) for i in range(200)]

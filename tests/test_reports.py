@@ -23,5 +23,5 @@ def test_write_action_reports(spark):
     want = cat.q_execution_timeline(spark, SF01)
     assert {tuple(r) for r in tl.collect()} == {tuple(r) for r in want.collect()}
     seg = spark.read.parquet(paths["segments"]).select("request_id", "seq", "segment_id", "dropped")
-    want_seg = cat.q_motion_segments(spark, SF01).select("request_id", "seq", "segment_id", "dropped")
+    want_seg = cat.q_execution_with_clears(spark, SF01).select("request_id", "seq", "segment_id", "dropped")
     assert {tuple(r) for r in seg.collect()} == {tuple(r) for r in want_seg.collect()}

@@ -50,3 +50,24 @@ def test_chunked_plan_shuffles_large_side_once(spark):
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
+
+
+def test_hot_job_is_split_across_partitions(spark):
+    """One job with 90% of the polls: no task of the join with the starts holds most of them."""
+    from trajlake.operators.scans import attach_by_chunk, with_chunk
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    prev = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        polls = spark.range(40_000).select(
+            F.when(F.col("id") % 10 != 0, F.lit("hot")).otherwise(F.concat(F.lit("j"), F.col("id") % 9)).alias("job_id"),
+            (F.col("id") * 3_600_000).alias("poll_ts_us"))
+        starts = polls.groupBy("job_id").agg(F.min("poll_ts_us").alias("start_us"))
+        log, ch = with_chunk(polls, "poll_ts_us", 3_600_000_000)
+        got = attach_by_chunk(log, starts, "job_id", ch)
+        per_task = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(per_task) == 40_000 and len(per_task) >= 8 and max(per_task) < 0.35 * 40_000
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)

@@ -21,11 +21,12 @@ def observation_latency(obs: DataFrame, offsets: DataFrame | None = None, job: s
     mean / max. With ``offsets(session, offset_us)`` (from A1, session = job)
     the robot clock is first moved onto the client clock (``+ offset``)."""
     o = obs.filter(F.col(state_ts).isNotNull())
-    lat = (F.col(recv) - F.col(state_ts)).cast("double")
-    if offsets is not None:
-        off = offsets.select(F.col("session").alias(job), F.col("offset_us").alias("__off"))
-        o = o.join(off, job, "left")
-        lat = lat + F.coalesce(F.col("__off"), F.lit(0.0))
-    o = o.withColumn("latency_us", lat)
-    return o.groupBy(job).agg(F.count(F.lit(1)).alias("n_obs"), F.avg("latency_us").alias("avg_latency_us"),
-                              F.max("latency_us").alias("max_latency_us"))
+    lat = F.col(recv) - F.col(state_ts)
+    per = o.groupBy(job).agg(F.count(F.lit(1)).alias("n_obs"), F.avg(lat).alias("avg_latency_us"),
+                             F.max(lat).cast("double").alias("max_latency_us"))
+    if offsets is None:
+        return per
+    # one offset per job: it moves mean and maximum alike, so it joins the aggregate, not the observations
+    off = offsets.select(F.col("session").alias(job), F.col("offset_us").alias("__off"))
+    moved = [(F.col(c) + F.coalesce(F.col("__off"), F.lit(0.0))).alias(c) for c in ("avg_latency_us", "max_latency_us")]
+    return per.join(off, job, "left").select(job, "n_obs", *moved)

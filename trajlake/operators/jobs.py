@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.operators.scans import chunked_carry_last, chunked_running_sum, with_chunk
+from trajlake.operators.scans import attach_by_chunk, chunked_carry_last, chunked_running_sum, with_chunk
 from trajlake.schemas import (ACTIVE_STATUSES, DEFAULT_IDLE_POLLS, DEFAULT_JOB_LIMIT_S, RC_EXCEPTION, RC_FAILURE,
                               RC_SUCCESS, RC_TIMEOUT, TERMINAL_STATUSES)
 
@@ -86,7 +86,8 @@ def ready_queue(flat_jobs: DataFrame, ordered: bool = False, ts: str = "poll_ts_
 
 
 def await_running_outcome(polls: DataFrame, starts: DataFrame, timeout_s: float = DEFAULT_JOB_LIMIT_S,
-                          as_of_us: int | None = None, ts: str = "poll_ts_us") -> DataFrame:
+                          as_of_us: int | None = None, ts: str = "poll_ts_us",
+                          chunk_us: int | None = HOUR_US) -> DataFrame:
     """Outcome code of waiting for a job to run after its start.
 
     Per job in ``starts(job_id, start_us)``, polls after the start and no later
@@ -95,9 +96,12 @@ def await_running_outcome(polls: DataFrame, starts: DataFrame, timeout_s: float
     ``running`` else 1; records without a status are ignored. No decisive poll
     within the limit gives 2. With ``as_of_us``, jobs still inside their
     window and undecided are left out (so a stream and a batch agree).
+    Starts meet the polls on ``(job_id, chunk)``, so one job's polls are spread
+    over its chunks, and the first decisive poll is combined per task.
     """
     lim = int(round(timeout_s * 1_000_000))
-    p = polls.join(starts.select("job_id", "start_us"), "job_id")
+    p, ch = with_chunk(polls, ts, chunk_us)
+    p = attach_by_chunk(p, starts.select("job_id", "start_us"), "job_id", ch)
     p = p.filter((F.col(ts) > F.col("start_us")) & (F.col(ts) <= F.col("start_us") + lim))
     decisive = F.col("poll_error") | (F.col("status").isNotNull() & (F.col("status") != "prepare"))
     first = (p.filter(decisive).groupBy("job_id")
@@ -136,7 +140,7 @@ def actionable_observations(obs: DataFrame) -> DataFrame:
 
 
 def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = DEFAULT_JOB_LIMIT_S,
-                    ts: str = "poll_ts_us") -> DataFrame:
+                    ts: str = "poll_ts_us", chunk_us: int | None = HOUR_US) -> DataFrame:
     """One row per job run.
 
     A run exists when the job was ``ready`` and the start succeeded
@@ -146,11 +150,13 @@ def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = D
     skip; ``size_none`` -> end ``exception`` (the client calls a method it
     lacks); not normal / pending -> skip; else one inference, then end
     ``max_wait`` if more than ``max_wait_s`` passed since the start (tested
-    only after a post). ``end_reason`` is null while the run is open.
+    only after a post). ``end_reason`` is null while the run is open. Starts
+    and ends meet the polls on ``(job_id, chunk)``, so a hot job is spread.
     """
     lim = int(round(max_wait_s * 1_000_000))
     runs = starts.filter(F.col("start_ok")).select("job_id", "start_us")
-    it = run_log.join(runs, "job_id").filter(F.col(ts) > F.col("start_us"))
+    log, ch = with_chunk(run_log, ts, chunk_us)
+    it = attach_by_chunk(log, runs, "job_id", ch).filter(F.col(ts) > F.col("start_us"))
     skip = skip_reason()
     infer = skip.isNull()
     no_device = ~F.col("has_device") if "has_device" in run_log.columns else F.lit(False)
@@ -166,7 +172,8 @@ def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = D
           .withColumn("__infer", (F.col("__end").isNull() & infer) | (F.col("__end") == "max_wait")))
     ends = (it.filter(F.col("__end").isNotNull()).groupBy("job_id")
             .agg(F.min_by(F.struct(F.col(ts).alias("t"), F.col("__end").alias("r"), _turn(run_log, ts).alias("turn")), _turn(run_log, ts)).alias("__e")))
-    it = it.join(ends, "job_id", "left").filter(F.col("__e").isNull() | (_turn(run_log, ts) <= F.col("__e.turn")))
+    ends = runs.select("job_id").join(ends, "job_id", "left")   # open runs keep all their turns
+    it = attach_by_chunk(it, ends, "job_id", ch, log).filter(F.col("__e").isNull() | (_turn(run_log, ts) <= F.col("__e.turn")))
     agg = it.groupBy("job_id").agg(
         F.count(F.lit(1)).alias("n_iterations"),
         F.count_if(F.col("__infer")).alias("n_inferences"),

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajlake.functions.vectors import array_abs_max, scale_dims
-from trajlake.operators.scans import (chunked_carry_last, chunked_lag_by_key, chunked_prefix,
+from trajlake.operators.lineage import cut_lineage
+from trajlake.operators.scans import (chunked_carry_last, chunked_lag, chunked_lag_by_key, chunked_prefix,
                                       chunked_queue_timeline, chunked_running_sum, with_chunk)
 from trajlake.schemas import DEFAULT_VELOCITY_LIMIT
 
@@ -36,6 +37,10 @@ def step_velocity(actions: DataFrame, order: Sequence[str] = QUEUE_ORDER,
     # shuffled once on (robot, chunk); the chunk column is kept so that the
     # queue timeline over the same rows reuses this partitioning
     df = chunked_lag_by_key(df, ["robot"], ["arm"], ch, list(order), "position", "last_position")
+    return _with_velocity(df)
+
+
+def _with_velocity(df: DataFrame) -> DataFrame:
     last = F.coalesce(F.col("last_position"), F.array_repeat(F.lit(0.0), F.size("position")))
     dur_s = F.col("duration_us").cast("double") / F.lit(1e6)
     mismatch = F.size(last) != F.size("position")
@@ -117,6 +122,18 @@ def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str]
     forever). Returns the action rows with ``segment_id``, ``segment_start_us``,
     ``next_clear_us``, the timeline columns and ``dropped``.
     """
+    return _segment_timeline(cut_at_clears(actions, clears, order, chunk_us), order, chunk_us)
+
+
+def _segment_timeline(acts: DataFrame, order: Sequence[str], chunk_us: int | None) -> DataFrame:
+    tl = execution_timeline(acts, keys=("robot", "segment_id"), order=order, start="segment_start_us",
+                            chunk_us=chunk_us)
+    return tl.withColumn("dropped", F.coalesce(F.col("g_us") >= F.col("next_clear_us"), F.lit(False)))
+
+
+def cut_at_clears(actions: DataFrame, clears: DataFrame, order: Sequence[str] = QUEUE_ORDER,
+                  chunk_us: int | None = HOUR_US) -> DataFrame:
+    """The actions with ``segment_id``, ``segment_start_us`` and ``next_clear_us`` (W5's first half)."""
     a = actions.withColumn("__is_clear", F.lit(0)).withColumn("__tag", F.lit(1))
     c = (clears.select("robot", "ts_us").withColumn("__is_clear", F.lit(1)).withColumn("__tag", F.lit(0)))
     ev = a.unionByName(c, allowMissingColumns=True)
@@ -132,11 +149,55 @@ def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str]
                 .select(F.col("robot").alias("__crobot"), (F.col("segment_id") - 1).alias("__cseg"),
                         F.col(order[0]).alias("next_clear_us")))
     acts = ev.filter(F.col("__is_clear") == 0).drop("__is_clear", "__tag")
-    acts = acts.join(numbered, (acts["robot"] == numbered["__crobot"]) & (acts["segment_id"] == numbered["__cseg"]),
+    return acts.join(numbered, (acts["robot"] == numbered["__crobot"]) & (acts["segment_id"] == numbered["__cseg"]),
                      "left").drop("__crobot", "__cseg")
-    tl = execution_timeline(acts, keys=("robot", "segment_id"), order=order, start="segment_start_us",
-                            chunk_us=chunk_us)
-    return tl.withColumn("dropped", F.coalesce(F.col("g_us") >= F.col("next_clear_us"), F.lit(False)))
+
+
+def execute_with_clears(actions: DataFrame, clears: DataFrame, velocity_limit: float = DEFAULT_VELOCITY_LIMIT,
+                        order: Sequence[str] = QUEUE_ORDER, chunk_us: int | None = HOUR_US) -> DataFrame:
+    """W1 + W2 + W3 under queue clears: a command that a clear removed never becomes the last position.
+
+    ``actions`` as for ``step_velocity``, ``clears`` as for ``motion_segments``.
+    The queue is first in, first out, so the commands that run before a clear
+    are a prefix of their segment. A command therefore compares with its
+    predecessor on its arm if that is in the same segment, else with the last
+    command of earlier segments that ran. Only the latter depends on what was
+    removed; passes repeat until the removed set is stable.
+    Pass ``t`` is right for the first ``t`` segments of every robot, so the
+    stable set is the true one; there is no limit on passes. Each pass is
+    checkpointed (``spark.checkpoint.dir``), so this operator runs jobs when it
+    is called.
+
+    Returns the action rows with the columns of W1, W2, W3 and W5. For
+    ``dropped`` rows these say what would have happened without the clear.
+    """
+    keys = ["robot", "arm"]
+    # the scans below read their input several times; the actions are worked out once
+    actions, clears = cut_lineage(actions), cut_lineage(clears)
+    df, ch = with_chunk(cut_at_clears(actions, clears, order, chunk_us), order[0], chunk_us)
+    df = chunked_lag(df.withColumn("__here", F.struct("segment_id", "position")), keys, ch, list(order), "__here", "__prev")
+    same = F.coalesce(F.col("__prev.segment_id") == F.col("segment_id"), F.lit(False))
+    df = df.withColumn("last_position", F.when(same, F.col("__prev.position"))).withColumn("__first", ~same)
+    cur = cut_lineage(df.drop("__here", "__prev", *([ch] if ch else []))).withColumn("__was", F.lit(False))
+    names = cur.columns
+    while True:
+        done = cut_lineage(_pass_under_clears(cur, keys, velocity_limit, order, chunk_us))
+        if done.filter(F.col("dropped") != F.col("__was")).isEmpty():
+            return done.drop("__was", "__first")
+        cur = done.withColumn("__was", F.col("dropped")).select(*names)
+
+
+def _pass_under_clears(df: DataFrame, keys: list[str], velocity_limit: float, order: Sequence[str],
+                       chunk_us: int | None) -> DataFrame:
+    """Only an arm's first command of a segment looks back further: one row of each arm and segment is joined."""
+    ran = df.groupBy(*keys, "segment_id").agg(
+        F.max_by("position", F.when(~F.col("__was"), F.struct(*order))).alias("__ran"))
+    ahead = Window.partitionBy(*keys).orderBy("segment_id").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ran.select(*keys, "segment_id", F.last("__ran", ignorenulls=True).over(ahead).alias("__before"))
+    first = (df.filter("__first").join(carry, [*keys, "segment_id"], "left")
+             .withColumn("last_position", F.col("__before")).drop("__before"))
+    df = first.unionByName(df.filter("not __first"))
+    return _segment_timeline(retime_actions(_with_velocity(df), velocity_limit), order, chunk_us)
 
 
 def _queued(commands: DataFrame) -> Column:

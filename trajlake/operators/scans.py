@@ -51,6 +51,21 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def attach_by_chunk(df: DataFrame, per_key: DataFrame, key: str, chunk: str | None,
+                    log: DataFrame | None = None) -> DataFrame:
+    """Inner-join one row per key to a log in which one key may hold most rows.
+
+    The log's distinct ``(key, chunk)`` pairs (combined map-side) get the key's
+    row first; the log then joins on ``(key, chunk)``, so a hot key's rows are
+    spread over its chunks. The pairs are one small row per key and chunk.
+    ``log``: a cheaper frame that holds the pairs of ``df`` (its source).
+    """
+    if chunk is None:
+        return df.join(per_key, key)
+    pairs = (df if log is None else log).select(key, chunk).distinct().join(per_key, key)
+    return df.join(pairs, [key, chunk])
+
+
 _FNS = {"sum": F.sum, "max": F.max, "min": F.min}
 
 

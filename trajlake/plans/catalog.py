@@ -22,6 +22,7 @@ from trajlake.operators import observations as ob
 from trajlake.operators.policy import ScaledStatePolicy, score_policy
 from trajlake.plans import derived as dv
 from trajlake.schemas import spec_for_join
+from trajlake.session import checkpoint_folder
 from trajlake.sources.jobs import flatten_job_collection
 from trajlake.sources.observations import deserialize_observation, serialize_observation
 from trajlake.sources.runlog import parse_run_log
@@ -125,6 +126,18 @@ def q_motion_segments(spark: SparkSession, sf: str) -> DataFrame:
                       "g_us", "e_us", "dropped")
 
 
+def _executed_segments(spark: SparkSession, sf: str) -> DataFrame:
+    checkpoint_folder(spark)
+    clears = act.clear_events(dv.action_requests(spark, sf), spec_for_join(spark))
+    return mo.execute_with_clears(_executable(spark, sf), clears, VELOCITY_LIMIT, chunk_us=ACTION_CHUNK_US)
+
+
+def q_execution_with_clears(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 + W2 + W3 + W5 as the worker runs them: removed commands never become the last position."""
+    ran = [F.when(~F.col("dropped"), F.col(c)).alias(c) for c in ("period_us", "g_us", "e_us")]
+    return _executed_segments(spark, sf).select("request_id", "seq", "robot", "segment_id", "dropped", *ran)
+
+
 def q_asof_position(spark: SparkSession, sf: str) -> DataFrame:
     """Current command at each request's observation instant."""
     obs = dv.request_observations(dv.action_requests(spark, sf))
@@ -162,6 +175,7 @@ QUERIES: dict[str, Query] = {
     "retime_actions": q_retime_actions,
     "execution_timeline": q_execution_timeline,
     "motion_segments": q_motion_segments,
+    "execution_with_clears": q_execution_with_clears,
     "asof_position": q_asof_position,
     "execution_timeline_events": q_execution_timeline_events,
     "pending_backlog": q_pending_backlog,
@@ -208,13 +222,13 @@ def q_ready_queue(spark: SparkSession, sf: str) -> DataFrame:
 def q_await_running_outcome(spark: SparkSession, sf: str) -> DataFrame:
     """W8 with a 12 h limit, waits starting at each job's first ready poll."""
     polls = dv.job_polls(spark, sf)
-    return jb.await_running_outcome(polls, dv.job_starts(polls), timeout_s=WAIT_TIMEOUT_S)
+    return jb.await_running_outcome(polls, dv.job_starts(polls), timeout_s=WAIT_TIMEOUT_S, chunk_us=EVENT_CHUNK_US)
 
 
 def q_job_run_summary(spark: SparkSession, sf: str) -> DataFrame:
     """A7 with a one day max wait."""
     return jb.job_run_summary(dv.job_run_log(spark, sf), dv.job_starts(dv.job_polls(spark, sf)),
-                              max_wait_s=RUN_MAX_WAIT_S)
+                              max_wait_s=RUN_MAX_WAIT_S, chunk_us=EVENT_CHUNK_US)
 
 
 def q_first_device_assignment(spark: SparkSession, sf: str) -> DataFrame:

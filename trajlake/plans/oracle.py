@@ -266,6 +266,44 @@ SELECT request_id, seq, robot, CAST(segment_id AS BIGINT) AS segment_id, segment
 FROM s2
 """
 
+# The worker's loop, one row of each robot at a time: only commands that ran become the last position.
+ORACLE["execution_with_clears"] = _with(_REQUESTS).replace("WITH ", "WITH RECURSIVE ", 1) + """
+, clears AS (
+  SELECT DISTINCT robot, ts_us FROM validated WHERE quarantine_reason = 'bad_arity'
+), acts AS (
+  SELECT e.robot, e.request_id, e.seq, e.ts_us, e.duration_us, e.arm, e.position,
+         (SELECT count(*) FROM clears c WHERE c.robot = e.robot AND c.ts_us <= e.ts_us) AS segment_id,
+         (SELECT max(c.ts_us) FROM clears c WHERE c.robot = e.robot AND c.ts_us <= e.ts_us) AS segment_start_us,
+         (SELECT min(c.ts_us) FROM clears c WHERE c.robot = e.robot AND c.ts_us > e.ts_us) AS next_clear_us,
+         row_number() OVER (PARTITION BY robot ORDER BY ts_us, request_id, seq) AS n
+  FROM executable e
+), worker AS (
+  SELECT DISTINCT robot, CAST(0 AS BIGINT) AS n, CAST(-1 AS BIGINT) AS segment_id, CAST(NULL AS VARCHAR) AS request_id,
+         CAST(NULL AS INTEGER) AS seq, CAST(NULL AS DOUBLE[]) AS ran, CAST(NULL AS DOUBLE[]) AS prev,
+         CAST(NULL AS BIGINT) AS period_us, CAST(NULL AS BIGINT) AS g_us, CAST(NULL AS BIGINT) AS e_us, false AS dropped
+  FROM acts
+  UNION ALL
+  SELECT robot, n, segment_id, request_id, seq, CASE WHEN dropped THEN ran ELSE position END, position, period_us, g_us, e_us, dropped
+  FROM (SELECT *, coalesce(g_us >= next_clear_us, false) AS dropped
+  FROM (SELECT *, greatest(ts_us, e_prev) AS g_us, greatest(ts_us, e_prev + period_us) AS e_us
+  FROM (SELECT *, CAST(CASE WHEN max_abs > 10.0 THEN round(CAST(duration_us AS DOUBLE) * max_abs_no_gripper / 10.0)
+                            ELSE CAST(duration_us AS DOUBLE) END AS BIGINT) AS period_us
+  FROM (SELECT *, list_max(list_transform(velocity, lambda x: abs(x))) AS max_abs,
+               list_max(list_transform(
+                 CASE WHEN arm = 'both' THEN list_concat(list_slice(velocity, 1, len(velocity) // 2 - 1),
+                                                         list_slice(velocity, len(velocity) // 2 + 1, len(velocity) - 1))
+                      ELSE list_slice(velocity, 1, len(velocity) - 1) END, lambda x: abs(x))) AS max_abs_no_gripper
+  FROM (SELECT *, list_transform(list_zip(position, last0), lambda z: (z[1] - z[2]) / (duration_us / 1e6)) AS velocity
+  FROM (SELECT a.*, w.ran, CASE WHEN w.segment_id = a.segment_id THEN w.e_us ELSE a.segment_start_us END AS e_prev,
+               coalesce(CASE WHEN w.segment_id = a.segment_id THEN w.prev ELSE w.ran END,
+                        list_transform(a.position, lambda x: 0.0)) AS last0
+        FROM worker w JOIN acts a ON a.robot = w.robot AND a.n = w.n + 1))))))
+)
+SELECT request_id, seq, robot, segment_id, dropped, CASE WHEN NOT dropped THEN period_us END AS period_us,
+       CASE WHEN NOT dropped THEN g_us END AS g_us, CASE WHEN NOT dropped THEN e_us END AS e_us
+FROM worker WHERE n > 0
+"""
+
 ORACLE["asof_position"] = _with(_REQUESTS) + """
 , obs AS (
   SELECT request_id AS obs_id, robot, arm, ts_us + 10000 AS t_us FROM req_checked WHERE action_type IS NOT NULL

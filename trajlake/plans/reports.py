@@ -15,23 +15,10 @@ from pyspark.sql import functions as F
 
 from trajlake.operators import actions as act
 from trajlake.operators import motion as mo
+from trajlake.operators.lineage import cut_lineage
 from trajlake.schemas import DEFAULT_VELOCITY_LIMIT
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's ``spark.checkpoint.dir``.
-
-    The folder must be shared storage named by the cluster; it is never made
-    up here.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
-    spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def action_timeline(requests: DataFrame, spec: DataFrame, velocity_limit: float = DEFAULT_VELOCITY_LIMIT,
                     chunk_us: int = mo.HOUR_US) -> DataFrame:
     """Executable actions with velocity, period and queue times (C1 -> C2 -> W1 -> W2 -> W3)."""
@@ -47,7 +34,8 @@ def write_action_reports(spark: SparkSession, requests: DataFrame, spec: DataFra
     ``observations(obs_id, robot, arm, t_us)``) ``backlog`` and ``positions`` as
     parquet tables under ``out_dir``. ``motion_clears(robot, ts_us, kind)`` are
     start/end/stop-motion events added to the arity-error clears.
-    Returns table name -> path."""
+    ``timeline`` is the plan as queued; the summary, segments, backlog and
+    positions follow queue clears. Returns table name -> path."""
     paths: dict[str, str] = {}
 
     def write(name: str, df: DataFrame) -> None:
@@ -58,21 +46,23 @@ def write_action_reports(spark: SparkSession, requests: DataFrame, spec: DataFra
     write("outcomes", act.batch_outcome(requests, spec))
     timeline = cut_lineage(action_timeline(requests, spec, velocity_limit, chunk_us))
     write("timeline", timeline.drop("velocity"))
-    write("robot_summary", timeline.groupBy("robot").agg(
-        F.count(F.lit(1)).alias("n_actions"), F.max("max_abs").alias("max_velocity"),
-        F.count_if("retimed").alias("n_retimed"), (F.sum("busy_us") / 1e6).alias("busy_s"),
-        (F.sum("gap_us") / 1e6).alias("idle_s")))
     clears = act.clear_events(requests, spec)
     if motion_clears is not None:
         clears = clears.unionByName(motion_clears.select("robot", "ts_us", "kind"))
-    seg_input = timeline.drop("e_us", "g_us", "prev_end_us", "overrun", "wait_us", "busy_us", "gap_us", "velocity")
-    segments = mo.motion_segments(seg_input, clears, chunk_us=chunk_us)
+    executable = timeline.drop("e_us", "g_us", "prev_end_us", "overrun", "wait_us", "busy_us", "gap_us", "velocity",
+                               "last_position", "shape_mismatch", "max_abs", "max_abs_no_gripper", "retimed", "period_us")
+    # checkpointed by its last pass, so the tables below read it as it is
+    segments = mo.execute_with_clears(executable, clears, velocity_limit, chunk_us=chunk_us)
+    # a command cleared before it was dequeued did not run and never became the current position
+    executed = segments.filter(~F.col("dropped"))
+    write("robot_summary", executed.groupBy("robot").agg(
+        F.count(F.lit(1)).alias("n_actions"), F.max("max_abs").alias("max_velocity"),
+        F.count_if("retimed").alias("n_retimed"), (F.sum("busy_us") / 1e6).alias("busy_s"),
+        (F.sum("gap_us") / 1e6).alias("idle_s")))
     write("segments", segments.select("robot", "request_id", "seq", "segment_id", "segment_start_us",
                                       "next_clear_us", "g_us", "e_us", "dropped"))
     if observations is not None:
         # queue length with clears: a cleared action leaves the queue at the clear
         write("backlog", mo.pending_backlog(segments, observations, chunk_us=chunk_us))
-        # a command cleared before it was dequeued never becomes the current position
-        executed = segments.filter(~F.col("dropped"))
         write("positions", mo.asof_position(executed, observations, chunk_us=chunk_us))
     return paths

@@ -8,6 +8,8 @@ folder is the one that the cluster names in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -34,3 +36,14 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; a scratch folder where none is named on one machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
+        folder = tempfile.mkdtemp(prefix="trajlake-checkpoints-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
