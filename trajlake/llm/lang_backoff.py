@@ -29,6 +29,8 @@ UNKNOWN = "und"
 EVIDENCE = 40
 #: Distinct entries that a task counts before it passes them on.
 _HELD = 200_000
+#: Shares that a language's entries are dealt to before its most frequent ones are picked.
+_SHARES = 64
 #: Distinct unseen words whose scores a task remembers.
 _MEMO = 200_000
 
@@ -139,9 +141,16 @@ def _logs(rows: list, key: str, langs: list[str], totals: dict[str, int]) -> dic
 
 
 def _most(df: DataFrame, by: list[str], entry: str, most: int) -> DataFrame:
-    """The most frequent entries of each group, ties by the entry itself; tasks cut their share before the shuffle."""
-    w = Window.partitionBy(*by).orderBy(F.desc("n"), entry)
-    return df.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).drop("place")
+    """The most frequent entries of each group, ties by the entry itself.
+
+    Each of ``_SHARES`` shares of a group is cut first, so that the task of a
+    group reads ``_SHARES * most`` rows at the most however many words it has.
+    """
+    def first(rows: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(F.desc("n"), entry)
+        return rows.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).drop("place")
+
+    return first(first(df.withColumn("share", F.pmod(F.xxhash64(entry), F.lit(_SHARES))), [*by, "share"]).drop("share"), by)
 
 
 def learn(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
