@@ -21,8 +21,9 @@ from trajlake.operators import motion as mo
 from trajlake.operators import observations as ob
 from trajlake.operators.policy import ScaledStatePolicy, score_policy
 from trajlake.plans import derived as dv
-from trajlake.schemas import spec_for_join
+from trajlake.schemas import robot_spec, spec_for_join
 from trajlake.session import checkpoint_folder
+from trajlake.sources import episodes as ep
 from trajlake.sources.jobs import flatten_job_collection
 from trajlake.sources.observations import deserialize_observation, serialize_observation
 from trajlake.sources.runlog import parse_run_log
@@ -400,3 +401,58 @@ QUERIES.update({
     "serialize_observation": q_serialize_observation,
     "score_policy": q_score_policy,
 })
+
+
+# ---------------------------------------------------------------------------
+# Recorded episodes (documents)
+# ---------------------------------------------------------------------------
+
+
+def q_episode_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 over metadata files, a few of them cut off."""
+    return ep.parse_episode_meta(dv.episode_meta_files(spark, sf))
+
+
+def _state_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return ep.split_state_lines(dv.state_files(spark, sf))
+
+
+def q_read_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of every state file; the fields of corrupt lines are left out."""
+    ok = [F.when(~F.col("corrupt"), c).alias(n) for n, c in (
+        ("joint_len", array_len("joint_positions")), ("joint_sum", array_round_sum("joint_positions")),
+        ("gripper", F.col("gripper")), ("gripper_width", F.col("gripper_width")),
+        ("rpy_len", array_len("ee_pose_rpy")), ("effector_len", array_len("end_effector_pose")), ("positions_len", array_len("ee_positions")))]
+    return _state_lines(spark, sf).select("episode_dir", "file", "frame_idx", "corrupt", *ok)
+
+
+def q_normalize_states(spark: SparkSession, sf: str) -> DataFrame:
+    """S3 over the lines that parse, with the spec attached."""
+    lines = ep.enrich_with_spec(_state_lines(spark, sf).filter("not corrupt"), robot_spec(spark))
+    return ep.normalize_states(lines).select("episode_dir", "frame_idx", "robot", "arm", array_len("joint").alias("joint_len"), "gripper",
+                                             array_len("pose").alias("pose_len"), "joint_len_ok", "pose_len_ok")
+
+
+def q_camera_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Camera slots of every episode and the listed videos that fill them."""
+    return ep.join_camera_files(dv.video_files(spark, sf), dv.recorded_episodes(spark, sf), robot_spec(spark))
+
+
+def q_enrich_with_spec(spark: SparkSession, sf: str) -> DataFrame:
+    """The spec of every episode's robot, unknown robots marked."""
+    return ep.enrich_with_spec(dv.recorded_episodes(spark, sf), robot_spec(spark))
+
+
+def q_unknown_robots(spark: SparkSession, sf: str) -> DataFrame:
+    """Episodes of robots without a spec."""
+    return ep.unknown_robots(dv.recorded_episodes(spark, sf), robot_spec(spark))
+
+
+QUERIES.update({
+    "episode_catalog": q_episode_catalog,
+    "read_states": q_read_states,
+    "normalize_states": q_normalize_states,
+    "camera_manifest": q_camera_manifest,
+    "enrich_with_spec": q_enrich_with_spec,
+    "unknown_robots": q_unknown_robots,
+})

@@ -230,6 +230,83 @@ def arm_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
         joint.alias("joint"), (F.col("turn") / 10.0).alias("gripper"), pose.alias("pose"))
 
 
+# ---------------------------------------------------------------------------
+# Recorded episodes (from documents)
+# ---------------------------------------------------------------------------
+# doc_id % 5; the last has no spec row.
+ROBOTS_RECORDED = ["aloha", "arx5", "ur5", "franka", "gen9"]
+GRIPPER_KEYS = ["gripper", "gripper_width", "gripper", "gripper_width", "gripper"]
+POSE_KEYS = ["ee_pose_rpy", "end_effector_pose", "ee_positions", "ee_positions", "ee_positions"]
+VIDEO_FILES = [["cam_wrist_left_rgb.mp4", "cam_wrist_right_rgb.mp4", "cam_high_rgb.mp4"],
+               ["arm_realsense_rgb.mp4", "global_realsense_rgb.mp4", "right_realsense_rgb.mp4"],
+               ["handeye_realsense_rgb.mp4", "global_realsense_rgb.mp4", "depth.mp4"],
+               ["handeye_realsense_rgb.mp4", "main_realsense_rgb.mp4", "side_realsense_rgb.mp4"],
+               ["cam_high_rgb.mp4", "depth.mp4", "side_realsense_rgb.mp4"]]
+
+
+def _episode_dir() -> Column:
+    """/rec/2025-0<1 + doc_id % 9>/task <doc_id % 7>+a%20/data/episode_E<doc_id>."""
+    return F.concat(F.lit("/rec/2025-0"), (1 + F.col("doc_id") % 9).cast("string"), F.lit("/task "),
+                    (F.col("doc_id") % 7).cast("string"), F.lit("+a%20/data/episode_E"), F.col("doc_id").cast("string"))
+
+
+def recorded_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(episode_dir, robot) of one episode per document."""
+    return table(spark, sf_dir, "documents").select(_episode_dir().alias("episode_dir"),
+                                                    _pick(ROBOTS_RECORDED, F.col("doc_id") % 5).alias("robot"))
+
+
+def episode_meta_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata files (path, body): frames = n_chars; both spellings of the index key; doc_id % 11 = 4 is cut off."""
+    n, d = F.col("n_chars"), F.col("doc_id")
+    key = F.when(d % 2 == 0, F.lit("episode_index")).otherwise(F.lit("episode_idx"))
+    whole = F.concat(F.lit('{"'), key, F.lit('": '), (d * 3).cast("string"), F.lit(', "start_time": '), d.cast("string"),
+                     F.lit('.25,\n "end_time": '), (d + n).cast("string"), F.lit('.5, "frames": '), n.cast("string"), F.lit("}"))
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("file:"), _episode_dir(), F.lit("/meta/episode_meta.json")).alias("path"),
+        F.when(d % 11 == 4, F.lit('{"frames": ')).otherwise(whole).alias("body"))
+
+
+def state_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State logs (path, body, robot): the words of a text, split at blanks, are the lines.
+
+    A word of n characters gives a line with 6 + n % 2 joints of value n, the
+    gripper n (under the wrong key when n % 7 = 3) and a pose of 6 + n % 2
+    values (16 when n % 3 = 0); n = 0 a blank line; n % 13 = 12 a cut-off one.
+    A two-arm robot's file is the left arm's for even doc_id, else the right's.
+    Texts of even doc_id end in a newline.
+    """
+    r, d = F.col("doc_id") % 5, F.col("doc_id")
+    grip, pose = _pick(GRIPPER_KEYS, r), _pick(POSE_KEYS, r)
+
+    def line(w: Column) -> Column:
+        n = F.length(w)
+        text = n.cast("string")
+
+        def values(count: Column) -> Column:
+            return F.concat(F.lit("["), F.array_join(F.array_repeat(text, count), ","), F.lit("]"))
+
+        whole = F.concat(F.lit('{"joint_positions": '), values(6 + n % 2), F.lit(', "'),
+                         F.when(n % 7 == 3, F.lit("grip")).otherwise(grip), F.lit('": '), text, F.lit(', "'), pose, F.lit('": '),
+                         values(F.when(n % 3 == 0, 16).otherwise(6 + n % 2)), F.lit("}"))
+        return F.when(n == 0, F.lit("")).when(n % 13 == 12, F.concat(F.lit('{"joint_positions": ['), text)).otherwise(whole)
+
+    name = F.when(r != 0, F.lit("states.jsonl")).when(d % 2 == 0, F.lit("left_states.jsonl")).otherwise(F.lit("right_states.jsonl"))
+    body = F.concat(F.array_join(F.transform(F.split("text", " "), line), "\n"), F.when(d % 2 == 0, F.lit("\n")).otherwise(F.lit("")))
+    return table(spark, sf_dir, "documents").select(
+        F.concat(_episode_dir(), F.lit("/states/"), name).alias("path"), body.alias("body"),
+        _pick(ROBOTS_RECORDED, r).alias("robot"))
+
+
+def video_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed videos (path, length, modified): three names of the robot; name i is missing when (doc_id + i) % 4 = 3."""
+    names = F.element_at(F.array(*[F.array(*[F.lit(x) for x in v]) for v in VIDEO_FILES]), (F.col("doc_id") % 5 + 1).cast("int"))
+    d = F.col("doc_id")
+    files = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(names).alias("i", "name")).filter((d + F.col("i")) % 4 != 3)
+    return files.select(F.concat(F.lit("file:"), _episode_dir(), F.lit("/videos/"), "name").alias("path"),
+                        (d * 10 + F.col("i")).alias("length"), d.alias("modified"))
+
+
 def with_ordinals(streams: DataFrame, turn_chunk: int = 4096) -> DataFrame:
     """0-based frame index per (episode, arm) in turn order: a running count,
     computed chunked (``turn div turn_chunk``) so a long stream is not one task."""

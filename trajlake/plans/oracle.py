@@ -738,3 +738,83 @@ SELECT robot, count(*) AS n_actions, round(max(max_abs), 6) AS max_velocity,
        round(sum(busy_us) / 1e6, 6) AS busy_s, round(sum(gap_us) / 1e6, 6) AS idle_s
 FROM timeline GROUP BY robot
 """
+
+# --- recorded episodes (documents): what the files say, without writing or parsing them ---
+_EPISODES = """
+WITH eps AS (
+  SELECT *, '/rec/2025-0' || CAST(1 + doc_id % 9 AS VARCHAR) || '/task ' || CAST(doc_id % 7 AS VARCHAR) || '+a%20/data/episode_E'
+            || CAST(doc_id AS VARCHAR) AS episode_dir,
+         ['aloha','arx5','ur5','franka','gen9'][doc_id % 5 + 1] AS robot
+  FROM documents
+),
+spec(robot, arms, dof_num, pos_num, gripper_key, pose_key) AS (VALUES
+  ('aloha', 2, 6, 16, 'gripper', 'ee_pose_rpy'), ('arx5', 1, 6, 6, 'gripper_width', 'end_effector_pose'),
+  ('ur5', 1, 6, 6, 'gripper', 'ee_positions'), ('franka', 1, 7, 7, 'gripper_width', 'ee_positions'))
+"""
+_STATE_ROWS = _EPISODES + """,
+words AS (
+  SELECT episode_dir, robot, doc_id, unnest(string_split(text, ' ')) AS w, unnest(range(len(string_split(text, ' ')))) AS frame_idx,
+         len(string_split(text, ' ')) AS n_words
+  FROM eps WHERE text IS NOT NULL
+),
+lines AS (
+  SELECT episode_dir, robot, doc_id, frame_idx, length(w) AS n, length(w) = 0 OR length(w) % 13 = 12 AS corrupt,
+         CASE WHEN robot <> 'aloha' THEN 'states.jsonl' WHEN doc_id % 2 = 0 THEN 'left_states.jsonl' ELSE 'right_states.jsonl' END AS file,
+         CAST(6 + length(w) % 2 AS INTEGER) AS joints,
+         CAST(CASE WHEN length(w) % 3 = 0 THEN 16 ELSE 6 + length(w) % 2 END AS INTEGER) AS poses,
+         CASE WHEN length(w) % 7 = 3 THEN NULL ELSE CAST(length(w) AS DOUBLE) END AS grip
+  FROM words WHERE NOT (frame_idx = n_words - 1 AND length(w) = 0 AND doc_id % 2 = 1)
+)
+"""
+
+ORACLE["episode_catalog"] = _EPISODES + """
+SELECT episode_dir, '2025-0' || CAST(1 + doc_id % 9 AS VARCHAR) AS date, 'task ' || CAST(doc_id % 7 AS VARCHAR) || '+a%20' AS task,
+       'E' || CAST(doc_id AS VARCHAR) AS episode_id,
+       CASE WHEN doc_id % 11 <> 4 AND n_chars IS NOT NULL THEN doc_id * 3 END AS episode_index,
+       CASE WHEN doc_id % 11 <> 4 AND n_chars IS NOT NULL THEN CAST(doc_id AS DOUBLE) + 0.25::DOUBLE END AS start_time,
+       CASE WHEN doc_id % 11 <> 4 THEN CAST(doc_id + n_chars AS DOUBLE) + 0.5::DOUBLE END AS end_time,
+       CASE WHEN doc_id % 11 <> 4 THEN n_chars END AS frames
+FROM eps
+"""
+
+ORACLE["read_states"] = _STATE_ROWS + """
+SELECT episode_dir, file, frame_idx, corrupt,
+       CASE WHEN NOT corrupt THEN joints END AS joint_len,
+       CASE WHEN NOT corrupt THEN CAST(joints * n AS DOUBLE) END AS joint_sum,
+       CASE WHEN NOT corrupt AND robot IN ('aloha', 'ur5', 'gen9') THEN grip END AS gripper,
+       CASE WHEN NOT corrupt AND robot IN ('arx5', 'franka') THEN grip END AS gripper_width,
+       CASE WHEN NOT corrupt AND robot = 'aloha' THEN poses END AS rpy_len,
+       CASE WHEN NOT corrupt AND robot = 'arx5' THEN poses END AS effector_len,
+       CASE WHEN NOT corrupt AND robot IN ('ur5', 'franka', 'gen9') THEN poses END AS positions_len
+FROM lines
+"""
+
+ORACLE["normalize_states"] = _STATE_ROWS + """
+SELECT episode_dir, frame_idx, robot, CASE WHEN starts_with(file, 'right_') THEN 'right' ELSE 'left' END AS arm,
+       joints AS joint_len, CASE WHEN dof_num IS NOT NULL THEN grip END AS gripper,
+       CASE WHEN dof_num IS NOT NULL THEN poses END AS pose_len, joints = dof_num AS joint_len_ok, poses = pos_num AS pose_len_ok
+FROM lines LEFT JOIN spec USING (robot) WHERE NOT corrupt
+"""
+
+ORACLE["camera_manifest"] = _EPISODES + """,
+slots(robot, i, slot, file) AS (VALUES
+  ('aloha', 0, 'left_hand', 'cam_wrist_left_rgb.mp4'), ('aloha', 1, 'right_hand', 'cam_wrist_right_rgb.mp4'), ('aloha', 2, 'high', 'cam_high_rgb.mp4'),
+  ('arx5', 0, 'left_hand', 'arm_realsense_rgb.mp4'), ('arx5', 1, 'right_hand', 'global_realsense_rgb.mp4'), ('arx5', 2, 'high', 'right_realsense_rgb.mp4'),
+  ('ur5', 0, 'left_hand', 'handeye_realsense_rgb.mp4'), ('ur5', 1, 'right_hand', 'global_realsense_rgb.mp4'),
+  ('franka', 0, 'left_hand', 'handeye_realsense_rgb.mp4'), ('franka', 1, 'right_hand', 'main_realsense_rgb.mp4'),
+  ('franka', 2, 'high', 'side_realsense_rgb.mp4'))
+SELECT episode_dir, file, robot, slot,
+       CASE WHEN (doc_id + i) % 4 <> 3 THEN 'file:' || episode_dir || '/videos/' || file END AS path,
+       CASE WHEN (doc_id + i) % 4 <> 3 THEN doc_id * 10 + i END AS length,
+       CASE WHEN (doc_id + i) % 4 <> 3 THEN doc_id END AS modified
+FROM eps JOIN slots USING (robot)
+"""
+
+ORACLE["enrich_with_spec"] = _EPISODES + """
+SELECT episode_dir, robot, arms, dof_num, pos_num, gripper_key, pose_key, dof_num IS NULL AS unknown_robot
+FROM eps LEFT JOIN spec USING (robot)
+"""
+
+ORACLE["unknown_robots"] = _EPISODES + """
+SELECT episode_dir, robot FROM eps WHERE robot = 'gen9'
+"""

@@ -2,7 +2,10 @@
 
 Layout: ``<root>/<date>/<task>/data/episode_<id>/{meta/episode_meta.json,
 states/*.jsonl, videos/*.mp4}``. Every reader passes a declared schema and
-takes its location columns from ``_metadata.file_path``.
+takes its location columns from the file's path. The readers only list and
+read files; what they do with paths and texts are the DataFrame forms
+``parse_episode_meta``, ``split_state_lines`` and ``join_camera_files``, which
+also work on paths and texts that are stored in a table.
 """
 
 from __future__ import annotations
@@ -17,12 +20,14 @@ from trajlake.schemas import CAMERA_SLOTS, EPISODE_META_SCHEMA, STATE_LINE_SCHEM
 PATH_PATTERN = r"^(.*)/([^/]+)/([^/]+)/data/episode_([^/]+)/(meta|states|videos)/([^/]+)$"
 
 
-def _path_parts(path: F.Column, encoded: bool = False) -> dict[str, F.Column]:
+def _decoded_path() -> F.Column:
+    # _metadata.file_path is percent-encoded, binaryFile.path is not; a plus sign stands for itself.
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _path_parts(path: F.Column) -> dict[str, F.Column]:
     # Readers spell local URIs differently (file:/x vs file:///x); keep one form.
     path = F.regexp_replace(path, r"^file:/+", "/")
-    # _metadata.file_path is percent-encoded, binaryFile.path is not; a plus sign stands for itself.
-    if encoded:
-        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return {
         "date": F.regexp_extract(path, PATH_PATTERN, 2),
         "task": F.regexp_extract(path, PATH_PATTERN, 3),
@@ -41,10 +46,18 @@ def episode_catalog(spark: SparkSession, root: str) -> DataFrame:
     path is not the index (``episode_FFFFFF`` may hold index 80). The index
     key drifted between recordings (``episode_index`` / ``episode_idx``).
     """
-    df = (spark.read.schema(EPISODE_META_SCHEMA).option("multiLine", True)
-          .json(f"{root.rstrip('/')}/*/*/data/*/meta/episode_meta.json")
-          .select("*", F.col("_metadata.file_path").alias("__path")))
-    p = _path_parts(F.col("__path"), encoded=True)
+    return parse_episode_meta(spark.read.text(f"{root.rstrip('/')}/*/*/data/*/meta/episode_meta.json", wholetext=True)
+                              .select(_decoded_path().alias("path"), F.col("value").alias("body")))
+
+
+def parse_episode_meta(metas: DataFrame, path: str = "path", body: str = "body") -> DataFrame:
+    """S1 on rows: the catalog of episodes from each metadata file's ``path`` (not percent-encoded) and JSON text.
+
+    A text that is null or does not parse leaves the episode in the catalog
+    with null metadata.
+    """
+    df = metas.select(F.col(path).alias("__path"), F.from_json(F.col(body), EPISODE_META_SCHEMA).alias("__m")).select("__path", "__m.*")
+    p = _path_parts(F.col("__path"))
     return df.select(p["episode_dir"].alias("episode_dir"), p["date"].alias("date"), p["task"].alias("task"),
                      p["episode_id"].alias("episode_id"),
                      F.coalesce("episode_index", "episode_idx").alias("episode_index"),
@@ -72,8 +85,8 @@ def read_states(spark: SparkSession, root: str, pattern: str = "*/*/data/*/state
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     if index_field:
         raw = spark.read.text(base).select(F.col("value").alias("line"),
-                                           F.col("_metadata.file_path").alias("__path"))
-        p = _path_parts(F.col("__path"), encoded=True)
+                                           _decoded_path().alias("__path"))
+        p = _path_parts(F.col("__path"))
         lines = raw.select(p["episode_dir"].alias("episode_dir"),
                                                          p["file"].alias("file"), "line")
         parsed = lines.withColumn("__s", F.from_json(F.col("line"), schema, opts))
@@ -81,18 +94,27 @@ def read_states(spark: SparkSession, root: str, pattern: str = "*/*/data/*/state
                 .withColumn("corrupt", F.col("__s._corrupt_record").isNotNull() | F.col("frame_idx").isNull())
                 .select("episode_dir", "file", "frame_idx", "corrupt", "__s.*")
                 .drop("_corrupt_record", index_field))
-    raw = (spark.read.text(base, wholetext=True)
-           .select("value", F.col("_metadata.file_path").alias("__path")))
-    p = _path_parts(F.col("__path"), encoded=True)
-    lines = raw.select(p["episode_dir"].alias("episode_dir"), p["file"].alias("file"),
-                       F.posexplode(F.split("value", "\n")).alias("frame_idx", "line"),
-                       F.size(F.split("value", "\n")).alias("__n"))
-    lines = lines.filter(~((F.col("frame_idx") == F.col("__n") - 1) & (F.col("line") == ""))).drop("__n")
-    parsed = F.from_json(F.col("line"), schema, opts)
-    return (lines.withColumn("__s", parsed)
+    return split_state_lines(spark.read.text(base, wholetext=True)
+                             .select(_decoded_path().alias("path"), F.col("value").alias("body")))
+
+
+def split_state_lines(texts: DataFrame, path: str = "path", body: str = "body") -> DataFrame:
+    """S2 on rows: each state file's ``path`` (not percent-encoded) and whole text -> one row per line.
+
+    Other columns of ``texts`` stay on every line. A null text has no lines.
+    """
+    rest = [c for c in texts.columns if c not in (path, body)]
+    fields = list(STATE_LINE_SCHEMA.fields) + [T.StructField("_corrupt_record", T.StringType(), True)]
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    p = _path_parts(F.col(path))
+    # the generator's input is split once a file; an expression beside it would be worked out once a line
+    split = F.when(F.col(body) != "", F.split(F.regexp_replace(body, r"\n\z", ""), "\n"))
+    lines = texts.select(*rest, p["episode_dir"].alias("episode_dir"), p["file"].alias("file"),
+                         F.posexplode(split).alias("frame_idx", "line"))
+    return (lines.withColumn("__s", F.from_json(F.col("line"), T.StructType(fields), opts))
             .withColumn("corrupt", F.col("__s").isNull() | F.col("__s._corrupt_record").isNotNull()
                         | (F.trim(F.col("line")) == ""))
-            .select("episode_dir", "file", F.col("frame_idx").cast("bigint").alias("frame_idx"), "corrupt", "__s.*")
+            .select(*rest, "episode_dir", "file", F.col("frame_idx").cast("bigint").alias("frame_idx"), "corrupt", "__s.*")
             .drop("_corrupt_record"))
 
 
@@ -152,9 +174,13 @@ def camera_manifest(spark: SparkSession, root: str, episodes: DataFrame, spec: D
     A missing file gives a null ``path``.
     """
     files = (spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*/data/*/videos/*.mp4")
-             .select("path", "length", "modificationTime"))
+             .select("path", "length", F.col("modificationTime").alias("modified")))
+    return join_camera_files(files, episodes, spec)
+
+
+def join_camera_files(files: DataFrame, episodes: DataFrame, spec: DataFrame) -> DataFrame:
+    """S4 on rows: ``files(path, length, modified)`` put into the camera slots of ``episodes(episode_dir, robot)``."""
     p = _path_parts(F.col("path"))
-    files = files.select(p["episode_dir"].alias("episode_dir"), p["file"].alias("file"), "path", "length",
-                         F.col("modificationTime").alias("modified"))
+    files = files.select(p["episode_dir"].alias("episode_dir"), p["file"].alias("file"), "path", "length", "modified")
     expected = episodes.select("episode_dir", "robot").join(F.broadcast(camera_slots(spec)), "robot")
     return expected.join(files, ["episode_dir", "file"], "left")
