@@ -298,6 +298,27 @@ def test_disguises_map_back_to_the_source(text, kind, part):
     assert not base and [(k, text[a:b]) for a, k, b in more] == [(kind, part)]
 
 
+@pytest.mark.parametrize(("text", "kind"), [
+    ("4111–1111–1111–1111", "card"), ("4242\xa04242\xa04242\xa04242", "card"), ("+49\xa030\xa01234567890", "phone"), ("+१ (४१५) ५५५-२६७१", "phone"),
+    ("plus 49 30 1234567890", "phone"), ("+ 4 nine 30 1234567890", "phone"), ("+49 30 12345 six seven", "phone"),
+])
+def test_every_rewriting_rule_applies_alone(text, kind):
+    assert pii_transducer.detect(text) == ([], [(0, kind, len(text))])
+
+
+def test_passes_left_out_change_nothing(monkeypatch):
+    rng = random.Random(17)
+    parts = [*"\xa0–‑−﹫。․\u200b\xadаο４٣१𝟕", "one", "Vier", "huit", "oh", "dot", "punkt", "plus", "más", "at", "[at]", "(dot)", "+", "1", "25", "4242", "joe", "x.org", "@", ".", "-", ",", "é"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", " ", "-", "."]) for _ in range(rng.randint(1, 30))) for _ in range(20000)]
+    got = [pii_transducer.detect(t) for t in texts]
+    for name in ("_SAYS_DOT", "_SAYS_RUN"):
+        monkeypatch.setattr(pii_transducer, name, re.compile(""))
+    assert [pii_transducer.detect(t) for t in texts] == got
+    every = map(chr, [*range(0xD800), *range(0xE000, 0x110000)])
+    assert {c: n for c in every if (n := pii_transducer._plain(c)) != c} == pii_transducer._WRITTEN
+    assert sum(len(more) for _, more in got) > 100
+
+
 def test_clean_prose_stays_clean():
     for text in ("We look at one of the two dots at home.", "meet at noon dot. One two three go", "a (dot) on the map", "at the point of the plan", "1 2 3 4 5"):
         assert pii_transducer.detect(text) == ([], [])

@@ -97,11 +97,13 @@ _BRACKETED = re.compile(rf"\s?[\[({{<]\s?(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.))\
 _BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:\s(?:{_DOT})\s[A-Za-z0-9_%+-]+)?(?:\s(?:{_AT})\s|@)[A-Za-z0-9-]+(?:(?:\s(?:{_DOT})\s|\.)[A-Za-z0-9-]+)*\s(?:{_DOT})\s[A-Za-z]{{2,}}(?![A-Za-z0-9])", re.I)
 _BARE_SIGN = re.compile(rf"\s(?:(?P<at>{_AT})|(?P<dot>{_DOT}))\s", re.I)
 _TOKEN = rf"(?:{_NAMES}|[0-9]+|{_DOT}|{_PLUS}|\+)"
-_RUN = re.compile(rf"(?<!\w)(?:{_TOKEN}(?:{_GAP}|(?<=\+)|(?=\.[0-9])\.))*(?:{_NAMES}|[0-9]+|{_DOT})(?!\w)", re.I)
+_NEXT = rf"(?:{_GAP}|(?<=\+)|(?=\.[0-9])\.)"
+# Pluses that no digit follows are taken as one match (which changes nothing), so that the scan stays linear.
+_RUN = re.compile(rf"(?<!\w)(?:(?:{_TOKEN}{_NEXT})*(?:{_NAMES}|[0-9]+|{_DOT})(?!\w)|(?:(?:{_PLUS}|\+){_NEXT})++)", re.I)
 _IN_RUN = re.compile(rf"(?P<name>{_NAMES})|(?P<digits>[0-9]+)|(?P<dot>{_DOT})|(?P<plus>{_PLUS}|\+)", re.I)
-# What makes a text worth rewriting at all.
-_ODD = re.compile("[\xadͰ-ԯ​-‍  ⁠‐-‒−․。٠-٩۰-۹﹫﻿！-～\U0001d400-\U0001d7ff]")
-_SAYS = re.compile(rf"[\[({{<]\s?(?:{_AT}|{_DOT}|@|\.)\s?[\])}}>]|\s(?:{_DOT})\s|\b(?:{_NAMES}){_GAP}(?:{_NAMES}|[0-9]+){_GAP}(?:{_NAMES}|[0-9]+)\b", re.I)
+# What every match of _BARE holds, and what every run of _RUN holds that is rewritten: a word beside another token.
+_SAYS_DOT = re.compile(rf"\s(?:{_DOT})\s", re.I)
+_SAYS_RUN = re.compile(rf"(?<!\w)(?:{_NAMES}|{_DOT}|{_PLUS}){_NEXT}{_TOKEN}|(?:[0-9]{_NEXT}|\+{_GAP}?)(?:{_NAMES}|{_DOT}|{_PLUS})(?!\w)", re.I)
 
 
 def _plain(c: str) -> str:
@@ -122,14 +124,20 @@ def _plain(c: str) -> str:
     return c
 
 
+# Every character that is written as another, by the rules above; all of them lie below U+20000.
+_WRITTEN = {c: n for c in map(chr, range(0x80, 0x20000)) if (n := _plain(c)) != c}
+
+
 class Tape:
     """Text under rewriting: each character with the source span it stands for."""
 
     def __init__(self, text: str):
-        self.text, self.first, self.last = text, list(range(len(text))), list(range(1, len(text) + 1))
+        self.text, self.first, self.last = text, range(len(text)), range(1, len(text) + 1)
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Replace spans (in order, apart from each other); new characters stand for the whole span replaced."""
+        if not edits:
+            return
         text, first, last, at = [], [], [], 0
         for a, b, new in edits:
             text.append(self.text[at:a])
@@ -140,19 +148,22 @@ class Tape:
             last += [self.last[b - 1]] * len(new)
             at = b
         text.append(self.text[at:])
-        self.first = first + self.first[at:]
-        self.last = last + self.last[at:]
+        self.first = [*first, *self.first[at:]]
+        self.last = [*last, *self.last[at:]]
         self.text = "".join(text)
 
 
 def deobfuscate(text: str) -> Tape:
     """Three passes: characters, at and dot signs, spelled digits."""
     tape = Tape(text)
-    if _ODD.search(text):
-        tape.rewrite([(i, i + 1, n) for i, c in enumerate(text) if not c.isascii() and (n := _plain(c)) != c])
+    if not (text.isascii() or _WRITTEN.keys().isdisjoint(text)):
+        tape.rewrite([(i, i + 1, _WRITTEN[c]) for i, c in enumerate(text) if c in _WRITTEN])
     tape.rewrite([(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(tape.text)])
-    tape.rewrite([(m.start() + s.start(), m.start() + s.end(), "@" if s["at"] else ".")
-                  for m in _BARE.finditer(tape.text) for s in _BARE_SIGN.finditer(m[0])])
+    if _SAYS_DOT.search(tape.text):
+        tape.rewrite([(m.start() + s.start(), m.start() + s.end(), "@" if s["at"] else ".")
+                      for m in _BARE.finditer(tape.text) for s in _BARE_SIGN.finditer(m[0])])
+    if not _SAYS_RUN.search(tape.text):
+        return tape
     edits = []
     for m in _RUN.finditer(tape.text):
         tokens = list(_IN_RUN.finditer(tape.text, m.start(), m.end()))
@@ -176,8 +187,6 @@ def deobfuscate(text: str) -> Tape:
 def detect(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
     """Plain spans of ``text``, and the further spans that deobfuscation shows."""
     base = find_spans(text)
-    if not (_ODD.search(text) or _SAYS.search(text)):
-        return base, []
     tape = deobfuscate(text)
     if tape.text == text:
         return base, []
