@@ -159,6 +159,21 @@ def test_word_coder_equals_library():
         assert np.frombuffer(raw, coder.kind).tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_equal_untouched_library(spark):
+    from tokenizers import Tokenizer
+
+    path = llm.tokenizer_path()
+    lib = Tokenizer.from_file(path)
+    texts = ["end <|endoftext|> of", "<|startoftext|>a<|endoftext|>", "END <|ENDOFTEXT|> of", "é 日本 <|endoftext|>", "<|endoftext|", "plain text", "x<|endoftext|><|endoftext|>y"]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    coder = token_rans.WordCoder(path)
+    assert [np.frombuffer(raw, coder.kind).tolist() for raw in coder.encode(texts)] == want
+    assert want[0] == [806, 49407, 539]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in token_rans.encode_documents(docs, path, llm.END_ID).collect()}
+    assert got == {i: [*ids, llm.END_ID] for i, ids in enumerate(want)}
+
+
 def brute_tokens(rows):
     from tokenizers import Tokenizer
 

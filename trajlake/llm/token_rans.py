@@ -170,8 +170,8 @@ class WordCoder:
     """Token ids of whole texts, word by word: a word seen before is not coded again.
 
     The vocabulary's pre-tokenizer cuts a text into pieces that are coded
-    independently. So the ids of a text are those of its pieces in a row. Texts outside the plain ranges go to
-    the library whole. Memory is bounded: two generations of ``CACHE_WORDS``.
+    independently. So the ids of a text are those of its pieces in a row. Texts outside the plain ranges, and
+    texts that may hold an added token, go to the library whole. Memory is bounded: two generations of ``CACHE_WORDS``.
     """
 
     def __init__(self, path: str):
@@ -179,7 +179,6 @@ class WordCoder:
 
         one_thread()
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True   # the special tokens' strings in a text are ordinary text
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.kind = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
         self.letter = "H" if self.kind.itemsize == 2 else "I"
@@ -187,6 +186,10 @@ class WordCoder:
         normal = str(type(self.tok.normalizer).__name__), str(type(self.tok.pre_tokenizer).__name__)
         spec = self.tok.to_str()
         self.by_word = normal == ("Sequence", "Sequence") and "[\\\\p{L}]+|[\\\\p{N}]|" in spec and '"ByteLevel","add_prefix_space":false' in spec and '"end_of_word_suffix":"</w>"' in spec
+        # Added tokens are found in the raw or in the normalised text; every such text holds one of these lower-cased.
+        added = {t.content.lower() for t in self.tok.get_added_tokens_decoder().values()}
+        self.by_word = self.by_word and not any(_NOT_PLAIN.search(a) or re.search(r"\s", a) for a in added)
+        self.added = sorted(added - {""})
         self.pieces = re.compile(_PIECES)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -210,7 +213,11 @@ class WordCoder:
             if _NOT_PLAIN.search(text):
                 out.append(self._raw(text))
                 continue
-            words = self.pieces.findall(text.lower())
+            low = text.lower()
+            if any(a in low for a in self.added):
+                out.append(self._raw(text))
+                continue
+            words = self.pieces.findall(low)
             new, old = self.new, self.old
             try:
                 out.append(b"".join(map(new.__getitem__, words)))
