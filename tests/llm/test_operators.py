@@ -353,6 +353,25 @@ def test_pii_query(spark, odd, none):
 
 # ---------------------------------------------------------------- 5 language, 6 quality
 
+def test_language_bounds_change_nothing(spark, odd, none):
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate([
+        ("alpha " * 9 + "beta gamma", "a"), ("beta " * 8 + "alpha alpha delta", "b"), ("gamma delta epsilon zeta", "b"), ("zeta omega alphabet", None), ("beta", None), ("xyz 12", None)])],
+        "doc_id long, text string, lang string").coalesce(2)
+    for frame in (docs, odd):
+        whole, cut = lang_backoff.learn(frame), lang_backoff.learn(frame, 1, 2)
+        assert whole.rest is None and cut.rest is not None
+        assert all((cut.table[i] == whole.table[whole.index[w]]).all() for w, i in cut.index.items())   # counts in every language
+        want, got = ({r["uid"]: r for r in lang_backoff.identify(frame, m).collect()} for m in (whole, cut))
+        assert want.keys() == got.keys()
+        for uid, r in want.items():
+            assert (r["doc_id"], r["lang_pred"]) == (got[uid]["doc_id"], got[uid]["lang_pred"])
+            assert abs(r["score"] - got[uid]["score"]) < 1e-9
+        kept = [sorted(map(str, lang_backoff.drop_unidentified(frame, m, 0.6).collect())) for m in (whole, cut)]
+        assert kept[0] == kept[1]
+        assert lang_backoff.drop_unidentified(frame, cut).columns == frame.columns
+    assert lang_backoff.identify(none, cut).count() == 0
+
+
 def test_language_held_out(spark, odd, none):
     got = {r["doc_id"]: r for r in llm.op5_word_backoff_language(spark, SF01).collect()}
     rows = documents(spark, SF01).collect()

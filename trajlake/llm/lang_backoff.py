@@ -3,6 +3,11 @@
 A word that the model knows scores by its log frequency in each language. Any
 other word is scored by its character 4-grams that the model knows; if it has
 none of those, by its 3-grams, then 2-grams, then characters.
+
+Tasks hold the most frequent words and n-grams with their counts in every
+language. Where there are more, the other words of a text are looked up by
+joins on distinct words and n-grams, so that no entry counts as unseen that was
+counted, and results do not depend on the bounds.
 """
 
 from __future__ import annotations
@@ -16,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajlake.llm.shared import stage, with_uid
+from trajlake.llm.shared import free_name, stage, with_uid
 
-#: Bounds of the model, which is what tasks get: the most frequent words and n-grams of each language.
+#: Bounds of what tasks get of the model, the rest is looked up by joins: the most frequent words and n-grams of each language.
 WORDS = 30_000
 GRAMS = 10_000
 #: Languages that one model can tell apart; more are an error, so that the bounds above bound the model.
@@ -88,15 +93,26 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Log frequencies by language of the words and n-grams that are known."""
+    """Log frequencies by language of the words and n-grams that tasks hold, and the frames to look up the others in."""
 
-    def __init__(self, langs: list[str], words: dict[str, list[float]], grams: list[dict[str, list[float]]]):
+    def __init__(self, langs: list[str], words: dict[str, list[float]], grams: list[dict[str, list[float]]],
+                 bases: list[list[float]] | None = None, rest: tuple[DataFrame, DataFrame] | None = None):
         self.langs = langs
         self.index = {w: i for i, w in enumerate(words)}
         self.table = np.array(list(words.values()), np.float64).reshape(len(words), len(langs))
         self.grams = [{g: np.array(v) for g, v in level.items()} for level in grams]   # of 1, 2, ... characters
         self.memo: dict[str, np.ndarray] = {}
         self.none = np.zeros(len(langs))
+        self.bases = bases   # what frequencies are divided by in each language, of words and of 1, 2, ... characters
+        self.rest = rest     # counted words and n-grams; None if tasks hold them all
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "rest": None, "memo": {}}
+
+    def logs(self, counts: list[dict], k: int) -> np.ndarray:
+        """Log frequencies of a looked up word (``k`` 0) or n-gram from its counts."""
+        n = {c["lang"]: c["n"] for c in counts}
+        return np.log((np.array([n.get(lang, 0) for lang in self.langs]) + 0.5) / np.array(self.bases[k]))
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean over the longest known n-grams of an unseen word; nothing known says nothing."""
@@ -114,30 +130,55 @@ class Model:
             self.memo[word] = got
         return got
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and its probability; ``und`` without a letter or without a model."""
+    def looked_up(self, word: str, found: list[dict]) -> np.ndarray:
+        """``unseen`` with the word's n-grams that were found beside those held."""
+        extra = {f["gram"]: self.logs(f["counts"], f["k"]) for f in found}   # n-grams of different lengths differ
+        for k in range(ORDER, 0, -1):
+            level = self.grams[k - 1]
+            known = [level[g] if g in level else extra[g] for g in grams_of(word, k) if g in level or g in extra]
+            if known:
+                return np.mean(known, axis=0)
+        return self.none
+
+    def split(self, text: str | None) -> tuple[int, np.ndarray, Counter]:
+        """Words of a text (0 if it is ``und``), the sum over those held, and the others."""
         words = words_of(text)
         if not self.langs or not any(c.isalpha() for w in words for c in w):
-            return UNKNOWN, 0.0
+            return 0, self.none, Counter()
         at = [self.index.get(w, -1) for w in words]
         known = np.array(at, np.int64)
-        total = self.table[known[known >= 0]].sum(0) if len(self.index) else self.none.copy()
-        for w, n in Counter(w for w, i in zip(words, at, strict=True) if i < 0).items():
-            total = total + n * self.unseen(w)
-        total = total * (min(len(words), EVIDENCE) / len(words))
+        total = self.table[known[known >= 0]].sum(0) if len(self.index) else self.none
+        return len(words), total, Counter(w for w, i in zip(words, at, strict=True) if i < 0)
+
+    def decide(self, n: int, total: np.ndarray) -> tuple[str, float]:
+        """Language and its probability from the sum over ``n`` words."""
+        if not n:
+            return UNKNOWN, 0.0
+        total = total * (min(n, EVIDENCE) / n)
         p = np.exp(total - total.max())
         p /= p.sum()
         best = int(p.argmax())
         return self.langs[best], float(p[best])
 
+    def predict(self, text: str | None) -> tuple[str, float]:
+        """Language and its probability; ``und`` without a letter or without a model. Only if tasks hold all entries."""
+        n, total, other = self.split(text)
+        for w, times in other.items():
+            total = total + times * self.unseen(w)
+        return self.decide(n, total)
+
+
+def _base(langs: list[str], totals: dict[str, int], size: int) -> list[float]:
+    """What smoothed frequencies are divided by: entries counted in each language, and half for each distinct one of ``size``."""
+    return [totals.get(lang, 0) + 0.5 * size + 0.5 for lang in langs]
+
 
-def _logs(rows: list, key: str, langs: list[str], totals: dict[str, int]) -> dict[str, list[float]]:
-    """Smoothed log frequency of each entry in every language, from the counts of the entries kept."""
+def _logs(rows: list, key: str, langs: list[str], base: list[float]) -> dict[str, list[float]]:
+    """Smoothed log frequency of each entry in every language."""
     counts: dict[str, dict[str, int]] = {}
     for r in rows:
         counts.setdefault(r[key], {})[r["lang"]] = r["n"]
-    size = len(counts)
-    return {w: [float(np.log((c.get(lang, 0) + 0.5) / (totals.get(lang, 0) + 0.5 * size + 0.5))) for lang in langs] for w, c in sorted(counts.items())}
+    return {w: [float(np.log((c.get(lang, 0) + 0.5) / b)) for lang, b in zip(langs, base, strict=True)] for w, c in sorted(counts.items())}
 
 
 def _most(df: DataFrame, by: list[str], entry: str, most: int) -> DataFrame:
@@ -156,9 +197,9 @@ def _most(df: DataFrame, by: list[str], entry: str, most: int) -> DataFrame:
 def learn(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
     """Fit a model to ``text`` and non-null ``lang`` of all rows of ``docs``.
 
-    Counts cover all rows. The model keeps the most frequent ``words`` and, of
-    each length, ``grams`` of every language, which bounds what the driver
-    collects; other words are scored by their n-grams.
+    Counts cover all rows. The driver collects, with their counts in all
+    languages, the most frequent ``words`` and, of each length, ``grams`` of
+    every language; the others stay in frames that ``identify`` looks them up in.
     """
     counted = stage(docs.select("lang", "text").where("lang is not null and text is not null")
                     .mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -166,17 +207,75 @@ def learn(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
     if len(totals) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     langs = sorted(totals)
-    known = _most(counted, ["lang"], "word", words).collect()
+    known = counted.join(_most(counted, ["lang"], "word", words).select("word").distinct(), "word", "left_semi").collect()
     by_gram = stage(counted.mapInArrow(_count_grams, "lang string, k int, gram string, n long").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")))
     gram_totals: dict[int, dict[str, int]] = {}
     for r in by_gram.groupBy("k", "lang").agg(F.sum("n").alias("n")).collect():
         gram_totals.setdefault(r["k"], {})[r["lang"]] = r["n"]
+    sizes = {r["k"]: r["n"] for r in by_gram.select("k", "gram").distinct().groupBy("k").agg(F.count("*").alias("n")).collect()}
+    sizes[0] = counted.select("word").distinct().count()
     levels: list[list] = [[] for _ in range(ORDER)]
-    for r in _most(by_gram, ["lang", "k"], "gram", grams).collect():
+    for r in by_gram.join(_most(by_gram, ["lang", "k"], "gram", grams).select("k", "gram").distinct(), ["k", "gram"], "left_semi").collect():
         levels[r["k"] - 1].append(r)
+    bases = [_base(langs, gram_totals.get(k, {}) if k else totals, sizes.get(k, 0)) for k in range(ORDER + 1)]
     # A word counts as one observation however it is scored: n-gram logs are means over a word.
-    return Model(langs, _logs(known, "word", langs, totals),
-                 [_logs(level, "gram", langs, gram_totals.get(k + 1, {})) for k, level in enumerate(levels)])
+    held = _logs(known, "word", langs, bases[0])
+    held_grams = [_logs(level, "gram", langs, bases[k]) for k, level in enumerate(levels, 1)]
+    every = len(held) == sizes[0] and all(len(g) == sizes.get(k, 0) for k, g in enumerate(held_grams, 1))
+    return Model(langs, held, held_grams, bases, None if every else (counted, by_gram))
+
+
+def _split(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        got = [model.split(t.as_py()) for t in b.column("text")]
+        yield pa.RecordBatch.from_arrays([
+            b.column("uid"), b.column("doc_id"), pa.array([n for n, _, _ in got], pa.int64()), pa.array([t.tolist() for _, t, _ in got], pa.list_(pa.float64())),
+            pa.array([list(c) for _, _, c in got], pa.list_(pa.string())), pa.array([list(c.values()) for _, _, c in got], pa.list_(pa.int64()))],
+            ["uid", "doc_id", "n_words", "total", "words", "times"])
+
+
+def _other_grams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """n-grams of words that tasks do not hold."""
+    for b in batches:
+        rows = [(w, k, g) for w in b.column("word").to_pylist() for k in range(1, ORDER + 1) for g in dict.fromkeys(grams_of(w, k)) if g not in model.grams[k - 1]]
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string()), strict=True)], ["word", "k", "gram"])
+
+
+def _entries(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        got = [(model.logs(counts, 0) if counts else model.looked_up(w, found or [])).tolist()
+               for w, counts, found in zip(b.column("word").to_pylist(), b.column("counts").to_pylist(), b.column("found").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(got, pa.list_(pa.float64()))], ["word", "logs"])
+
+
+def _decide(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        got = []
+        for n, total, found in zip(b.column("n_words").to_pylist(), b.column("total").to_pylist(), b.column("found").to_pylist(), strict=True):
+            total = np.array(total)
+            for f in sorted(found or [], key=lambda f: f["word"]):   # one order, whatever the shuffle's
+                total = total + f["times"] * np.array(f["logs"])
+            got.append(model.decide(n, total))
+        yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("doc_id"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
+                                         ["uid", "doc_id", "lang_pred", "score"])
+
+
+def _look_up(rows: DataFrame, model: Model) -> DataFrame:
+    """Predictions for ``rows`` (uid, doc_id, text) by a model of which tasks hold a part."""
+    counted, by_gram = model.rest
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    split = stage(rows.mapInArrow(lambda b: _split(b, shared.value), "uid long, doc_id long, n_words long, total array<double>, words array<string>, times array<long>"))
+    other = split.select("uid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("uid", "w.words", "w.times").withColumnRenamed("words", "word")
+    counts = F.collect_list(F.struct("lang", "n")).alias("counts")   # one for each language at the most
+    words = stage(other.select("word").distinct().join(counted.groupBy("word").agg(counts), "word", "left"))
+    found = (words.where("counts is null").select("word").mapInArrow(lambda b: _other_grams(b, shared.value), "word string, k int, gram string")
+             .join(by_gram.groupBy("k", "gram").agg(counts), ["k", "gram"])
+             .groupBy("word").agg(F.collect_list(F.struct("k", "gram", "counts")).alias("found")))
+    entries = words.join(found, "word", "left").mapInArrow(lambda b: _entries(b, shared.value), "word string, logs array<double>")
+    of_text = other.join(entries, "word").groupBy("uid").agg(F.collect_list(F.struct("word", "times", "logs")).alias("found"))
+    return (split.select("uid", "doc_id", "n_words", "total").join(of_text, "uid", "left")
+            .mapInArrow(lambda b: _decide(b, shared.value), "uid long, doc_id long, lang_pred string, score double"))
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -205,12 +304,20 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     in code point order; repeated rows are predicted each; an empty table gives
     an empty result.
     """
+    rows = with_uid(docs, "uid").select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if model.rest:
+        return _look_up(rows, model)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return (with_uid(docs, "uid").select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(lambda b: _predict(b, shared.value), "uid long, doc_id long, lang_pred string, score double"))
+    return rows.mapInArrow(lambda b: _predict(b, shared.value), "uid long, doc_id long, lang_pred string, score double")
 
 
 def drop_unidentified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """``docs`` without rows whose language is ``und`` or less probable than ``least``; nothing is shuffled."""
+    """``docs`` without rows whose language is ``und`` or less probable than ``least``; a table scan, as rows are told apart by place."""
+    if model.rest:
+        uid = free_name(docs, "uid")
+        placed = with_uid(docs, uid)
+        got = _look_up(placed.select(F.col(uid).alias("uid"), F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), model)
+        kept = got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(F.col("uid").alias(uid))
+        return placed.join(kept, uid, "left_semi").select(*docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(lambda b: _accept(b, shared.value, least), docs.schema)
