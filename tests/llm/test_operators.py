@@ -152,13 +152,28 @@ def test_word_coder_equals_library():
 
     path = llm.tokenizer_path()
     lib = Tokenizer.from_file(path)
-    lib.encode_special_tokens = True
     coder = token_rans.WordCoder(path)
     texts = ["", " ", "it's WE'LL 'S don't", "İstanbul ΑΣ ς é é a\x1cb \xa0x ½²3 日本語 <|endoftext|>", "a'sb's''s !!'s%%'t", "a\x85b c　d\x00", "x" * 3000]
     for text, raw in zip(texts, coder.encode(texts), strict=True):
         assert np.frombuffer(raw, coder.kind).tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
+def test_word_coder_equals_library_on_every_plain_letter():
+    """Each code point up to the end of the plain ranges: alone, doubled, and beside letters, digits and signs."""
+    from tokenizers import Tokenizer
+
+    path = llm.tokenizer_path()
+    lib = Tokenizer.from_file(path)
+    coder = token_rans.WordCoder(path)
+    letters = [chr(c) for c in [*range(0x2070), 0x3000, 0x1F600]]
+    rng = random.Random(5)
+    texts = [t for c in letters for t in (c, c + c, f"a{c}b", f"3{c}4", f"A{c}, {c}'s x")]
+    texts += ["".join(rng.choice([*letters[:0x250], " ", "\n"]) for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    want = lib.encode_batch(texts, add_special_tokens=False)
+    for text, raw, e in zip(texts, coder.encode(texts), want, strict=True):
+        assert np.frombuffer(raw, coder.kind).tolist() == e.ids, repr(text)
+
+
 def test_added_tokens_equal_untouched_library(spark):
     from tokenizers import Tokenizer
 
@@ -178,7 +193,6 @@ def brute_tokens(rows):
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(llm.tokenizer_path())
-    lib.encode_special_tokens = True
     out, start = [], 0
     for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = [*lib.encode(text or "", add_special_tokens=False).ids, llm.END_ID]

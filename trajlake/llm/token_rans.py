@@ -160,17 +160,30 @@ _LETTERS, _NUMBERS = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
 _PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\x09-\x0d {_LETTERS}{_NUMBERS}]+"
 # Texts in these ranges are the same before and after NFC, and lower-casing them is per character.
 _NOT_PLAIN = re.compile(r"[^\x09-\x0d\x20-\x7e\xa1-įı-ɏ‐-‧‰-⁞]")
+_PLAIN_ASCII = bytes([*range(9, 14), *range(32, 127)])
 # The vocabulary spells the bytes of a piece as letters: visible ones stand for themselves, the others follow from 256 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 _state: dict = {}
 
 
+def _plain(text: str) -> str | None:
+    """The text lower-cased, if it and its lower case are in the plain ranges."""
+    if text.isascii():
+        return None if text.encode().translate(None, _PLAIN_ASCII) else text.lower()
+    if _NOT_PLAIN.search(text):
+        return None
+    low = text.lower()   # some letters of the plain ranges have lower cases outside them
+    return None if _NOT_PLAIN.search(low) else low
+
+
 class WordCoder:
     """Token ids of whole texts, word by word: a word seen before is not coded again.
 
     The vocabulary's pre-tokenizer cuts a text into pieces that are coded
-    independently. So the ids of a text are those of its pieces in a row. Texts outside the plain ranges, and
+    independently and hold no white space. So the ids of a text are those of its
+    words (runs without white space) in a row, and the ids of a word those of
+    its pieces. Texts outside the plain ranges, before or after lower-casing, and
     texts that may hold an added token, go to the library whole. Memory is bounded: two generations of ``CACHE_WORDS``.
     """
 
@@ -198,11 +211,11 @@ class WordCoder:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Code pieces with the vocabulary's merges alone: they are normalised and cut already."""
+        """Code the pieces of words with the vocabulary's merges alone: they are normalised already."""
         code, letter = self.tok.model.tokenize, self.letter
         for w in words:
-            got = code(w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(_BYTE_LETTERS))
-            self.new[w] = struct.pack(f"<{len(got)}{letter}", *[t.id for t in got])
+            got = [t.id for p in self.pieces.findall(w) for t in code(p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(_BYTE_LETTERS))]
+            self.new[w] = struct.pack(f"<{len(got)}{letter}", *got)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``kind``."""
@@ -210,14 +223,11 @@ class WordCoder:
             return [np.asarray(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         out = []
         for text in texts:
-            if _NOT_PLAIN.search(text):
-                out.append(self._raw(text))
-                continue
-            low = text.lower()
-            if any(a in low for a in self.added):
+            low = _plain(text)
+            if low is None or any(a in low for a in self.added):
                 out.append(self._raw(text))
                 continue
-            words = self.pieces.findall(low)
+            words = low.split()
             new, old = self.new, self.old
             try:
                 out.append(b"".join(map(new.__getitem__, words)))
