@@ -12,10 +12,13 @@ from trajlake.llm import (
     embed_pstable,
     hyper_shuffle,
     lang_backoff,
+    ngram_trie,
     pii_transducer,
+    pivot_clusters,
     pivotal_mix,
     quality_rff,
     simhash_bits,
+    spectrum_whiten,
     suffix_doubling,
     token_rans,
 )
@@ -98,6 +101,26 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op11_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened leading components of every embedding."""
+    white = spectrum_whiten.whiten(table(spark, sf_dir, "embeddings"))
+    each = white.select("vec_id", "n", F.expr("try_cast(deviation as bigint)").alias("deviation"), "identity_error",
+                        F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "of"))
+    return each.select("vec_id", (F.col("place") + 1).cast("int").alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error")
+
+
+def op12_ptolemaic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and distance of every embedding of 64 components."""
+    placed = pivot_clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return placed.select("vec_id", "cluster", "distance", F.col("cluster_inertia").cast("long").alias("cluster_inertia"),
+                         F.col("inertia").cast("long").alias("inertia"), "centroid_sha256")
+
+
+def op13_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document, learned from six folds of seven."""
+    return ngram_trie.score_documents(table(spark, sf_dir, "documents"), lang_backoff.fold(F.col("doc_id"), 7) != 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
     "op2_rans_token_files": op2_rans_token_files,
@@ -109,7 +132,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_prefix_doubling": op8_prefix_doubling,
     "op9_pstable_neighbours": op9_pstable_neighbours,
     "op10_pivotal_mix": op10_pivotal_mix,
+    "op11_spectrum_whitening": op11_spectrum_whitening,
+    "op12_ptolemaic_clusters": op12_ptolemaic_clusters,
+    "op13_trie_scores": op13_trie_scores,
 }
 
+
+def _clusters_sql(clusters: int, rounds: int) -> str:
+    """The clustering without pivots: every distance, round by round."""
+    parts = [f"""kept as (
+  select row_number() over () as rid, vec_id, list_transform(embedding, lambda c: floor(64 * c::double)::bigint) as v
+  from embeddings where len(embedding) = 64 and list_bool_and(list_transform(embedding, lambda c: coalesce(isfinite(c::double) and abs(floor(64 * c::double)) <= {1 << 27}, false)))),
+c0 as (select (row_number() over (order by h, rid) - 1)::int as k, v as c
+  from (select rid, v, sha256('1:' || coalesce(vec_id::varchar, '')) as h from kept order by h, rid limit {clusters}))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} as (
+  select rid, any_value(vec_id) as vec_id, any_value(v) as v, min(d * {clusters} + k) as m from (
+    select rid, vec_id, v, k, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::hugeint as d from kept, c{r}) group by rid)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} as (
+  select k, list(x order by i) as c from (
+    select k, i, ((s - ((s % n) + n) % n) // n)::bigint as x from (
+      select (m % {clusters})::int as k, i, sum(x) as s, count(*) as n from (
+        select m, unnest(v) as x, generate_subscripts(v, 1) as i from a{r}) group by 1, 2)) group by k
+  union all select k, c from c{r} where k not in (select (m % {clusters})::int from a{r}))""")
+    return "with " + ", ".join(parts) + f"""
+select vec_id, c{rounds}.k as cluster, (m // {clusters})::bigint as distance, sum((m // {clusters})::bigint) over (partition by c{rounds}.k)::bigint as cluster_inertia,
+  sum((m // {clusters})::bigint) over ()::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join c{rounds} on c{rounds}.k = (m % {clusters})::int"""
+
+
 #: DuckDB SQL where it can express a query; the others are tested against brute force.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op12_ptolemaic_clusters": _clusters_sql(pivot_clusters.CLUSTERS, pivot_clusters.ROUNDS),
+}
