@@ -93,10 +93,9 @@ class Sequence:
     def successor(self, x: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First place in [start, stop) whose number is at least ``x`` (``stop`` if there is none), and whether it equals ``x``."""
         x = np.asarray(x, U64)
-        h = (x >> U64(self.low_bits)).astype(np.int64)
-        buckets = int(self.zeros[-1])
-        inside = h < buckets
-        h = np.where(inside, h, 0)
+        h = x >> U64(self.low_bits)
+        inside = h < U64(self.zeros[-1])
+        h = np.where(inside, h, U64(0)).astype(np.int64)
         after = np.minimum(self._zero(h) - h, self.n)
         before = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) + 1 - h, 0)
         lo, hi = np.clip(before, start, stop), np.clip(after, start, stop)

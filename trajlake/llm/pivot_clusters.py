@@ -106,7 +106,7 @@ def nearest(y: np.ndarray, to_pivots: np.ndarray, centroids: np.ndarray, pivots:
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows, y = integer_vectors(b.column("vector"))
-        yield pa.RecordBatch.from_arrays([b.column("vec_id").take(pa.array(rows)), pa.array([v.tobytes() for v in y.astype("<i4")], pa.binary())], ["vec_id", "y"])
+        yield pa.RecordBatch.from_arrays([b.column("vec_id").take(pa.array(rows)), pa.array(y.tolist(), pa.list_(pa.int32()))], ["vec_id", "y"])
 
 
 def _cache(batches: Iterator[pa.RecordBatch], pivots: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -169,8 +169,8 @@ def cluster_vectors(vectors: DataFrame, vector: str = "embedding", clusters: int
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     digest = F.sha2(F.concat(F.lit("1:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))).cast("binary"), 256)
-    seeds = rows.mapInArrow(_kept, "vec_id long, y binary").select(digest.alias("digest"), "y").orderBy("digest", "y").limit(clusters).collect()
-    centroids = np.array([np.frombuffer(r["y"], "<i4") for r in seeds], np.int64).reshape(len(seeds), DIMENSIONS)
+    seeds = rows.mapInArrow(_kept, "vec_id long, y array<int>").select(digest.alias("digest"), "y").orderBy("digest", "y").limit(clusters).collect()
+    centroids = np.array([r["y"] for r in seeds], np.int64).reshape(len(seeds), DIMENSIONS)
     if not len(centroids):
         return rows.sparkSession.createDataFrame([], "vec_id long, cluster int, distance long, cluster_inertia decimal(38,0), inertia decimal(38,0), centroid_sha256 string")
     pivots = choose_pivots(centroids)

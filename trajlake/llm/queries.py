@@ -143,8 +143,8 @@ def _clusters_sql(clusters: int, rounds: int) -> str:
     parts = [f"""kept as (
   select row_number() over () as rid, vec_id, list_transform(embedding, lambda c: floor(64 * c::double)::bigint) as v
   from embeddings where len(embedding) = 64 and list_bool_and(list_transform(embedding, lambda c: coalesce(isfinite(c::double) and abs(floor(64 * c::double)) <= {1 << 27}, false)))),
-c0 as (select (row_number() over (order by h, rid) - 1)::int as k, v as c
-  from (select rid, v, sha256('1:' || coalesce(vec_id::varchar, '')) as h from kept order by h, rid limit {clusters}))"""]
+c0 as (select (row_number() over (order by h, v) - 1)::int as k, v as c
+  from (select rid, v, sha256('1:' || coalesce(vec_id::varchar, '')) as h from kept order by h, v limit {clusters}))"""]
     for r in range(rounds + 1):
         parts.append(f"""a{r} as (
   select rid, any_value(vec_id) as vec_id, any_value(v) as v, min(d * {clusters} + k) as m from (
