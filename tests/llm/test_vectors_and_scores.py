@@ -345,23 +345,3 @@ def test_scores_of_nothing(spark):
     got, _ = ngram_trie.fit_and_score(spark.createDataFrame(rows, ODD_SCHEMA), F.col("learn"))
     assert sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got.collect()) == [(1, 3, 0, 0, 0.0, 0.0), (2, 1, 0, 0, 0.0, 0.0)]
 
-
-def test_colliding_words_take_another_seed(spark, monkeypatch):
-    seen = []
-
-    def counter(seed):
-        seen.append(seed)
-
-        def count(t):
-            import pyarrow as pa
-
-            out = ngram_trie.count_words(t, seed)
-            clash = out.column("clashes").to_pylist()
-            return out.set_column(5, "clashes", pa.array([1 if seed == 0 else c for c in clash], pa.int64()))
-        return count
-
-    monkeypatch.setattr(ngram_trie, "_counter", counter)
-    rows = odd_texts()[:30]
-    scores, _ = ngram_trie.fit_and_score(spark.createDataFrame(rows, ODD_SCHEMA), F.col("learn"), 2, 5.0)
-    assert as_counter(scores) == brute_scores([r[:2] for r in rows], [bool(r[4]) for r in rows], 2, 5.0)
-    assert seen == [0, 1]

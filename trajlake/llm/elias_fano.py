@@ -122,7 +122,7 @@ def mapped(raw: bytes) -> mmap.mmap:
 
 
 class Trie:
-    """n-grams of one order: words (64-bit hashes), successors by level, back-off codes of contexts, codes of n-grams."""
+    """n-grams of one order: words (64-bit numbers), successors by level, back-off codes of contexts, codes of n-grams."""
 
     def __init__(self, buffer):
         self.buffer = buffer
@@ -144,7 +144,7 @@ class Trie:
 
     @staticmethod
     def encode(words: np.ndarray, levels: list[np.ndarray], back_off: np.ndarray, codes: np.ndarray) -> bytes:
-        """``words``: rising hashes. ``levels``: for each further word the rising numbers parent * len(words) + word.
+        """``words``: rising numbers. ``levels``: for each further word the rising numbers parent * len(words) + word.
 
         ``back_off`` has a code for each node of the last level but one (of the words if there is one level).
         """
@@ -161,10 +161,10 @@ class Trie:
             above = len(key)
         return b"".join([*out, back_off.astype("<u2").tobytes(), codes.astype("<u2").tobytes()])
 
-    def word(self, hashes: np.ndarray) -> np.ndarray:
-        """Number of each word, -1 if it is not in the trie."""
-        n = len(hashes)
-        place, found = self.words.successor(hashes, np.zeros(n, np.int64), np.full(n, self.words.n, np.int64))
+    def word(self, numbers: np.ndarray) -> np.ndarray:
+        """Place of each word, -1 if it is not in the trie."""
+        n = len(numbers)
+        place, found = self.words.successor(numbers, np.zeros(n, np.int64), np.full(n, self.words.n, np.int64))
         return np.where(found, place, -1)
 
     def child(self, level: int, node: np.ndarray, word: np.ndarray) -> np.ndarray:

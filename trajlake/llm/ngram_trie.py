@@ -23,6 +23,7 @@ from __future__ import annotations
 import struct
 from array import array
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.elias_fano import Sequence, Trie, mapped
+from trajlake.llm.elias_fano import Trie, mapped
 from trajlake.llm.shared import one_thread, text_arrays, write_stage
 
 ORDER = 2
@@ -50,7 +51,7 @@ _U64 = np.uint64
 _MIX = _U64(0x9E3779B97F4A7C15)
 _UNITS = ("unit long, n_tokens long, n_train long, n_words long, doc_ids array<bigint>, train array<boolean>, "
           "sizes array<bigint>, tokens binary, words binary")
-_ANSWERS = "gram int, shard int, unit long, answer binary, known long, clashes long, trie binary"
+_ANSWERS = "gram int, shard int, unit long, answer binary, known long, distinct long, trie binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -111,7 +112,8 @@ def _units(batches: Iterator[pa.RecordBatch], unit_tokens: int) -> Iterator[pa.R
 
     def flush() -> pa.RecordBatch:
         n_train = sum(s for s, t in zip(sizes, train, strict=True) if t)
-        values = (first, len(tokens), n_train, len(ids), docs, train, sizes, tokens.tobytes(), b"\n".join(ids))   # words hold no white space
+        planes = np.frombuffer(tokens.tobytes(), np.uint8).reshape(-1, 4).T.tobytes()   # low bytes first, then higher ones: they pack better
+        values = (first, len(tokens), n_train, len(ids), docs, train, sizes, zstandard.ZstdCompressor(level=3).compress(planes), b"\n".join(ids))   # words hold no white space
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary())
         names = ("unit", "n_tokens", "n_train", "n_words", "doc_ids", "train", "sizes", "tokens", "words")
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], list(names))
@@ -133,14 +135,24 @@ def _units(batches: Iterator[pa.RecordBatch], unit_tokens: int) -> Iterator[pa.R
         yield flush()
 
 
+class Corpus(NamedTuple):
+    """Training tokens, distinct training words, shards of each order, and the number of each word shard's first word."""
+
+    n: int
+    v: int
+    shards: dict[int, int]
+    first: dict[int, int]
+
+
 class _Unit:
     """One unit's tokens and the n-grams in them."""
 
-    def __init__(self, row: dict, seed: int):
+    def __init__(self, row: dict):
         self.words = row["words"].split(b"\n")
-        self.hash = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), _U64, len(self.words))
-        self.tokens = np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
+        self.hash = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words), _U64, len(self.words))
         self.docs, self.sizes = row["doc_ids"], np.array(row["sizes"], np.int64)
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.uint8)
+        self.tokens = planes.reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
         self.train = np.array(row["train"], bool)
         starts = np.cumsum(self.sizes) - self.sizes
         self.place = np.arange(len(self.tokens)) - np.repeat(starts, self.sizes)   # in the document
@@ -151,14 +163,16 @@ class _Unit:
         for s, at in _dealt(self.hash % _U64(shards), shards):
             yield s, pack(b"\n".join(self.words[i] for i in at), counts[at])
 
-    def climb(self, answers: dict[int, dict[int, bytes]], shards: dict[int, int], n: int, v: int, order: int):
+    def climb(self, answers: dict[int, dict[int, bytes]], corpus: Corpus, order: int):
         """Requests of the first order without answers, as (shard, request) pairs, or None; counts of words; codes of tokens."""
-        count = np.zeros(len(self.words), np.int64)
+        shards, count, self.number = corpus.shards, np.zeros(len(self.words), np.int64), np.zeros(len(self.words), _U64)
         for s, at in _dealt(self.hash % _U64(shards[1]), shards[1]):
-            count[at] = unpack(answers[1][s])[0]
+            count[at], rank = unpack(answers[1][s])
+            self.number[at] = (rank + corpus.first[s]).astype(_U64)
         words, known = self.words, count
-        code = code_of((count + 1) / (n + v + 1))[self.tokens]
-        gram, path, digest = self.tokens, np.arange(len(words))[:, None], self.hash
+        self.single = code_of((count + 1) / (corpus.n + corpus.v + 1))
+        code = self.single[self.tokens]
+        gram, path, digest = self.tokens, np.arange(len(words))[:, None], self.number
         for o in range(2, order + 1):
             context = np.concatenate([[0], gram[:-1]])
             if o > 2:
@@ -166,7 +180,7 @@ class _Unit:
             at = np.flatnonzero((context >= 0) & (count[context] > 0))
             key, which = np.unique(context[at] * len(words) + self.tokens[at], return_inverse=True)
             above, word = key // len(words), key % len(words)
-            bucket = self.hash[word] % (1 + count[above] // HOT).astype(_U64)
+            bucket = self.number[word] % (1 + count[above] // HOT).astype(_U64)
             deal = _dealt(_mix(digest[above], bucket) % _U64(shards[o]), shards[o])
             if o not in answers:
                 own = np.bincount(which[self.learn[at]], minlength=len(key))
@@ -181,16 +195,23 @@ class _Unit:
             code[at] = found[which]
             gram = np.full(len(self.tokens), -1, np.int64)
             gram[at] = which
-            path, digest, count = np.concatenate([path[above], word[:, None]], 1), _mix(digest[above], self.hash[word]), total
+            path, digest, count = np.concatenate([path[above], word[:, None]], 1), _mix(digest[above], self.number[word]), total
         return None, known, code
 
     def _request(self, at: np.ndarray, above: np.ndarray, word: np.ndarray, own: np.ndarray, lower: np.ndarray, path: np.ndarray, count: np.ndarray) -> bytes:
-        """Contexts (words, count, number of n-grams here) and n-grams (last word, own count, code by the shorter context)."""
+        """Words (numbers, as steps), contexts (words, count, number of n-grams here) and n-grams (last word, own count), codes by the shorter context.
+
+        After one word the shorter context is none: the codes are one for each word then, else one for each n-gram.
+        """
         starts = np.flatnonzero(np.concatenate([[True], np.diff(above[at]) != 0]))
         contexts = above[at][starts]
-        used, place = np.unique(np.concatenate([path[contexts].ravel(), word[at]]), return_inverse=True)
+        asked = np.concatenate([path[contexts].ravel(), word[at]])
+        used, place = np.unique(self.number[asked], return_inverse=True)
         cut = path.shape[1] * len(contexts)
-        return pack(self.hash[used], place[:cut], count[contexts], np.diff(np.append(starts, len(at))), place[cut:], own[at], lower[at])
+        codes = np.zeros(len(used), np.int64)
+        codes[place] = self.single[asked]
+        return pack(np.diff(used, prepend=_U64(0)), place[:cut], count[contexts], np.diff(np.append(starts, len(at))), place[cut:], own[at],
+                    codes if path.shape[1] == 1 else lower[at])
 
 
 def _dealt(shard: np.ndarray, shards: int) -> list[tuple[int, np.ndarray]]:
@@ -202,39 +223,38 @@ def _dealt(shard: np.ndarray, shards: int) -> list[tuple[int, np.ndarray]]:
 
 # ---------------------------------------------------------------- shards
 
-def _answers(gram: int, shard: int, units: list[int], answers: list[bytes], trie: bytes, known: int = 0, clashes: int = 0) -> pa.Table:
+def _answers(gram: int, shard: int, units: list[int], answers: list[bytes], trie: bytes, known: int = 0, distinct: int = 0) -> pa.Table:
     n = len(units)
     return pa.table([pa.array([gram] * (n + 1), pa.int32()), pa.array([shard] * (n + 1), pa.int32()), pa.array([*units, None], pa.int64()),
-                     pa.array([*answers, None], pa.binary()), pa.array([0] * n + [known], pa.int64()), pa.array([0] * n + [clashes], pa.int64()),
-                     pa.array([None] * n + [trie], pa.binary())], ["gram", "shard", "unit", "answer", "known", "clashes", "trie"])
+                     pa.array([*answers, None], pa.binary()), pa.array([0] * n + [known], pa.int64()), pa.array([0] * n + [distinct], pa.int64()),
+                     pa.array([None] * n + [trie], pa.binary())], ["gram", "shard", "unit", "answer", "known", "distinct", "trie"])
 
 
-def count_words(table: pa.Table, seed: int) -> pa.Table:
-    """One shard of words: counts over all units."""
+def count_words(table: pa.Table) -> pa.Table:
+    """One shard of words: counts over all units, and the words' places by falling count."""
     requests = [(words.split(b"\n"), counts) for words, counts in (unpack(r) for r in table.column("request").to_pylist())]
     total: dict[bytes, int] = {}
     for words, counts in requests:
         for w, c in zip(words, counts.tolist(), strict=True):
             total[w] = total.get(w, 0) + c
-    digests = {xxhash.xxh64_intdigest(w, seed): c for w, c in total.items()}
-    seen = sorted(h for h, c in digests.items() if c)
-    level = Sequence.encode(np.array(seen, _U64)) + np.array([digests[h] for h in seen], np.int64).tobytes()
+    ordered = sorted(total, key=lambda w: (-total[w], w))
+    rank = {w: i for i, w in enumerate(ordered)}
     return _answers(1, table.column("shard")[0].as_py(), table.column("unit").to_pylist(),
-                    [pack(np.fromiter((total[w] for w in words), np.int64, len(words))) for words, _ in requests],
-                    level, sum(c > 0 for c in total.values()), len(total) - len(digests))
+                    [pack(np.fromiter((total[w] for w in words), np.int64, len(words)), np.fromiter((rank[w] for w in words), np.int64, len(words))) for words, _ in requests],
+                    pack(b"\n".join(ordered), np.array([total[w] for w in ordered], np.int64)), sum(c > 0 for c in total.values()), len(total))
 
 
 def build_and_look_up(table: pa.Table, order: int, last: bool, smoothing: float) -> pa.Table:
     """One shard of contexts: add up its n-grams, build its trie, answer every request from it."""
     one_thread()
     requests = [unpack(r) for r in table.column("request").to_pylist()]
-    hashes = [r[0].astype(_U64) for r in requests]
-    words = np.unique(np.concatenate(hashes))
-    v, rank = len(words), [np.searchsorted(words, h) for h in hashes]
+    numbers = [np.cumsum(r[0].astype(_U64)) for r in requests]
+    words = np.unique(np.concatenate(numbers))
+    v, rank = len(words), [np.searchsorted(words, k) for k in numbers]
     path = np.concatenate([k[r[1]].reshape(-1, order - 1) for k, r in zip(rank, requests, strict=True)])
     before, follow = np.concatenate([r[2] for r in requests]).astype(np.int64), np.concatenate([r[3] for r in requests]).astype(np.int64)
     word = np.concatenate([k[r[4]] for k, r in zip(rank, requests, strict=True)])
-    own, lower = np.concatenate([r[5] for r in requests]).astype(np.int64), np.concatenate([r[6] for r in requests])
+    own, lower = np.concatenate([r[5] for r in requests]).astype(np.int64), np.concatenate([r[6][r[4]] if order == 2 else r[6] for r in requests])
 
     node, levels, nodes = path[:, 0], [], v
     for j in range(1, order - 1):
@@ -277,25 +297,25 @@ def _answered(answers: pa.Table) -> dict[int, dict[int, bytes]]:
     return out
 
 
-def _word_requests(batches: Iterator[pa.RecordBatch], shards: int, seed: int) -> Iterator[pa.RecordBatch]:
+def _word_requests(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for row in b.to_pylist():
-            for s, raw in _Unit(row, seed).word_requests(shards):
+            for s, raw in _Unit(row).word_requests(shards):
                 yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([row["unit"]], pa.int64()), pa.array([raw], pa.binary())], ["shard", "unit", "request"])
 
 
-def _requests(units: pa.Table, answers: pa.Table, shards: dict[int, int], n: int, v: int, order: int, seed: int) -> pa.Table:
+def _requests(units: pa.Table, answers: pa.Table, corpus: Corpus, order: int) -> pa.Table:
     row = units.to_pylist()[0]
-    asked, _, _ = _Unit(row, seed).climb(_answered(answers), shards, n, v, order)
+    asked, _, _ = _Unit(row).climb(_answered(answers), corpus, order)
     return pa.table([pa.array([s for s, _ in asked], pa.int32()), pa.array([row["unit"]] * len(asked), pa.int64()), pa.array([raw for _, raw in asked], pa.binary())],
                     ["shard", "unit", "request"])
 
 
-def _score(units: pa.Table, answers: pa.Table, shards: dict[int, int], n: int, v: int, order: int, seed: int) -> pa.Table:
-    unit = _Unit(units.to_pylist()[0], seed)
-    _, count, code = unit.climb(_answered(answers), shards, n, v, order)
-    starts = np.cumsum(unit.sizes) - unit.sizes
-    base = np.log10((count + 1) / (n + v + 1))
+def _score(units: pa.Table, answers: pa.Table, corpus: Corpus, order: int) -> pa.Table:
+    unit = _Unit(units.to_pylist()[0])
+    _, count, code = unit.climb(_answered(answers), corpus, order)
+    starts, n = np.cumsum(unit.sizes) - unit.sizes, corpus.n
+    base = np.log10((count + 1) / (n + corpus.v + 1))
     return pa.table([
         pa.array(unit.docs, pa.int64()), pa.array(~unit.train, pa.bool_()), pa.array(unit.sizes, pa.int64()),
         pa.array(np.add.reduceat((count > 0)[unit.tokens].astype(np.int64), starts), pa.int64()), pa.array(np.full(len(starts), n), pa.int64()),
@@ -303,12 +323,8 @@ def _score(units: pa.Table, answers: pa.Table, shards: dict[int, int], n: int, v
         pa.array(-np.add.reduceat(code, starts) / GRID, pa.float64())], [c.split()[0] for c in _SCORES.split(", ")])
 
 
-def _counter(seed: int):
-    return lambda t: count_words(t, seed)
-
-
-def _asker(shards: dict[int, int], n: int, v: int, order: int, seed: int):
-    return lambda u, a: _requests(u, a, shards, n, v, order, seed)
+def _asker(corpus: Corpus, order: int):
+    return lambda u, a: _requests(u, a, corpus, order)
 
 
 def _builder(order: int, last: bool, smoothing: float):
@@ -322,14 +338,13 @@ def fit_and_score(docs: DataFrame, train: Column, order: int = ORDER, smoothing:
     Scores: doc_id, held_out, n_tokens (words and the end), n_known (seen in
     training), train_tokens, base_score (words alone) and score (log10
     probability of the text, end included). Model: gram (order), shard and trie
-    (bytes for ``Trie``; for words the hashes and counts).
+    (bytes for ``Trie``; for words the packed words and counts by falling count,
+    whose places, shard after shard, number the words in all tries).
 
     Edge cases: a null text counts as empty and scores its end; a null ``train``
     is held out; rows that repeat are each learned and scored; without training
     rows every score is 0; an empty table gives empty results; a text of any
-    length is one document of one unit; other columns are not read. Words are
-    told apart by 64-bit hashes; should two words of the corpus share one, all
-    is done again with another seed.
+    length is one document of one unit; other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col("text").cast("string").alias("text"))
@@ -337,21 +352,17 @@ def fit_and_score(docs: DataFrame, train: Column, order: int = ORDER, smoothing:
     size = units.agg(F.sum("n_tokens").alias("tokens"), F.sum("n_train").alias("train"), F.sum("n_words").alias("words")).first()
     if size["tokens"] is None:
         return spark.createDataFrame([], _SCORES), spark.createDataFrame([], "gram int, shard int, trie binary")
-    n = size["train"]
     shards = {1: -(-size["words"] // SHARD_WORDS), **{o: -(-size["tokens"] // shard_tokens) for o in range(2, order + 1)}}
-    request, seed = "shard int, unit long, request binary", 0
-    while True:
-        asked = units.mapInArrow(lambda b, seed=seed: _word_requests(b, shards[1], seed), request)
-        answers = write_stage(asked.groupBy("shard").applyInArrow(_counter(seed), _ANSWERS), "lm-words")
-        found = answers.where("unit is null").agg(F.sum("known").alias("known"), F.sum("clashes").alias("clashes")).first()
-        if not found["clashes"]:
-            break
-        seed += 1
-    v = found["known"]
+    request = "shard int, unit long, request binary"
+    asked = units.mapInArrow(lambda b: _word_requests(b, shards[1]), request)
+    answers = write_stage(asked.groupBy("shard").applyInArrow(count_words, _ANSWERS), "lm-words")
+    found = answers.where("unit is null").select("shard", "known", "distinct").orderBy("shard").collect()   # one row for each shard of words
+    ends = np.cumsum([r["distinct"] for r in found]).tolist()
+    corpus = Corpus(size["train"], sum(r["known"] for r in found), shards, {r["shard"]: e - r["distinct"] for r, e in zip(found, ends, strict=True)})
     for o in range(2, order + 1):
-        asked = units.groupBy("unit").cogroup(_replies(answers).groupBy("unit")).applyInArrow(_asker(shards, n, v, o, seed), request)
+        asked = units.groupBy("unit").cogroup(_replies(answers).groupBy("unit")).applyInArrow(_asker(corpus, o), request)
         answers = answers.unionByName(write_stage(asked.groupBy("shard").applyInArrow(_builder(o, o == order, smoothing), _ANSWERS), f"lm-{o}-grams"))
-    scores = units.groupBy("unit").cogroup(_replies(answers).groupBy("unit")).applyInArrow(lambda u, a: _score(u, a, shards, n, v, order, seed), _SCORES)
+    scores = units.groupBy("unit").cogroup(_replies(answers).groupBy("unit")).applyInArrow(lambda u, a: _score(u, a, corpus, order), _SCORES)
     return scores, answers.where("unit is null").select("gram", "shard", "trie")
 
 
