@@ -42,7 +42,7 @@ SMOOTHING = 500.0
 GRID = 256
 #: Tokens of a unit (a longer document is a unit of its own), and of the corpus for each shard of an order.
 UNIT_TOKENS = 2_000_000
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 4_500_000
 SHARD_WORDS = 500_000
 #: A context counted this often goes to one more shard for each such number.
 HOT = 200_000
@@ -148,8 +148,7 @@ class _Unit:
     """One unit's tokens and the n-grams in them."""
 
     def __init__(self, row: dict):
-        self.words = row["words"].split(b"\n")
-        self.hash = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words), _U64, len(self.words))
+        self.n_words = row["n_words"]
         self.docs, self.sizes = row["doc_ids"], np.array(row["sizes"], np.int64)
         planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.uint8)
         self.tokens = planes.reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
@@ -158,28 +157,30 @@ class _Unit:
         self.place = np.arange(len(self.tokens)) - np.repeat(starts, self.sizes)   # in the document
         self.learn = np.repeat(self.train, self.sizes)
 
-    def word_requests(self, shards: int) -> Iterator[tuple[int, bytes]]:
-        counts = np.bincount(self.tokens[self.learn], minlength=len(self.words))
-        for s, at in _dealt(self.hash % _U64(shards), shards):
-            yield s, pack(b"\n".join(self.words[i] for i in at), counts[at])
+    def word_requests(self, words: list[bytes], shards: int) -> Iterator[tuple[int, bytes]]:
+        digest = np.fromiter(map(xxhash.xxh64_intdigest, words), _U64, len(words))
+        counts = np.bincount(self.tokens[self.learn], minlength=len(words))
+        for s, at in _dealt(digest % _U64(shards), shards):
+            yield s, pack(b"\n".join(words[i] for i in at), counts[at], np.diff(at, prepend=0))
 
     def climb(self, answers: dict[int, dict[int, bytes]], corpus: Corpus, order: int):
         """Requests of the first order without answers, as (shard, request) pairs, or None; counts of words; codes of tokens."""
-        shards, count, self.number = corpus.shards, np.zeros(len(self.words), np.int64), np.zeros(len(self.words), _U64)
-        for s, at in _dealt(self.hash % _U64(shards[1]), shards[1]):
-            count[at], rank = unpack(answers[1][s])
-            self.number[at] = (rank + corpus.first[s]).astype(_U64)
-        words, known = self.words, count
+        shards, count, self.number = corpus.shards, np.zeros(self.n_words, np.int64), np.zeros(self.n_words, _U64)
+        for s, raw in answers[1].items():
+            counted, rank, steps = unpack(raw)
+            at = np.cumsum(steps)
+            count[at], self.number[at] = counted, (rank + corpus.first[s]).astype(_U64)
+        words, known = self.n_words, count
         self.single = code_of((count + 1) / (corpus.n + corpus.v + 1))
         code = self.single[self.tokens]
-        gram, path, digest = self.tokens, np.arange(len(words))[:, None], self.number
+        gram, path, digest = self.tokens, np.arange(words)[:, None], self.number
         for o in range(2, order + 1):
             context = np.concatenate([[0], gram[:-1]])
             if o > 2:
                 context[self.place < o - 2] = -1   # contexts do not reach over the start of a document
             at = np.flatnonzero((context >= 0) & (count[context] > 0))
-            key, which = np.unique(context[at] * len(words) + self.tokens[at], return_inverse=True)
-            above, word = key // len(words), key % len(words)
+            key, which = np.unique(context[at] * words + self.tokens[at], return_inverse=True)
+            above, word = key // words, key % words
             bucket = self.number[word] % (1 + count[above] // HOT).astype(_U64)
             deal = _dealt(_mix(digest[above], bucket) % _U64(shards[o]), shards[o])
             if o not in answers:
@@ -232,15 +233,15 @@ def _answers(gram: int, shard: int, units: list[int], answers: list[bytes], trie
 
 def count_words(table: pa.Table) -> pa.Table:
     """One shard of words: counts over all units, and the words' places by falling count."""
-    requests = [(words.split(b"\n"), counts) for words, counts in (unpack(r) for r in table.column("request").to_pylist())]
+    requests = [(words.split(b"\n"), counts, steps) for words, counts, steps in (unpack(r) for r in table.column("request").to_pylist())]
     total: dict[bytes, int] = {}
-    for words, counts in requests:
+    for words, counts, _ in requests:
         for w, c in zip(words, counts.tolist(), strict=True):
             total[w] = total.get(w, 0) + c
     ordered = sorted(total, key=lambda w: (-total[w], w))
     rank = {w: i for i, w in enumerate(ordered)}
     return _answers(1, table.column("shard")[0].as_py(), table.column("unit").to_pylist(),
-                    [pack(np.fromiter((total[w] for w in words), np.int64, len(words)), np.fromiter((rank[w] for w in words), np.int64, len(words))) for words, _ in requests],
+                    [pack(np.fromiter((total[w] for w in words), np.int64, len(words)), np.fromiter((rank[w] for w in words), np.int64, len(words)), steps) for words, _, steps in requests],
                     pack(b"\n".join(ordered), np.array([total[w] for w in ordered], np.int64)), sum(c > 0 for c in total.values()), len(total))
 
 
@@ -300,7 +301,7 @@ def _answered(answers: pa.Table) -> dict[int, dict[int, bytes]]:
 def _word_requests(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for row in b.to_pylist():
-            for s, raw in _Unit(row).word_requests(shards):
+            for s, raw in _Unit(row).word_requests(row["words"].split(b"\n"), shards):
                 yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([row["unit"]], pa.int64()), pa.array([raw], pa.binary())], ["shard", "unit", "request"])
 
 
@@ -357,6 +358,7 @@ def fit_and_score(docs: DataFrame, train: Column, order: int = ORDER, smoothing:
     asked = units.mapInArrow(lambda b: _word_requests(b, shards[1]), request)
     answers = write_stage(asked.groupBy("shard").applyInArrow(count_words, _ANSWERS), "lm-words")
     found = answers.where("unit is null").select("shard", "known", "distinct").orderBy("shard").collect()   # one row for each shard of words
+    units = units.drop("words")   # the answers say which words they are about
     ends = np.cumsum([r["distinct"] for r in found]).tolist()
     corpus = Corpus(size["train"], sum(r["known"] for r in found), shards, {r["shard"]: e - r["distinct"] for r, e in zip(found, ends, strict=True)})
     for o in range(2, order + 1):
