@@ -140,3 +140,38 @@ def test_read_states_with_index_field(spark, tmp_path):
     good = [r for r in rows if not r.corrupt]
     assert len(good) == 50 and all(r.joint_positions[0] == float(r.frame_idx) for r in good)
     assert sum(1 for r in rows if r.corrupt) == 1
+
+
+@pytest.mark.parametrize("split", [64, 700, 20_000])
+def test_line_numbers_of_files_read_in_many_splits(spark, tmp_path, split):
+    """Exact numbers whatever the splits: blank lines, long lines, no final newline, carriage returns, an empty file."""
+    texts = {"a.txt": "".join(f"line {i} {'x' * (i * 37 % 300)}\n" for i in range(900)), "b.txt": "\n\none\n\n\ntwo\r\nthree",
+             "c +%20.txt": "y" * 3000 + "\nz\n", "d.txt": "", "e.txt": "\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    conf = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "16"}
+    prev = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        numbered = ep.number_lines(spark, str(tmp_path))
+        got = sorted((r.path.rsplit("/", 1)[1], r.frame_idx, r.value) for r in numbered.collect())
+        parts = numbered.select(F.spark_partition_id()).distinct().count()
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    want = sorted((name, i, line) for name, text in texts.items() for i, line in enumerate(text.removesuffix("\n").split("\n") if text else []))
+    assert got == want and parts >= (8 if split < 1000 else 1)
+
+
+def test_path_parts_are_worked_out_once_a_file(spark):
+    from trajlake.plans import derived as dv
+    plan = ep.split_state_lines(dv.state_files(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate posexplode", 1)
+    assert "regexp_extract" not in above and "regexp_extract" in below
+
+
+def test_reading_states_shuffles_no_lines(spark, tree):
+    """The lines are joined with the numbers of their splits where they were read."""
+    plan = ep.read_states(spark, tree)._jdf.queryExecution().executedPlan().toString()
+    assert not [ln for ln in plan.split("\n") if "Exchange" in ln and "value#" in ln], plan

@@ -293,7 +293,8 @@ def state_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     name = F.when(r != 0, F.lit("states.jsonl")).when(d % 2 == 0, F.lit("left_states.jsonl")).otherwise(F.lit("right_states.jsonl"))
     body = F.concat(F.array_join(F.transform(F.split("text", " "), line), "\n"), F.when(d % 2 == 0, F.lit("\n")).otherwise(F.lit("")))
-    return table(spark, sf_dir, "documents").select(
+    # a file of the table may be one row group, which is one task: the texts are dealt before the lines are made
+    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id").select(
         F.concat(_episode_dir(), F.lit("/states/"), name).alias("path"), body.alias("body"),
         _pick(ROBOTS_RECORDED, r).alias("robot"))
 

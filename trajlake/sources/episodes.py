@@ -10,7 +10,7 @@ also work on paths and texts that are stored in a table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,34 +68,41 @@ def read_states(spark: SparkSession, root: str, pattern: str = "*/*/data/*/state
                 index_field: str | None = None) -> DataFrame:
     """JSONL state logs -> one row per line with ``frame_idx`` = 0-based line number.
 
-    Default: each file is read whole (``wholetext``; a file is one recorded
-    episode) and split, so ordinals are exact without any global ordering.
-    The empty string after a final newline is not a frame; any other line
-    that does not parse is kept with ``corrupt = true``.
+    Files are read line by line and split over tasks whatever their size; the
+    numbers come from ``number_lines``. The end of a file after a final newline
+    is not a frame; any other line that does not parse is kept with ``corrupt = true``.
 
-    For very large logs whose lines carry their own frame number, pass
-    ``index_field``: the files are then read line by line (splittable across
-    tasks) and ``frame_idx`` is taken from that field.
+    If lines carry their own frame number, ``index_field`` names it: then
+    ``frame_idx`` is that field, and nothing is counted.
     """
     base = f"{root.rstrip('/')}/{pattern}"
-    fields = list(STATE_LINE_SCHEMA.fields)
-    if index_field:
-        fields.append(T.StructField(index_field, T.LongType(), True))
-    schema = T.StructType(fields + [T.StructField("_corrupt_record", T.StringType(), True)])
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    if index_field:
-        raw = spark.read.text(base).select(F.col("value").alias("line"),
-                                           _decoded_path().alias("__path"))
-        p = _path_parts(F.col("__path"))
-        lines = raw.select(p["episode_dir"].alias("episode_dir"),
-                                                         p["file"].alias("file"), "line")
-        parsed = lines.withColumn("__s", F.from_json(F.col("line"), schema, opts))
-        return (parsed.withColumn("frame_idx", F.col(f"__s.{index_field}"))
-                .withColumn("corrupt", F.col("__s._corrupt_record").isNotNull() | F.col("frame_idx").isNull())
-                .select("episode_dir", "file", "frame_idx", "corrupt", "__s.*")
-                .drop("_corrupt_record", index_field))
-    return split_state_lines(spark.read.text(base, wholetext=True)
-                             .select(_decoded_path().alias("path"), F.col("value").alias("body")))
+    if not index_field:
+        return _parsed_lines(_with_path_parts(number_lines(spark, base), "path").withColumnRenamed("value", "line"), [])
+    lines = spark.read.option("lineSep", "\n").text(base).select(F.col("value").alias("line"), _decoded_path().alias("path"))
+    schema = T.StructType([*STATE_LINE_SCHEMA.fields, T.StructField(index_field, T.LongType(), True), T.StructField("_corrupt_record", T.StringType(), True)])
+    parsed = _with_path_parts(lines, "path").withColumn("__s", F.from_json(F.col("line"), schema, _PERMISSIVE))
+    return (parsed.withColumn("frame_idx", F.col(f"__s.{index_field}"))
+            .withColumn("corrupt", F.col("__s._corrupt_record").isNotNull() | F.col("frame_idx").isNull())
+            .select("episode_dir", "file", "frame_idx", "corrupt", "__s.*")
+            .drop("_corrupt_record", index_field))
+
+
+def number_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files with their exact 0-based number in the file: path (decoded), frame_idx, value.
+
+    A file is read in splits by several tasks. The lines of one split are
+    consecutive rows of one task, so their places in the scan are consecutive
+    numbers. One row for each split says where its lines start and how many
+    there are; a running sum over a file's splits gives the lines before it.
+    Only these rows are shuffled, the lines stay where they were read.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__split"),
+        F.monotonically_increasing_id().alias("__place"), _decoded_path().alias("path"), "value")
+    splits = lines.groupBy("__file", "__split").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    ahead = Window.partitionBy("__file").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
+    start = splits.select("__file", "__split", (F.coalesce(F.sum("__n").over(ahead), F.lit(0)) - F.col("__first")).alias("__shift"))
+    return lines.join(start, ["__file", "__split"]).select("path", (F.col("__place") + F.col("__shift")).alias("frame_idx"), "value")
 
 
 def split_state_lines(texts: DataFrame, path: str = "path", body: str = "body") -> DataFrame:
@@ -104,14 +111,23 @@ def split_state_lines(texts: DataFrame, path: str = "path", body: str = "body")
     Other columns of ``texts`` stay on every line. A null text has no lines.
     """
     rest = [c for c in texts.columns if c not in (path, body)]
-    fields = list(STATE_LINE_SCHEMA.fields) + [T.StructField("_corrupt_record", T.StringType(), True)]
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    # worked out once a file, below the generator: an expression beside it would be worked out once a line
+    files = _with_path_parts(texts, path).select(*rest, "episode_dir", "file", F.when(F.col(body) != "", F.regexp_replace(body, r"\n\z", "")).alias("__body"))
+    lines = files.select(*rest, "episode_dir", "file", F.posexplode(F.split("__body", "\n")).alias("frame_idx", "line"))
+    return _parsed_lines(lines, rest)
+
+
+def _with_path_parts(df: DataFrame, path: str) -> DataFrame:
     p = _path_parts(F.col(path))
-    # the generator's input is split once a file; an expression beside it would be worked out once a line
-    split = F.when(F.col(body) != "", F.split(F.regexp_replace(body, r"\n\z", ""), "\n"))
-    lines = texts.select(*rest, p["episode_dir"].alias("episode_dir"), p["file"].alias("file"),
-                         F.posexplode(split).alias("frame_idx", "line"))
-    return (lines.withColumn("__s", F.from_json(F.col("line"), T.StructType(fields), opts))
+    return df.withColumns({"episode_dir": p["episode_dir"], "file": p["file"]})
+
+
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+
+
+def _parsed_lines(lines: DataFrame, rest: list[str]) -> DataFrame:
+    schema = T.StructType([*STATE_LINE_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType(), True)])
+    return (lines.withColumn("__s", F.from_json(F.col("line"), schema, _PERMISSIVE))
             .withColumn("corrupt", F.col("__s").isNull() | F.col("__s._corrupt_record").isNotNull()
                         | (F.trim(F.col("line")) == ""))
             .select(*rest, "episode_dir", "file", F.col("frame_idx").cast("bigint").alias("frame_idx"), "corrupt", "__s.*")
