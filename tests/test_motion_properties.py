@@ -275,3 +275,63 @@ def test_timeline_hypothesis(spark, gaps, periods, chunk, start):
            mo.execution_timeline(df, chunk_us=chunk, start="e0").collect()}
     want = {k[1:]: v[:2] for k, v in _sequential([r[:5] for r in rows], e0=start).items()}
     assert got == want
+
+
+@pytest.mark.parametrize("bits", [2, 20])
+def test_null_keys_and_many_levels_equal_plain_windows(spark, monkeypatch, bits):
+    """Rows without a robot or arm are a key of their own, whatever the chunks and levels."""
+    from trajlake.operators import scans
+    monkeypatch.setattr(scans, "FANOUT_BITS", bits)
+    monkeypatch.setattr(scans, "HORIZON_US", 4_000)
+    rng = random.Random(bits)
+    rows = [(rng.choice(["r1", "r2", None]), rng.choice(["left", "right", None]), f"q{i:04d}", 0, i * 9, rng.randint(5, 40), rng.randint(3, 30),
+             [rng.uniform(-1, 1) for _ in range(3)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "robot string, arm string, request_id string, seq int, ts_us long, duration_us long, period_us long, position array<double>")
+    clears = spark.createDataFrame([(rng.choice(["r1", "r2", None]), rng.randint(0, 2700), "end_motion") for _ in range(25)], "robot string, ts_us long, kind string")
+    obs = spark.createDataFrame([(i, rng.choice(["r1", "r2", None]), rng.choice(["left", "right", None]), rng.randint(0, 3000)) for i in range(60)],
+                                "obs_id int, robot string, arm string, t_us long")
+
+    def results(width):
+        tl = mo.execution_timeline(df, chunk_us=width)
+        seg = mo.motion_segments(df, clears, chunk_us=width)
+        vel = mo.step_velocity(df, chunk_us=width).select("request_id", "last_position")
+        yield tl.select("request_id", "g_us", "e_us", "prev_end_us")
+        yield seg.select("request_id", "segment_id", "segment_start_us", "next_clear_us", "g_us", "e_us", "dropped")
+        yield vel
+        yield mo.pending_backlog(tl, obs, chunk_us=width).select("obs_id", "pending")
+        yield mo.asof_position(tl, obs, chunk_us=width).select("obs_id", "cmd_request_id")
+
+    for plain, chunked in zip(results(None), results(60), strict=True):
+        assert sorted(map(str, chunked.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_clears_touch_only_the_segments_that_change(spark):
+    """500 segments: passes after the first read only the rows of segments whose look back changed."""
+    rng = random.Random(11)
+    acts, clears = [], []
+    for s in range(500):
+        t = s * 1_000
+        clears.append(("r", t, "end_motion"))
+        for i in range(4):
+            acts.append(("r", "left", f"q{s:03d}-{i}", 0, t + 10 + i * 20, 40 if s % 50 else 700, [rng.uniform(-1, 1) for _ in range(3)]))
+    df = spark.createDataFrame(acts, "robot string, arm string, request_id string, seq int, ts_us long, duration_us long, position array<double>")
+    cdf = spark.createDataFrame(clears, "robot string, ts_us long, kind string")
+    passes = []
+    got = mo.execute_with_clears(df, cdf, velocity_limit=1e9, chunk_us=100_000, passes=passes)
+    assert got.count() == 2_000 and got.filter("dropped").count() > 0
+    assert passes[0] == 2_000 and len(passes) >= 2 and all(n <= 200 for n in passes[1:]) and passes[1:] == sorted(passes[1:], reverse=True), passes
+    prev = {}
+    for r in got.orderBy("ts_us").collect():   # the worker's loop: the last command that ran, or the predecessor in the segment
+        same = prev.get("segment") == r.segment_id
+        assert r.last_position == (prev.get("any") if same else prev.get("ran"))
+        prev.update(segment=r.segment_id, any=r.position)
+        if not r.dropped:
+            prev["ran"] = r.position
+
+
+def test_segments_need_no_exchange_by_segment(spark):
+    df = spark.createDataFrame([("r", "left", "q", 0, 5, 5)], "robot string, arm string, request_id string, seq int, ts_us long, period_us long")
+    clears = spark.createDataFrame([("r", 7, "x")], "robot string, ts_us long, kind string")
+    plan = mo.motion_segments(df, clears)._jdf.queryExecution().executedPlan().toString()
+    assert not [ln for ln in plan.split("\n") if "Exchange" in ln and "segment_id" in ln]
+    assert sum("Scan ExistingRDD" in ln for ln in plan.split("\n")) <= 4   # actions and clears, for the rows and for their summaries

@@ -42,10 +42,14 @@ def test_chunked_plan_shuffles_large_side_once(spark):
         df = spark.range(1000).select((F.col("id") % 3).cast("string").alias("robot"), F.col("id").cast("string").alias("request_id"),
                                       F.lit(0).alias("seq"), (F.col("id") * 1000).alias("ts_us"),
                                       F.lit(10).cast("bigint").alias("period_us"))
-        plan = mo.execution_timeline(df, chunk_us=100_000)._jdf.queryExecution().executedPlan().toString()
+        plan = mo.execution_timeline(df, chunk_us=3_600_000_000)._jdf.queryExecution().executedPlan().toString()
         exchanges = [ln for ln in plan.split("\n") if "Exchange hashpartitioning" in ln]
-        # large side once on (key, chunk); summaries: final aggregate, chunk window, join back
-        assert len(exchanges) == 4, plan
+        # large side once on (key, chunk); summaries: final aggregate, chunk windows, join back
+        assert len(exchanges) <= 4, plan
+        # more levels shuffle summaries only: the rows' own columns move once for the rows, and once, narrowed, for the summaries
+        deep = mo.execution_timeline(df, chunk_us=1_000)._jdf.queryExecution().executedPlan().toString()
+        wide = [ln for i, ln in enumerate(deep.split("\n")) if "Exchange hashpartitioning" in ln and "request_id" in deep.split("\n")[i + 1]]
+        assert len([ln for ln in wide if "Reused" not in ln]) <= 2, deep
         assert "coalesce(" not in plan.split("SortMergeJoin")[1].split("\n")[0]   # plain equi-join keys
         plain = mo.execution_timeline(df, chunk_us=None)._jdf.queryExecution().executedPlan().toString()
         assert sum("Exchange hashpartitioning" in ln for ln in plain.split("\n")) == 1
@@ -73,3 +77,37 @@ def test_hot_job_is_split_across_partitions(spark):
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
+
+
+def test_summaries_of_a_hot_key_are_spread_at_every_level(spark, monkeypatch):
+    """One-row chunks, one robot with 90% of them: no window above the first level holds most summaries."""
+    from trajlake.operators import scans
+
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    prev = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(20_000).select(
+            F.struct(F.when(F.col("id") % 10 != 0, F.lit("hot")).when(F.col("id") % 20 == 0, F.lit("cold")).alias("robot")).alias("k"),
+            F.col("id").alias("chunk"), (F.col("id") * 7 % 11).alias("v"))
+        got = scans.before_chunk(rows, "k", "chunk", {"s": ("sum", "v"), "m": ("max", "v"), "l": ("last", "v")}, levels=2, fanout_bits=6)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        # below the top, windows are dealt by (key, group of chunks); the top one reads one row for each 4,096 chunks
+        windows = [ln for ln in plan.split("\n") if "Window [" in ln]
+        assert len(windows) == 3 and sum("chunk_up" in ln.rsplit("], [", 2)[1] for ln in windows) == 2, plan
+        per_task = [r["n"] for r in got.where("k.robot = 'hot'").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum("s")).collect()]
+        assert sum(per_task) == 18_000 and max(per_task) < 0.2 * 18_000
+        seen = {}
+        for r in sorted(got.collect(), key=lambda r: r["chunk"]):
+            s, m, last = seen.get(r["k"]["robot"], (0, None, None))
+            assert (r["s"], r["m"], r["l"]) == (s, m, last)
+            seen[r["k"]["robot"]] = (s + r["v"], r["v"] if m is None else max(m, r["v"]), r["v"])
+        back = scans.before_chunk(rows, "k", "chunk", {"x": ("min", "v")}, levels=2, fanout_bits=6, reverse=True)
+        seen = {}
+        for r in sorted(back.collect(), key=lambda r: -r["chunk"]):
+            assert r["x"] == seen.get(r["k"]["robot"])
+            seen[r["k"]["robot"]] = min(r["v"], seen.get(r["k"]["robot"], r["v"]))
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)

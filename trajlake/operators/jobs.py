@@ -65,7 +65,7 @@ def idle_exit(rollup: DataFrame, n: int = DEFAULT_IDLE_POLLS, ts: str = "poll_ts
     """
     order = [ts, "poll_id"]
     df = rollup.select("collection_id", "poll_id", ts, F.col("is_idle").cast("int").alias("__idle"))
-    df, ch = with_chunk(df, ts, chunk_us)
+    df, ch = with_chunk(df, ts, chunk_us, keys=["collection_id"])
     df = chunked_running_sum(df, ["collection_id"], ch, order, "__idle", "__c")
     df = df.withColumn("__reset", F.when(F.col("__idle") == 0, F.col("__c")))
     df = chunked_carry_last(df, ["collection_id"], ch, order, "__reset", "__l")

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajlake.functions.vectors import array_abs_max, scale_dims
-from trajlake.operators.lineage import cut_lineage
-from trajlake.operators.scans import (chunked_carry_last, chunked_lag, chunked_lag_by_key, chunked_prefix,
-                                      chunked_queue_timeline, chunked_running_sum, with_chunk)
+from trajlake.operators.lineage import cut_lineage, write_table
+from trajlake.operators.scans import (attach_by_chunk, chunked_carry_last, chunked_lag_by_key, chunked_queue,
+                                      chunked_running_sum, drop_chunks, with_chunk)
 from trajlake.schemas import DEFAULT_VELOCITY_LIMIT
 
 HOUR_US = 3_600_000_000
@@ -79,11 +79,12 @@ def execution_timeline(actions: DataFrame, keys: Sequence[str] = ("robot",), ord
     wait), ``busy_us`` (``e - g``) and ``gap_us`` (``g - e_prev``).
     """
     df, ch = with_chunk(actions, arrival, chunk_us, reuse=(list(keys) == ["robot"] and arrival == order[0]))
-    df = chunked_queue_timeline(df, list(keys), ch, list(order), arrival, period, start)
+    return _timeline_columns(drop_chunks(chunked_queue(df, list(keys), ch, list(order), arrival, period, start)), arrival, period)
+
+
+def _timeline_columns(df: DataFrame, arrival: str = "ts_us", period: str = "period_us") -> DataFrame:
     prev = F.col("prev_end_us")
-    chunk_cols = [c for c in df.columns if c.startswith("__chunk_")]
-    return (df.drop(*chunk_cols)
-            .withColumn("overrun", prev.isNull() | ((F.col("g_us") - prev) >= F.col(period)))
+    return (df.withColumn("overrun", prev.isNull() | ((F.col("g_us") - prev) >= F.col(period)))
             .withColumn("wait_us", F.col("g_us") - F.col(arrival))
             .withColumn("busy_us", F.col("e_us") - F.col("g_us"))
             .withColumn("gap_us", F.greatest(F.col("g_us") - prev, F.lit(0)).cast("bigint")))
@@ -101,13 +102,15 @@ def pending_backlog(timeline: DataFrame, observations: DataFrame, key: str = "ro
     """
     leave = (F.least(F.col("g_us"), F.col("next_clear_us")) if "next_clear_us" in timeline.columns
              else F.col("g_us"))
-    arr = timeline.select(F.col(key), F.col(arrival).alias("__t"), F.lit(1).alias("__d"))
-    deq = timeline.select(F.col(key), leave.alias("__t"), F.lit(-1).alias("__d"))
+    # both events of an action come from one row, so the timeline is worked out once
+    moves = timeline.select(F.col(key), F.explode(F.array(
+        F.struct(F.col(arrival).alias("t"), F.lit(1).alias("d")), F.struct(leave.alias("t"), F.lit(-1).alias("d")))).alias("__m"))
+    moves = moves.select(key, F.col("__m.t").alias("__t"), F.col("__m.d").alias("__d"))
     obs = observations.withColumn("__t", F.col(obs_time)).withColumn("__d", F.lit(0)).withColumn("__obs", F.lit(True))
-    ev = arr.unionByName(deq, allowMissingColumns=True).unionByName(obs, allowMissingColumns=True)
+    ev = moves.unionByName(obs, allowMissingColumns=True)
     ev, ch = with_chunk(ev, "__t", chunk_us)
     ev = chunked_running_sum(ev, [key], ch, ["__t"], "__d", "pending", range_frame=True)
-    return (ev.filter(F.col("__obs")).drop("__t", "__d", "__obs", *([ch] if ch else []))
+    return (drop_chunks(ev.filter(F.col("__obs"))).drop("__t", "__d", "__obs")
             .withColumn("pending", F.col("pending").cast("bigint")))
 
 
@@ -122,82 +125,90 @@ def motion_segments(actions: DataFrame, clears: DataFrame, order: Sequence[str]
     forever). Returns the action rows with ``segment_id``, ``segment_start_us``,
     ``next_clear_us``, the timeline columns and ``dropped``.
     """
-    return _segment_timeline(cut_at_clears(actions, clears, order, chunk_us), order, chunk_us)
+    a = actions.withColumn("__clear", F.lit(False)).withColumn("__tag", F.lit(1))
+    c = clears.select("robot", F.col("ts_us").alias(order[0]), F.lit(0).cast("bigint").alias("period_us"), F.lit(True).alias("__clear"), F.lit(0).alias("__tag"))
+    ev, ch = with_chunk(drop_chunks(a).unionByName(c, allowMissingColumns=True), order[0], chunk_us)
+    ev = chunked_queue(ev, ["robot"], ch, [order[0], "__tag", *order[1:]], order[0], "period_us", clear="__clear")
+    return _with_dropped(_timeline_columns(drop_chunks(ev.filter(~F.col("__clear"))).drop("__clear", "__tag"), order[0]))
 
 
-def _segment_timeline(acts: DataFrame, order: Sequence[str], chunk_us: int | None) -> DataFrame:
-    tl = execution_timeline(acts, keys=("robot", "segment_id"), order=order, start="segment_start_us",
-                            chunk_us=chunk_us)
-    return tl.withColumn("dropped", F.coalesce(F.col("g_us") >= F.col("next_clear_us"), F.lit(False)))
-
-
-def cut_at_clears(actions: DataFrame, clears: DataFrame, order: Sequence[str] = QUEUE_ORDER,
-                  chunk_us: int | None = HOUR_US) -> DataFrame:
-    """The actions with ``segment_id``, ``segment_start_us`` and ``next_clear_us`` (W5's first half)."""
-    a = actions.withColumn("__is_clear", F.lit(0)).withColumn("__tag", F.lit(1))
-    c = (clears.select("robot", "ts_us").withColumn("__is_clear", F.lit(1)).withColumn("__tag", F.lit(0)))
-    ev = a.unionByName(c, allowMissingColumns=True)
-    ev_order = [order[0], "__tag", *order[1:]]
-    ev, ch = with_chunk(ev, order[0], chunk_us)
-    # Clears come in time order, so the latest clear so far is the running max
-    # of clear times: segment number and start come from one fused scan.
-    ev = ev.withColumn("__clear_ts", F.when(F.col("__is_clear") == 1, F.col(order[0])))
-    ev = chunked_prefix(ev, ["robot"], ch, ev_order,
-                        {"segment_id": ("sum", "__is_clear"), "segment_start_us": ("max", "__clear_ts")})
-    ev = ev.withColumn("segment_id", F.col("segment_id").cast("bigint")).drop("__clear_ts", *([ch] if ch else []))
-    numbered = (ev.filter(F.col("__is_clear") == 1)
-                .select(F.col("robot").alias("__crobot"), (F.col("segment_id") - 1).alias("__cseg"),
-                        F.col(order[0]).alias("next_clear_us")))
-    acts = ev.filter(F.col("__is_clear") == 0).drop("__is_clear", "__tag")
-    return acts.join(numbered, (acts["robot"] == numbered["__crobot"]) & (acts["segment_id"] == numbered["__cseg"]),
-                     "left").drop("__crobot", "__cseg")
+def _with_dropped(df: DataFrame) -> DataFrame:
+    return df.withColumn("dropped", F.coalesce(F.col("g_us") >= F.col("next_clear_us"), F.lit(False)))
 
 
 def execute_with_clears(actions: DataFrame, clears: DataFrame, velocity_limit: float = DEFAULT_VELOCITY_LIMIT,
-                        order: Sequence[str] = QUEUE_ORDER, chunk_us: int | None = HOUR_US) -> DataFrame:
+                        order: Sequence[str] = QUEUE_ORDER, chunk_us: int | None = HOUR_US,
+                        passes: list[int] | None = None) -> DataFrame:
     """W1 + W2 + W3 under queue clears: a command that a clear removed never becomes the last position.
 
     ``actions`` as for ``step_velocity``, ``clears`` as for ``motion_segments``.
     The queue is first in, first out, so the commands that run before a clear
     are a prefix of their segment. A command therefore compares with its
     predecessor on its arm if that is in the same segment, else with the last
-    command of earlier segments that ran. Only the latter depends on what was
-    removed; passes repeat until the removed set is stable.
-    Pass ``t`` is right for the first ``t`` segments of every robot, so the
-    stable set is the true one; there is no limit on passes. Each pass is
-    checkpointed (``spark.checkpoint.dir``), so this operator runs jobs when it
-    is called.
+    command of earlier segments that ran.
+
+    The first pass takes all commands as run. Then only segments are worked out
+    again whose first command on some arm compared with another command than
+    the last that ran (the frontier): their rows are read, the others stay as
+    they are. What is compared between passes is one small row for each arm
+    and segment. Every pass settles at least the first segment of each robot
+    that is not settled yet, so the passes end, without a limit on them, when
+    no segment is left. Each pass is written to the shared folder
+    (``spark.checkpoint.dir``), so this operator runs jobs when it is called;
+    ``passes`` receives the number of rows that each pass read.
 
     Returns the action rows with the columns of W1, W2, W3 and W5. For
     ``dropped`` rows these say what would have happened without the clear.
     """
-    keys = ["robot", "arm"]
-    # the scans below read their input several times; the actions are worked out once
-    actions, clears = cut_lineage(actions), cut_lineage(clears)
-    df, ch = with_chunk(cut_at_clears(actions, clears, order, chunk_us), order[0], chunk_us)
-    df = chunked_lag(df.withColumn("__here", F.struct("segment_id", "position")), keys, ch, list(order), "__here", "__prev")
-    same = F.coalesce(F.col("__prev.segment_id") == F.col("segment_id"), F.lit(False))
-    df = df.withColumn("last_position", F.when(same, F.col("__prev.position"))).withColumn("__first", ~same)
-    cur = cut_lineage(df.drop("__here", "__prev", *([ch] if ch else []))).withColumn("__was", F.lit(False))
-    names = cur.columns
+    rank = F.struct(*order)
+    me = F.struct(*[F.col(o).alias(f"k{i}") for i, o in enumerate(order)], F.col("position").alias("position"))
+    actions, clears = drop_chunks(actions), cut_lineage(clears)
+    names = [c for c in actions.columns if c not in _EXECUTED]
+    log, ch = with_chunk(actions.withColumn("__me", me), order[0], chunk_us)
+    log = drop_chunks(chunked_lag_by_key(log, ["robot"], ["arm"], ch, list(order), "__me", "__look"))
+    timed = retime_actions(_with_velocity(log.withColumn("last_position", F.col("__look.position"))), velocity_limit)
+    done = motion_segments(cut_lineage(timed), clears, order, chunk_us)
+    # the first command of an arm in its segment looks back over the clear
+    over = F.col("__look").isNull() | F.coalesce(F.col("__look.k0") < F.col("segment_start_us"), F.lit(False))
+    done = write_table(done.withColumn("__first", over).withColumn("__seg", F.struct("robot", "segment_id")).withColumn("__pass", F.lit(0)), "pass")
+    frames, ends = [done], None
     while True:
-        done = cut_lineage(_pass_under_clears(cur, keys, velocity_limit, order, chunk_us))
-        if done.filter(F.col("dropped") != F.col("__was")).isEmpty():
-            return done.drop("__was", "__first")
-        cur = done.withColumn("__was", F.col("dropped")).select(*names)
-
-
-def _pass_under_clears(df: DataFrame, keys: list[str], velocity_limit: float, order: Sequence[str],
-                       chunk_us: int | None) -> DataFrame:
-    """Only an arm's first command of a segment looks back further: one row of each arm and segment is joined."""
-    ran = df.groupBy(*keys, "segment_id").agg(
-        F.max_by("position", F.when(~F.col("__was"), F.struct(*order))).alias("__ran"))
-    ahead = Window.partitionBy(*keys).orderBy("segment_id").rowsBetween(Window.unboundedPreceding, -1)
-    carry = ran.select(*keys, "segment_id", F.last("__ran", ignorenulls=True).over(ahead).alias("__before"))
-    first = (df.filter("__first").join(carry, [*keys, "segment_id"], "left")
-             .withColumn("last_position", F.col("__before")).drop("__before"))
-    df = first.unionByName(df.filter("not __first"))
-    return _segment_timeline(retime_actions(_with_velocity(df), velocity_limit), order, chunk_us)
+        if passes is not None:
+            passes.append(frames[-1].count())
+        latest = frames[-1].groupBy("robot", "arm", "segment_id", "__seg").agg(
+            F.max_by("__me", F.when(~F.col("dropped"), rank)).alias("__ran"),
+            F.max(F.when(F.col("__first"), F.struct(F.col("__look").alias("look")))).alias("__used"), F.max("__pass").alias("__pass"))
+        # one row for each arm and segment, those of this pass instead of earlier ones
+        ends = cut_lineage(latest if ends is None else ends.join(latest.select("__seg").distinct(), "__seg", "left_anti").unionByName(latest))
+        placed = ends.withColumn("__chunk_segments", F.shiftright("segment_id", 16))
+        looks = drop_chunks(chunked_carry_last(placed, ["robot", "arm"], "__chunk_segments", ["segment_id"], "__ran", "__upto", before=True))
+        wrong = looks.filter(F.col("__used").isNotNull() & ~F.col("__upto").eqNullSafe(F.col("__used.look")))
+        frontier = cut_lineage(wrong.select("__seg").distinct())
+        if frontier.isEmpty():
+            break
+        rows, ch = with_chunk(done, order[0], chunk_us)
+        rows = drop_chunks(attach_by_chunk(rows, frontier, "__seg", ch)).withColumn("__arm", F.struct("arm", "__seg"))
+        look = looks.select(F.struct("arm", "__seg").alias("__arm"), F.col("__upto").alias("__new"))
+        first = rows.filter("__first").join(look, "__arm").withColumn("__look", F.col("__new")).drop("__new")
+        rows = first.unionByName(rows.filter("not __first")).withColumn("last_position", F.col("__look.position"))
+        rows = rows.select(*names, "__me", "__look", "__first", "__seg", "last_position", "segment_id", "segment_start_us", "next_clear_us")
+        rows, ch = with_chunk(cut_lineage(retime_actions(_with_velocity(rows), velocity_limit)), order[0], chunk_us)
+        again = chunked_queue(rows, ["robot"], ch, list(order), order[0], "period_us", start="segment_start_us", segment="segment_id")
+        again = _with_dropped(_timeline_columns(drop_chunks(again), order[0])).withColumn("__pass", F.lit(len(frames)))
+        frames.append(write_table(again.select(*done.columns), "pass"))
+    if len(frames) > 1:
+        every = frames[0]
+        for f in frames[1:]:
+            every = every.unionByName(f)
+        settled = ends.groupBy("__seg").agg(F.max("__pass").alias("__settled"))
+        every, ch = with_chunk(every, order[0], chunk_us)
+        done = write_table(drop_chunks(attach_by_chunk(every, settled, "__seg", ch).filter(F.col("__pass") == F.col("__settled"))).drop("__settled"), "executed")
+    return done.drop("__me", "__look", "__first", "__seg", "__pass")
+
+
+#: Columns that execution adds to actions.
+_EXECUTED = {"last_position", "shape_mismatch", "velocity", "max_abs", "max_abs_no_gripper", "retimed", "period_us", "segment_id", "segment_start_us",
+             "next_clear_us", "e_us", "g_us", "prev_end_us", "overrun", "wait_us", "busy_us", "gap_us", "dropped"}
 
 
 def _queued(commands: DataFrame) -> Column:
@@ -225,4 +236,4 @@ def asof_position(commands: DataFrame, observations: DataFrame, time_col: str =
     ev = chunked_carry_last(ev, ["robot", "arm"], ch, ["__t", "__tag", "__ts", F.col("__cmd.cmd_request_id"),
                                                               F.col("__cmd.cmd_seq")], "__cmd", "__last")
     out = ev.filter(F.col("__tag") == 1)
-    return (out.select("*", "__last.*").drop("__t", "__tag", "__ts", "__cmd", "__last", *([ch] if ch else [])))
+    return drop_chunks(out.select("*", "__last.*")).drop("__t", "__tag", "__ts", "__cmd", "__last")
