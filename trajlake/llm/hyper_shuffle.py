@@ -18,6 +18,8 @@ from trajlake.llm.shared import free_name, stage, with_uid
 
 #: Rows that one block of a shard holds at the most on average while slots are dealt.
 BLOCK_ROWS = 200_000
+#: Populations that numpy's own generator draws from.
+_NUMPY_LIMIT = 500_000_000
 #: Top bits of a row's second key choose its block.
 _KEY_BITS = 62
 
@@ -43,18 +45,39 @@ def draw_matrix(rows: list[int], capacity: list[int], seed: int) -> np.ndarray:
 
 
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """One draw. numpy's generator takes populations below 1e9; larger ones use the normal limit inside the exact support."""
-    most = 500_000_000
+    """One exact draw: how many of ``n`` drawn rows are among ``good``, the others among ``bad``.
+
+    numpy's generator takes populations below 1e9. In larger ones a binomial
+    number is drawn and kept with the ratio of the two probabilities, which is
+    the hypergeometric law itself, at any size; few draws are thrown away as
+    long as ``n`` is a small part of the population.
+    """
+    total = good + bad
     if n == 0 or good == 0:
         return 0
     if bad == 0:
         return n
-    if good < most and bad < most:
+    if max(good, bad) < _NUMPY_LIMIT:
         return int(rng.hypergeometric(good, bad, n))
-    total = good + bad
-    mean = n * good / total
-    sd = (n * (good / total) * (bad / total) * (total - n) / max(1, total - 1)) ** 0.5
-    return int(min(max(round(rng.normal(mean, sd)), n - bad, 0), good, n))
+    if 2 * n > total:
+        return good - _hypergeometric(rng, good, bad, total - n)
+
+    def ratio(x: int) -> float:
+        """Log of hypergeometric over binomial probability, but for a constant."""
+        return _log_falling(good, x) + _log_falling(bad, n - x)
+
+    top = ratio(min(max(-(-(n - 1) * good // total), n - bad, 0), good, n))   # where the ratio is largest
+    while True:
+        x = int(rng.binomial(n, good / total))
+        if x <= good and n - x <= bad and np.log1p(-rng.random()) <= ratio(x) - top:
+            return x
+
+
+def _log_falling(total: int, k: int) -> float:
+    """log of the product of 1 - i / total for i < k."""
+    if k <= 1_000 or total - k <= 1_000:
+        return float(np.log1p(-np.arange(k) / total).sum())
+    return -((total - k + 0.5) * np.log1p(-k / total) + k) + (1 / total - 1 / (total - k)) / 12
 
 
 def _hash(seed: int, *cols: Column) -> Column:
@@ -82,8 +105,9 @@ def shuffle_shards(rows: DataFrame, n_shards: int, identity: list[str], seed: in
     keep = [c for c in rows.columns if c not in ("_part", "_uid", "_key", "_skey", "_n", "shard", "slot")]
     base = stage(with_uid(rows.select(*keep), "_uid")
                  .withColumn("_part", F.spark_partition_id())
-                 .withColumn("_key", _hash(seed, *identity))
-                 .withColumn("_skey", _hash(seed + 1, *identity)))
+                 # the place too: rows with equal identity are as far apart as any others
+                 .withColumn("_key", _hash(seed, *identity, "_uid"))
+                 .withColumn("_skey", _hash(seed + 1, *identity, "_uid")))
     sizes = {r["_part"]: r["n"] for r in base.groupBy("_part").agg(F.count("*").alias("n")).collect()}
     parts = sorted(sizes)
     total = sum(sizes.values())
