@@ -111,3 +111,24 @@ def test_summaries_of_a_hot_key_are_spread_at_every_level(spark, monkeypatch):
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
+
+
+def test_ticks_of_a_long_episode_are_made_by_many_tasks(spark):
+    """Ten million ticks of one episode: blocks are dealt before the ticks are made."""
+    from trajlake.operators import align as al
+
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "10485760"}
+    prev = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        streams = spark.range(7).select(F.lit(1).alias("episode"), F.lit("left").alias("arm"), F.col("id").alias("frame_idx"), (F.col("id") * 3).alias("x"))
+        ticks = spark.createDataFrame([(1, 10_000_000)], "episode int, n_ticks long")
+        got = al.cyclic_align(F.broadcast(streams), ticks)
+        per = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum("x").alias("x"), F.max("tick").alias("t")).collect()
+        n = [r["n"] for r in per]
+        assert sum(n) == 10_000_000 and len(n) >= 8 and max(n) < 0.35 * sum(n) and max(r["t"] for r in per) == 9_999_999
+        assert sum(r["x"] for r in per) == sum((i % 7) * 3 for i in range(10_000_000))
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)

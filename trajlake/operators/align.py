@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from trajlake.functions.timecols import seconds_to_micros
 from trajlake.schemas import NOMINAL_FPS
 
+#: Ticks that one row makes.
+TICK_BLOCK = 65_536
+
 
 def positional_zip(left: DataFrame, right: DataFrame, on: Sequence[str] = ("episode", "frame_idx"),
                    prefixes: tuple[str, str] = ("left_", "right_")) -> DataFrame:
@@ -27,14 +30,20 @@ def cyclic_align(streams: DataFrame, ticks: DataFrame, episode: str = "episode",
     tick n of an episode reads row ``n % len`` of every stream.
 
     ``ticks(episode, n_ticks)`` gives how many ticks to emit per episode
-    (``n_ticks >= 1``; an episode's ticks are bounded by its recording).
+    (``n_ticks >= 1``). Ticks are made in blocks of ``TICK_BLOCK``: an episode
+    yields one small row for each block, the blocks are dealt to tasks, and each
+    makes its own ticks, so a long episode is neither one array nor one task.
     Empty streams have no rows, so they never divide by zero.
     Returns ``(episode, tick, stream, <stream columns>)``.
     """
     lens = streams.groupBy(episode, stream).agg(F.count(F.lit(1)).alias("__n"))
-    grid = (lens.join(ticks.filter(F.col("n_ticks") >= 1), episode)
-            .select(episode, stream, "__n", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                                 F.col("n_ticks").cast("bigint") - 1)).alias("tick"))
+    last = F.col("n_ticks").cast("bigint") - 1
+    blocks = (lens.join(ticks.filter(F.col("n_ticks") >= 1), episode)
+              .select(episode, stream, "__n", last.alias("__last"),
+                      F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(cast(n_ticks as bigint) - 1) div {TICK_BLOCK}"))).alias("__block"))
+              .repartition(F.col(episode), F.col(stream), F.col("__block")))
+    begin = F.col("__block") * TICK_BLOCK
+    grid = (blocks.select(episode, stream, "__n", F.explode(F.sequence(begin, F.least(begin + (TICK_BLOCK - 1), F.col("__last")))).alias("tick"))
             .withColumn(ordinal, F.col("tick") % F.col("__n")).drop("__n"))
     return grid.join(streams, [episode, stream, ordinal], "inner")
 

@@ -19,6 +19,7 @@ from trajlake.operators import clock as ck
 from trajlake.operators import jobs as jb
 from trajlake.operators import motion as mo
 from trajlake.operators import observations as ob
+from trajlake.operators.lineage import write_table
 from trajlake.operators.policy import ScaledStatePolicy, score_policy
 from trajlake.plans import derived as dv
 from trajlake.schemas import robot_spec, spec_for_join
@@ -31,10 +32,12 @@ from trajlake.sources.runlog import parse_run_log
 # Parameters of the bindings (fixed; the oracle uses the same numbers).
 VELOCITY_LIMIT = 10.0
 # Chunk widths of the two-level scans. A chunk should hold many rows of one key:
-# the embeddings log spans seconds (~17 actions per robot-second) -> 1 s;
+# the embeddings log has ~17 actions per robot-second; 1 s keeps several chunks on the small tables;
 # the events log has ~66 rows per key over 30 days -> 1 day (1 h chunks would
 # hold about one row each and make the chunk summaries as large as the data).
 ACTION_CHUNK_US = 1_000_000
+# Execution under clears reads chunks of an hour (about 60,000 actions of a robot).
+EXECUTION_CHUNK_US = 3_600_000_000
 EVENT_CHUNK_US = 86_400_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,10 +59,6 @@ def _retimed(spark: SparkSession, sf: str) -> DataFrame:
     return mo.retime_actions(vel, VELOCITY_LIMIT)
 
 
-def _timeline(spark: SparkSession, sf: str) -> DataFrame:
-    return mo.execution_timeline(_retimed(spark, sf), chunk_us=ACTION_CHUNK_US)
-
-
 def q_action_validation(spark: SparkSession, sf: str) -> DataFrame:
     """C1 over the action requests derived from embeddings."""
     return _validated(spark, sf).select(
@@ -94,55 +93,61 @@ def q_retime_actions(spark: SparkSession, sf: str) -> DataFrame:
     return _retimed(spark, sf).select("request_id", "seq", "robot", "retimed", "period_us")
 
 
+def _executed(spark: SparkSession, sf: str, chunk_us: int = EXECUTION_CHUNK_US) -> DataFrame:
+    """Every executable command as the worker treats it: queue clears from wrong requests followed.
+
+    Runs jobs in the shared folder: a command's last position depends on which earlier ones were removed."""
+    checkpoint_folder(spark)
+    requests, spec = write_table(dv.action_requests(spark, sf), "requests"), spec_for_join(spark)
+    commands = act.explode_action_chunk(act.validate_action_arity(requests, spec))
+    return mo.execute_with_clears(commands, act.clear_events(requests, spec), VELOCITY_LIMIT, chunk_us=chunk_us)
+
+
+def _execution_summary(executed: DataFrame) -> DataFrame:
+    """Per robot: commands that ran and that clears removed, and what those that ran took."""
+    ran = ~F.col("dropped")
+
+    def when_run(c: str) -> F.Column:
+        return F.when(ran, F.col(c))
+
+    return executed.groupBy("robot").agg(
+        F.count_if(ran).alias("n_actions"), F.count_if("dropped").alias("n_dropped"),
+        F.round(F.max(when_run("max_abs")), 6).alias("max_velocity"), F.count_if(ran & F.col("retimed")).alias("n_retimed"),
+        F.round(F.sum(when_run("busy_us")) / 1e6, 6).alias("busy_s"), F.round(F.sum(when_run("gap_us")) / 1e6, 6).alias("idle_s"))
+
+
 def q_execution_timeline(spark: SparkSession, sf: str) -> DataFrame:
-    """W3 over the retimed embeddings log, 1 s chunks."""
-    return _timeline(spark, sf).select("request_id", "seq", "robot", "ts_us", "period_us", "g_us", "e_us",
-                                       "overrun")
+    """W3 of the commands that ran."""
+    return _executed(spark, sf).filter("not dropped").select("request_id", "seq", "robot", "ts_us", "period_us", "g_us", "e_us", "overrun")
 
 
 def q_robot_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: validate -> explode -> velocity -> retime -> timeline, per robot.
-
-    Fixed chunk widths keep it lazy: building it runs no Spark job."""
-    tl = _timeline(spark, sf)
+    """Flagship: validate -> explode -> velocity -> retime -> queue under clears, per robot."""
+    per = _execution_summary(_executed(spark, sf))
     bad = (_validated(spark, sf).groupBy("robot")
            .agg(F.count_if(F.col("is_bad")).alias("n_bad")))
-    per = tl.groupBy("robot").agg(
-        F.count(F.lit(1)).alias("n_actions"),
-        F.round(F.max("max_abs"), 6).alias("max_velocity"),
-        F.count_if("retimed").alias("n_retimed"),
-        F.round(F.sum("busy_us") / 1e6, 6).alias("busy_s"),
-        F.round(F.sum("gap_us") / 1e6, 6).alias("idle_s"))
     # From the requests: a robot all of whose requests are bad still has a row.
-    return bad.join(per, "robot", "left").select("robot", F.coalesce("n_actions", F.lit(0)).alias("n_actions"), "n_bad", "max_velocity",
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_actions", "n_dropped")]
+    return bad.join(per, "robot", "left").select("robot", *zero, "n_bad", "max_velocity",
                                                  F.coalesce("n_retimed", F.lit(0)).alias("n_retimed"), "busy_s", "idle_s")
 
 
 def q_motion_segments(spark: SparkSession, sf: str) -> DataFrame:
-    """Clears from bad requests cut the log; dropped actions."""
-    req = dv.action_requests(spark, sf)
-    clears = act.clear_events(req, spec_for_join(spark))
-    seg = mo.motion_segments(_retimed(spark, sf), clears, chunk_us=ACTION_CHUNK_US)
-    return seg.select("request_id", "seq", "robot", "segment_id", "segment_start_us", "next_clear_us",
-                      "g_us", "e_us", "dropped")
-
-
-def _executed_segments(spark: SparkSession, sf: str) -> DataFrame:
-    checkpoint_folder(spark)
-    clears = act.clear_events(dv.action_requests(spark, sf), spec_for_join(spark))
-    return mo.execute_with_clears(_executable(spark, sf), clears, VELOCITY_LIMIT, chunk_us=ACTION_CHUNK_US)
+    """Clears from wrong requests cut the log; dropped commands with the times they would have had."""
+    return _executed(spark, sf).select("request_id", "seq", "robot", "segment_id", "segment_start_us", "next_clear_us",
+                                       "g_us", "e_us", "dropped")
 
 
 def q_execution_with_clears(spark: SparkSession, sf: str) -> DataFrame:
     """W1 + W2 + W3 + W5 as the worker runs them: removed commands never become the last position."""
     ran = [F.when(~F.col("dropped"), F.col(c)).alias(c) for c in ("period_us", "g_us", "e_us")]
-    return _executed_segments(spark, sf).select("request_id", "seq", "robot", "segment_id", "dropped", *ran)
+    return _executed(spark, sf, ACTION_CHUNK_US).select("request_id", "seq", "robot", "segment_id", "dropped", *ran)
 
 
 def q_asof_position(spark: SparkSession, sf: str) -> DataFrame:
-    """Current command at each request's observation instant."""
+    """The command that ran last before each request's observation instant."""
     obs = dv.request_observations(dv.action_requests(spark, sf))
-    out = mo.asof_position(_timeline(spark, sf), obs, chunk_us=ACTION_CHUNK_US)
+    out = mo.asof_position(_executed(spark, sf).filter("not dropped"), obs, chunk_us=ACTION_CHUNK_US)
     return out.select("obs_id", "robot", "arm", "t_us", "cmd_request_id", "cmd_seq",
                       array_round_sum("cmd_position").alias("cmd_position_sum"))
 
@@ -371,17 +376,13 @@ def q_score_policy(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_policy_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Evaluation-run flow: usable observations -> policy -> validate -> explode ->
-    velocity -> retime -> timeline, summarised per robot."""
-    obs = jb.actionable_observations(dv.policy_observations(spark, sf))
-    scored = score_policy(obs, ScaledStatePolicy, checkpoint=None)
-    req = dv.policy_requests(scored)
-    ex = act.explode_action_chunk(act.validate_action_arity(req, spec_for_join(spark)))
-    tl = mo.execution_timeline(mo.retime_actions(mo.step_velocity(ex, chunk_us=ACTION_CHUNK_US), VELOCITY_LIMIT),
-                               chunk_us=ACTION_CHUNK_US)
-    return tl.groupBy("robot").agg(
-        F.count(F.lit(1)).alias("n_actions"), F.round(F.max("max_abs"), 6).alias("max_velocity"),
-        F.count_if("retimed").alias("n_retimed"), F.round(F.sum("busy_us") / 1e6, 6).alias("busy_s"),
-        F.round(F.sum("gap_us") / 1e6, 6).alias("idle_s"))
+    velocity -> retime -> queue, cleared at every turn, summarised per robot."""
+    checkpoint_folder(spark)
+    # the policy runs once: what follows reads its requests from the shared folder
+    req = write_table(dv.policy_requests(score_policy(jb.actionable_observations(dv.policy_observations(spark, sf)), ScaledStatePolicy, checkpoint=None)), "policy-requests")
+    turns = req.select("robot", "ts_us", F.lit("start_motion").alias("kind")).distinct()   # the client clears the queue at every turn
+    commands = act.explode_action_chunk(act.validate_action_arity(req, spec_for_join(spark)))
+    return _execution_summary(mo.execute_with_clears(commands, turns, VELOCITY_LIMIT, chunk_us=EXECUTION_CHUNK_US))
 
 
 QUERIES.update({

@@ -213,64 +213,9 @@ ORACLE["retime_actions"] = _with(_REQUESTS) + """
 SELECT request_id, seq, robot, retimed, period_us FROM retimed
 """
 
-ORACLE["execution_timeline"] = _with(_REQUESTS) + """
-SELECT request_id, seq, robot, ts_us, period_us, g_us, e_us, overrun FROM timeline
-"""
-
-ORACLE["robot_execution_summary"] = _with(_REQUESTS) + """
-, per AS (
-  SELECT robot, count(*) AS n_actions, round(max(max_abs), 6) AS max_velocity,
-         count(*) FILTER (WHERE retimed) AS n_retimed,
-         round(sum(busy_us) / 1e6, 6) AS busy_s, round(sum(gap_us) / 1e6, 6) AS idle_s
-  FROM timeline GROUP BY robot
-), bad AS (
-  SELECT robot, count(*) FILTER (WHERE is_bad) AS n_bad FROM validated GROUP BY robot
-)
-SELECT bad.robot, coalesce(n_actions, 0) AS n_actions, n_bad, max_velocity, coalesce(n_retimed, 0) AS n_retimed, busy_s, idle_s
-FROM bad LEFT JOIN per USING (robot)
-"""
-
-ORACLE["motion_segments"] = _with(_REQUESTS) + """
-, clears AS (
-  SELECT DISTINCT robot, ts_us, request_id FROM validated WHERE quarantine_reason = 'bad_arity'
-), ev AS (
-  SELECT robot, ts_us, 1 AS tag, request_id, seq, period_us, 0 AS is_clear FROM retimed
-  UNION ALL
-  SELECT robot, ts_us, 0 AS tag, NULL, NULL, NULL, 1 FROM clears
-), ev2 AS (
-  SELECT *, sum(is_clear) OVER w AS segment_id,
-         last_value(CASE WHEN is_clear = 1 THEN ts_us END IGNORE NULLS) OVER w AS segment_start_us
-  FROM ev
-  WINDOW w AS (PARTITION BY robot ORDER BY ts_us, tag, request_id, seq
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-), nxt AS (
-  SELECT robot, segment_id - 1 AS seg, ts_us AS next_clear_us FROM ev2 WHERE is_clear = 1
-), acts AS (
-  SELECT e.*, n.next_clear_us FROM ev2 e LEFT JOIN nxt n ON e.robot = n.robot AND e.segment_id = n.seg
-  WHERE e.is_clear = 0
-), s0 AS (
-  SELECT *, sum(period_us) OVER w AS s_run FROM acts
-  WINDOW w AS (PARTITION BY robot, segment_id ORDER BY ts_us, request_id, seq
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-), s1 AS (
-  SELECT *, CAST(s_run + greatest(segment_start_us, max(ts_us - s_run) OVER w) AS BIGINT) AS e_us FROM s0
-  WINDOW w AS (PARTITION BY robot, segment_id ORDER BY ts_us, request_id, seq
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-), s2 AS (
-  SELECT *, coalesce(lag(e_us) OVER (PARTITION BY robot, segment_id ORDER BY ts_us, request_id, seq),
-                     segment_start_us) AS prev_end_us FROM s1
-)
-SELECT request_id, seq, robot, CAST(segment_id AS BIGINT) AS segment_id, segment_start_us, next_clear_us,
-       greatest(ts_us, prev_end_us) AS g_us, e_us,
-       coalesce(greatest(ts_us, prev_end_us) >= next_clear_us, false) AS dropped
-FROM s2
-"""
-
 # The worker's loop, one row of each robot at a time: only commands that ran become the last position.
-ORACLE["execution_with_clears"] = _with(_REQUESTS).replace("WITH ", "WITH RECURSIVE ", 1) + """
-, clears AS (
-  SELECT DISTINCT robot, ts_us FROM validated WHERE quarantine_reason = 'bad_arity'
-), acts AS (
+_WORKER = """
+acts AS (
   SELECT e.robot, e.request_id, e.seq, e.ts_us, e.duration_us, e.arm, e.position,
          (SELECT count(*) FROM clears c WHERE c.robot = e.robot AND c.ts_us <= e.ts_us) AS segment_id,
          (SELECT max(c.ts_us) FROM clears c WHERE c.robot = e.robot AND c.ts_us <= e.ts_us) AS segment_start_us,
@@ -280,10 +225,11 @@ ORACLE["execution_with_clears"] = _with(_REQUESTS).replace("WITH ", "WITH RECURS
 ), worker AS (
   SELECT DISTINCT robot, CAST(0 AS BIGINT) AS n, CAST(-1 AS BIGINT) AS segment_id, CAST(NULL AS VARCHAR) AS request_id,
          CAST(NULL AS INTEGER) AS seq, CAST(NULL AS DOUBLE[]) AS ran, CAST(NULL AS DOUBLE[]) AS prev,
-         CAST(NULL AS BIGINT) AS period_us, CAST(NULL AS BIGINT) AS g_us, CAST(NULL AS BIGINT) AS e_us, false AS dropped
+         CAST(NULL AS BIGINT) AS period_us, CAST(NULL AS BIGINT) AS g_us, CAST(NULL AS BIGINT) AS e_us, false AS dropped,
+         CAST(NULL AS BIGINT) AS e_prev, CAST(NULL AS DOUBLE) AS max_abs
   FROM acts
   UNION ALL
-  SELECT robot, n, segment_id, request_id, seq, CASE WHEN dropped THEN ran ELSE position END, position, period_us, g_us, e_us, dropped
+  SELECT robot, n, segment_id, request_id, seq, CASE WHEN dropped THEN ran ELSE position END, position, period_us, g_us, e_us, dropped, e_prev, max_abs
   FROM (SELECT *, coalesce(g_us >= next_clear_us, false) AS dropped
   FROM (SELECT *, greatest(ts_us, e_prev) AS g_us, greatest(ts_us, e_prev + period_us) AS e_us
   FROM (SELECT *, CAST(CASE WHEN max_abs > 10.0 THEN round(CAST(duration_us AS DOUBLE) * max_abs_no_gripper / 10.0)
@@ -299,19 +245,61 @@ ORACLE["execution_with_clears"] = _with(_REQUESTS).replace("WITH ", "WITH RECURS
                         list_transform(a.position, lambda x: 0.0)) AS last0
         FROM worker w JOIN acts a ON a.robot = w.robot AND a.n = w.n + 1))))))
 )
+, executed AS (
+  SELECT a.*, w.dropped, w.period_us, w.g_us, w.e_us, w.max_abs, w.max_abs > 10.0 AS retimed,
+         w.e_us - w.g_us AS busy_us, CAST(greatest(w.g_us - w.e_prev, 0) AS BIGINT) AS gap_us,
+         w.e_prev IS NULL OR w.g_us - w.e_prev >= w.period_us AS overrun
+  FROM worker w JOIN acts a ON a.robot = w.robot AND a.n = w.n
+)
+"""
+# a request with a wrong action clears the queue
+_ERROR_CLEARS = """
+clears AS (
+  SELECT DISTINCT robot, ts_us FROM validated WHERE quarantine_reason = 'bad_arity'
+)
+"""
+
+
+def _executed(requests: str, clears: str) -> str:
+    return _with(requests, clears, _WORKER).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLE["execution_with_clears"] = _executed(_REQUESTS, _ERROR_CLEARS) + """
 SELECT request_id, seq, robot, segment_id, dropped, CASE WHEN NOT dropped THEN period_us END AS period_us,
        CASE WHEN NOT dropped THEN g_us END AS g_us, CASE WHEN NOT dropped THEN e_us END AS e_us
-FROM worker WHERE n > 0
+FROM executed
 """
 
-ORACLE["asof_position"] = _with(_REQUESTS) + """
+ORACLE["execution_timeline"] = _executed(_REQUESTS, _ERROR_CLEARS) + """
+SELECT request_id, seq, robot, ts_us, period_us, g_us, e_us, overrun FROM executed WHERE NOT dropped
+"""
+
+ORACLE["motion_segments"] = _executed(_REQUESTS, _ERROR_CLEARS) + """
+SELECT request_id, seq, robot, segment_id, segment_start_us, next_clear_us, g_us, e_us, dropped FROM executed
+"""
+
+ORACLE["robot_execution_summary"] = _executed(_REQUESTS, _ERROR_CLEARS) + """
+, per AS (
+  SELECT robot, count(*) FILTER (WHERE NOT dropped) AS n_actions, count(*) FILTER (WHERE dropped) AS n_dropped,
+         round(max(max_abs) FILTER (WHERE NOT dropped), 6) AS max_velocity,
+         count(*) FILTER (WHERE retimed AND NOT dropped) AS n_retimed,
+         round(sum(busy_us) FILTER (WHERE NOT dropped) / 1e6, 6) AS busy_s, round(sum(gap_us) FILTER (WHERE NOT dropped) / 1e6, 6) AS idle_s
+  FROM executed GROUP BY robot
+), bad AS (
+  SELECT robot, count(*) FILTER (WHERE is_bad) AS n_bad FROM validated GROUP BY robot
+)
+SELECT bad.robot, coalesce(n_actions, 0) AS n_actions, coalesce(n_dropped, 0) AS n_dropped, n_bad, max_velocity, coalesce(n_retimed, 0) AS n_retimed, busy_s, idle_s
+FROM bad LEFT JOIN per USING (robot)
+"""
+
+ORACLE["asof_position"] = _executed(_REQUESTS, _ERROR_CLEARS) + """
 , obs AS (
   SELECT request_id AS obs_id, robot, arm, ts_us + 10000 AS t_us FROM req_checked WHERE action_type IS NOT NULL
 ), ev AS (
   SELECT robot, arm, g_us AS t, 0 AS tag, ts_us AS cmd_ts, request_id AS cmd_request_id, seq AS cmd_seq,
-         position AS cmd_position, NULL AS obs_id, NULL::BIGINT AS t_us FROM timeline
+         position AS cmd_position, NULL::VARCHAR AS obs_id, NULL::BIGINT AS t_us FROM executed WHERE NOT dropped
   UNION ALL
-  SELECT robot, arm, t_us, 1, NULL, NULL, NULL, NULL, obs_id, t_us FROM obs
+  SELECT robot, arm, t_us, 1, NULL::BIGINT, NULL::VARCHAR, NULL::INTEGER, NULL::DOUBLE[], obs_id, t_us FROM obs
 ), ev2 AS (
   SELECT *, last_value(CASE WHEN tag = 0 THEN struct_pack(r := cmd_request_id, s := cmd_seq, p := cmd_position) END
                        IGNORE NULLS) OVER (PARTITION BY robot, arm ORDER BY t, tag, cmd_ts, cmd_request_id, cmd_seq
@@ -732,11 +720,16 @@ requests AS (
 ),
 """
 
-ORACLE["policy_execution_summary"] = _with(_POLICY_REQUESTS.rstrip() + _CHAIN) + """
-SELECT robot, count(*) AS n_actions, round(max(max_abs), 6) AS max_velocity,
-       count(*) FILTER (WHERE retimed) AS n_retimed,
-       round(sum(busy_us) / 1e6, 6) AS busy_s, round(sum(gap_us) / 1e6, 6) AS idle_s
-FROM timeline GROUP BY robot
+# the client clears the queue at every turn, before it posts
+ORACLE["policy_execution_summary"] = _executed(_POLICY_REQUESTS.rstrip() + _CHAIN, """
+clears AS (
+  SELECT DISTINCT robot, ts_us FROM requests
+)
+""") + """
+SELECT robot, count(*) FILTER (WHERE NOT dropped) AS n_actions, count(*) FILTER (WHERE dropped) AS n_dropped,
+       round(max(max_abs) FILTER (WHERE NOT dropped), 6) AS max_velocity, count(*) FILTER (WHERE retimed AND NOT dropped) AS n_retimed,
+       round(sum(busy_us) FILTER (WHERE NOT dropped) / 1e6, 6) AS busy_s, round(sum(gap_us) FILTER (WHERE NOT dropped) / 1e6, 6) AS idle_s
+FROM executed GROUP BY robot
 """
 
 # --- recorded episodes (documents): what the files say, without writing or parsing them ---
