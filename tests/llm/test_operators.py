@@ -404,7 +404,10 @@ def test_language_held_out(spark, odd, none):
 
 
 def test_backoff_takes_the_longest_known_grams():
-    model = lang_backoff.Model(["x", "y"], {"word": [-1.0, -5.0]}, [{"a": [-2.0, -3.0]}, {"<a": [-9.0, -1.0]}, {}, {}])
+    def table(entries):
+        return list(entries), (np.array(list(entries.values()), np.int64).reshape(-1, 2) << 20)
+
+    model = lang_backoff.Model(["x", "y"], table({"word": [-1, -5]}), [table({"a": [-2, -3]}), table({"<a": [-9, -1]}), table({}), table({})])
     assert model.predict("word")[0] == "x" and model.predict("ab")[0] == "y" and model.predict("ba")[0] == "x"
     assert model.predict("zz") == ("x", 0.5) and model.predict("12 ²") == ("und", 0.0) and model.predict(None) == ("und", 0.0)
 

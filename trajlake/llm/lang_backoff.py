@@ -18,24 +18,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.shared import free_name, stage, with_uid
+from trajlake.llm.shared import free_name, with_uid, write_stage
 
-#: Bounds of what tasks get of the model, the rest is looked up by joins: the most frequent words and n-grams of each language.
-WORDS = 30_000
-GRAMS = 10_000
-#: Languages that one model can tell apart; more are an error, so that the bounds above bound the model.
-LANGUAGES = 200
+#: Bounds of what tasks hold of the model: the most frequent words, and n-grams of each length; the rest is looked up by joins.
+WORDS = 300_000
+GRAMS = 40_000
+#: Numbers that each of these tables holds at the most, whatever the number of languages.
+CELLS = 2_000_000
 ORDER = 4
 UNKNOWN = "und"
 #: Words by which the odds of a longer text are counted, so that scores don't all end at one.
 EVIDENCE = 40
 #: Distinct entries that a task counts before it passes them on.
-_HELD = 200_000
-#: Shares that a language's entries are dealt to before its most frequent ones are picked.
-_SHARES = 64
+_TASK_ENTRIES = 200_000
+#: Steps of log frequencies. Sums of whole numbers are the same in any order.
+_STEPS = 1 << 20
+#: Languages whose sums are columns of one aggregate; with more, each language is a row.
+_COLUMNS = 64
 #: Distinct unseen words whose scores a task remembers.
 _MEMO = 200_000
 
@@ -67,7 +69,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text"), strict=True):
             held.setdefault(lang, Counter()).update(words_of(text.as_py()))
-            if sum(map(len, held.values())) > _HELD:
+            if sum(map(len, held.values())) > _TASK_ENTRIES:
                 yield out()
     yield out()
 
@@ -87,65 +89,62 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 c = held.setdefault((lang, k), Counter())
                 for g in grams_of(word, k):
                     c[g] += n
-        if sum(map(len, held.values())) > _HELD:
+        if sum(map(len, held.values())) > _TASK_ENTRIES:
             yield out()
     yield out()
 
 
+def _steps(counts: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Smoothed log frequencies of rows of counts (one column for each language) as whole steps."""
+    return np.rint(np.log((counts + 0.5) / base) * _STEPS).astype(np.int64)
+
+
 class Model:
     """Log frequencies by language of the words and n-grams that tasks hold, and the frames to look up the others in."""
 
-    def __init__(self, langs: list[str], words: dict[str, list[float]], grams: list[dict[str, list[float]]],
-                 bases: list[list[float]] | None = None, rest: tuple[DataFrame, DataFrame] | None = None):
+    def __init__(self, langs: list[str], words: tuple[list[str], np.ndarray], grams: list[tuple[list[str], np.ndarray]],
+                 bases: np.ndarray | None = None, rest: tuple[DataFrame, DataFrame] | None = None):
         self.langs = langs
-        self.index = {w: i for i, w in enumerate(words)}
-        self.table = np.array(list(words.values()), np.float64).reshape(len(words), len(langs))
-        self.grams = [{g: np.array(v) for g, v in level.items()} for level in grams]   # of 1, 2, ... characters
+        self.index, self.table = {w: i for i, w in enumerate(words[0])}, words[1]
+        self.grams = [({g: i for i, g in enumerate(entries)}, table) for entries, table in grams]   # of 1, 2, ... characters
         self.memo: dict[str, np.ndarray] = {}
-        self.none = np.zeros(len(langs))
+        self.none = np.zeros(len(langs), np.int64)
         self.bases = bases   # what frequencies are divided by in each language, of words and of 1, 2, ... characters
         self.rest = rest     # counted words and n-grams; None if tasks hold them all
 
     def __getstate__(self) -> dict:
         return {**self.__dict__, "rest": None, "memo": {}}
 
-    def logs(self, counts: list[dict], k: int) -> np.ndarray:
-        """Log frequencies of a looked up word (``k`` 0) or n-gram from its counts."""
-        n = {c["lang"]: c["n"] for c in counts}
-        return np.log((np.array([n.get(lang, 0) for lang in self.langs]) + 0.5) / np.array(self.bases[k]))
+    def counted(self, at: list[int], n: list[int], k: int) -> np.ndarray:
+        """Steps of a looked up word (``k`` 0) or n-gram from its counts (places of languages, counts)."""
+        counts = np.zeros(len(self.langs))
+        counts[at] = n
+        return _steps(counts, self.bases[k])
+
+    def unseen(self, word: str, extra: dict[str, np.ndarray] | None = None) -> np.ndarray:
+        """Mean over the longest known n-grams of an unseen word, ``extra`` (looked up) among them; nothing known says nothing."""
+        for k in range(ORDER, 0, -1):
+            index, table = self.grams[k - 1]
+            known = [table[index[g]] if g in index else extra[g] for g in grams_of(word, k) if g in index or extra and g in extra]
+            if known:
+                return np.rint(np.sum(known, axis=0) / len(known)).astype(np.int64)   # n-grams of different lengths differ
+        return self.none
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean over the longest known n-grams of an unseen word; nothing known says nothing."""
+    def remembered(self, word: str) -> np.ndarray:
         got = self.memo.get(word)
         if got is None:
-            got = self.none
-            for k in range(ORDER, 0, -1):
-                level = self.grams[k - 1]
-                known = [level[g] for g in grams_of(word, k) if g in level]
-                if known:
-                    got = np.mean(known, axis=0)
-                    break
             if len(self.memo) >= _MEMO:
                 self.memo.clear()
-            self.memo[word] = got
+            got = self.memo[word] = self.unseen(word)
         return got
 
-    def looked_up(self, word: str, found: list[dict]) -> np.ndarray:
-        """``unseen`` with the word's n-grams that were found beside those held."""
-        extra = {f["gram"]: self.logs(f["counts"], f["k"]) for f in found}   # n-grams of different lengths differ
-        for k in range(ORDER, 0, -1):
-            level = self.grams[k - 1]
-            known = [level[g] if g in level else extra[g] for g in grams_of(word, k) if g in level or g in extra]
-            if known:
-                return np.mean(known, axis=0)
-        return self.none
-
     def split(self, text: str | None) -> tuple[int, np.ndarray, Counter]:
         """Words of a text (0 if it is ``und``), the sum over those held, and the others."""
         words = words_of(text)
-        if not self.langs or not any(c.isalpha() for w in words for c in w):
+        if not self.langs or not any(map(str.isalpha, words)) and not any(c.isalpha() for w in words for c in w):
             return 0, self.none, Counter()
-        at = [self.index.get(w, -1) for w in words]
+        get = self.index.get
+        at = [get(w, -1) for w in words]
         known = np.array(at, np.int64)
         total = self.table[known[known >= 0]].sum(0) if len(self.index) else self.none
         return len(words), total, Counter(w for w, i in zip(words, at, strict=True) if i < 0)
@@ -154,7 +153,7 @@ class Model:
         """Language and its probability from the sum over ``n`` words."""
         if not n:
             return UNKNOWN, 0.0
-        total = total * (min(n, EVIDENCE) / n)
+        total = total / _STEPS * (min(n, EVIDENCE) / n)
         p = np.exp(total - total.max())
         p /= p.sum()
         best = int(p.argmax())
@@ -164,72 +163,79 @@ class Model:
         """Language and its probability; ``und`` without a letter or without a model. Only if tasks hold all entries."""
         n, total, other = self.split(text)
         for w, times in other.items():
-            total = total + times * self.unseen(w)
+            total = total + times * self.remembered(w)
         return self.decide(n, total)
 
 
-def _base(langs: list[str], totals: dict[str, int], size: int) -> list[float]:
-    """What smoothed frequencies are divided by: entries counted in each language, and half for each distinct one of ``size``."""
-    return [totals.get(lang, 0) + 0.5 * size + 0.5 for lang in langs]
-
+def _held(rows: pa.Table, langs: int, base: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Entries and their steps, from rows (entry, places of languages, counts)."""
+    entries = rows.column("entry").to_pylist()
+    counts = np.zeros((len(entries), langs))
+    if len(entries):
+        at = rows.column("at").combine_chunks()
+        place = np.repeat(np.arange(len(entries)), np.diff(at.offsets.to_numpy()))
+        counts[place, at.values.to_numpy()] = rows.column("n").combine_chunks().values.to_numpy()
+    return entries, _steps(counts, base)
 
-def _logs(rows: list, key: str, langs: list[str], base: list[float]) -> dict[str, list[float]]:
-    """Smoothed log frequency of each entry in every language."""
-    counts: dict[str, dict[str, int]] = {}
-    for r in rows:
-        counts.setdefault(r[key], {})[r["lang"]] = r["n"]
-    return {w: [float(np.log((c.get(lang, 0) + 0.5) / b)) for lang, b in zip(langs, base, strict=True)] for w, c in sorted(counts.items())}
 
-
-def _most(df: DataFrame, by: list[str], entry: str, most: int) -> DataFrame:
-    """The most frequent entries of each group, ties by the entry itself.
-
-    Each of ``_SHARES`` shares of a group is cut first, so that the task of a
-    group reads ``_SHARES * most`` rows at the most however many words it has.
-    """
-    def first(rows: DataFrame, keys: list[str]) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(F.desc("n"), entry)
-        return rows.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).drop("place")
-
-    return first(first(df.withColumn("share", F.pmod(F.xxhash64(entry), F.lit(_SHARES))), [*by, "share"]).drop("share"), by)
+def _by_entry(counts: DataFrame, entry: list[str]) -> DataFrame:
+    """One row for each entry: places of the languages that have it, counts, their sum. At most one pair for each language."""
+    # dealt by the entry alone, so both aggregates find their rows together; tasks counted before
+    summed = counts.repartition(*entry).groupBy(*entry, "lang").agg(F.sum("n").alias("n"))
+    pairs = F.array_sort(F.collect_list(F.struct("lang", "n")))
+    return (summed.groupBy(*entry).agg(pairs.alias("pairs"), F.sum("n").alias("total"))
+            .select(*entry, F.col("pairs.lang").alias("at"), F.col("pairs.n").alias("n"), "total"))
 
 
 def learn(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
     """Fit a model to ``text`` and non-null ``lang`` of all rows of ``docs``.
 
-    Counts cover all rows. The driver collects, with their counts in all
-    languages, the most frequent ``words`` and, of each length, ``grams`` of
-    every language; the others stay in frames that ``identify`` looks them up in.
+    Counts cover all rows, in any number of languages. The driver collects the
+    names of the languages and their totals, and as Arrow tables the most
+    frequent ``words`` and, of each length, ``grams`` (ties by the entry), but no
+    more than ``CELLS`` numbers in each table; the others stay in frames that
+    ``identify`` looks them up in. Results do not depend on these bounds.
+
+    Edge cases: rows without a language or text are not learned from; a language
+    whose texts hold no word is none; nothing to learn from gives a model that
+    calls every text ``und``; rows that repeat count each time.
     """
-    counted = stage(docs.select("lang", "text").where("lang is not null and text is not null")
-                    .mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(totals) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    counts = docs.select("lang", "text").where("lang is not null and text is not null").mapInArrow(_count_words, "lang string, word string, n long")
+    named = write_stage(_by_entry(counts, ["word"]), "language-words")
+    totals = {r["lang"]: r["n"] for r in named.select(F.explode(F.arrays_zip("at", "n")).alias("p")).groupBy(F.col("p.at").alias("lang")).agg(F.sum("p.n").alias("n")).collect()}
     langs = sorted(totals)
-    known = counted.join(_most(counted, ["lang"], "word", words).select("word").distinct(), "word", "left_semi").collect()
-    by_gram = stage(counted.mapInArrow(_count_grams, "lang string, k int, gram string, n long").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")))
-    gram_totals: dict[int, dict[str, int]] = {}
-    for r in by_gram.groupBy("k", "lang").agg(F.sum("n").alias("n")).collect():
-        gram_totals.setdefault(r["k"], {})[r["lang"]] = r["n"]
-    sizes = {r["k"]: r["n"] for r in by_gram.select("k", "gram").distinct().groupBy("k").agg(F.count("*").alias("n")).collect()}
-    sizes[0] = counted.select("word").distinct().count()
-    levels: list[list] = [[] for _ in range(ORDER)]
-    for r in by_gram.join(_most(by_gram, ["lang", "k"], "gram", grams).select("k", "gram").distinct(), ["k", "gram"], "left_semi").collect():
-        levels[r["k"] - 1].append(r)
-    bases = [_base(langs, gram_totals.get(k, {}) if k else totals, sizes.get(k, 0)) for k in range(ORDER + 1)]
+    place = F.create_map(*[x for i, k in enumerate(langs) for x in (F.lit(k), F.lit(i))]) if langs else None
+    numbered = named if place is None else named.select("word", F.transform("at", lambda k: place[k]).alias("at"), "n", "total")
+    counted = numbered.withColumnRenamed("word", "entry")
+    pieces = named.select("word", F.explode(F.arrays_zip("at", "n")).alias("p")).select(F.col("p.at").alias("lang"), "word", F.col("p.n").alias("n"))
+    by_gram = write_stage(_by_entry(pieces.mapInArrow(_count_grams, "lang string, k int, gram string, n long"), ["k", "gram"]), "language-grams")
+    if place is not None:
+        by_gram = by_gram.select("k", "gram", F.transform("at", lambda k: place[k]).alias("at"), "n", "total")
+    gram_totals = by_gram.select("k", F.explode(F.arrays_zip("at", "n")).alias("p")).groupBy("k", F.col("p.at").alias("at")).agg(F.sum("p.n").alias("n")).collect() if langs else []
+    sizes = {r["k"]: r["n"] for r in by_gram.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    sizes[0] = counted.count()
+    bases = np.array([[0.5 * sizes.get(k, 0) + 0.5] * len(langs) for k in range(ORDER + 1)]).reshape(ORDER + 1, len(langs))
+    bases[0] += [totals[k] for k in langs]
+    for r in gram_totals:
+        bases[r["k"], r["at"]] += r["n"]
+    most = CELLS // max(1, len(langs))
     # A word counts as one observation however it is scored: n-gram logs are means over a word.
-    held = _logs(known, "word", langs, bases[0])
-    held_grams = [_logs(level, "gram", langs, bases[k]) for k, level in enumerate(levels, 1)]
-    every = len(held) == sizes[0] and all(len(g) == sizes.get(k, 0) for k, g in enumerate(held_grams, 1))
-    return Model(langs, held, held_grams, bases, None if every else (counted, by_gram))
+    held = _held(_first(counted, min(words, most)), len(langs), bases[0])
+    levels = [_held(_first(by_gram.where(F.col("k") == k).withColumnRenamed("gram", "entry"), min(grams, most)), len(langs), bases[k]) for k in range(1, ORDER + 1)]
+    every = len(held[0]) == sizes[0] and all(len(t[0]) == sizes.get(k, 0) for k, t in enumerate(levels, 1))
+    return Model(langs, held, levels, bases, None if every else (counted, by_gram))
+
+
+def _first(entries: DataFrame, most: int) -> pa.Table:
+    """The most frequent entries, as one Arrow table of bounded size."""
+    return entries.orderBy(F.desc("total"), "entry").limit(most).select("entry", F.col("at").cast("array<int>").alias("at"), "n").toArrow()
 
 
 def _split(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         got = [model.split(t.as_py()) for t in b.column("text")]
         yield pa.RecordBatch.from_arrays([
-            b.column("uid"), b.column("doc_id"), pa.array([n for n, _, _ in got], pa.int64()), pa.array([t.tolist() for _, t, _ in got], pa.list_(pa.float64())),
+            b.column("uid"), b.column("doc_id"), pa.array([n for n, _, _ in got], pa.int64()), pa.array([t.tolist() for _, t, _ in got], pa.list_(pa.int64())),
             pa.array([list(c) for _, _, c in got], pa.list_(pa.string())), pa.array([list(c.values()) for _, _, c in got], pa.list_(pa.int64()))],
             ["uid", "doc_id", "n_words", "total", "words", "times"])
 
@@ -237,43 +243,48 @@ def _split(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 def _other_grams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """n-grams of words that tasks do not hold."""
     for b in batches:
-        rows = [(w, k, g) for w in b.column("word").to_pylist() for k in range(1, ORDER + 1) for g in dict.fromkeys(grams_of(w, k)) if g not in model.grams[k - 1]]
+        rows = [(w, k, g) for w in b.column("word").to_pylist() for k in range(1, ORDER + 1) for g in dict.fromkeys(grams_of(w, k)) if g not in model.grams[k - 1][0]]
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string()), strict=True)], ["word", "k", "gram"])
 
 
 def _entries(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = [(model.logs(counts, 0) if counts else model.looked_up(w, found or [])).tolist()
-               for w, counts, found in zip(b.column("word").to_pylist(), b.column("counts").to_pylist(), b.column("found").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(got, pa.list_(pa.float64()))], ["word", "logs"])
+        got = [(model.counted(at, n, 0) if at else model.unseen(w, {f["gram"]: model.counted(f["at"], f["n"], f["k"]) for f in found or []})).tolist()
+               for w, at, n, found in zip(*(b.column(c).to_pylist() for c in ("word", "at", "n", "found")), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(got, pa.list_(pa.int64()))], ["word", "logs"])
 
 
 def _decide(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = []
-        for n, total, found in zip(b.column("n_words").to_pylist(), b.column("total").to_pylist(), b.column("found").to_pylist(), strict=True):
-            total = np.array(total)
-            for f in sorted(found or [], key=lambda f: f["word"]):   # one order, whatever the shuffle's
-                total = total + f["times"] * np.array(f["logs"])
-            got.append(model.decide(n, total))
+        got = [model.decide(n, np.array(total) + (np.array(more) if more else 0))
+               for n, total, more in zip(b.column("n_words").to_pylist(), b.column("total").to_pylist(), b.column("more").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("doc_id"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                                          ["uid", "doc_id", "lang_pred", "score"])
 
 
+def _summed(of_words: DataFrame, langs: int) -> DataFrame:
+    """``more``: sums over the words of each text (uid, times, logs); tasks add up their part before the shuffle."""
+    if langs <= _COLUMNS:
+        sums = of_words.groupBy("uid").agg(*[F.sum(F.col("times") * F.col("logs")[i]).alias(f"s{i}") for i in range(langs)])
+        return sums.select("uid", F.array(*[f"s{i}" for i in range(langs)]).alias("more"))
+    sums = of_words.select("uid", "times", F.posexplode("logs").alias("i", "v")).groupBy("uid", "i").agg(F.sum(F.col("times") * F.col("v")).alias("s"))
+    return sums.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("p")).select("uid", F.col("p.s").alias("more"))
+
+
 def _look_up(rows: DataFrame, model: Model) -> DataFrame:
     """Predictions for ``rows`` (uid, doc_id, text) by a model of which tasks hold a part."""
     counted, by_gram = model.rest
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    split = stage(rows.mapInArrow(lambda b: _split(b, shared.value), "uid long, doc_id long, n_words long, total array<double>, words array<string>, times array<long>"))
-    other = split.select("uid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("uid", "w.words", "w.times").withColumnRenamed("words", "word")
-    counts = F.collect_list(F.struct("lang", "n")).alias("counts")   # one for each language at the most
-    words = stage(other.select("word").distinct().join(counted.groupBy("word").agg(counts), "word", "left"))
-    found = (words.where("counts is null").select("word").mapInArrow(lambda b: _other_grams(b, shared.value), "word string, k int, gram string")
-             .join(by_gram.groupBy("k", "gram").agg(counts), ["k", "gram"])
-             .groupBy("word").agg(F.collect_list(F.struct("k", "gram", "counts")).alias("found")))
-    entries = words.join(found, "word", "left").mapInArrow(lambda b: _entries(b, shared.value), "word string, logs array<double>")
-    of_text = other.join(entries, "word").groupBy("uid").agg(F.collect_list(F.struct("word", "times", "logs")).alias("found"))
+    split = write_stage(rows.mapInArrow(lambda b: _split(b, shared.value), "uid long, doc_id long, n_words long, total array<bigint>, words array<string>, times array<bigint>"),
+                        "language-texts")
+    other = split.select("uid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("uid", F.col("w.words").alias("word"), "w.times")
+    words = write_stage(other.select("word").distinct().join(counted.select(F.col("entry").alias("word"), "at", "n"), "word", "left"), "language-unheld")
+    found = (words.where("at is null").select("word").mapInArrow(lambda b: _other_grams(b, shared.value), "word string, k int, gram string")
+             .join(by_gram.select("k", "gram", "at", "n"), ["k", "gram"])
+             .groupBy("word").agg(F.collect_list(F.struct("k", "gram", "at", "n")).alias("found")))
+    entries = words.join(found, "word", "left").mapInArrow(lambda b: _entries(b, shared.value), "word string, logs array<bigint>")
+    of_text = _summed(other.join(entries, "word"), len(model.langs))
     return (split.select("uid", "doc_id", "n_words", "total").join(of_text, "uid", "left")
             .mapInArrow(lambda b: _decide(b, shared.value), "uid long, doc_id long, lang_pred string, score double"))
 
@@ -312,7 +323,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """``docs`` without rows whose language is ``und`` or less probable than ``least``; a table scan, as rows are told apart by place."""
+    """``docs`` without rows whose language is ``und`` or less probable than ``least``; a table scan, as rows are told apart by place.
+
+    Edge cases as in ``identify``: rows with a null text or one without a letter
+    go, copies stay or go alike, an empty table stays empty; all columns are kept.
+    """
     if model.rest:
         uid = free_name(docs, "uid")
         placed = with_uid(docs, uid)
