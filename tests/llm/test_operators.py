@@ -121,6 +121,16 @@ def test_decontamination_query(spark, odd, none):
     assert decontaminate.decontaminate(none, few).columns == none.columns and decontaminate.decontaminate(odd, few.limit(0)).count() == odd.count()
 
 
+def test_short_items_match_unchanged_as_whole_words(spark):
+    chinese = "快速的棕色狐狸跳过了那只非常懒惰的小黑狗"
+    items = spark.createDataFrame([(1, "What is two plus?"), (2, chinese), (3, "yes"), (4, None), (5, "what is two plus")], "item_id long, text string")
+    texts = ["so: what is TWO plus, then", "what is two plusses", "somewhat is two plus", "what is two minus", "前面" + chinese + "后面", chinese[:-1], "yes", None, "what is two plus " * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["edits"]) for r in decontaminate.contaminated(docs, items).collect())
+    assert got == [(0, 1, 0), (0, 5, 0), (4, 2, 0), (8, 1, 0), (8, 5, 0)]
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, items).collect()) == [1, 2, 3, 5, 6, 7]
+
+
 # ---------------------------------------------------------------- 2 token files
 
 def test_rans_round_trip_and_checkpoints():

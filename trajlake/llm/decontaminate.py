@@ -5,11 +5,13 @@ A test item of ``L`` normalised characters may differ from a passage by
 of it stands in such a passage unchanged. An Aho-Corasick automaton finds all
 pieces in a document, each hit names a window where the whole item may lie, and
 Myers' bit-parallel algorithm gives the least edit distance in that window.
+Items of a few words have no edits to spend: their one piece is the item itself.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,8 +22,10 @@ from trajlake.llm.shared import stage, with_uid
 
 #: One edit is allowed for so many characters of an item.
 CHARS_PER_EDIT = 13
-#: Items with fewer words say too little to be recognised; they match nothing.
+#: Items with fewer words say too little to be recognised with edits; they match unchanged and as whole words only.
 MIN_WORDS = 5
+#: Items with fewer normalised characters match nothing: they are single words or numbers that any text may hold.
+MIN_CHARS = 12
 #: Characters of items that one pass over the documents searches for (one item at least).
 BLOCK_CHARS = 1_000_000
 
@@ -74,19 +78,20 @@ def myers(pattern_bits: dict[str, int], m: int, text: str, most: int) -> tuple[i
 class Matcher:
     """Finds near copies of a block of normalised items in normalised texts."""
 
-    def __init__(self, items: list[tuple[int, str]], chars_per_edit: int = CHARS_PER_EDIT):
+    def __init__(self, items: list[tuple[int, str]], chars_per_edit: int = CHARS_PER_EDIT, min_words: int = MIN_WORDS):
         import ahocorasick
 
         self.items = []
         where: dict[str, list[tuple[int, int]]] = {}
         for key, item in items:
-            errors = budget(len(item), chars_per_edit)
+            short = item.count(" ") + 1 < min_words
+            errors = 0 if short else budget(len(item), chars_per_edit)
             bits: dict[str, int] = {}
             for i, c in enumerate(item):
                 bits[c] = bits.get(c, 0) | 1 << i
             for at, piece in pieces(item, errors):
                 where.setdefault(piece, []).append((len(self.items), at))
-            self.items.append((key, len(item), errors, bits))
+            self.items.append((key, len(item), errors, None if short else bits))
         self.automaton = ahocorasick.Automaton()
         for piece, uses in where.items():
             self.automaton.add_word(piece, (len(piece), uses))
@@ -99,10 +104,15 @@ class Matcher:
         if self.empty or not text:
             return {}
         windows: dict[int, list[list[int]]] = {}
+        found: dict[int, tuple[int, int]] = {}
         for end, (size, uses) in self.automaton.iter(text):
             first = end + 1 - size
             for k, at in uses:
-                _, length, errors, _ = self.items[k]
+                key, length, errors, bits = self.items[k]
+                if bits is None:
+                    if key not in found and _whole(text, first, end + 1):
+                        found[key] = (0, end + 1)
+                    continue
                 lo, hi = max(0, first - at - errors), min(len(text), first - at + length + errors)
                 own = windows.setdefault(k, [])
                 # Hits come in order of their ends, so windows of one item start nearly in order: join the overlapping ones.
@@ -111,7 +121,6 @@ class Matcher:
                     own[-1][1] = max(own[-1][1], hi)
                 else:
                     own.append([lo, hi])
-        found: dict[int, tuple[int, int]] = {}
         for k, own in windows.items():
             key, length, errors, bits = self.items[k]
             for lo, hi in own:
@@ -126,13 +135,21 @@ class Matcher:
         return bool(self.find(text))
 
 
+def _whole(text: str, lo: int, hi: int) -> bool:
+    """Whether text[lo:hi] ends where words end. Letters without case are of scripts that need no space between words."""
+    def open_edge(inside: str, at: int) -> bool:
+        return not 0 <= at < len(text) or text[at] == " " or unicodedata.category(inside) == "Lo"
+
+    return open_edge(text[lo], lo - 1) and open_edge(text[hi - 1], hi)
+
+
 def _normal_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         yield pa.RecordBatch.from_arrays([b.column("item_id"), pa.array([normalise(x) for x in b.column("text").to_pylist()], pa.string())], ["item_id", "item"])
 
 
-def _search(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], chars_per_edit: int) -> Iterator[pa.RecordBatch]:
-    matcher = Matcher(items, chars_per_edit)
+def _search(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], chars_per_edit: int, min_words: int) -> Iterator[pa.RecordBatch]:
+    matcher = Matcher(items, chars_per_edit, min_words)
     for b in batches:
         rows = []
         for uid, doc_id, text in zip(b.column("uid").to_pylist(), b.column("doc_id").to_pylist(), b.column("text"), strict=True):
@@ -142,18 +159,18 @@ def _search(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], cha
             ["uid", "doc_id", "key", "edits", "ends_at"])
 
 
-def _clean(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], chars_per_edit: int) -> Iterator[pa.RecordBatch]:
-    matcher = Matcher(items, chars_per_edit)
+def _clean(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], chars_per_edit: int, min_words: int) -> Iterator[pa.RecordBatch]:
+    matcher = Matcher(items, chars_per_edit, min_words)
     for b in batches:
         keep = [not matcher.touches(normalise(t.as_py())) for t in b.column("text")]
         yield b.filter(pa.array(keep, pa.bool_()))
 
 
-def _items(benchmark: DataFrame, min_words: int) -> DataFrame:
+def _items(benchmark: DataFrame) -> DataFrame:
     """item_id, item (normalised), key (one for each different item); staged."""
     plain = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     return stage(plain.mapInArrow(_normal_items, "item_id long, item string")
-                 .where(F.size(F.split("item", " ")) >= min_words).withColumn("key", F.xxhash64("item")))
+                 .where(F.length("item") >= MIN_CHARS).withColumn("key", F.xxhash64("item")))
 
 
 def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
@@ -178,27 +195,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CH
     documents.
 
     Edge cases: null, empty or wordless texts hold nothing; an item of fewer
-    than ``min_words`` words matches nothing; equal items are searched once and
+    than ``min_words`` words (an unspaced script counts as one) matches where it
+    stands unchanged as whole words, one of fewer than 12 characters nowhere; equal items are searched once and
     all reported; repeated documents are reported each; empty tables on either
     side give an empty result.
     """
     spark = docs.sparkSession
-    items = _items(benchmark, min_words)
+    items = _items(benchmark)
     texts = with_uid(docs, "uid").select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kind = "uid long, doc_id long, key long, edits int, ends_at long"
     found = spark.createDataFrame([], kind)
     for block in _blocks(items, block_chars):
         shared = spark.sparkContext.broadcast(block)
-        found = found.unionByName(texts.mapInArrow(lambda b, s=shared: _search(b, s.value, chars_per_edit), kind))
+        found = found.unionByName(texts.mapInArrow(lambda b, s=shared: _search(b, s.value, chars_per_edit, min_words), kind))
     return found.join(items.select("key", "item_id"), "key").select("uid", "doc_id", "item_id", "edits", "ends_at")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT, min_words: int = MIN_WORDS,
                   block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` without the documents that hold a near copy of a benchmark item; no row is shuffled."""
+    """``docs`` without the documents that hold a near copy of a benchmark item; no row is shuffled.
+
+    Edge cases as in ``contaminated``: what holds nothing stays, copies go or
+    stay alike, an empty table on either side changes nothing; all columns are kept.
+    """
     spark = docs.sparkSession
     schema = docs.schema
-    for block in _blocks(_items(benchmark, min_words), block_chars):
+    for block in _blocks(_items(benchmark), block_chars):
         shared = spark.sparkContext.broadcast(block)
-        docs = docs.mapInArrow(lambda b, s=shared: _clean(b, s.value, chars_per_edit), schema)
+        docs = docs.mapInArrow(lambda b, s=shared: _clean(b, s.value, chars_per_edit, min_words), schema)
     return docs
