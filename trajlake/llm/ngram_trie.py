@@ -257,6 +257,9 @@ def build_and_look_up(table: pa.Table, order: int, last: bool, smoothing: float)
     word = np.concatenate([k[r[4]] for k, r in zip(rank, requests, strict=True)])
     own, lower = np.concatenate([r[5] for r in requests]).astype(np.int64), np.concatenate([r[6][r[4]] if order == 2 else r[6] for r in requests])
 
+    ends = np.cumsum([0, *(len(r[4]) for r in requests)])
+    del requests, numbers, rank   # the joined arrays hold all that is needed
+
     node, levels, nodes = path[:, 0], [], v
     for j in range(1, order - 1):
         key, node = np.unique(node * v + path[:, j], return_inverse=True)
@@ -283,7 +286,6 @@ def build_and_look_up(table: pa.Table, order: int, last: bool, smoothing: float)
     walked[contexts] = at
     leaf = trie.child(order - 2, walked[parent], ending)
     code = np.where(leaf >= 0, trie.codes[np.maximum(leaf, 0)] if trie.leaves else 0, trie.back_off[walked[parent]].astype(np.int64) + shorter)
-    ends = np.cumsum([0, *(len(r[4]) for r in requests)])
     nothing = np.zeros(0, np.int64)
     answers = [pack(code[which[a:b]].astype(np.int64), nothing if last else count[which[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
     return _answers(order, table.column("shard")[0].as_py(), table.column("unit").to_pylist(), answers, raw)
