@@ -32,4 +32,4 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
-    assert len(rows) == 4 and df.columns[:3] == ["robot", "n_actions", "n_dropped", "n_bad"]
+    assert len(rows) == 4 and df.columns[:4] == ["robot", "n_actions", "n_dropped", "n_bad"]
