@@ -19,6 +19,7 @@ from trajlake.operators import clock as ck
 from trajlake.operators import jobs as jb
 from trajlake.operators import motion as mo
 from trajlake.operators import observations as ob
+from trajlake.operators import runs as rn
 from trajlake.operators.lineage import write_table
 from trajlake.operators.policy import ScaledStatePolicy, score_policy
 from trajlake.plans import derived as dv
@@ -39,6 +40,8 @@ ACTION_CHUNK_US = 1_000_000
 # Execution under clears reads chunks of an hour (about 60,000 actions of a robot).
 EXECUTION_CHUNK_US = 3_600_000_000
 EVENT_CHUNK_US = 86_400_000_000
+# Lines of a worker's log in a chunk: several chunks on the small tables.
+LOG_CHUNK = 1_024
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -358,6 +361,13 @@ def q_parse_run_log(spark: SparkSession, sf: str) -> DataFrame:
         "line_no", "ts_us", "level", "kind", "job_id", "status", "latency_s", "message")
 
 
+def q_job_runs_from_log(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 -> A7: the runs that the workers' logs tell of."""
+    r = rn.job_runs(parse_run_log(dv.worker_log_lines(spark, sf)), chunk_lines=LOG_CHUNK)
+    return r.select("worker", "first_line", "job_id", "called_us", "start_us", "end_us", "n_states", "n_inferences",
+                    F.round("latency_s", 6).alias("latency_s"), "max_latency_s", "end_reason")
+
+
 def q_serialize_observation(spark: SparkSession, sf: str) -> DataFrame:
     """Observation to JSON and back."""
     js = serialize_observation(dv.policy_observations(spark, sf), cols=("state", "pending_actions", "action"))
@@ -399,6 +409,7 @@ QUERIES.update({
     "select_cameras": q_select_cameras,
     "letterbox_geometry": q_letterbox_geometry,
     "parse_run_log": q_parse_run_log,
+    "job_runs_from_log": q_job_runs_from_log,
     "serialize_observation": q_serialize_observation,
     "score_policy": q_score_policy,
 })

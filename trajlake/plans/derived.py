@@ -366,6 +366,32 @@ def run_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("line_no"), line.alias("value"))
 
 
+def worker_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of ten workers (user_id % 10), one line an event, in the order of event_id; the kind follows k.
+
+    A worker's job changes every 500 events. k < 10 calls a ready job, 10-11 one
+    in ``prepare``; 12-29 a start; 30-59 a state read; 60-87 an inference; 88-89
+    the max wait; 90-91 an error; 92-93 an idle poll; 94 the exit; 95-97 a
+    status; the rest a line in no layout.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+    worker = F.pmod(F.col("user_id"), F.lit(10))
+    job = F.concat(F.lit("job-"), worker.cast("string"), F.lit("-"), F.expr("event_id div 500").cast("string"))
+    k = F.col("k")
+    msg = (F.when(k < 12, F.concat(F.lit("Processing job_id: "), job, F.lit(", status: "), F.when(k < 10, F.lit("ready")).otherwise(F.lit("prepare"))))
+           .when(k < 30, F.lit("Started robot: b'ok'"))
+           .when(k < 60, F.format_string("get_robot_state time: %.2f", F.col("value")))
+           .when(k < 88, F.format_string("Inference result: [[%.2f]]", F.col("value")))
+           .when(k < 90, F.concat(F.lit("Job "), job, F.lit(" exceeded max wait time.")))
+           .when(k < 92, F.concat(F.lit("Error processing job "), job, F.lit(": lost")))
+           .when(k < 94, F.lit("No active jobs, poll count: 1"))
+           .when(k < 95, F.lit("No new jobs after multiple checks, exiting."))
+           .when(k < 98, F.concat(F.lit("Job id: "), job, F.lit(", status: running, remaining jobs: 2"))))
+    stamp = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss,SSS")
+    line = F.coalesce(F.concat(stamp, F.lit(" INFO:"), msg), F.lit("    ... 4 more rows]"))
+    return ev.withColumn("k", _k()).select(worker.alias("worker"), F.col("event_id").alias("line_no"), line.alias("value"))
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zipped two-arm frames with an action type per episode and arm-enable flags."""
     from trajlake.operators.align import positional_zip

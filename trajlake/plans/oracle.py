@@ -681,6 +681,33 @@ SELECT event_id AS line_no, (epoch_us(ts) // 1000) * 1000 AS ts_us,
 FROM m
 """
 
+ORACLE["job_runs_from_log"] = """
+WITH e AS (
+  SELECT user_id % 10 AS worker, event_id AS line_no, (epoch_us(ts) // 1000) * 1000 AS us, round(value, 2) AS lat,
+         'job-' || CAST(user_id % 10 AS VARCHAR) || '-' || CAST(event_id // 500 AS VARCHAR) AS job,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+  FROM events
+), l AS (
+  SELECT *, k < 10 AS calls, k < 12 OR k BETWEEN 88 AND 97 AS closes, k BETWEEN 12 AND 29 AS starts FROM e WHERE k < 98
+), closing AS (
+  SELECT worker, line_no, us, job, k, calls,
+         lead(line_no) OVER w AS end_line, lead(us) OVER w AS end_us, lead(job) OVER w AS end_job, lead(k) OVER w AS end_k
+  FROM l WHERE closes WINDOW w AS (PARTITION BY worker ORDER BY line_no)
+), started AS (
+  SELECT c.worker, c.line_no, min(s.line_no) AS start_line, arg_min(s.us, s.line_no) AS start_us
+  FROM closing c JOIN l s ON s.worker = c.worker AND s.starts AND s.line_no > c.line_no AND (c.end_line IS NULL OR s.line_no < c.end_line)
+  WHERE c.calls GROUP BY c.worker, c.line_no
+)
+SELECT c.worker, c.line_no AS first_line, c.job AS job_id, c.us AS called_us, s.start_us, c.end_us,
+       count(x.k) FILTER (WHERE x.k < 60) AS n_states, count(x.k) FILTER (WHERE x.k >= 60) AS n_inferences,
+       round(sum(x.lat) FILTER (WHERE x.k < 60), 6) AS latency_s, max(x.lat) FILTER (WHERE x.k < 60) AS max_latency_s,
+       CASE WHEN c.end_line IS NULL THEN NULL WHEN c.end_job = c.job AND c.end_k BETWEEN 88 AND 89 THEN 'max_wait'
+            WHEN c.end_job = c.job AND c.end_k BETWEEN 90 AND 91 THEN 'exception' ELSE 'not_running' END AS end_reason
+FROM closing c JOIN started s USING (worker, line_no)
+LEFT JOIN l x ON x.worker = c.worker AND x.k BETWEEN 30 AND 87 AND x.line_no > s.start_line AND (c.end_line IS NULL OR x.line_no < c.end_line)
+GROUP BY ALL
+"""
+
 ORACLE["serialize_observation"] = """
 WITH o AS (
   SELECT vec_id AS obs_id,

@@ -7,10 +7,11 @@ Three layouts are accepted (the three logger formats in use):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.functions.timecols import micros
+from trajlake.sources.episodes import number_lines
 
 # The worker's message shapes, one pattern per kind (first match wins).
 LINE_PATTERN = r"^\[?(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\]? ([A-Z]+):? ?(.*)$"
@@ -73,3 +74,12 @@ def parse_run_log(df: DataFrame, value: str = "value") -> DataFrame:
             .withColumn("latency_s", F.when(F.col("kind") == "state_latency",
                                             F.regexp_extract(m, pats["state_latency"], 1).cast("double")))
             .drop("__ok", "__ts"))
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """S7 on files: every line of the logs under ``path``, typed, with ``worker`` (the log's path) and ``line_no``.
+
+    Files are read in splits whatever their size, and lines keep their exact 0-based number in the file.
+    """
+    lines = number_lines(spark, path)
+    return parse_run_log(lines.select(F.col("path").alias("worker"), F.col("frame_idx").alias("line_no"), "value"))
