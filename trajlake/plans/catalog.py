@@ -19,6 +19,7 @@ from trajlake.operators import clock as ck
 from trajlake.operators import jobs as jb
 from trajlake.operators import motion as mo
 from trajlake.operators import observations as ob
+from trajlake.operators import replay as rp
 from trajlake.operators import runs as rn
 from trajlake.operators.lineage import write_table
 from trajlake.operators.policy import ScaledStatePolicy, score_policy
@@ -332,16 +333,13 @@ def q_observation_latency_offset(spark: SparkSession, sf: str) -> DataFrame:
     return _latency(spark, sf, True)
 
 
-CAMERA_REQUESTS = [["left_hand", "right_hand", "high"], ["high"], ["left_hand", "right_hand"], ["high", "depth"]]
-
-
 def q_select_cameras(spark: SparkSession, sf: str) -> DataFrame:
     """P5: requested camera slots per frame."""
     fr = dv.frames(spark, sf)
     images = F.create_map(F.lit("left_hand"), F.encode("left_text", "UTF-8"),
                           F.lit("right_hand"), F.encode("right_text", "UTF-8"),
                           F.lit("high"), F.encode(F.concat("left_text", "right_text"), "UTF-8"))
-    req = F.element_at(F.array(*[F.array(*[F.lit(s) for s in r]) for r in CAMERA_REQUESTS]),
+    req = F.element_at(F.array(*[F.array(*[F.lit(s) for s in r]) for r in dv.CAMERA_REQUESTS]),
                        (F.col("episode") % 4 + 1).cast("int"))
     sel = ob.select_cameras(fr.withColumn("images", images).withColumn("image_types", req))
     return sel.select("episode", "frame_idx", F.explode("images").alias("slot", "img")).select(
@@ -445,6 +443,22 @@ def q_normalize_states(spark: SparkSession, sf: str) -> DataFrame:
                                              array_len("pose").alias("pose_len"), "joint_len_ok", "pose_len_ok")
 
 
+def q_replay_observations(spark: SparkSession, sf: str) -> DataFrame:
+    """Episode files -> observations: S2, S3, S4, S5, J2, J1, P1-P6. An arm whose line did not parse is not enabled."""
+    spec = robot_spec(spark)
+    lines = ep.split_state_lines(dv.state_files(spark, sf, pairs=True))
+    states = ep.normalize_states(ep.enrich_with_spec(lines, spec).filter("not unknown_robot"))
+    # a video of n bytes has 1 + n % 97 frames
+    videos = ep.join_camera_files(dv.video_files(spark, sf), dv.recorded_episodes(spark, sf), spec)
+    cameras = videos.select(F.col("episode_dir").alias("episode"), "slot", "path", (1 + F.col("length") % 97).alias("n_frames"))
+    obs = rp.replay_observations(states.withColumn("enabled", ~F.col("corrupt")).withColumnRenamed("episode_dir", "episode"),
+                                 dv.replayed_episodes(spark, sf), cameras)
+    frames = F.map_values("images")
+    return obs.select("episode", "tick", "robot", "action_type", "arm", "mode", "state", array_len("vector").alias("vec_len"),
+                      array_round_sum("vector").alias("vec_sum"), F.when(F.col("images").isNotNull(), F.size("images")).alias("n_images"),
+                      F.aggregate(frames, F.lit(0).cast("bigint"), lambda acc, f: acc + f["frame_idx"]).alias("frames_sum"))
+
+
 def q_camera_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Camera slots of every episode and the listed videos that fill them."""
     return ep.join_camera_files(dv.video_files(spark, sf), dv.recorded_episodes(spark, sf), robot_spec(spark))
@@ -464,6 +478,7 @@ QUERIES.update({
     "episode_catalog": q_episode_catalog,
     "read_states": q_read_states,
     "normalize_states": q_normalize_states,
+    "replay_observations": q_replay_observations,
     "camera_manifest": q_camera_manifest,
     "enrich_with_spec": q_enrich_with_spec,
     "unknown_robots": q_unknown_robots,

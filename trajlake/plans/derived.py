@@ -22,6 +22,7 @@ STATUS_BY_EVENT = {"signup": "assigned", "view": "prepare", "click": "ready",
                    "purchase": "running", "error": "failed"}
 STATUS_CYCLE = ["assigned", "prepare", "ready", "running", "finished", "cancelled", "failed"]
 EVENT_TYPE_INDEX = {"signup": 0, "view": 1, "click": 2, "purchase": 3, "error": 4}
+CAMERA_REQUESTS = [["left_hand", "right_hand", "high"], ["high"], ["left_hand", "right_hand"], ["high", "depth"]]
 OBS_ACTION_TYPES = ["joint", "pos", "leftjoint", "leftpos", "rightjoint", "rightpos", None]
 
 
@@ -244,10 +245,11 @@ VIDEO_FILES = [["cam_wrist_left_rgb.mp4", "cam_wrist_right_rgb.mp4", "cam_high_r
                ["cam_high_rgb.mp4", "depth.mp4", "side_realsense_rgb.mp4"]]
 
 
-def _episode_dir() -> Column:
-    """/rec/2025-0<1 + doc_id % 9>/task <doc_id % 7>+a%20/data/episode_E<doc_id>."""
-    return F.concat(F.lit("/rec/2025-0"), (1 + F.col("doc_id") % 9).cast("string"), F.lit("/task "),
-                    (F.col("doc_id") % 7).cast("string"), F.lit("+a%20/data/episode_E"), F.col("doc_id").cast("string"))
+def _episode_dir(number: Column | None = None) -> Column:
+    """/rec/2025-0<1 + number % 9>/task <number % 7>+a%20/data/episode_E<number>; the number is doc_id if none is given."""
+    d = F.col("doc_id") if number is None else number
+    return F.concat(F.lit("/rec/2025-0"), (1 + d % 9).cast("string"), F.lit("/task "),
+                    (d % 7).cast("string"), F.lit("+a%20/data/episode_E"), d.cast("string"))
 
 
 def recorded_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,14 +269,16 @@ def episode_meta_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(d % 11 == 4, F.lit('{"frames": ')).otherwise(whole).alias("body"))
 
 
-def state_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def state_files(spark: SparkSession, sf_dir: str, pairs: bool = False) -> DataFrame:
     """State logs (path, body, robot): the words of a text, split at blanks, are the lines.
 
     A word of n characters gives a line with 6 + n % 2 joints of value n, the
     gripper n (under the wrong key when n % 7 = 3) and a pose of 6 + n % 2
     values (16 when n % 3 = 0); n = 0 a blank line; n % 13 = 12 a cut-off one.
     A two-arm robot's file is the left arm's for even doc_id, else the right's.
-    Texts of even doc_id end in a newline.
+    Texts of even doc_id end in a newline. With ``pairs`` both files of a two-arm
+    robot are of one episode: the left arm's doc_id is a multiple of 10, the right
+    arm's is five more.
     """
     r, d = F.col("doc_id") % 5, F.col("doc_id")
     grip, pose = _pick(GRIPPER_KEYS, r), _pick(POSE_KEYS, r)
@@ -294,8 +298,9 @@ def state_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(r != 0, F.lit("states.jsonl")).when(d % 2 == 0, F.lit("left_states.jsonl")).otherwise(F.lit("right_states.jsonl"))
     body = F.concat(F.array_join(F.transform(F.split("text", " "), line), "\n"), F.when(d % 2 == 0, F.lit("\n")).otherwise(F.lit("")))
     # a file of the table may be one row group, which is one task: the texts are dealt before the lines are made
+    number = F.when(r == 0, d - d % 10).otherwise(d) if pairs else d
     return table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id").select(
-        F.concat(_episode_dir(), F.lit("/states/"), name).alias("path"), body.alias("body"),
+        F.concat(_episode_dir(number), F.lit("/states/"), name).alias("path"), body.alias("body"),
         _pick(ROBOTS_RECORDED, r).alias("robot"))
 
 
@@ -308,6 +313,15 @@ def video_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (d * 10 + F.col("i")).alias("length"), d.alias("modified"))
 
 
+def replayed_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(episode, robot, action_type, image_types): the types follow doc_id; none are asked for when doc_id % 31 = 3."""
+    d = F.col("doc_id")
+    asked = F.element_at(F.array(*[F.array(*[F.lit(s) for s in r]) for r in CAMERA_REQUESTS]), (d % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "documents").select(
+        _episode_dir().alias("episode"), _pick(ROBOTS_RECORDED, d % 5).alias("robot"),
+        _pick(OBS_ACTION_TYPES, F.expr("doc_id div 5") % 7).alias("action_type"), F.when(d % 31 != 3, asked).alias("image_types"))
+
+
 def with_ordinals(streams: DataFrame, turn_chunk: int = 4096) -> DataFrame:
     """0-based frame index per (episode, arm) in turn order: a running count,
     computed chunked (``turn div turn_chunk``) so a long stream is not one task."""

@@ -838,3 +838,47 @@ FROM eps LEFT JOIN spec USING (robot)
 ORACLE["unknown_robots"] = _EPISODES + """
 SELECT episode_dir, robot FROM eps WHERE robot = 'gen9'
 """
+
+ORACLE["replay_observations"] = _STATE_ROWS + """
+, st AS (
+  SELECT CASE WHEN robot = 'aloha' THEN doc_id - doc_id % 10 ELSE doc_id END AS rec,
+         CASE WHEN starts_with(file, 'right_') THEN 'right' ELSE 'left' END AS arm, frame_idx, NOT corrupt AS enabled,
+         joints + 1 AS joint_len, CAST(joints * n AS DOUBLE) + grip AS joint_sum, poses + 1 AS pose_len, CAST(poses * n AS DOUBLE) + grip AS pose_sum
+  FROM lines WHERE robot <> 'gen9'
+), lens AS (SELECT rec, arm, count(*) AS len FROM st GROUP BY rec, arm),
+longest AS (SELECT rec, max(len) AS n_ticks FROM lens GROUP BY rec),
+grid AS (SELECT rec, unnest(range(n_ticks)) AS tick FROM longest),
+o AS (
+  SELECT e.episode_dir, e.robot, e.doc_id, g.tick,
+         ['joint', 'pos', 'leftjoint', 'leftpos', 'rightjoint', 'rightpos', NULL][(doc_id // 5) % 7 + 1] AS action_type,
+         CASE WHEN doc_id % 31 <> 3 THEN [['left_hand', 'right_hand', 'high'], ['high'], ['left_hand', 'right_hand'], ['high', 'depth']][doc_id % 4 + 1] END AS asked,
+         l.enabled AS l_on, r.enabled AS r_on, l.joint_len AS lj, r.joint_len AS rj, l.pose_len AS lp, r.pose_len AS rp,
+         l.joint_sum AS ljs, r.joint_sum AS rjs, l.pose_sum AS lps, r.pose_sum AS rps
+  FROM grid g JOIN eps e ON e.doc_id = g.rec
+  LEFT JOIN lens ll ON ll.rec = g.rec AND ll.arm = 'left' LEFT JOIN st l ON l.rec = g.rec AND l.arm = 'left' AND l.frame_idx = g.tick % ll.len
+  LEFT JOIN lens lr ON lr.rec = g.rec AND lr.arm = 'right' LEFT JOIN st r ON r.rec = g.rec AND r.arm = 'right' AND r.frame_idx = g.tick % lr.len
+), p AS (
+  SELECT *, CASE WHEN action_type IS NULL THEN NULL WHEN contains(action_type, 'left') THEN 'left' WHEN contains(action_type, 'right') THEN 'right'
+                 ELSE 'both' END AS arm,
+            CASE WHEN action_type IS NULL THEN NULL WHEN contains(action_type, 'pos') THEN 'pos' ELSE 'joint' END AS mode
+  FROM o
+), s AS (
+  SELECT *, CASE WHEN action_type IS NULL OR asked IS NULL THEN 'size_none'
+                 WHEN coalesce(CASE arm WHEN 'left' THEN l_on WHEN 'right' THEN r_on ELSE l_on AND r_on END, false) THEN 'normal' ELSE 'abnormal' END AS state
+  FROM p
+), cams(robot, i, slot) AS (VALUES ('aloha', 0, 'left_hand'), ('aloha', 1, 'right_hand'), ('aloha', 2, 'high'), ('arx5', 0, 'left_hand'),
+  ('arx5', 1, 'right_hand'), ('arx5', 2, 'high'), ('ur5', 0, 'left_hand'), ('ur5', 1, 'right_hand'), ('franka', 0, 'left_hand'),
+  ('franka', 1, 'right_hand'), ('franka', 2, 'high')),
+shown AS (
+  SELECT s.doc_id, s.tick, count(*) AS n, sum(s.tick % (1 + (s.doc_id * 10 + c.i) % 97)) AS f
+  FROM s JOIN cams c ON c.robot = s.robot AND (s.doc_id + c.i) % 4 <> 3 AND list_contains(s.asked, c.slot) GROUP BY s.doc_id, s.tick
+)
+SELECT s.episode_dir AS episode, CAST(s.tick AS BIGINT) AS tick, s.robot, s.action_type, s.arm, s.mode, s.state,
+       CAST(CASE WHEN state = 'normal' THEN CASE arm WHEN 'left' THEN CASE mode WHEN 'pos' THEN lp ELSE lj END
+         WHEN 'right' THEN CASE mode WHEN 'pos' THEN rp ELSE rj END ELSE CASE mode WHEN 'pos' THEN lp + rp ELSE lj + rj END END END AS INTEGER) AS vec_len,
+       CASE WHEN state = 'normal' THEN CASE arm WHEN 'left' THEN CASE mode WHEN 'pos' THEN lps ELSE ljs END
+         WHEN 'right' THEN CASE mode WHEN 'pos' THEN rps ELSE rjs END ELSE CASE mode WHEN 'pos' THEN lps + rps ELSE ljs + rjs END END END AS vec_sum,
+       CASE WHEN state <> 'size_none' THEN CAST(coalesce(h.n, 0) AS INTEGER) END AS n_images,
+       CASE WHEN state <> 'size_none' THEN CAST(coalesce(h.f, 0) AS BIGINT) END AS frames_sum
+FROM s LEFT JOIN shown h ON h.doc_id = s.doc_id AND h.tick = s.tick
+"""
