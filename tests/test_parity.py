@@ -259,15 +259,43 @@ def test_d12_index_key_drift(spark, tmp_path):
     assert got == {"000001": 1, "FFFFFF": 80}
 
 
-def test_policy_batch_entry_point_equals_per_state(spark):
+def test_policy_entry_points_are_equal(spark):
+    """Per state, per batch of states and on columns: the same answers, also for null and empty vectors."""
     from conftest import SF001
-    from trajlake.operators.policy import DummyPolicy, ScaledStateBatchPolicy, ScaledStatePolicy, score_policy
+    from trajlake.operators.policy import NoActionPolicy, ScaledStateArrowPolicy, ScaledStateBatchPolicy, ScaledStatePolicy, score_policy
     from trajlake.plans.derived import policy_observations
-    obs = policy_observations(spark, SF001)
-    a = {r.obs_id: r.actions for r in score_policy(obs, ScaledStatePolicy).collect()}
-    b = {r.obs_id: r.actions for r in score_policy(obs, ScaledStateBatchPolicy).collect()}
-    assert a == b and len(a) > 0
-    assert all(r.actions == [] for r in score_policy(obs, DummyPolicy).collect())
+    odd = spark.createDataFrame([(-1, None, 0, "normal"), (-2, [], 0, "normal"), (-3, [1.0, 3.0], None, None), (-4, None, 1, "x"), (-5, [2.0], 0, "normal")],
+                                "obs_id long, action array<double>, pending_actions int, state string")
+    obs = policy_observations(spark, SF001).select("obs_id", "action", "pending_actions", "state").unionByName(odd).coalesce(2)
+    a, b, c = ({r.obs_id: r.actions for r in score_policy(obs, p).collect()} for p in (ScaledStatePolicy, ScaledStateBatchPolicy, ScaledStateArrowPolicy))
+    assert a == b == c and len(a) > 5
+    assert (c[-1], c[-2], c[-3]) == ([], [[], []], [[0.5, 1.5], [0.25, 0.75]])
+    assert all(r.actions == [] for r in score_policy(obs, NoActionPolicy).collect())
+    assert score_policy(obs.limit(0), ScaledStateArrowPolicy).count() == 0
+
+
+def test_policy_null_answers_and_own_columns(spark):
+    """A null answer stays null, a column of the answer's name is replaced, other columns pass through."""
+    from trajlake.operators.policy import score_policy
+
+    class Picky:
+        def __init__(self, checkpoint):
+            self.limit = float(checkpoint)
+
+        def run_policy(self, state):
+            return None if state["v"] is None or state["v"] > self.limit else [[state["v"]]]
+
+    df = spark.createDataFrame([(1.0, "a", "x"), (9.0, "b", "y"), (None, None, "z")], "v double, actions string, keep string")
+    rows = score_policy(df, Picky, checkpoint="5", state_cols=("v",)).select("keep", "actions").collect()
+    assert {tuple(r) for r in ((x.keep, None if x.actions is None else tuple(map(tuple, x.actions))) for x in rows)} == {("x", ((1.0,),)), ("y", None), ("z", None)}
+
+
+def test_policy_flow_runs_the_policy_once(spark):
+    """What follows the policy reads its stored requests: no Python node is left in the flow's plan."""
+    from conftest import SF001
+    from trajlake.plans import catalog
+    plan = catalog.q_policy_execution_summary(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "MapInPandas" not in plan and "PythonMapInArrow" not in plan
 
 
 def test_stream_await_done_retention(spark):

@@ -170,3 +170,29 @@ def test_stream_execute_requests_equals_batch(spark):
     rows = {tuple(r) for r in got.select("robot", "request_id", "seq", "ts_us", "period_us", "retimed",
                                          "g_us", "e_us").collect()}
     assert rows == _batch_retimed(spark, _executable(spark, SF01))
+
+
+def test_stream_job_status_orders_ties_like_the_batch(spark, tmp_path):
+    """Two polls of a job at one instant, in different files: the later poll_id counts, whichever file comes first."""
+    rows = [[(2, "j", 5, "running"), (1, "k", 5, "ready")], [(1, "j", 5, "ready"), (2, "k", 5, "finished"), (3, "j", 4, "failed")]]
+    for n, part in enumerate(rows):
+        cols = list(zip(*part))
+        pq.write_table(pa.table({"poll_id": cols[0], "job_id": cols[1], "poll_ts_us": cols[2], "status": cols[3],
+                                 "device": [{"robot_id": "r"}] * len(part)}), str(tmp_path / f"part-{n}.parquet"))
+        time.sleep(0.05)
+    polls = spark.read.parquet(str(tmp_path))
+    sdf = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path))
+    q = so.stream_job_status(sdf).writeStream.outputMode("complete").format("memory").queryName("t4_ties").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = {(r.job_id, r.status) for r in spark.table("t4_ties").collect()}
+    assert got == {(r.job_id, r.status) for r in jb.latest_job_status(polls).collect()} == {("j", "running"), ("k", "finished")}
+
+
+def test_stream_validation_equals_batch_on_all_requests(spark):
+    """T3 over every request of the larger table, in several files."""
+    req, spec = dv.action_requests(spark, SF01), spec_for_join(spark)
+    d, schema = _write_parts(req, "ts_us", 4)
+    cols = ["request_id", "seq", "arm", "mode", "expected_len", "actual_len", "is_bad", "first_bad_pos", "quarantine_reason", "effective"]
+    out, _ = _run(spark, so.stream_validate_actions(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d), spec).select(*cols), "t3_all")
+    got, want = ({tuple(r) for r in f.select(*cols).collect()} for f in (out, act.validate_action_arity(req, spec)))
+    assert got == want and out.count() == len(want) and any(r[6] for r in want)

@@ -19,7 +19,7 @@ from trajlake.schemas import (ACTIVE_STATUSES, DEFAULT_IDLE_POLLS, DEFAULT_JOB_L
 HOUR_US = 3_600_000_000
 
 
-def _turn(polls: DataFrame, ts: str) -> Column:
+def poll_order(polls: DataFrame, ts: str) -> Column:
     """Order of polls: by time, then by ``poll_id`` where there is one."""
     return F.struct(F.col(ts), F.col("poll_id")) if "poll_id" in polls.columns else F.struct(F.col(ts))
 
@@ -28,7 +28,7 @@ def latest_job_status(polls: DataFrame, ts: str = "poll_ts_us") -> DataFrame:
     """A3: last polled status and device per job (records without a status are skipped)."""
     p = polls.filter(F.col("status").isNotNull())
     last = F.max_by(F.struct(F.col("status"), F.col("device.robot_id").alias("robot_id"), F.col(ts).alias("ts")),
-                    _turn(polls, ts))
+                    poll_order(polls, ts))
     return (p.groupBy("job_id").agg(last.alias("__l"), F.count(F.lit(1)).alias("n_polls"))
             .select("job_id", F.col("__l.status").alias("status"), F.col("__l.robot_id").alias("robot_id"),
                     F.col("__l.ts").alias("last_poll_us"), "n_polls"))
@@ -106,7 +106,7 @@ def await_running_outcome(polls: DataFrame, starts: DataFrame, timeout_s: float
     decisive = F.col("poll_error") | (F.col("status").isNotNull() & (F.col("status") != "prepare"))
     first = (p.filter(decisive).groupBy("job_id")
              .agg(F.min_by(F.struct(F.col("poll_error").alias("err"), F.col("status").alias("st"),
-                                    F.col(ts).alias("t")), _turn(polls, ts)).alias("__f")))
+                                    F.col(ts).alias("t")), poll_order(polls, ts)).alias("__f")))
     out = starts.select("job_id", "start_us").join(first, "job_id", "left")
     code = (F.when(F.col("__f").isNull(), F.lit(RC_TIMEOUT))
             .when(F.col("__f.err"), F.lit(RC_EXCEPTION))
@@ -171,9 +171,9 @@ def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = D
           .withColumn("__skip", F.when(open_or_wait, skip))
           .withColumn("__infer", (F.col("__end").isNull() & infer) | (F.col("__end") == "max_wait")))
     ends = (it.filter(F.col("__end").isNotNull()).groupBy("job_id")
-            .agg(F.min_by(F.struct(F.col(ts).alias("t"), F.col("__end").alias("r"), _turn(run_log, ts).alias("turn")), _turn(run_log, ts)).alias("__e")))
+            .agg(F.min_by(F.struct(F.col(ts).alias("t"), F.col("__end").alias("r"), poll_order(run_log, ts).alias("turn")), poll_order(run_log, ts)).alias("__e")))
     ends = runs.select("job_id").join(ends, "job_id", "left")   # open runs keep all their turns
-    it = attach_by_chunk(it, ends, "job_id", ch, log).filter(F.col("__e").isNull() | (_turn(run_log, ts) <= F.col("__e.turn")))
+    it = attach_by_chunk(it, ends, "job_id", ch, log).filter(F.col("__e").isNull() | (poll_order(run_log, ts) <= F.col("__e.turn")))
     agg = it.groupBy("job_id").agg(
         F.count(F.lit(1)).alias("n_iterations"),
         F.count_if(F.col("__infer")).alias("n_inferences"),
@@ -191,5 +191,5 @@ def job_run_summary(run_log: DataFrame, starts: DataFrame, max_wait_s: float = D
 def first_device_assignment(polls: DataFrame, ts: str = "poll_ts_us") -> DataFrame:
     """First poll that carries ``device.robot_id`` per job."""
     p = polls.filter(F.col("device.robot_id").isNotNull())
-    return (p.groupBy("job_id").agg(F.min_by(F.col("device.robot_id"), _turn(polls, ts)).alias("robot_id"),
+    return (p.groupBy("job_id").agg(F.min_by(F.col("device.robot_id"), poll_order(polls, ts)).alias("robot_id"),
                                     F.min(ts).alias("assigned_us")))

@@ -22,7 +22,7 @@ from trajlake.operators import observations as ob
 from trajlake.operators import replay as rp
 from trajlake.operators import runs as rn
 from trajlake.operators.lineage import write_table
-from trajlake.operators.policy import ScaledStatePolicy, score_policy
+from trajlake.operators.policy import ScaledStateArrowPolicy, score_policy
 from trajlake.plans import derived as dv
 from trajlake.schemas import robot_spec, spec_for_join
 from trajlake.session import checkpoint_folder
@@ -375,8 +375,8 @@ def q_serialize_observation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_score_policy(spark: SparkSession, sf: str) -> DataFrame:
-    """U1 with a deterministic example policy."""
-    sc = score_policy(dv.policy_observations(spark, sf), ScaledStatePolicy, checkpoint=None)
+    """U1 with a deterministic example policy on columns."""
+    sc = score_policy(dv.policy_observations(spark, sf), ScaledStateArrowPolicy, checkpoint=None)
     return sc.select("obs_id", "robot", array_len("actions").alias("n_actions"),
                      array_round_sum(F.element_at("actions", 1)).alias("a0_sum"),
                      array_round_sum(F.element_at("actions", 2)).alias("a1_sum"))
@@ -387,7 +387,7 @@ def q_policy_execution_summary(spark: SparkSession, sf: str) -> DataFrame:
     velocity -> retime -> queue, cleared at every turn, summarised per robot."""
     checkpoint_folder(spark)
     # the policy runs once: what follows reads its requests from the shared folder
-    req = write_table(dv.policy_requests(score_policy(jb.actionable_observations(dv.policy_observations(spark, sf)), ScaledStatePolicy, checkpoint=None)), "policy-requests")
+    req = write_table(dv.policy_requests(score_policy(jb.actionable_observations(dv.policy_observations(spark, sf)), ScaledStateArrowPolicy, checkpoint=None)), "policy-requests")
     turns = req.select("robot", "ts_us", F.lit("start_motion").alias("kind")).distinct()   # the client clears the queue at every turn
     commands = act.explode_action_chunk(act.validate_action_arity(req, spec_for_join(spark)))
     return _execution_summary(mo.execute_with_clears(commands, turns, VELOCITY_LIMIT, chunk_us=EXECUTION_CHUNK_US))

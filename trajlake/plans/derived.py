@@ -133,15 +133,16 @@ def job_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     else normal. Received k ms + 2 ms after the state timestamp.
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
-    k = _k()
-    ts = micros("ts")
+    return ev.select(F.col("event_id").alias("obs_id"), F.col("user_id").cast("string").alias("job_id"), *_observation_columns())
+
+
+def _observation_columns() -> list[Column]:
+    k, ts = _k(), micros("ts")
     state = (F.when(k % 10 == 0, F.lit(None).cast("string")).when(k % 10 == 1, F.lit("size_none"))
              .when(k % 10 == 2, F.lit("abnormal")).otherwise(F.lit("normal")))
-    return ev.select(F.col("event_id").alias("obs_id"), F.col("user_id").cast("string").alias("job_id"),
-                     F.when(k % 10 != 0, ts).alias("state_ts_us"), (ts + k * 1000 + 2000).alias("recv_us"),
-                     state.alias("state"),
-                     F.when((k % 10 == 0) | (k % 20 == 14), F.lit(None)).when(k % 10 == 3, 1 + k % 4).otherwise(F.lit(0))
-                      .cast("int").alias("pending_actions"))
+    return [F.when(k % 10 != 0, ts).alias("state_ts_us"), (ts + k * 1000 + 2000).alias("recv_us"), state.alias("state"),
+            F.when((k % 10 == 0) | (k % 20 == 14), F.lit(None)).when(k % 10 == 3, 1 + k % 4).otherwise(F.lit(0))
+             .cast("int").alias("pending_actions")]
 
 
 def job_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,16 +151,16 @@ def job_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     Records without a status when k % 50 = 7; a failed poll when k >= 97.
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    return ev.select(*_poll_columns())
+
+
+def _poll_columns() -> list[Column]:
     k = _k()
     status = F.when(k % 50 == 7, F.lit(None).cast("string")).otherwise(_status_of(F.col("event_type")))
-    return ev.select(
-        F.col("event_id").alias("poll_id"), F.col("user_id").cast("string").alias("job_id"),
-        micros("ts").alias("poll_ts_us"), status.alias("status"),
-        F.when(F.col("event_type") != "signup",
-               F.struct(F.concat(F.lit("robot-"), (F.col("user_id") % 8).cast("string")).alias("robot_id")))
-         .alias("device"),
-        (k >= 97).alias("poll_error"),
-        (k % 13 != 0).alias("start_ok"))
+    device = F.struct(F.concat(F.lit("robot-"), (F.col("user_id") % 8).cast("string")).alias("robot_id"))
+    return [F.col("event_id").alias("poll_id"), F.col("user_id").cast("string").alias("job_id"), micros("ts").alias("poll_ts_us"),
+            status.alias("status"), F.when(F.col("event_type") != "signup", device).alias("device"),
+            (k >= 97).alias("poll_error"), (k % 13 != 0).alias("start_ok")]
 
 
 def job_starts(polls: DataFrame) -> DataFrame:
@@ -206,10 +207,10 @@ def collection_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Worker loop iterations per job: every poll of the job with its observation; the device key lacks when poll_id % 23 = 7."""
-    polls = job_polls(spark, sf_dir)
-    obs = job_observations(spark, sf_dir).withColumnRenamed("obs_id", "poll_id").drop("job_id")
-    return polls.join(obs, "poll_id").withColumn("has_device", F.pmod("poll_id", F.lit(23)) != 7)
+    """Worker loop iterations per job: every poll of the job with its observation (``job_polls`` and ``job_observations``
+    of one event, read in one scan); the device key lacks when poll_id % 23 = 7."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    return ev.select(*_poll_columns(), *_observation_columns()).withColumn("has_device", F.pmod("poll_id", F.lit(23)) != 7)
 
 
 # ---------------------------------------------------------------------------

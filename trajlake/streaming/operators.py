@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from trajlake.operators.actions import validate_action_arity
+from trajlake.operators.jobs import poll_order
 from trajlake.schemas import DEFAULT_JOB_LIMIT_S, DEFAULT_VELOCITY_LIMIT, RC_EXCEPTION, RC_FAILURE, RC_SUCCESS, RC_TIMEOUT
 
 # The state functions below run in Python workers; ship them by value so
@@ -36,10 +37,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # T4: running latest status per job
 # ---------------------------------------------------------------------------
 def stream_job_status(sdf: DataFrame, ts: str = "poll_ts_us") -> DataFrame:
-    """T4: latest polled status per job as a streaming aggregate (update/complete mode)."""
+    """T4: latest polled status per job as a streaming aggregate (update/complete mode).
+
+    Polls at one instant are ordered by ``poll_id`` where there is one, as in A3.
+    """
     p = sdf.filter(F.col("status").isNotNull())
     last = F.max_by(F.struct(F.col("status"), F.col("device.robot_id").alias("robot_id"), F.col(ts).alias("ts")),
-                    F.col(ts))
+                    poll_order(sdf, ts))
     return (p.groupBy("job_id").agg(last.alias("__l"))
             .select("job_id", F.col("__l.status").alias("status"), F.col("__l.robot_id").alias("robot_id"),
                     F.col("__l.ts").alias("last_poll_us")))
@@ -58,19 +62,22 @@ def stream_validate_actions(sdf: DataFrame, spec: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 AWAIT_OUT = "job_id string, start_us long, code int, decided_us long"
 AWAIT_STATE = "start_us long, done boolean"
+#: Event time for which a decided job is remembered.
+DONE_RETENTION_S = 30 * 86_400
 
 
 def stream_await_running(sdf: DataFrame, timeout_s: float = DEFAULT_JOB_LIMIT_S, watermark: str = "1 hour",
                          start_status: str = "ready", ts_us: str = "poll_ts_us", event_time: str = "poll_ts",
-                         done_retention_s: float | None = None) -> DataFrame:
+                         done_retention_s: float | None = DONE_RETENTION_S) -> DataFrame:
     """Streaming W8. The wait starts at the job's first ``start_status``
     row; the first decisive later row within the limit emits 0/1 (3 for a
     failed poll); the event-time timer emits 2 once the watermark passes
     ``start + timeout``. A ``done`` marker stays in state so a later row of
-    the same job does not start a second wait. With ``done_retention_s`` the
-    marker is dropped once the watermark passes ``decided + retention``
-    (bounded state; a job that becomes ready again after that starts a new
-    wait)."""
+    the same job does not start a second wait. It is dropped once the watermark
+    passes ``decided + done_retention_s``, which bounds the state; a job that
+    becomes ready again after that starts a new wait. ``None`` keeps markers for
+    ever. Polls at one instant are ordered by ``poll_id`` where there is one."""
+    order = [ts_us, "poll_id"] if "poll_id" in sdf.columns else [ts_us]
     lim = int(round(timeout_s * 1_000_000))
     keep = None if done_retention_s is None else int(round(done_retention_s * 1_000_000))
 
@@ -95,7 +102,7 @@ def stream_await_running(sdf: DataFrame, timeout_s: float = DEFAULT_JOB_LIMIT_S,
         if done:
             return
         decided = None
-        for row in pdf.sort_values(ts_us, kind="stable").itertuples(index=False):
+        for row in pdf.sort_values(order, kind="stable").itertuples(index=False):
             t = int(getattr(row, ts_us))
             status = getattr(row, "status")
             status = None if (status is None or (isinstance(status, float) and math.isnan(status))) else status
