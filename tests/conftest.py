@@ -14,4 +14,6 @@ def spark(tmp_path_factory):
     from trajlake.session import get_session
     # one machine: a scratch folder is shared
     s = get_session(cpus="*", shuffle_partitions=8, checkpoint=str(tmp_path_factory.mktemp("checkpoints")))
+    from trajlake.streaming.operators import state_store
+    state_store(s)
     yield s

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import tempfile
 import time
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
@@ -196,3 +200,103 @@ def test_stream_validation_equals_batch_on_all_requests(spark):
     out, _ = _run(spark, so.stream_validate_actions(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d), spec).select(*cols), "t3_all")
     got, want = ({tuple(r) for r in f.select(*cols).collect()} for f in (out, act.validate_action_arity(req, spec)))
     assert got == want and out.count() == len(want) and any(r[6] for r in want)
+
+
+def _stream(spark, df, n_parts):
+    """``df`` as a stream of files in time order, with the event time of its polls."""
+    d, schema = _write_parts(df, "poll_ts_us", n_parts)
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
+            .withColumn("poll_ts", F.timestamp_micros("poll_ts_us")))
+
+
+def _updates(sdf, ckpt=None):
+    """Rows of each micro-batch, and the rows of state after it."""
+    found = []
+    q = (sdf.writeStream.outputMode("update").foreachBatch(lambda df, epoch: found.extend((epoch, *r) for r in df.collect()))
+         .option("checkpointLocation", ckpt or tempfile.mkdtemp(prefix="trajlake-stream-ckpt-")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    return found, [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+
+
+def test_latest_status_equals_batch_with_bounded_state(spark):
+    """All polls of the larger table in time order: the last update of every job is A3's row, and old jobs leave the state."""
+    polls = dv.job_polls(spark, SF01)
+    sdf = _stream(spark, polls, 6)
+    found, kept = _updates(so.stream_latest_status(sdf, retention_s=0, watermark="1 second"))
+    last = {job: (job, *row) for _, job, *row in sorted(found, key=lambda r: r[0])}
+    want = {tuple(r) for r in jb.latest_job_status(polls).select("job_id", "status", "robot_id", "last_poll_us").collect()}
+    assert set(last.values()) == want
+    assert kept[-1] < len(want) / 10             # the watermark has passed nearly all last polls
+    whole, all_kept = _updates(so.stream_latest_status(sdf, watermark="1 second"))
+    assert {job: row for _, job, *row in sorted(whole, key=lambda r: r[0])} == {job: list(r[1:]) for job, r in last.items()}
+    assert max(all_kept) > kept[-1]
+
+
+def test_latest_status_odd_rows_and_restart(spark, tmp_path):
+    """Ties, repeated and older polls, nulls in every column; the second half after a restart."""
+    t0 = 1_700_000_000_000_000
+
+    def part(n, rows):
+        schema = pa.schema([("poll_id", pa.int64()), ("job_id", pa.string()), ("poll_ts_us", pa.int64()), ("status", pa.string()),
+                            ("device", pa.struct([("robot_id", pa.string())]))])
+        rows = [(i, j, None if t is None else t0 + t, *more) for i, j, t, *more in rows]
+        pq.write_table(pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema), str(tmp_path / f"part-{n}.parquet"))
+
+    ckpt = tempfile.mkdtemp(prefix="trajlake-stream-ckpt-")
+    part(0, [(2, "j", 5, "running", {"robot_id": "r"}), (2, "j", 5, "running", {"robot_id": "r"}), (1, "k", 5, "ready", None),
+             (None, "k", 5, "prepare", None), (3, None, 5, "ready", None), (4, "n", None, "ready", None), (5, "m", 6, None, None)])
+    read = lambda: so.stream_latest_status(spark.readStream.schema(spark.read.parquet(str(tmp_path)).schema).parquet(str(tmp_path)))
+    first, _ = _updates(read(), ckpt)
+    assert {r[1:] for r in first} == {("j", "running", "r", t0 + 5), ("k", "ready", None, t0 + 5)} and len(first) == 2
+    part(1, [(1, "j", 5, "ready", None), (2, "k", 5, "finished", {"robot_id": None}), (9, "j", 4, "failed", None)])
+    second, _ = _updates(read(), ckpt)
+    assert [r[1:] for r in second] == [("k", "finished", None, t0 + 5)]
+
+
+def test_await_running_state_is_dropped(spark):
+    """All polls of the larger table: with a short memory the state of decided jobs goes, and timers end every wait."""
+    polls = dv.job_polls(spark, SF01).select("poll_id", "job_id", "poll_ts_us", "status", "poll_error")
+    sdf = _stream(spark, polls, 6)
+    wait = lambda keep: so.stream_await_running(sdf, timeout_s=3600, watermark="1 second", done_retention_s=keep)
+    found, kept = _updates(wait(10 * 365 * 86_400))
+    want = {tuple(r) for r in jb.await_running_outcome(polls, dv.job_starts(dv.job_polls(spark, SF01)), timeout_s=3600)
+            .select("job_id", "start_us", "code", "decided_us").collect()}
+    got = {r[1:] for r in found}
+    assert got <= want and len(got) == len(found) and {w for w in want if w[2] != 2} <= got
+    assert sum(w[2] == 2 for w in got) > 0.9 * sum(w[2] == 2 for w in want)
+    _, short = _updates(wait(0))
+    assert short[-1] < kept[-1] / 10
+
+
+def test_await_running_needs_a_retention(spark):
+    sdf = spark.readStream.format("rate").load()
+    with pytest.raises(ValueError):
+        so.stream_await_running(sdf, done_retention_s=None)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_needed_rows_decide_alike(seed):
+    """Rows of a job in batches of any order and size, against a walk through all of them in order."""
+    rng = np.random.default_rng(seed)
+    wait = so._AwaitRunning(50, 0)
+    for _ in range(200):
+        n = int(rng.integers(1, 12))
+        rows = pd.DataFrame({"ts_us": rng.integers(0, 8, n), "poll_id": rng.permutation(n), "is_start": rng.random(n) < 0.3,
+                             "code": pd.array(rng.integers(0, 4, n), "Int32")})
+        rows.loc[rng.random(n) < 0.3, "code"] = pd.NA
+        known = int(rng.integers(0, 8)) if rng.random() < 0.4 else None
+        start, decided = known, None
+        for r in rows.sort_values(["ts_us", "poll_id"]).itertuples():
+            if start is None:
+                start = r.ts_us if r.is_start else None
+            elif r.ts_us > start and not pd.isna(r.code):
+                decided = (r.ts_us, r.code)
+                break
+        held, found = None, known
+        for part in np.array_split(rng.permutation(n), int(rng.integers(1, 4))):
+            pdf = rows.iloc[part]
+            held, found = wait._needed(pdf if held is None else pd.concat([held, pdf], ignore_index=True), known)
+        assert found == start
+        if start is not None:
+            later = held[(held["ts_us"] > start) & held["code"].notna()]
+            assert (tuple(later[["ts_us", "code"]].iloc[0]) if len(later) else None) == decided
