@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.llm.components import connected_components
-from trajlake.llm.shared import stage, with_uid
+from trajlake.llm.shared import join_to_groups, stage, with_uid
 
 TABLES = 24
 FUNCTIONS = 8
@@ -176,8 +176,11 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, tables: int = TABLES,
     roots = connected_components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
     classes = (classes.drop("v", "label").join(counts, "rep", "left").join(roots, "rep", "left")
                .withColumn("root", F.coalesce("root", "rep")).withColumn("n", F.coalesce("n", F.lit(0)) + F.col("copies") - 1))
-    ids = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = classes.join(ids, "root").select("h1", "h2", F.col("n").alias("n_links"), "component_id")
-    return (rows.where("fine").join(classes, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
+    classes = stage(classes.select("h1", "h2", "root", "n", "first_id", "copies"))
+    n_classes, n_rows = classes.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    ids = classes.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("members"))
+    named = stage(join_to_groups(classes.drop("first_id"), ids, ["root"], "members", n_classes)
+                  .select("h1", "h2", F.col("n").alias("n_links"), "component_id", "copies"))
+    return (join_to_groups(rows.where("fine"), named, ["h1", "h2"], "copies", n_rows).select("vec_id", "n_links", "component_id")
             .unionByName(rows.where("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))

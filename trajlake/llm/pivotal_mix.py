@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajlake.llm.shared import WORD, free_name, stage, with_uid
+from trajlake.llm.shared import WORD, free_name, join_to_groups, stage, with_uid
 
 #: Units that meet in one task of the tree; also the bound of every collected list.
 ARITY = 64
@@ -155,20 +155,20 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     # Null sorts last: a prefix keeps code point order and sets null apart.
     base = base.withColumn("_src", F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1")))
     targets = source_targets(base.groupBy("_src").agg(F.sum("size").alias("source_size")), weights, share, most)
-    mean = base.groupBy("_src").agg(F.avg("size").alias("_mean"))
+    mean = base.groupBy("_src").agg(F.avg("size").alias("_mean"), F.count("*").alias("_docs"))
     sources = stage(targets.join(mean, "_src").withColumn(
         "_rate", F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)))
 
     stratum = sum((F.col("size") <= F.col("_mean") * b).cast("int") for b in STRATA)
     order = ["_src", "_stratum", "_h", "doc_id", "uid"]
-    placed = (base.join(sources.select("_src", "_mean", "_rate"), "_src").withColumn("_stratum", stratum)
+    total = base.count()
+    placed = (join_to_groups(base, sources.select("_src", "_mean", "_rate", "_docs"), ["_src"], "_docs", total).withColumn("_stratum", stratum)
               .drop("_mean").repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
     placed = stage(placed)
     ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
     parts = placed.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
-    total = placed.count()
     ranked = placed.join(parts, "_part").withColumn("_pos", F.col("_ahead") + F.col("_row"))
     base_copies = F.floor("_rate").cast("int")
     ranked = stage(ranked.select("_src", "_stratum", "_pos", "uid", F.col("_h").alias("h"), "doc_id", "size", base_copies.alias("base"),
@@ -176,12 +176,12 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     words = ranked.groupBy("_src", "_stratum").agg(F.sum("size").alias("_words"))
 
     found: list[DataFrame] = []
-    carry = sources.select("_src", F.lit(0.0).alias("_carry"))
+    carry = sources.select("_src", "_docs", F.lit(0.0).alias("_carry"))
     for k in range(len(STRATA) + 1):
-        shift = carry.join(words.where(F.col("_stratum") == k), "_src").where("_words > 0").select(
-            "_src", (F.col("_carry") / F.col("_words")).alias("_shift"))
-        p = F.col("_p") + F.coalesce("_shift", F.lit(0.0))
-        units = (ranked.where(F.col("_stratum") == k).join(shift, "_src", "left")
+        shift = F.when(F.col("_words") > 0, F.col("_carry") / F.col("_words")).otherwise(0.0)
+        shifts = carry.join(words.where(F.col("_stratum") == k), "_src", "left").select("_src", "_docs", shift.alias("_shift"))
+        p = F.col("_p") + F.col("_shift")
+        units = (join_to_groups(ranked.where(F.col("_stratum") == k), shifts, ["_src"], "_docs", total)
                  .select("_src", "_pos", F.col("_pos").alias("_pos0"),
                          F.struct("uid", "h", "doc_id", "size", "base", F.col("size").cast("double").alias("w"),
                                   F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0)).alias("p")).alias("unit")))
@@ -195,13 +195,13 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
         # Carry what this stratum could not place; a source without one here keeps its carry.
         here = words.where((F.col("_stratum") == k) & (F.col("_words") > 0)).select("_src", F.lit(True).alias("_here"))
         carry = stage(carry.join(off, "_src", "left").join(here, "_src", "left").select(
-            "_src", (F.when(F.col("_here").isNull(), F.col("_carry")).otherwise(0.0) + F.coalesce("_off", F.lit(0.0))).alias("_carry")))
+            "_src", "_docs", (F.when(F.col("_here").isNull(), F.col("_carry")).otherwise(0.0) + F.coalesce("_off", F.lit(0.0))).alias("_carry")))
 
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     source = F.when(F.col("_src") == "1", F.lit(None)).otherwise(F.substring("_src", 2, 1 << 30))
-    return out.join(sources.select("_src", "source_size", "target"), "_src").select(
+    return join_to_groups(out, sources.select("_src", "source_size", "target", "_docs"), ["_src"], "_docs", total).select(
         "uid", "doc_id", source.alias("source"), "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 

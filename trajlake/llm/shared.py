@@ -62,6 +62,25 @@ def write_stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with more than this share of all rows, and more than this many, is a large one: there are at most 10,000 of them.
+LARGE_SHARE, LARGE_ROWS = 1e-4, 1000
+
+
+def join_to_groups(rows: DataFrame, groups: DataFrame, key: list[str], size: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``groups`` (one row for each ``key``, with the number of its rows in ``size``), whatever a key's share.
+
+    ``total`` is the sum of ``size`` (a bound will do). Large groups, at most
+    10,000 as their sizes add up to ``total``, are broadcast, so their rows stay
+    where they are; the others meet by shuffle, so a task gets no more than a
+    10,000th of all rows (or 1,000) by one key. Rows with a null key drop out.
+    """
+    bound = max(LARGE_ROWS, int(total * LARGE_SHARE))
+    large = groups.where(F.col(size) > bound).drop(size)
+    small = groups.where(F.col(size) <= bound).drop(size)
+    return (rows.join(F.broadcast(large), key)
+            .unionByName(rows.join(F.broadcast(large.select(*key)), key, "left_anti").join(small, key)))
+
+
 def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets (int64, one more than rows) of a text column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

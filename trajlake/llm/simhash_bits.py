@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.llm.components import connected_components
-from trajlake.llm.shared import free_name, stage, text_arrays, with_uid
+from trajlake.llm.shared import free_name, join_to_groups, stage, text_arrays, with_uid
 
 BITS = 64
 SHINGLE = 3
@@ -204,11 +204,13 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
     """
     base = stage(with_uid(docs, "uid").select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                  .mapInArrow(lambda b: _fingerprints(b, shingle), "uid long, doc_id long, fp long"))
-    classes = stage(base.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    classes = stage(base.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows")))
     roots = connected_components(fingerprint_links(classes, radius, bucket)).withColumnRenamed("node", "fp")
-    classes = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return (base.join(classes.select("fp", "root"), "fp").join(ids, "root")
+    classes = stage(classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    ids = classes.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("members"))
+    n_classes, n_rows = classes.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    named = stage(join_to_groups(classes.select("fp", "root", "rows"), ids, ["root"], "members", n_classes))
+    return (join_to_groups(base, named, ["fp"], "rows", n_rows)
             .select("uid", "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root"))
 
 
