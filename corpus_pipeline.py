@@ -16,27 +16,49 @@ from trajlake.llm.shared import table, write_stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is known; the model learns from the stage's labelled rows."""
+    """Keep documents whose language is known; the model learns from the stage's labelled rows.
+
+    Rows with a null, empty or letterless text are rejected, and those whose best language has less than half of the
+    probability; a null lang teaches nothing, and neither does a table
+    without labels, from which no row is kept. Very long texts are scored whole; equal texts get one language; an
+    empty table stays empty; other columns pass through.
+    """
     return lang_backoff.drop_unidentified(docs, lang_backoff.learn(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component (3-word shingles, 2 bits)."""
+    """Keep one document of each SimHash component (3-word shingles, 2 bits): the one with the smallest doc_id.
+
+    Null ids come last, and repeated ids count by their place in the table; texts without words are one component; an
+    empty table stays empty; other columns pass through, whatever their names.
+    """
     return simhash_bits.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a near copy of a benchmark item."""
+    """Drop documents that hold a near copy of a benchmark item.
+
+    Null and empty texts hold none and stay, and so do all documents if the benchmark is empty; null items and items
+    of fewer than 12 normalised characters match nothing; every row is judged alone, repeated ones alike.
+    """
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or drop documents so that sources come near their target words."""
+    """Repeat or drop documents so that sources come near their target words (0 to 2 copies of each).
+
+    A null source is a source of its own; a text without words has size 0 and is repeated at its source's whole rate;
+    repeated rows are rounded apart; an empty table stays empty.
+    """
     return pivotal_mix.apply_mix(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add the shard and slot of a uniform shuffle into shards of equal row counts."""
+    """Add the shard and slot of a uniform shuffle into shards of equal row counts.
+
+    Copies are dealt like other rows; null texts and ids have places of their own; columns of the input called like
+    the new ones are replaced; with fewer rows than shards some stay empty; an empty table stays empty.
+    """
     return hyper_shuffle.attach_shards(docs, SHARDS)
 
 
