@@ -171,6 +171,30 @@ def test_path_parts_are_worked_out_once_a_file(spark):
     assert "regexp_extract" not in above and "regexp_extract" in below
 
 
+def test_state_lines_are_parsed_once(spark):
+    """A filter on the parsed fields repeats no parsing; who only counts lines parses none; no pattern goes over a whole text."""
+    from trajlake.plans import catalog, derived as dv
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+    sf = "/root/testdata/sf0.001"
+    lines = ep.split_state_lines(dv.state_files(spark, sf))
+    assert plan(catalog.q_normalize_states(spark, sf)).count("from_json(") == plan(catalog.q_read_states(spark, sf)).count("from_json(") == 1
+    assert "from_json(" not in plan(lines.groupBy("episode_dir", "file").count()) and "regexp_replace(body" not in plan(lines)
+
+
+def test_split_state_lines_of_odd_texts(spark):
+    ok = '{"gripper": 1.5}'
+    texts = {"a": f"{ok}\n\n{ok}\n\n", "b": "", "c": "\n", "d": None, "e": f"é€{ok}\r\n{ok}", "f": f'{ok}\n{{"gripper": [\nnull\n{ok}é\n'}
+    df = spark.createDataFrame([(f"/rec/1/t/data/episode_{k}/states/states.jsonl", v) for k, v in texts.items()], "path string, body string")
+    got = {}
+    for r in ep.split_state_lines(df).collect():
+        got.setdefault(r.episode_dir[-1], {})[r.frame_idx] = (r.corrupt, r.gripper)
+    good, bad = (False, 1.5), (True, None)
+    assert got == {"a": {0: good, 1: bad, 2: good, 3: bad}, "c": {0: bad}, "e": {0: bad, 1: good},
+                   "f": {0: good, 1: bad, 2: bad, 3: good}}
+
+
 def test_reading_states_shuffles_no_lines(spark, tree):
     """The lines are joined with the numbers of their splits where they were read."""
     plan = ep.read_states(spark, tree)._jdf.queryExecution().executedPlan().toString()

@@ -112,11 +112,16 @@ def split_state_lines(texts: DataFrame, path: str = "path", body: str = "body")
     """
     rest = [c for c in texts.columns if c not in (path, body)]
     # worked out once a file, below the generator: an expression beside it would be worked out once a line
-    files = _with_path_parts(texts, path).select(*rest, "episode_dir", "file", F.when(F.col(body) != "", F.regexp_replace(body, r"\n\z", "")).alias("__body"))
+    files = _with_path_parts(texts, path).select(*rest, "episode_dir", "file", _without_final_newline(F.col(body)).alias("__body"))
     lines = files.select(*rest, "episode_dir", "file", F.posexplode(F.split("__body", "\n")).alias("frame_idx", "line"))
     return _parsed_lines(lines, rest)
 
 
+def _without_final_newline(body: F.Column) -> F.Column:
+    """Null for an empty text, which has no lines. Cut by bytes: neither a pattern nor a count of characters goes over the text."""
+    return F.when(body.endswith("\n"), F.left(body.cast("binary"), F.octet_length(body) - 1).cast("string")).when(body != "", body)
+
+
 def _with_path_parts(df: DataFrame, path: str) -> DataFrame:
     p = _path_parts(F.col(path))
     return df.withColumns({"episode_dir": p["episode_dir"], "file": p["file"]})
@@ -127,7 +132,9 @@ _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_reco
 
 def _parsed_lines(lines: DataFrame, rest: list[str]) -> DataFrame:
     schema = T.StructType([*STATE_LINE_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType(), True)])
-    return (lines.withColumn("__s", F.from_json(F.col("line"), schema, _PERMISSIVE))
+    # the condition always holds; as a number of the scan it keeps filters on the fields above the parsing, which they would else repeat
+    once = F.monotonically_increasing_id() >= 0
+    return (lines.withColumn("__s", F.when(once, F.from_json(F.col("line"), schema, _PERMISSIVE)))
             .withColumn("corrupt", F.col("__s").isNull() | F.col("__s._corrupt_record").isNotNull()
                         | (F.trim(F.col("line")) == ""))
             .select(*rest, "episode_dir", "file", F.col("frame_idx").cast("bigint").alias("frame_idx"), "corrupt", "__s.*")
