@@ -284,12 +284,11 @@ def state_files(spark: SparkSession, sf_dir: str, pairs: bool = False) -> DataFr
     r, d = F.col("doc_id") % 5, F.col("doc_id")
     grip, pose = _pick(GRIPPER_KEYS, r), _pick(POSE_KEYS, r)
 
-    def line(w: Column) -> Column:
-        n = F.length(w)
+    def line(n: Column) -> Column:
         text = n.cast("string")
 
         def values(count: Column) -> Column:
-            return F.concat(F.lit("["), F.array_join(F.array_repeat(text, count), ","), F.lit("]"))
+            return F.concat(F.lit("["), F.repeat(F.concat(text, F.lit(",")), count - 1), text, F.lit("]"))
 
         whole = F.concat(F.lit('{"joint_positions": '), values(6 + n % 2), F.lit(', "'),
                          F.when(n % 7 == 3, F.lit("grip")).otherwise(grip), F.lit('": '), text, F.lit(', "'), pose, F.lit('": '),
@@ -297,10 +296,12 @@ def state_files(spark: SparkSession, sf_dir: str, pairs: bool = False) -> DataFr
         return F.when(n == 0, F.lit("")).when(n % 13 == 12, F.concat(F.lit('{"joint_positions": ['), text)).otherwise(whole)
 
     name = F.when(r != 0, F.lit("states.jsonl")).when(d % 2 == 0, F.lit("left_states.jsonl")).otherwise(F.lit("right_states.jsonl"))
-    body = F.concat(F.array_join(F.transform(F.split("text", " "), line), "\n"), F.when(d % 2 == 0, F.lit("\n")).otherwise(F.lit("")))
-    # a file of the table may be one row group, which is one task: the texts are dealt before the lines are made
+    body = F.concat(F.array_join(F.transform(F.transform(F.split("text", " "), F.length), line), "\n"), F.when(d % 2 == 0, F.lit("\n")).otherwise(F.lit("")))
+    # a file of the table may be one row group, which is one task: the texts are dealt before the lines are made, into a set
+    # number of parts, since the lines are many times the texts by whose size parts would be put together
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     number = F.when(r == 0, d - d % 10).otherwise(d) if pairs else d
-    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id").select(
+    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition(parts, "doc_id").select(
         F.concat(_episode_dir(number), F.lit("/states/"), name).alias("path"), body.alias("body"),
         _pick(ROBOTS_RECORDED, r).alias("robot"))
 
