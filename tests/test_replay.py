@@ -122,3 +122,21 @@ def test_query_covers_every_branch(spark):
     assert {(r.arm, r.mode) for r in normal} == {(a, m) for a in ("left", "right", "both") for m in ("joint", "pos")}
     assert {7, 14, 17, 34} <= {r.vec_len for r in normal}
     assert {r.state for r in rows} == {"normal", "abnormal", "size_none"}
+
+
+def test_replay_sends_no_list_through_the_driver(spark):
+    """Lines are parsed in one place; only the robots' spec and the cameras' slots are broadcast."""
+    plan = catalog.q_replay_observations(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+    joins = [ln for ln in plan.split("\n") if "BroadcastHashJoin" in ln]
+    assert joins and all("[robot#" in ln for ln in joins), joins
+
+
+def test_values_that_no_observation_shows_are_not_moved(spark):
+    rows = [(t, arm, on, asked) for t in TYPES for arm in ("left", "right") for on in (True, False, None) for asked in (True, False)]
+    df = spark.createDataFrame([(*r, [1.0], 2.0, [3.0]) for r in rows], "action_type string, arm string, enabled boolean, __asked boolean, "
+                               "joint array<double>, gripper double, pose array<double>").withColumns({"t": F.col("action_type"), "asked": F.col("__asked")})
+    for r in rp._only_shown(df).collect():
+        shown = bool(r.asked and r.enabled and r.t and (r.arm in r.t or not ("left" in r.t or "right" in r.t)))
+        pos = shown and "pos" in r.t
+        assert (r.joint, r.gripper, r.pose) == ([1.0] if shown and not pos else None, 2.0 if shown else None, [3.0] if pos else None)

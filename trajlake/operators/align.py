@@ -25,7 +25,7 @@ def positional_zip(left: DataFrame, right: DataFrame, on: Sequence[str] = ("epis
 
 
 def cyclic_align(streams: DataFrame, ticks: DataFrame, episode: str = "episode", stream: str = "arm",
-                 ordinal: str = "frame_idx") -> DataFrame:
+                 ordinal: str = "frame_idx", keep: Sequence[str] = ()) -> DataFrame:
     """Streams of different lengths that each restart from their start:
     tick n of an episode reads row ``n % len`` of every stream.
 
@@ -34,18 +34,23 @@ def cyclic_align(streams: DataFrame, ticks: DataFrame, episode: str = "episode",
     yields one small row for each block, the blocks are dealt to tasks, and each
     makes its own ticks, so a long episode is neither one array nor one task.
     Empty streams have no rows, so they never divide by zero.
-    Returns ``(episode, tick, stream, <stream columns>)``.
+    Returns ``(episode, tick, stream, <stream columns>)`` and the columns ``keep`` of ``ticks``.
     """
     lens = streams.groupBy(episode, stream).agg(F.count(F.lit(1)).alias("__n"))
-    last = F.col("n_ticks").cast("bigint") - 1
-    blocks = (lens.join(ticks.filter(F.col("n_ticks") >= 1), episode)
-              .select(episode, stream, "__n", last.alias("__last"),
-                      F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(cast(n_ticks as bigint) - 1) div {TICK_BLOCK}"))).alias("__block"))
+    # merged: neither lengths nor ticks are sent whole through the driver, however well they compress
+    blocks = (lens.join(tick_blocks(ticks, episode, "__block", keep).hint("merge"), episode)
               .repartition(F.col(episode), F.col(stream), F.col("__block")))
     begin = F.col("__block") * TICK_BLOCK
-    grid = (blocks.select(episode, stream, "__n", F.explode(F.sequence(begin, F.least(begin + (TICK_BLOCK - 1), F.col("__last")))).alias("tick"))
+    grid = (blocks.select(episode, stream, "__n", *keep, F.explode(F.sequence(begin, F.least(begin + (TICK_BLOCK - 1), F.col("n_ticks") - 1))).alias("tick"))
             .withColumn(ordinal, F.col("tick") % F.col("__n")).drop("__n"))
-    return grid.join(streams, [episode, stream, ordinal], "inner")
+    return grid.hint("merge").join(streams, [episode, stream, ordinal], "inner")
+
+
+def tick_blocks(ticks: DataFrame, episode: str, block: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(episode, n_ticks, *keep, block)``: a row for each block of ``TICK_BLOCK`` ticks, or part of one, of each episode."""
+    n = F.col("n_ticks").cast("bigint")
+    return ticks.filter(n >= 1).select(episode, n.alias("n_ticks"), *keep, F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.expr(f"(cast(n_ticks as bigint) - 1) div {TICK_BLOCK}"))).alias(block))
 
 
 def frame_timestamps(frames: DataFrame, meta: DataFrame, episode: str = "episode", frame_idx: str = "frame_idx",

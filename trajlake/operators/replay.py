@@ -9,7 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.operators.align import TICK_BLOCK, cyclic_align
+from trajlake.functions.vectors import parse_action_type
+from trajlake.operators.align import TICK_BLOCK, cyclic_align, tick_blocks
 from trajlake.operators.observations import observation_status, select_cameras, select_state_vector
 from trajlake.operators.scans import attach_by_chunk, drop_chunks, with_chunk
 from trajlake.schemas import CAMERA_SLOTS
@@ -35,6 +36,17 @@ def zip_streams(rows: DataFrame, names: Sequence[str], on: Sequence[str] = ("epi
     return wide
 
 
+def _only_shown(arms: DataFrame) -> DataFrame:
+    """Arm rows without the values that no observation shows: of an arm that the action type does not ask for or that is
+    not enabled, and of the vector (joint or pose) of the other mode."""
+    kind = parse_action_type("action_type")
+    used = F.col("__asked") & F.col("enabled") & ((kind["arm"] == "both") | (kind["arm"] == F.col("arm")))
+    pos = kind["mode"] == "pos"
+    return arms.select(*[c for c in arms.columns if c not in ("action_type", "__asked", "joint", "gripper", "pose")],
+                       F.when(used & ~pos, F.col("joint")).alias("joint"), F.when(used, F.col("gripper")).alias("gripper"),
+                       F.when(used & pos, F.col("pose")).alias("pose"))
+
+
 def replay_observations(states: DataFrame, episodes: DataFrame, cameras: DataFrame, ticks: DataFrame | None = None,
                         episode: str = "episode") -> DataFrame:
     """Observation of every tick of each episode.
@@ -59,15 +71,19 @@ def replay_observations(states: DataFrame, episodes: DataFrame, cameras: DataFra
     """
     if ticks is None:
         ticks = states.groupBy(episode, "arm").agg(F.count(F.lit(1)).alias("n")).groupBy(episode).agg(F.max("n").alias("n_ticks"))
-    arms = cyclic_align(states.select(episode, "arm", "frame_idx", *ARM_FIELDS), ticks.select(episode, "n_ticks"), episode, "arm")
-    wide = zip_streams(arms.drop("frame_idx"), ["left", "right"], (episode, "tick"), "arm")
+    types = episodes.select(episode, "action_type", F.col("image_types").isNotNull().alias("__asked"))
+    # hints on joins of tables that grow with the episodes: none is sent whole through the driver, however well it compresses
+    ticks = ticks.select(episode, "n_ticks").join(types.hint("merge"), episode)
+    arms = cyclic_align(states.select(episode, "arm", "frame_idx", *ARM_FIELDS), ticks, episode, "arm", keep=["action_type", "__asked"])
+    # one exchange by block of ticks serves the streams' meeting and the episode's row
+    arms, block = with_chunk(_only_shown(arms.drop("frame_idx")), "tick", TICK_BLOCK)
+    wide = zip_streams(arms.repartition(episode, block), ["left", "right"], (episode, block, "tick"), "arm")
 
     video = F.struct(F.col("path").alias("path"), F.col("n_frames").cast("bigint").alias("n_frames"))
     slots = cameras.filter(F.col("n_frames") > 0).groupBy(episode).agg(*[
         F.min(F.when(F.col("slot") == s, video)).alias(f"__{s}") for s in CAMERA_SLOTS])
-    per_episode = episodes.select(episode, "robot", "action_type", "image_types").join(slots, episode, "left")
-    wide, block = with_chunk(wide, "tick", TICK_BLOCK)
-    wide = drop_chunks(attach_by_chunk(wide, per_episode, episode, block))
+    per_episode = episodes.select(episode, "robot", "action_type", "image_types").join(slots.hint("merge"), episode, "left")
+    wide = drop_chunks(attach_by_chunk(wide, per_episode, episode, block, tick_blocks(ticks, episode, block), hint="shuffle_hash"))
 
     shown = F.map_from_entries(F.filter(F.array(*[
         F.when(F.col(f"__{s}").isNotNull(), F.struct(F.lit(s).alias("slot"), F.struct(

@@ -80,19 +80,20 @@ def drop_chunks(df: DataFrame) -> DataFrame:
 
 
 def attach_by_chunk(df: DataFrame, per_key: DataFrame, key: str | Sequence[str], chunk: str | None,
-                    log: DataFrame | None = None) -> DataFrame:
+                    log: DataFrame | None = None, hint: str | None = None) -> DataFrame:
     """Inner-join one row per key to a log in which one key may hold most rows.
 
     The log's distinct ``(key, chunk)`` pairs (combined map-side) get the key's
     row first; the log then joins on ``(key, chunk)``, so a hot key's rows are
     spread over its chunks. The pairs are one small row per key and chunk.
     ``log``: a cheaper frame that holds the pairs of ``df`` (its source).
+    ``hint``: the strategy of the joins that add the key's row and the pairs.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if chunk is None:
         return df.join(per_key, keys)
-    pairs = (df if log is None else log).select(*keys, chunk).distinct().join(per_key, keys)
-    return df.join(pairs, [*keys, chunk])
+    pairs = (df if log is None else log).select(*keys, chunk).distinct().join(per_key.hint(hint) if hint else per_key, keys)
+    return df.join(pairs.hint(hint) if hint else pairs, [*keys, chunk])
 
 
 # ---------------------------------------------------------------------------

@@ -206,4 +206,4 @@ def join_camera_files(files: DataFrame, episodes: DataFrame, spec: DataFrame) ->
     p = _path_parts(F.col("path"))
     files = files.select(p["episode_dir"].alias("episode_dir"), p["file"].alias("file"), "path", "length", "modified")
     expected = episodes.select("episode_dir", "robot").join(F.broadcast(camera_slots(spec)), "robot")
-    return expected.join(files, ["episode_dir", "file"], "left")
+    return expected.join(files.hint("merge"), ["episode_dir", "file"], "left")   # the list is not sent whole through the driver
