@@ -184,6 +184,37 @@ def test_word_coder_equals_library_on_every_plain_letter():
         assert np.frombuffer(raw, coder.kind).tolist() == e.ids, repr(text)
 
 
+def test_word_coder_codes_a_piece_once(monkeypatch):
+    """A call's work grows with its distinct words: repeats are neither cut nor coded again, also in the next call."""
+    from tokenizers import Tokenizer
+
+    path = llm.tokenizer_path()
+    lib = Tokenizer.from_file(path)
+    coder = token_rans.WordCoder(path)
+    seen = []
+    learn = coder._learn
+    monkeypatch.setattr(coder, "_learn", lambda pieces: seen.extend(pieces) or learn(pieces))
+    texts = ["Alpha, beta's (alpha) 12", " beta alpha. ", "", "GAMMA\nalpha, beta's"] * 50 + ["delta <|endoftext|>", "日本"]
+    for _ in range(2):
+        assert [np.frombuffer(raw, coder.kind).tolist() for raw in coder.encode(texts)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(seen) == sorted(["alpha", ",", "beta", "'s", "(", ")", "1", "2", ".", "gamma"])
+
+
+def test_word_coder_forgets_and_learns_again(monkeypatch):
+    """Memory stays near its bound however many pieces come, and what was forgotten is coded alike."""
+    from tokenizers import Tokenizer
+
+    path = llm.tokenizer_path()
+    lib = Tokenizer.from_file(path)
+    coder = token_rans.WordCoder(path)
+    monkeypatch.setattr(token_rans, "CACHE_PIECES", 20)
+    rng = random.Random(8)
+    calls = [["lone"], ["", " "], [], *([words(rng, rng.randint(1, 12)) + ", größe!" for _ in range(rng.randint(1, 4))] for _ in range(60)), ["lone"], ["a b", "b a"]]
+    for texts in calls:
+        assert [np.frombuffer(raw, coder.kind).tolist() for raw in coder.encode(texts)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(coder.known) == len(coder.ids) <= 20 + 60
+
+
 def test_added_tokens_equal_untouched_library(spark):
     from tokenizers import Tokenizer
 

@@ -23,9 +23,11 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +39,8 @@ LANES = 1024
 STEPS = 128          # a checkpoint every LANES * STEPS ids
 BLOCK_TOKENS = 524_288
 LOW = np.uint64(1 << 31)   # states stay in [LOW, LOW << 32)
-CACHE_WORDS = 500_000      # words that one worker remembers in each of two generations (about 100 MB each)
+CACHE_PIECES = 500_000     # pieces that one worker remembers; beyond that, only those of the last call
+SPAN_BYTES = 1 << 24       # text that is cut into words at once: the more, the fewer lookups of one word
 
 U = np.uint64
 
@@ -157,7 +160,7 @@ def decode_block(payload: bytes, table: Table, segments: list[int] | None = None
 
 # The pre-tokenizer's pattern of the 49k vocabulary, over lower-cased text in the plain ranges below.
 _LETTERS, _NUMBERS = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
-_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\x09-\x0d {_LETTERS}{_NUMBERS}]+"
+_PIECES = rf"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_NUMBERS}]|[^\x09-\x0d {_LETTERS}{_NUMBERS}]+"
 # Texts in these ranges are the same before and after NFC, and lower-casing them is per character.
 _NOT_PLAIN = re.compile(r"[^\x09-\x0d\x20-\x7e\xa1-įı-ɏ‐-‧‰-⁞]")
 _PLAIN_ASCII = bytes([*range(9, 14), *range(32, 127)])
@@ -177,24 +180,31 @@ def _plain(text: str) -> str | None:
     return None if _NOT_PLAIN.search(low) else low
 
 
+def _binary(data: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Binary values of bytes and offsets (int64, one more than values)."""
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
+
+
 class WordCoder:
-    """Token ids of whole texts, word by word: a word seen before is not coded again.
+    """Token ids of whole texts, piece by piece: a piece seen before is not coded again.
 
     The vocabulary's pre-tokenizer cuts a text into pieces that are coded
     independently and hold no white space. So the ids of a text are those of its
     words (runs without white space) in a row, and the ids of a word those of
-    its pieces. Texts outside the plain ranges, before or after lower-casing, and
-    texts that may hold an added token, go to the library whole. Memory is bounded: two generations of ``CACHE_WORDS``.
+    its pieces. The texts of a call are cut together: each distinct word is cut
+    once, each distinct piece looked up once, and what is new goes to the
+    library in one call. Texts outside the plain ranges, before or after lower-casing, and
+    texts that may hold an added token, go to the library whole. Memory is
+    bounded by the texts of a call and ``CACHE_PIECES``.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         one_thread()
         self.tok = Tokenizer.from_file(path)
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.kind = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
-        self.letter = "H" if self.kind.itemsize == 2 else "I"
         self.size = max(vocab.values()) + 1
         normal = str(type(self.tok.normalizer).__name__), str(type(self.tok.pre_tokenizer).__name__)
         spec = self.tok.to_str()
@@ -203,51 +213,64 @@ class WordCoder:
         added = {t.content.lower() for t in self.tok.get_added_tokens_decoder().values()}
         self.by_word = self.by_word and not any(_NOT_PLAIN.search(a) or re.search(r"\s", a) for a in added)
         self.added = sorted(added - {""})
-        self.pieces = re.compile(_PIECES)
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        spelling = [_BYTE_LETTERS.get(b, b) for b in range(256)]
+        self.by_word = self.by_word and all(f"{chr(c)}</w>" in vocab for c in spelling)   # so each piece has one last id, known by its suffix
+        self.last = np.zeros(self.size, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.merges = Tokenizer(self.tok.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.cut = re.compile(_PIECES + r"|\n")
+        self.known = pa.array(["\n"], pa.large_string())   # what parts words has no ids; it stays in the first place
+        self.ids = pa.array([b""], pa.large_binary())
 
     def _raw(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Code the pieces of words with the vocabulary's merges alone: they are normalised already."""
-        code, letter = self.tok.model.tokenize, self.letter
-        for w in words:
-            got = [t.id for p in self.pieces.findall(w) for t in code(p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(_BYTE_LETTERS))]
-            self.new[w] = struct.pack(f"<{len(got)}{letter}", *got)
+    def _learn(self, pieces: list[str]) -> pa.Array:
+        """Code pieces with the vocabulary's merges alone: they are normalised and cut already."""
+        spelt = [p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(_BYTE_LETTERS) for p in pieces]
+        lines = [" ".join(spelt[k:k + 100]) for k in range(0, len(spelt), 100)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.merges.encode_batch_fast(lines, add_special_tokens=False)), self.kind)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(pieces) or ends[-1] != len(ids):
+            raise ValueError("a piece without a last id")
+        return _binary(ids.view(np.uint8), np.concatenate([[0], ends * self.kind.itemsize]))
+
+    def _pieces(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces as binary values; those not remembered are learned."""
+        at = pc.index_in(pieces, value_set=self.known)
+        new = pieces.filter(at.is_null())
+        known, ids = self.known, self.ids
+        if len(new):
+            known, ids = pa.concat_arrays([known, new]), pa.concat_arrays([ids, self._learn(new.to_numpy(zero_copy_only=False).tolist())])
+            place = at.fill_null(-1).to_numpy().copy()
+            place[place < 0] = np.arange(len(self.known), len(known))
+            at = pa.array(place)
+        got = ids.take(at)
+        if len(known) > CACHE_PIECES:
+            known, ids = pa.concat_arrays([known[:1], pieces]), pa.concat_arrays([ids[:1], got])
+        self.known, self.ids = known, ids
+        return got
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words (at least one) as binary values."""
+        each = pa.array(self.cut.findall("\n".join(words.to_numpy(zero_copy_only=False))), pa.large_string()).dictionary_encode()
+        line = pc.index(each.dictionary, pa.scalar("\n", pa.large_string())).as_py()
+        data, at = text_arrays(self._pieces(each.dictionary).take(each.indices))
+        return _binary(data, np.concatenate([[0], at[np.flatnonzero(each.indices.to_numpy() == line)], at[-1:]]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian integers of ``kind``."""
+        """Ids of each text as little-endian integers of ``kind``; the texts' words are cut and told apart together."""
         if not self.by_word:
             return [np.asarray(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        out = []
-        for text in texts:
-            low = _plain(text)
-            if low is None or any(a in low for a in self.added):
-                out.append(self._raw(text))
-                continue
-            words = low.split()
-            new, old = self.new, self.old
-            try:
-                out.append(b"".join(map(new.__getitem__, words)))
-                continue
-            except KeyError:
-                pass
-            if len(new) > CACHE_WORDS:
-                self.old, self.new = new, {}
-                new, old = self.new, new
-            missing = []
-            for w in dict.fromkeys(words):
-                if w not in new:
-                    if w in old:
-                        new[w] = old[w]
-                    else:
-                        missing.append(w)
-            if missing:
-                self._learn(missing)
-            out.append(b"".join(map(new.__getitem__, words)))
-        return out
+        lows = [None if (low := _plain(text)) is None or any(a in low for a in self.added) else low for text in texts]
+        words = pc.ascii_split_whitespace(pa.array([low or "" for low in lows], pa.large_string()))   # plain texts hold no other white space
+        each = words.values.dictionary_encode()
+        if not len(each):
+            return []
+        data, at = text_arrays(self._words(each.dictionary).take(each.indices))
+        ends = at[words.offsets.to_numpy()].tolist()
+        return [self._raw(text) if low is None else data[i:j].tobytes() for text, low, i, j in zip(texts, lows, ends[:-1], ends[1:], strict=True)]
 
 
 def _coder(path: str) -> WordCoder:
@@ -280,7 +303,7 @@ def _raw_blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block
     for batch in batches:
         data, at = text_arrays(batch.column("text"))
         keys = batch.column("doc_id").to_pylist()
-        for i, j in spans(at, 1 << 20):
+        for i, j in spans(at, SPAN_BYTES):
             texts = [data[at[k]:at[k + 1]].tobytes().decode("utf-8", "replace") for k in range(i, j)]
             for key, got in zip(keys[i:j], coder.encode(texts), strict=True):
                 n = len(got) // width + 1
