@@ -6,12 +6,15 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -338,6 +341,47 @@ def test_hot_contexts_are_dealt_by_the_next_word(spark):
         ngram_trie._Unit.climb = request
 
 
+def unit_row(rng, n_words, n_tokens):
+    """A unit of documents of 100 words from ``n_words`` (0 is the end), two of three in training."""
+    tokens = rng.integers(1, n_words, n_tokens).astype("<u4")
+    tokens[99::100] = 0
+    docs = n_tokens // 100
+    return {"n_words": n_words, "doc_ids": list(range(docs)), "train": [i % 3 > 0 for i in range(docs)], "sizes": [100] * docs,
+            "tokens": zstandard.ZstdCompressor().compress(tokens.view(np.uint8).reshape(-1, 4).T.tobytes())}
+
+
+def most_bytes(work):
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_units_and_shards_stays_near_their_rows():
+    """Bytes of work space for each token of a unit and for each n-gram asked of a shard (121 and 239 when numbers were wide and levels handled whole)."""
+    rng = np.random.default_rng(6)
+    n_words, n_tokens = 3000, 300_000
+    rows = [unit_row(rng, n_words, n_tokens) for _ in range(4)]
+    known = ngram_trie.pack(np.full(n_words, 200), np.arange(n_words), np.diff(np.arange(n_words), prepend=0))
+    corpus = ngram_trie.Corpus(800_000, n_words, {1: 1, 2: 4}, {0: 0})
+    asked, units = {}, []
+    for i, row in enumerate(rows):
+        (found, _, _), peak = most_bytes(lambda row=row: ngram_trie._Unit(row).climb({1: {0: known}}, corpus, 2))
+        units.append(peak / n_tokens)
+        for s, raw in found:
+            asked.setdefault(s, []).append((i, raw))
+    shards = []
+    for s, found in asked.items():
+        shard = pa.table([pa.array([s] * 4, pa.int32()), pa.array([i for i, _ in found], pa.int64()), pa.array([r for _, r in found], pa.binary())], ["shard", "unit", "request"])
+        built, peak = most_bytes(lambda shard=shard: ngram_trie.build_and_look_up(shard, 2, True, 5.0))
+        grams = sum(len(ngram_trie.unpack(r)[4]) for _, r in found)
+        assert built.num_rows == 5 and grams > 200_000
+        shards.append(peak / grams)
+    assert max(units) < 100
+    assert max(shards) < 120
+
+
 def test_scores_of_nothing(spark):
     none, model = ngram_trie.fit_and_score(spark.createDataFrame([], ODD_SCHEMA), F.col("learn"))
     assert none.count() == 0 and model.count() == 0

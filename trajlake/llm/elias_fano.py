@@ -12,10 +12,17 @@ by a successor search inside the range of its context.
 from __future__ import annotations
 
 import mmap
+from collections.abc import Iterator
 
 import numpy as np
 
 U64 = np.uint64
+#: Numbers that are encoded or looked up at once, so that work space stays small beside a level.
+BLOCK = 1 << 16
+
+
+def blocks(n: int) -> Iterator[slice]:
+    return (slice(i, min(n, i + BLOCK)) for i in range(0, n, BLOCK))
 
 
 def _or_into(words: np.ndarray, at: np.ndarray, bits: np.ndarray) -> None:
@@ -55,18 +62,17 @@ class Sequence:
         values = np.asarray(values, U64)
         n, top = len(values), int(values[-1]) if len(values) else 0
         bits = max(0, ((top + 1) // max(1, n)).bit_length() - 1)
-        low = np.zeros((n * bits + 63) // 64 + 1, U64)
-        if bits and n:
-            start = np.arange(n, dtype=np.int64) * bits
-            word, shift = start >> 6, (start & 63).astype(U64)
-            part = values & U64((1 << bits) - 1)
-            _or_into(low, word, part << shift)
-            over = (start & 63) + bits > 64
-            _or_into(low, word[over] + 1, part[over] >> (U64(64) - shift[over]))
-        place = (values >> U64(bits)).astype(np.int64) + np.arange(n) if bits < 64 else np.arange(n)
-        flags = np.zeros((((top >> bits) + n + 1 + 63) // 64) * 64, np.uint8)
-        flags[place] = 1
-        high = np.packbits(flags, bitorder="little").view(U64)
+        low, high = np.zeros((n * bits + 63) // 64 + 1, U64), np.zeros(((top >> bits) + n + 1 + 63) // 64, U64)
+        for at in blocks(n):
+            i, part = np.arange(at.start, at.stop), values[at] & U64((1 << bits) - 1)
+            if bits:
+                start = i * bits
+                word, shift = start >> 6, (start & 63).astype(U64)
+                _or_into(low, word, part << shift)
+                over = (start & 63) + bits > 64
+                _or_into(low, word[over] + 1, part[over] >> (U64(64) - shift[over]))
+            place = (values[at] >> U64(bits)).astype(np.int64) + i if bits < 64 else i
+            _or_into(high, place >> 6, U64(1) << (place & 63).astype(U64))
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high).astype(np.int64))])
         return np.array([n, bits, len(low), len(high)], np.int64).tobytes() + low.tobytes() + high.tobytes() + ones.tobytes()
 
@@ -151,29 +157,40 @@ class Trie:
         out = [np.array([len(levels) + 1, len(back_off), len(codes)], np.int64).tobytes(), Sequence.encode(words)]
         above, v = len(words), max(1, len(words))
         for key in levels:
-            parent, word = key // v, key % v
-            starts = np.searchsorted(parent, np.arange(above + 1))
+            starts = np.searchsorted(key, np.arange(above + 1) * v)
             span = np.zeros(above, np.int64)
             full = np.flatnonzero(starts[1:] > starts[:-1])
-            span[full] = word[starts[full + 1] - 1] + 1
+            span[full] = key[starts[full + 1] - 1] % v + 1
             base = np.cumsum(span) - span
-            out += [Sequence.encode(starts), Sequence.encode(base[parent] + word)]
+            ids = np.empty(len(key), np.int64)
+            for at in blocks(len(key)):
+                parent, word = np.divmod(key[at], v)
+                ids[at] = base[parent] + word
+            out += [Sequence.encode(starts), Sequence.encode(ids)]
             above = len(key)
         return b"".join([*out, back_off.astype("<u2").tobytes(), codes.astype("<u2").tobytes()])
 
     def word(self, numbers: np.ndarray) -> np.ndarray:
         """Place of each word, -1 if it is not in the trie."""
-        n = len(numbers)
-        place, found = self.words.successor(numbers, np.zeros(n, np.int64), np.full(n, self.words.n, np.int64))
-        return np.where(found, place, -1)
+        out = np.full(len(numbers), -1, np.int64)
+        for at in blocks(len(numbers)):
+            n = at.stop - at.start
+            place, found = self.words.successor(numbers[at], np.zeros(n, np.int64), np.full(n, self.words.n, np.int64))
+            out[at] = np.where(found, place, -1)
+        return out
 
     def child(self, level: int, node: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Node below ``node`` for ``word`` (both from 0), -1 if there is none; ``level`` 0 lies under the words."""
+        out = np.full(len(node), -1, np.int64)
+        if self.successors[level].n:
+            for at in blocks(len(node)):
+                out[at] = self._child(self.pointers[level], self.successors[level], node[at], word[at])
+        return out
+
+    @staticmethod
+    def _child(pointers: Sequence, ids: Sequence, node: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.full(len(node), -1, np.int64)
         ask = np.flatnonzero((node >= 0) & (word >= 0))
-        if not len(ask) or not self.successors[level].n:
-            return out
-        pointers, ids = self.pointers[level], self.successors[level]
         start, stop = pointers.get(node[ask]).astype(np.int64), pointers.get(node[ask] + 1).astype(np.int64)
         base = np.zeros(len(ask), U64)
         later = np.flatnonzero(start > 0)

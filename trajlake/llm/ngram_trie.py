@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.elias_fano import Trie, mapped
+from trajlake.llm.elias_fano import Trie, blocks, mapped
 from trajlake.llm.shared import one_thread, text_arrays, write_stage
 
 ORDER = 2
@@ -72,11 +72,12 @@ def pack(*parts: np.ndarray | bytes) -> bytes:
 
 
 def unpack(raw: bytes) -> list[np.ndarray | bytes]:
+    """The parts again; arrays keep their narrow types, so widen them before adding to them."""
     raw, at, out = zstandard.ZstdDecompressor().decompress(raw), 0, []
     while at < len(raw):
         kind, n = raw[at:at + 1].decode(), struct.unpack_from("<Q", raw, at + 1)[0]
         body = raw[at + 9:at + 9 + n]
-        out.append(body if kind == "b" else np.frombuffer(body, f"<u{struct.calcsize(kind)}").astype(_U64 if kind == "Q" else np.int64))
+        out.append(body if kind == "b" else np.frombuffer(body, f"<u{struct.calcsize(kind)}"))
         at += 9 + n
     return out
 
@@ -93,6 +94,19 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(32))
 
 
+def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts whole numbers, where each distinct one starts in it, and the place of each number among the distinct ones."""
+    order = np.argsort(key)
+    rising = key[order]
+    new = np.empty(len(key), bool)
+    new[:1] = True
+    np.not_equal(rising[1:], rising[:-1], out=new[1:])
+    del rising
+    which = np.empty(len(key), np.int32)
+    which[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return order, np.flatnonzero(new), which
+
+
 # ---------------------------------------------------------------- units
 
 class _Ids(dict):
@@ -151,10 +165,8 @@ class _Unit:
         self.n_words = row["n_words"]
         self.docs, self.sizes = row["doc_ids"], np.array(row["sizes"], np.int64)
         planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.uint8)
-        self.tokens = planes.reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+        self.tokens = planes.reshape(4, -1).T.copy().view("<i4").ravel()   # numbers of words in the unit
         self.train = np.array(row["train"], bool)
-        starts = np.cumsum(self.sizes) - self.sizes
-        self.place = np.arange(len(self.tokens)) - np.repeat(starts, self.sizes)   # in the document
         self.learn = np.repeat(self.train, self.sizes)
 
     def word_requests(self, words: list[bytes], shards: int) -> Iterator[tuple[int, bytes]]:
@@ -168,37 +180,50 @@ class _Unit:
         shards, count, self.number = corpus.shards, np.zeros(self.n_words, np.int64), np.zeros(self.n_words, _U64)
         for s, raw in answers[1].items():
             counted, rank, steps = unpack(raw)
-            at = np.cumsum(steps)
-            count[at], self.number[at] = counted, (rank + corpus.first[s]).astype(_U64)
+            at = np.cumsum(steps, dtype=np.int64)
+            count[at], self.number[at] = counted, rank.astype(_U64) + _U64(corpus.first[s])
         words, known = self.n_words, count
-        self.single = code_of((count + 1) / (corpus.n + corpus.v + 1))
+        self.single = code_of((count + 1) / (corpus.n + corpus.v + 1)).astype(np.int32)
         code = self.single[self.tokens]
         gram, path, digest = self.tokens, np.arange(words)[:, None], self.number
         for o in range(2, order + 1):
-            context = np.concatenate([[0], gram[:-1]])
+            context = np.empty(len(gram), np.int32)
+            context[0], context[1:] = 0, gram[:-1]
+            at = (count > 0)[context]
             if o > 2:
-                context[self.place < o - 2] = -1   # contexts do not reach over the start of a document
-            at = np.flatnonzero((context >= 0) & (count[context] > 0))
-            key, which = np.unique(context[at] * words + self.tokens[at], return_inverse=True)
+                at &= (context >= 0) & (self._place() >= o - 2)   # contexts do not reach over the start of a document
+            key = context[at].astype(np.int64)
+            key *= words
+            key += self.tokens[at]
+            del context
+            first, starts, which = _sorted(key)
+            key = key[first[starts]]
+            del first, starts
             above, word = key // words, key % words
             bucket = self.number[word] % (1 + count[above] // HOT).astype(_U64)
             deal = _dealt(_mix(digest[above], bucket) % _U64(shards[o]), shards[o])
             if o not in answers:
                 own = np.bincount(which[self.learn[at]], minlength=len(key))
-                lower = np.zeros(len(key), np.int64)
+                lower = np.zeros(len(key), np.int32)
                 lower[which] = code[at]
                 return [(s, self._request(i, above, word, own, lower, path, count)) for s, i in deal], known, code
-            found, total = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+            found, total = np.zeros(len(key), np.int32), np.zeros(len(key), np.int64)
             for s, i in deal:
                 found[i], counted = unpack(answers[o][s])
                 if o < order:   # the last order's n-grams are no contexts
                     total[i] = counted
             code[at] = found[which]
-            gram = np.full(len(self.tokens), -1, np.int64)
-            gram[at] = which
-            path, digest, count = np.concatenate([path[above], word[:, None]], 1), _mix(digest[above], self.number[word]), total
+            if o < order:
+                gram = np.full(len(self.tokens), -1, np.int32)
+                gram[at] = which
+                path, digest, count = np.concatenate([path[above], word[:, None]], 1), _mix(digest[above], self.number[word]), total
         return None, known, code
 
+    def _place(self) -> np.ndarray:
+        """Of each token, in its document."""
+        starts = np.cumsum(self.sizes) - self.sizes
+        return np.arange(len(self.tokens), dtype=np.int32) - np.repeat(starts.astype(np.int32), self.sizes)
+
     def _request(self, at: np.ndarray, above: np.ndarray, word: np.ndarray, own: np.ndarray, lower: np.ndarray, path: np.ndarray, count: np.ndarray) -> bytes:
         """Words (numbers, as steps), contexts (words, count, number of n-grams here) and n-grams (last word, own count), codes by the shorter context.
 
@@ -248,46 +273,61 @@ def count_words(table: pa.Table) -> pa.Table:
 def build_and_look_up(table: pa.Table, order: int, last: bool, smoothing: float) -> pa.Table:
     """One shard of contexts: add up its n-grams, build its trie, answer every request from it."""
     one_thread()
-    requests = [unpack(r) for r in table.column("request").to_pylist()]
-    numbers = [np.cumsum(r[0].astype(_U64)) for r in requests]
-    words = np.unique(np.concatenate(numbers))
-    v, rank = len(words), [np.searchsorted(words, k) for k in numbers]
-    path = np.concatenate([k[r[1]].reshape(-1, order - 1) for k, r in zip(rank, requests, strict=True)])
-    before, follow = np.concatenate([r[2] for r in requests]).astype(np.int64), np.concatenate([r[3] for r in requests]).astype(np.int64)
-    word = np.concatenate([k[r[4]] for k, r in zip(rank, requests, strict=True)])
-    own, lower = np.concatenate([r[5] for r in requests]).astype(np.int64), np.concatenate([r[6][r[4]] if order == 2 else r[6] for r in requests])
-
-    ends = np.cumsum([0, *(len(r[4]) for r in requests)])
-    del requests, numbers, rank   # the joined arrays hold all that is needed
+    requests = [unpack(r.as_py()) for r in table.column("request")]   # narrow numbers; widened one request at a time
+    words = np.unique(np.concatenate([np.cumsum(r[0], dtype=_U64) for r in requests]))
+    v, ends = len(words), np.cumsum([0, *(len(r[4]) for r in requests)])
+    own, lower, path, before = np.empty(ends[-1], np.int32), np.empty(ends[-1], np.int32), [], []
+    key = np.empty(ends[-1], np.int64)   # the last words; the nodes of their contexts are added below
+    follow = []
+    for r, a, b in zip(requests, ends[:-1], ends[1:], strict=True):
+        rank = np.searchsorted(words, np.cumsum(r[0], dtype=_U64))
+        path.append(rank[r[1]].astype(np.int32).reshape(-1, order - 1))
+        before.append(r[2].astype(np.int64))
+        follow.append(r[3].astype(np.int32))
+        key[a:b], own[a:b], lower[a:b] = rank[r[4]], r[5], r[6][r[4]] if order == 2 else r[6]
+        r.clear()   # the joined arrays hold all that is needed
+    path, before, follow = np.concatenate(path), np.concatenate(before), np.concatenate(follow)
 
     node, levels, nodes = path[:, 0], [], v
     for j in range(1, order - 1):
-        key, node = np.unique(node * v + path[:, j], return_inverse=True)
-        levels.append(key)
-        nodes = len(key)
+        walk = node.astype(np.int64) * v + path[:, j]
+        first, starts, node = _sorted(walk)
+        levels.append(walk[first[starts]])
+        nodes = len(starts)
     context = np.zeros(nodes, np.int64)
     context[node] = before
-    key, which = np.unique(np.repeat(node, follow) * v + word, return_inverse=True)
-    parent, ending = key // v, key % v
-    count = np.bincount(which, weights=own, minlength=len(key)).astype(np.int64)   # exact below 2**53
-    shorter = np.zeros(len(key), np.int64)
-    shorter[which] = lower
+    key += np.repeat(node.astype(np.int64) * v, follow)
+    del before, follow
+    first, starts, which = _sorted(key)
+    key = key[first[starts]]
+    count = np.add.reduceat(own[first], starts, dtype=np.int64)
+    shorter = lower[first[starts]]   # one for an n-gram, whichever unit asks
+    del own, lower, first, starts
     seen = count > 0
-    p = (count[seen] + smoothing * 10.0 ** (-shorter[seen] / GRID)) / (context[parent[seen]] + smoothing)
-    raw = Trie.encode(words, [*levels, key[seen]], code_of(smoothing / (context + smoothing)), code_of(p))
+    codes = [np.zeros(0, np.uint16)]
+    for at in blocks(len(key)):
+        i = np.flatnonzero(seen[at]) + at.start
+        codes.append(code_of((count[i] + smoothing * 10.0 ** (-shorter[i] / GRID)) / (context[key[i] // v] + smoothing)).astype(np.uint16))
+    raw = Trie.encode(words, [*levels, key[seen]], code_of(smoothing / (context + smoothing)), np.concatenate(codes))
 
     trie = Trie(mapped(raw))
     # every distinct context is walked once, every distinct n-gram looked up once
-    contexts, sample = np.unique(node, return_index=True)
+    sample = np.full(nodes, -1, np.int32)
+    sample[node] = np.arange(len(node), dtype=np.int32)
+    contexts = np.flatnonzero(sample >= 0)
+    sample = sample[contexts]
     at = trie.word(words[path[sample, 0]])
     for j in range(1, order - 1):
         at = trie.child(j - 1, at, trie.word(words[path[sample, j]]))
     walked = np.full(nodes, -1, np.int64)
     walked[contexts] = at
-    leaf = trie.child(order - 2, walked[parent], ending)
-    code = np.where(leaf >= 0, trie.codes[np.maximum(leaf, 0)] if trie.leaves else 0, trie.back_off[walked[parent]].astype(np.int64) + shorter)
+    code = np.empty(len(key), np.int32)
+    for at in blocks(len(key)):
+        parent, ending = np.divmod(key[at], v)
+        leaf = trie.child(order - 2, walked[parent], ending)
+        code[at] = np.where(leaf >= 0, trie.codes[np.maximum(leaf, 0)] if trie.leaves else 0, trie.back_off[walked[parent]].astype(np.int64) + shorter[at])
     nothing = np.zeros(0, np.int64)
-    answers = [pack(code[which[a:b]].astype(np.int64), nothing if last else count[which[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    answers = [pack(code[which[a:b]], nothing if last else count[which[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
     return _answers(order, table.column("shard")[0].as_py(), table.column("unit").to_pylist(), answers, raw)
 
 
@@ -321,9 +361,9 @@ def _score(units: pa.Table, answers: pa.Table, corpus: Corpus, order: int) -> pa
     base = np.log10((count + 1) / (n + corpus.v + 1))
     return pa.table([
         pa.array(unit.docs, pa.int64()), pa.array(~unit.train, pa.bool_()), pa.array(unit.sizes, pa.int64()),
-        pa.array(np.add.reduceat((count > 0)[unit.tokens].astype(np.int64), starts), pa.int64()), pa.array(np.full(len(starts), n), pa.int64()),
+        pa.array(np.add.reduceat((count > 0)[unit.tokens], starts, dtype=np.int64), pa.int64()), pa.array(np.full(len(starts), n), pa.int64()),
         pa.array(np.add.reduceat(base[unit.tokens], starts), pa.float64()),
-        pa.array(-np.add.reduceat(code, starts) / GRID, pa.float64())], [c.split()[0] for c in _SCORES.split(", ")])
+        pa.array(-np.add.reduceat(code, starts, dtype=np.int64) / GRID, pa.float64())], [c.split()[0] for c in _SCORES.split(", ")])
 
 
 def _asker(corpus: Corpus, order: int):
