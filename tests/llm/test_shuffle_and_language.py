@@ -153,3 +153,30 @@ def test_a_thousand_languages(spark):
     right = [r["lang_pred"] == by for r, by in ((r, {x[0]: x[2] for x in rows if x[2]}.get(r["doc_id"])) for r in got) if by]
     assert sum(right) > 0.5 * len(right)
     assert lang_backoff.drop_unidentified(docs, lang_backoff.learn(docs)).where(F.col("text").isNull()).count() == 0
+
+
+@pytest.mark.parametrize("columns", [64, 1])
+def test_languages_without_words_are_none(spark, columns, monkeypatch):
+    """Plain sums and lists of pairs give the same, also if the languages that hold words are not the first ones."""
+    monkeypatch.setattr(lang_backoff, "_COLUMNS", columns)
+    rows = [*language_rows(3, 60, 5), (900, "12 34", "a"), (901, None, "l0000b"), (902, "", "z")]
+    for words, grams in ((30_000, 10_000), (5, 3)):
+        check_language(spark, rows, lambda d, w=words, g=grams: lang_backoff.learn(d, w, g))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert lang_backoff.learn(docs).langs == ["l0000", "l0001", "l0002"]
+    assert lang_backoff.learn(docs.where("lang in ('a', 'z')")).langs == []
+
+
+def test_no_lists_of_rows_on_the_heap(spark, monkeypatch):
+    """Words and n-grams are counted and looked up without aggregates of objects, which let an executor's heap grow."""
+    plans, write = [], lang_backoff.write_stage
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(lang_backoff, "write_stage", noted)
+    docs = spark.createDataFrame(language_rows(3, 60, 6), "doc_id long, text string, lang string")
+    got = lang_backoff.identify(docs, lang_backoff.learn(docs, 5, 3))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 5 and not any("ObjectHashAggregate" in p or "collect_list" in p for p in plans)

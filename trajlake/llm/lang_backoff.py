@@ -57,38 +57,47 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, Counter] = {}
+def _lists(column: pa.ListArray) -> list[list[int]]:
+    """A column of lists of numbers; null counts as empty."""
+    flat, at = column.values.to_numpy(zero_copy_only=False).tolist(), column.offsets.to_numpy().tolist()
+    return [flat[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch], places: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, Counter] = {}
 
     def out() -> pa.RecordBatch:
-        rows = [(lang, w, n) for lang, c in held.items() for w, n in c.items()]
+        rows = [(at, w, n) for at, c in held.items() for w, n in c.items()]
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], ["lang", "word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], ["at", "word", "n"])
 
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text"), strict=True):
-            held.setdefault(lang, Counter()).update(words_of(text.as_py()))
+            held.setdefault(places[lang], Counter()).update(words_of(text.as_py()))
             if sum(map(len, held.values())) > _TASK_ENTRIES:
                 yield out()
     yield out()
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, int], Counter] = {}
+    held: dict[tuple[int, int], Counter] = {}
 
     def out() -> pa.RecordBatch:
-        rows = [(lang, k, g, n) for (lang, k), c in held.items() for g, n in c.items()]
+        rows = [(at, k, g, n) for (at, k), c in held.items() for g, n in c.items()]
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)], ["lang", "k", "gram", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64()), strict=True)], ["at", "k", "gram", "n"])
 
     for b in batches:
-        for lang, word, n in zip(b.column("lang").to_pylist(), b.column("word").to_pylist(), b.column("n").to_pylist(), strict=True):
+        for word, places, counts in zip(b.column("entry").to_pylist(), _lists(b.column("at")), _lists(b.column("n")), strict=True):
             for k in range(1, ORDER + 1):
-                c = held.setdefault((lang, k), Counter())
-                for g in grams_of(word, k):
-                    c[g] += n
+                grams = grams_of(word, k)
+                for at, n in zip(places or range(len(counts)), counts, strict=True):
+                    if n:
+                        c = held.setdefault((at, k), Counter())
+                        for g in grams:
+                            c[g] += n
         if sum(map(len, held.values())) > _TASK_ENTRIES:
             yield out()
     yield out()
@@ -103,8 +112,9 @@ class Model:
     """Log frequencies by language of the words and n-grams that tasks hold, and the frames to look up the others in."""
 
     def __init__(self, langs: list[str], words: tuple[list[str], np.ndarray], grams: list[tuple[list[str], np.ndarray]],
-                 bases: np.ndarray | None = None, rest: tuple[DataFrame, DataFrame] | None = None):
+                 bases: np.ndarray | None = None, rest: tuple[DataFrame, DataFrame] | None = None, kept: np.ndarray | None = None):
         self.langs = langs
+        self.kept = kept     # places in counts that are languages; None if all are
         self.index, self.table = {w: i for i, w in enumerate(words[0])}, words[1]
         self.grams = [({g: i for i, g in enumerate(entries)}, table) for entries, table in grams]   # of 1, 2, ... characters
         self.memo: dict[str, np.ndarray] = {}
@@ -116,10 +126,10 @@ class Model:
         return {**self.__dict__, "rest": None, "memo": {}}
 
     def counted(self, at: list[int], n: list[int], k: int) -> np.ndarray:
-        """Steps of a looked up word (``k`` 0) or n-gram from its counts (places of languages, counts)."""
-        counts = np.zeros(len(self.langs))
-        counts[at] = n
-        return _steps(counts, self.bases[k])
+        """Steps of a looked up word (``k`` 0) or n-gram from its counts (places, counts; no places: a count for each)."""
+        counts = np.zeros(self.kept.max() + 1 if at else len(n))
+        counts[at or slice(None)] = n
+        return _steps(counts[self.kept], self.bases[k])
 
     def unseen(self, word: str, extra: dict[str, np.ndarray] | None = None) -> np.ndarray:
         """Mean over the longest known n-grams of an unseen word, ``extra`` (looked up) among them; nothing known says nothing."""
@@ -167,24 +177,45 @@ class Model:
         return self.decide(n, total)
 
 
-def _held(rows: pa.Table, langs: int, base: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Entries and their steps, from rows (entry, places of languages, counts)."""
+def _held(rows: pa.Table, places: int, kept: np.ndarray, base: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Entries and their steps, from rows (entry, places, counts; no places: a count for each)."""
     entries = rows.column("entry").to_pylist()
-    counts = np.zeros((len(entries), langs))
+    counts = np.zeros((len(entries), places))
     if len(entries):
-        at = rows.column("at").combine_chunks()
-        place = np.repeat(np.arange(len(entries)), np.diff(at.offsets.to_numpy()))
-        counts[place, at.values.to_numpy()] = rows.column("n").combine_chunks().values.to_numpy()
-    return entries, _steps(counts, base)
+        n, at = rows.column("n").combine_chunks(), rows.column("at").combine_chunks()
+        place = np.repeat(np.arange(len(entries)), np.diff(n.offsets.to_numpy()))
+        counts[place, np.tile(np.arange(places), len(entries)) if at.null_count else at.values.to_numpy()] = n.values.to_numpy()
+    return entries, _steps(counts[:, kept], base)
 
 
-def _by_entry(counts: DataFrame, entry: list[str]) -> DataFrame:
-    """One row for each entry: places of the languages that have it, counts, their sum. At most one pair for each language."""
-    # dealt by the entry alone, so both aggregates find their rows together; tasks counted before
-    summed = counts.repartition(*entry).groupBy(*entry, "lang").agg(F.sum("n").alias("n"))
-    pairs = F.array_sort(F.collect_list(F.struct("lang", "n")))
-    return (summed.groupBy(*entry).agg(pairs.alias("pairs"), F.sum("n").alias("total"))
-            .select(*entry, F.col("pairs.lang").alias("at"), F.col("pairs.n").alias("n"), "total"))
+def _by_entry(counts: DataFrame, entry: list[str], places: int, name: str) -> DataFrame:
+    """One row for each entry, from a stage: places that have it (``at``), counts (``n``), their sum. At most one count for each place.
+
+    With few places ``at`` is null and ``n`` has all counts: plain sums take no
+    objects on the heap, of which lists of pairs take several for each row.
+    """
+    dealt = counts.repartition(*entry)   # by the entry alone, so aggregates find their rows together; tasks counted before
+    if places <= _COLUMNS:
+        sums = dealt.groupBy(*entry).agg(*[F.sum(F.when(F.col("at") == i, F.col("n")).otherwise(0)).alias(f"c{i}") for i in range(places)])
+        each = [F.col(f"c{i}") for i in range(places)]
+        return write_stage(sums, name).select(*entry, F.lit(None).cast("array<int>").alias("at"), F.array(*each).alias("n"), sum(each[1:], each[0]).alias("total"))
+    pairs = F.array_sort(F.collect_list(F.struct("at", "n")))
+    rows = dealt.groupBy(*entry, "at").agg(F.sum("n").alias("n")).groupBy(*entry).agg(pairs.alias("pairs"), F.sum("n").alias("total"))
+    return write_stage(rows.select(*entry, F.col("pairs.at").alias("at"), F.col("pairs.n").alias("n"), "total"), name)
+
+
+def _sizes(entries: DataFrame, places: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of entries of each length ``k`` (0: words), and sums of their counts for each place."""
+    sizes, totals = np.zeros(ORDER + 1, np.int64), np.zeros((ORDER + 1, places), np.int64)
+    if places <= _COLUMNS:
+        for r in entries.groupBy("k").agg(F.count("*"), *[F.sum(F.col("n")[i]) for i in range(places)]).collect():
+            sizes[r["k"]], totals[r["k"]] = r[1], r[2:]
+        return sizes, totals
+    for r in entries.groupBy("k").agg(F.count("*").alias("size")).collect():
+        sizes[r["k"]] = r["size"]
+    for r in entries.select("k", F.explode(F.arrays_zip("at", "n")).alias("p")).groupBy("k", F.col("p.at").alias("at")).agg(F.sum("p.n").alias("n")).collect():
+        totals[r["k"], r["at"]] = r["n"]
+    return sizes, totals
 
 
 def learn(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
@@ -200,35 +231,29 @@ def learn(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
     whose texts hold no word is none; nothing to learn from gives a model that
     calls every text ``und``; rows that repeat count each time.
     """
-    counts = docs.select("lang", "text").where("lang is not null and text is not null").mapInArrow(_count_words, "lang string, word string, n long")
-    named = write_stage(_by_entry(counts, ["word"]), "language-words")
-    totals = {r["lang"]: r["n"] for r in named.select(F.explode(F.arrays_zip("at", "n")).alias("p")).groupBy(F.col("p.at").alias("lang")).agg(F.sum("p.n").alias("n")).collect()}
-    langs = sorted(totals)
-    place = F.create_map(*[x for i, k in enumerate(langs) for x in (F.lit(k), F.lit(i))]) if langs else None
-    numbered = named if place is None else named.select("word", F.transform("at", lambda k: place[k]).alias("at"), "n", "total")
-    counted = numbered.withColumnRenamed("word", "entry")
-    pieces = named.select("word", F.explode(F.arrays_zip("at", "n")).alias("p")).select(F.col("p.at").alias("lang"), "word", F.col("p.n").alias("n"))
-    by_gram = write_stage(_by_entry(pieces.mapInArrow(_count_grams, "lang string, k int, gram string, n long"), ["k", "gram"]), "language-grams")
-    if place is not None:
-        by_gram = by_gram.select("k", "gram", F.transform("at", lambda k: place[k]).alias("at"), "n", "total")
-    gram_totals = by_gram.select("k", F.explode(F.arrays_zip("at", "n")).alias("p")).groupBy("k", F.col("p.at").alias("at")).agg(F.sum("p.n").alias("n")).collect() if langs else []
-    sizes = {r["k"]: r["n"] for r in by_gram.groupBy("k").agg(F.count("*").alias("n")).collect()}
-    sizes[0] = counted.count()
-    bases = np.array([[0.5 * sizes.get(k, 0) + 0.5] * len(langs) for k in range(ORDER + 1)]).reshape(ORDER + 1, len(langs))
-    bases[0] += [totals[k] for k in langs]
-    for r in gram_totals:
-        bases[r["k"], r["at"]] += r["n"]
-    most = CELLS // max(1, len(langs))
+    names = sorted(r["lang"] for r in docs.select("lang").where("lang is not null").distinct().collect())
+    if not names:
+        return Model([], ([], np.zeros((0, 0), np.int64)), [([], np.zeros((0, 0), np.int64))] * ORDER)
+    place = {k: i for i, k in enumerate(names)}
+    counts = docs.select("lang", "text").where("lang is not null and text is not null").mapInArrow(lambda b: _count_words(b, place), "at int, word string, n long")
+    counted = _by_entry(counts, ["word"], len(names), "language-words").withColumnRenamed("word", "entry")
+    pieces = counted.select("entry", "at", "n").mapInArrow(_count_grams, "at int, k int, gram string, n long")
+    by_gram = _by_entry(pieces, ["k", "gram"], len(names), "language-grams")
+    (n_words, of_words), (sizes, totals) = _sizes(counted.withColumn("k", F.lit(0)), len(names)), _sizes(by_gram, len(names))
+    sizes, totals = sizes + n_words, totals + of_words
+    kept = np.flatnonzero(totals[0])
+    bases = 0.5 * sizes[:, None] + 0.5 + totals[:, kept]
+    most = CELLS // len(names)
     # A word counts as one observation however it is scored: n-gram logs are means over a word.
-    held = _held(_first(counted, min(words, most)), len(langs), bases[0])
-    levels = [_held(_first(by_gram.where(F.col("k") == k).withColumnRenamed("gram", "entry"), min(grams, most)), len(langs), bases[k]) for k in range(1, ORDER + 1)]
-    every = len(held[0]) == sizes[0] and all(len(t[0]) == sizes.get(k, 0) for k, t in enumerate(levels, 1))
-    return Model(langs, held, levels, bases, None if every else (counted, by_gram))
+    held = _held(_first(counted, min(words, most)), len(names), kept, bases[0])
+    levels = [_held(_first(by_gram.where(F.col("k") == k).withColumnRenamed("gram", "entry"), min(grams, most)), len(names), kept, bases[k]) for k in range(1, ORDER + 1)]
+    every = all(len(t[0]) == sizes[k] for k, t in enumerate([held, *levels]))
+    return Model([names[i] for i in kept], held, levels, bases, None if every else (counted, by_gram), kept)
 
 
 def _first(entries: DataFrame, most: int) -> pa.Table:
     """The most frequent entries, as one Arrow table of bounded size."""
-    return entries.orderBy(F.desc("total"), "entry").limit(most).select("entry", F.col("at").cast("array<int>").alias("at"), "n").toArrow()
+    return entries.orderBy(F.desc("total"), "entry").limit(most).select("entry", "at", "n").toArrow()
 
 
 def _split(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -249,27 +274,50 @@ def _other_grams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa
 
 
 def _entries(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Steps of each word, from rows sorted by it: its own counts (null if it was not counted) and those of its n-grams."""
+    word, own, extra = None, None, {}
+
+    def out(rows: list[tuple[str, list[int]]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()), pa.array([v for _, v in rows], pa.list_(pa.int64()))], ["word", "logs"])
+
+    def ended() -> tuple[str, list[int]]:
+        return word, (model.unseen(word, extra) if own is None else own).tolist()
+
     for b in batches:
-        got = [(model.counted(at, n, 0) if at else model.unseen(w, {f["gram"]: model.counted(f["at"], f["n"], f["k"]) for f in found or []})).tolist()
-               for w, at, n, found in zip(*(b.column(c).to_pylist() for c in ("word", "at", "n", "found")), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(got, pa.list_(pa.int64()))], ["word", "logs"])
+        done = []
+        for w, k, gram, at, n in zip(*(b.column(c).to_pylist() for c in ("word", "k", "gram")), _lists(b.column("at")), _lists(b.column("n")), strict=True):
+            if w != word:
+                if word is not None:
+                    done.append(ended())
+                word, own, extra = w, None, {}
+            if k:
+                extra[gram] = model.counted(at, n, k)
+            elif n:
+                own = model.counted(at, n, 0)
+        yield out(done)
+    yield out([] if word is None else [ended()])
 
 
 def _decide(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = [model.decide(n, np.array(total) + (np.array(more) if more else 0))
-               for n, total, more in zip(b.column("n_words").to_pylist(), b.column("total").to_pylist(), b.column("more").to_pylist(), strict=True)]
+        got = [model.decide(n, np.array(total)) for n, total in zip(b.column("n_words").to_pylist(), _lists(b.column("total")), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("doc_id"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                                          ["uid", "doc_id", "lang_pred", "score"])
 
 
-def _summed(of_words: DataFrame, langs: int) -> DataFrame:
-    """``more``: sums over the words of each text (uid, times, logs); tasks add up their part before the shuffle."""
+def _summed(texts: DataFrame, of_words: DataFrame, langs: int) -> DataFrame:
+    """``texts`` (uid, doc_id, n_words, total), with what their other words (uid, times, logs) add to ``total``; tasks add up their part before the shuffle."""
     if langs <= _COLUMNS:
-        sums = of_words.groupBy("uid").agg(*[F.sum(F.col("times") * F.col("logs")[i]).alias(f"s{i}") for i in range(langs)])
-        return sums.select("uid", F.array(*[f"s{i}" for i in range(langs)]).alias("more"))
+        one = texts.select("uid", "doc_id", "n_words", *[F.col("total")[i].alias(f"s{i}") for i in range(langs)])
+        other = of_words.select("uid", *[(F.col("times") * F.col("logs")[i]).alias(f"s{i}") for i in range(langs)])
+        # a text has one row in ``texts``, so the largest value is its own
+        sums = one.unionByName(other, allowMissingColumns=True).groupBy("uid").agg(
+            F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(langs)])
+        return sums.select("uid", "doc_id", "n_words", F.array(*[f"s{i}" for i in range(langs)]).alias("total"))
     sums = of_words.select("uid", "times", F.posexplode("logs").alias("i", "v")).groupBy("uid", "i").agg(F.sum(F.col("times") * F.col("v")).alias("s"))
-    return sums.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("p")).select("uid", F.col("p.s").alias("more"))
+    more = sums.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("p"))
+    both = F.when(F.col("p").isNull(), F.col("total")).otherwise(F.zip_with("total", "p.s", lambda a, b: a + b))
+    return texts.join(more, "uid", "left").select("uid", "doc_id", "n_words", both.alias("total"))
 
 
 def _look_up(rows: DataFrame, model: Model) -> DataFrame:
@@ -280,12 +328,12 @@ def _look_up(rows: DataFrame, model: Model) -> DataFrame:
                         "language-texts")
     other = split.select("uid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("uid", F.col("w.words").alias("word"), "w.times")
     words = write_stage(other.select("word").distinct().join(counted.select(F.col("entry").alias("word"), "at", "n"), "word", "left"), "language-unheld")
-    found = (words.where("at is null").select("word").mapInArrow(lambda b: _other_grams(b, shared.value), "word string, k int, gram string")
-             .join(by_gram.select("k", "gram", "at", "n"), ["k", "gram"])
-             .groupBy("word").agg(F.collect_list(F.struct("k", "gram", "at", "n")).alias("found")))
-    entries = words.join(found, "word", "left").mapInArrow(lambda b: _entries(b, shared.value), "word string, logs array<bigint>")
-    of_text = _summed(other.join(entries, "word"), len(model.langs))
-    return (split.select("uid", "doc_id", "n_words", "total").join(of_text, "uid", "left")
+    found = (words.where("n is null").select("word").mapInArrow(lambda b: _other_grams(b, shared.value), "word string, k int, gram string")
+             .join(by_gram.select("k", "gram", "at", "n"), ["k", "gram"]))
+    # sorted rows rather than a list for each word, which would be objects on the heap
+    rows = words.select("word", F.lit(0).alias("k"), F.lit(None).cast("string").alias("gram"), "at", "n").unionByName(found)
+    entries = rows.repartition("word").sortWithinPartitions("word").mapInArrow(lambda b: _entries(b, shared.value), "word string, logs array<bigint>")
+    return (_summed(split.select("uid", "doc_id", "n_words", "total"), other.join(entries, "word"), len(model.langs))
             .mapInArrow(lambda b: _decide(b, shared.value), "uid long, doc_id long, lang_pred string, score double"))
 
 
