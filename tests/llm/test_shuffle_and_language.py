@@ -180,3 +180,18 @@ def test_no_lists_of_rows_on_the_heap(spark, monkeypatch):
     got = lang_backoff.identify(docs, lang_backoff.learn(docs, 5, 3))
     plans.append(got._jdf.queryExecution().executedPlan().toString())
     assert len(plans) == 5 and not any("ObjectHashAggregate" in p or "collect_list" in p for p in plans)
+
+
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    """Batches of texts are bounded while stages are written, and the session's setting holds again afterwards."""
+    key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, lang_backoff.write_stage
+
+    def noted(df, name):
+        seen[name] = int(spark.conf.get(key))
+        return write(df, name)
+
+    monkeypatch.setattr(lang_backoff, "write_stage", noted)
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame(language_rows(2, 30, 7), "doc_id long, text string, lang string")
+    lang_backoff.identify(docs, lang_backoff.learn(docs, 5, 3)).collect()
+    assert seen["language-words"] == seen["language-texts"] == lang_backoff._BATCH and spark.conf.get(key) == before

@@ -15,10 +15,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.llm.shared import free_name, with_uid, write_stage
@@ -40,6 +41,8 @@ _STEPS = 1 << 20
 _COLUMNS = 64
 #: Distinct unseen words whose scores a task remembers.
 _MEMO = 200_000
+#: Texts that Spark hands to a task's Python at once. A batch is held several times over, in the JVM and in Python.
+_BATCH = 1_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -57,8 +60,20 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of at most ``_BATCH`` rows for what is run meanwhile."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), _BATCH) if int(before) > 0 else _BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _lists(column: pa.ListArray) -> list[list[int]]:
-    """A column of lists of numbers; null counts as empty."""
+    """A column of lists of numbers."""
     flat, at = column.values.to_numpy(zero_copy_only=False).tolist(), column.offsets.to_numpy().tolist()
     return [flat[i:j] for i, j in zip(at, at[1:], strict=False)]
 
@@ -184,21 +199,26 @@ def _held(rows: pa.Table, places: int, kept: np.ndarray, base: np.ndarray) -> tu
     if len(entries):
         n, at = rows.column("n").combine_chunks(), rows.column("at").combine_chunks()
         place = np.repeat(np.arange(len(entries)), np.diff(n.offsets.to_numpy()))
-        counts[place, np.tile(np.arange(places), len(entries)) if at.null_count else at.values.to_numpy()] = n.values.to_numpy()
+        counts[place, at.values.to_numpy() if len(at.values) else np.tile(np.arange(places), len(entries))] = n.values.to_numpy()
     return entries, _steps(counts[:, kept], base)
 
 
+def _empty(kind: str) -> Column:
+    """An empty list; a run of null lists is written to Arrow in time that grows with its square."""
+    return F.array().cast(f"array<{kind}>")
+
+
 def _by_entry(counts: DataFrame, entry: list[str], places: int, name: str) -> DataFrame:
     """One row for each entry, from a stage: places that have it (``at``), counts (``n``), their sum. At most one count for each place.
 
-    With few places ``at`` is null and ``n`` has all counts: plain sums take no
+    With few places ``at`` is empty and ``n`` has all counts: plain sums take no
     objects on the heap, of which lists of pairs take several for each row.
     """
     dealt = counts.repartition(*entry)   # by the entry alone, so aggregates find their rows together; tasks counted before
     if places <= _COLUMNS:
         sums = dealt.groupBy(*entry).agg(*[F.sum(F.when(F.col("at") == i, F.col("n")).otherwise(0)).alias(f"c{i}") for i in range(places)])
         each = [F.col(f"c{i}") for i in range(places)]
-        return write_stage(sums, name).select(*entry, F.lit(None).cast("array<int>").alias("at"), F.array(*each).alias("n"), sum(each[1:], each[0]).alias("total"))
+        return write_stage(sums, name).select(*entry, _empty("int").alias("at"), F.array(*each).alias("n"), sum(each[1:], each[0]).alias("total"))
     pairs = F.array_sort(F.collect_list(F.struct("at", "n")))
     rows = dealt.groupBy(*entry, "at").agg(F.sum("n").alias("n")).groupBy(*entry).agg(pairs.alias("pairs"), F.sum("n").alias("total"))
     return write_stage(rows.select(*entry, F.col("pairs.at").alias("at"), F.col("pairs.n").alias("n"), "total"), name)
@@ -236,7 +256,8 @@ def learn(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
         return Model([], ([], np.zeros((0, 0), np.int64)), [([], np.zeros((0, 0), np.int64))] * ORDER)
     place = {k: i for i, k in enumerate(names)}
     counts = docs.select("lang", "text").where("lang is not null and text is not null").mapInArrow(lambda b: _count_words(b, place), "at int, word string, n long")
-    counted = _by_entry(counts, ["word"], len(names), "language-words").withColumnRenamed("word", "entry")
+    with _small_batches(docs.sparkSession):
+        counted = _by_entry(counts, ["word"], len(names), "language-words").withColumnRenamed("word", "entry")
     pieces = counted.select("entry", "at", "n").mapInArrow(_count_grams, "at int, k int, gram string, n long")
     by_gram = _by_entry(pieces, ["k", "gram"], len(names), "language-grams")
     (n_words, of_words), (sizes, totals) = _sizes(counted.withColumn("k", F.lit(0)), len(names)), _sizes(by_gram, len(names))
@@ -274,7 +295,7 @@ def _other_grams(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa
 
 
 def _entries(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Steps of each word, from rows sorted by it: its own counts (null if it was not counted) and those of its n-grams."""
+    """Steps of each word, from rows sorted by it: its own counts (empty if it was not counted) and those of its n-grams."""
     word, own, extra = None, None, {}
 
     def out(rows: list[tuple[str, list[int]]]) -> pa.RecordBatch:
@@ -324,14 +345,16 @@ def _look_up(rows: DataFrame, model: Model) -> DataFrame:
     """Predictions for ``rows`` (uid, doc_id, text) by a model of which tasks hold a part."""
     counted, by_gram = model.rest
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    split = write_stage(rows.mapInArrow(lambda b: _split(b, shared.value), "uid long, doc_id long, n_words long, total array<bigint>, words array<string>, times array<bigint>"),
-                        "language-texts")
+    with _small_batches(rows.sparkSession):
+        split = write_stage(rows.mapInArrow(lambda b: _split(b, shared.value), "uid long, doc_id long, n_words long, total array<bigint>, words array<string>, times array<bigint>"),
+                            "language-texts")
     other = split.select("uid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("uid", F.col("w.words").alias("word"), "w.times")
     words = write_stage(other.select("word").distinct().join(counted.select(F.col("entry").alias("word"), "at", "n"), "word", "left"), "language-unheld")
     found = (words.where("n is null").select("word").mapInArrow(lambda b: _other_grams(b, shared.value), "word string, k int, gram string")
              .join(by_gram.select("k", "gram", "at", "n"), ["k", "gram"]))
     # sorted rows rather than a list for each word, which would be objects on the heap
-    rows = words.select("word", F.lit(0).alias("k"), F.lit(None).cast("string").alias("gram"), "at", "n").unionByName(found)
+    rows = words.select("word", F.lit(0).alias("k"), F.lit(None).cast("string").alias("gram"),
+                        F.coalesce("at", _empty("int")).alias("at"), F.coalesce("n", _empty("bigint")).alias("n")).unionByName(found)
     entries = rows.repartition("word").sortWithinPartitions("word").mapInArrow(lambda b: _entries(b, shared.value), "word string, logs array<bigint>")
     return (_summed(split.select("uid", "doc_id", "n_words", "total"), other.join(entries, "word"), len(model.langs))
             .mapInArrow(lambda b: _decide(b, shared.value), "uid long, doc_id long, lang_pred string, score double"))
