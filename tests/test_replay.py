@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from fixtures import make_episode_tree
-from trajlake.operators import replay as rp
+from trajlake.operators import align as al, replay as rp
 from trajlake.plans import catalog, derived as dv
 from trajlake.schemas import robot_spec
 from trajlake.sources import episodes as ep
@@ -140,3 +140,58 @@ def test_values_that_no_observation_shows_are_not_moved(spark):
         shown = bool(r.asked and r.enabled and r.t and (r.arm in r.t or not ("left" in r.t or "right" in r.t)))
         pos = shown and "pos" in r.t
         assert (r.joint, r.gripper, r.pose) == ([1.0] if shown and not pos else None, 2.0 if shown else None, [3.0] if pos else None)
+
+
+def test_no_line_is_shuffled(spark):
+    """Files are dealt by episode as texts; their lines are parsed, repeated and zipped in that partition."""
+    plan = catalog.q_replay_observations(spark, SF001)._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(ln) - len(ln.lstrip(" :+-")) for ln in plan]
+    parsed = next(i for i, ln in enumerate(plan) if "from_json(" in ln)
+    above = [ln for i, ln in enumerate(plan[:parsed]) if depth[i] < min(depth[i + 1:parsed + 1])]
+    assert len(above) > 10 and not [ln for ln in above if "Exchange" in ln], above
+
+
+def test_episodes_in_their_partitions_give_the_same(spark):
+    """With ``together`` as without, also for lengths asked for, repeated rows, and rows without episode, arm or number."""
+    states = [_state(f"e{n}", arm, i, i != 2) for n in range(7) for arm, ln in (("left", 5 - n % 3), ("right", n % 4)) for i in range(ln)]
+    states += [_state(None, "left", 0), _state("e1", None, 0), _state("e2", "third", 9), (*_state("e3", "left", 0)[:2], None, *_state("e3", "left", 0)[3:])]
+    states += [_state("twice", "left", i) for i in (0, 0, 1, 1)] + [_state("gap", "left", i) for i in (0, 3)]
+    episodes = [(f"e{n}", "aloha", t, ["high", "left_hand"] if n % 2 else ["right_hand", "depth"]) for n, t in enumerate(TYPES)]
+    episodes += [("e4", "aloha", "pos", None), ("twice", "ur5", "leftpos", ["high"]), ("gap", "ur5", "joint", ["high"]), (None, "ur5", "joint", ["high"])]
+    cameras = [(e[0], s, f"{s}.mp4", 2 + i) for e in episodes for i, s in enumerate(("high", "left_hand", "right_hand"))] + [("e1", "high", "0.mp4", 0)]
+    f = spark.createDataFrame
+    for ticks in (None, [(e[0], 9) for e in episodes[:5]] + [("e5", 0), ("e6", None), ("twice", 3), (None, 4)]):
+        asked = f(ticks, "episode string, n_ticks long") if ticks else None
+        args = f(episodes, EPISODES), f(cameras, CAMERAS), asked
+        rows = f(states, STATES)
+        apart, together = rp.replay_observations(rows, *args), rp.replay_observations(rows.repartition(5, "episode"), *args, together=True)
+        assert together.schema.simpleString() == apart.schema.simpleString()
+        got = sorted(map(str, together.collect()))
+        assert got == sorted(map(str, apart.collect())) and len(got) > 20
+
+
+def test_state_lines_that_are_looked_up(spark, tmp_path):
+    """Words of any length give the lines of ``state_line``, whether looked up or worked out."""
+    lengths = [*range(dv.SPELLED + 20), 200, 1_001]
+    text = " ".join("é" * n for n in lengths)
+    docs = [(i, text if i else None) for i in range(-1, 11)] + [(None, text), (20, ""), (21, "é")]
+    spark.createDataFrame([(d, t) for d, t in docs if d is None or d >= 0], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    n = 0
+    for pairs in (False, True):
+        for r in dv.state_files(spark, str(tmp_path), pairs=pairs).filter("path is not null and body is not null").collect():
+            i = dv.ROBOTS_RECORDED.index(r.robot)
+            lines = r.body.split("\n")[:len(lengths)]
+            if len(lines) == len(lengths):
+                n += 1
+                assert lines == [dv.state_line(k, dv.GRIPPER_KEYS[i], dv.POSE_KEYS[i]) for k in lengths]
+    assert n == 20
+
+
+def test_rows_that_are_replayed_many_times(spark):
+    """A row of a short stream gives its ticks in blocks: the ends of blocks neither lose nor repeat a tick."""
+    rows = spark.createDataFrame([("e", arm, i, 10 * i) for arm, n in (("left", 2), ("right", 3)) for i in range(n)], "episode string, arm string, frame_idx int, v int")
+    for n in (2, 3, 2 * al.TICK_BLOCK, 2 * al.TICK_BLOCK + 1, 200_001):
+        got = al.cyclic_align(rows, spark.createDataFrame([("e", n)], "episode string, n_ticks int"), together=True)
+        per = {r.arm: (r.n, r.d, r.t) for r in got.groupBy("arm").agg(F.count("*").alias("n"), F.count_distinct("tick").alias("d"), F.max("tick").alias("t")).collect()}
+        assert per == {"left": (n, n, n - 1), "right": (n, n, n - 1)}
+        assert got.filter(F.col("v") != 10 * (F.col("tick") % F.when(F.col("arm") == "left", 2).otherwise(3))).count() == 0

@@ -25,7 +25,7 @@ def positional_zip(left: DataFrame, right: DataFrame, on: Sequence[str] = ("epis
 
 
 def cyclic_align(streams: DataFrame, ticks: DataFrame, episode: str = "episode", stream: str = "arm",
-                 ordinal: str = "frame_idx", keep: Sequence[str] = ()) -> DataFrame:
+                 ordinal: str = "frame_idx", keep: Sequence[str] = (), together: bool = False) -> DataFrame:
     """Streams of different lengths that each restart from their start:
     tick n of an episode reads row ``n % len`` of every stream.
 
@@ -34,9 +34,15 @@ def cyclic_align(streams: DataFrame, ticks: DataFrame, episode: str = "episode",
     yields one small row for each block, the blocks are dealt to tasks, and each
     makes its own ticks, so a long episode is neither one array nor one task.
     Empty streams have no rows, so they never divide by zero.
+    With ``together`` the rows of an episode stay in the partition where they
+    are: each gives its own ticks, which only suits streams that are dealt by
+    ``episode`` already and are not replayed many times over. ``ticks`` without
+    ``n_ticks`` then stands for as many as the longest stream has rows.
     Returns ``(episode, tick, stream, <stream columns>)`` and the columns ``keep`` of ``ticks``.
     """
     lens = streams.groupBy(episode, stream).agg(F.count(F.lit(1)).alias("__n"))
+    if together:
+        return _own_ticks(streams, lens, ticks, episode, stream, ordinal, keep)
     # merged: neither lengths nor ticks are sent whole through the driver, however well they compress
     blocks = (lens.join(tick_blocks(ticks, episode, "__block", keep).hint("merge"), episode)
               .repartition(F.col(episode), F.col(stream), F.col("__block")))
@@ -46,6 +52,24 @@ def cyclic_align(streams: DataFrame, ticks: DataFrame, episode: str = "episode",
     return grid.hint("merge").join(streams, [episode, stream, ordinal], "inner")
 
 
+def _own_ticks(streams: DataFrame, lens: DataFrame, ticks: DataFrame, episode: str, stream: str, ordinal: str, keep: Sequence[str]) -> DataFrame:
+    """``cyclic_align`` without moving ``streams``: row i of n gives the ticks i, i + n, i + 2n, ... before the last."""
+    # the streams' lengths are one small row an episode, so that the join is by nothing but the episode
+    named = lens.groupBy(episode).agg(F.max("__n").alias("__most"), F.map_from_entries(F.collect_list(
+        F.when(F.col(stream).isNotNull(), F.struct(stream, "__n")))).alias("__n"))
+    asked = F.col("n_ticks").cast("bigint") if "n_ticks" in ticks.columns else F.col("__most")
+    till = ticks.join(named.hint("merge"), episode).select(episode, "__n", (asked - 1).alias("__last"), *keep).filter("__last >= 0")
+    rows = streams.join(till.hint("shuffle_hash"), episode).withColumn("__n", F.element_at("__n", F.col(stream)))
+    i = F.col(ordinal).cast("bigint")
+    rows = rows.filter((i >= 0) & (i < F.col("__n")) & (i <= F.col("__last")))
+    # in blocks: a row of a short stream is never one long array
+    wide = F.col("__n") * TICK_BLOCK
+    rest = [c for c in streams.columns if c not in (episode, stream)]
+    blocks = rows.select("*", F.explode(F.sequence(i, F.col("__last"), wide)).alias("__from"))
+    return blocks.select(episode, stream, *keep, *rest, F.explode(F.sequence(
+        F.col("__from"), F.least(F.col("__last"), F.col("__from") + wide - 1), F.col("__n"))).alias("tick"))
+
+
 def tick_blocks(ticks: DataFrame, episode: str, block: str, keep: Sequence[str] = ()) -> DataFrame:
     """``(episode, n_ticks, *keep, block)``: a row for each block of ``TICK_BLOCK`` ticks, or part of one, of each episode."""
     n = F.col("n_ticks").cast("bigint")

@@ -23,7 +23,8 @@ def select_state_vector(df: DataFrame, action_type: Column | str = "action_type"
     behaviour; the reference returned joints there). Adds ``arm``, ``mode``, ``vector``.
     """
     pt = parse_action_type(action_type)
-    arm, mode = pt["arm"], pt["mode"]
+    df = df.withColumns({"arm": pt["arm"], "mode": pt["mode"]})   # columns first: the vector asks for them several times
+    arm, mode = F.col("arm"), F.col("mode")
 
     def arm_vec(side: str) -> Column:
         return F.when(mode == "pos", compose_arm_vector(f"{side}_pose", f"{side}_gripper")) \
@@ -31,7 +32,7 @@ def select_state_vector(df: DataFrame, action_type: Column | str = "action_type"
 
     vec = (F.when(arm == "left", arm_vec("left")).when(arm == "right", arm_vec("right"))
            .when(arm == "both", concat_arms(arm_vec("left"), arm_vec("right"))))
-    return df.withColumn("arm", arm).withColumn("mode", mode).withColumn("vector", vec)
+    return df.withColumn("vector", vec)
 
 
 def observation_status(df: DataFrame, action_type: Column | str = "action_type",

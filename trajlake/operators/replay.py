@@ -29,8 +29,9 @@ def zip_streams(rows: DataFrame, names: Sequence[str], on: Sequence[str] = ("epi
     at the shortest stream. Rows of other streams are ignored.
     """
     values = [c for c in rows.columns if c not in (*on, stream)]
-    wide = rows.filter(F.col(stream).isin(list(names))).groupBy(*on).agg(*[
-        F.first(F.when(F.col(stream) == n, F.struct(*values)), ignorenulls=True).alias(n) for n in names])
+    # the struct is made before the rows are sorted: the aggregate then copies it as one piece
+    packed = rows.filter(F.col(stream).isin(list(names))).select(*on, stream, F.struct(*values).alias("__row"))
+    wide = packed.groupBy(*on).agg(*[F.first(F.when(F.col(stream) == n, F.col("__row")), ignorenulls=True).alias(n) for n in names])
     for n in need:
         wide = wide.filter(F.col(n).isNotNull())
     return wide
@@ -48,7 +49,7 @@ def _only_shown(arms: DataFrame) -> DataFrame:
 
 
 def replay_observations(states: DataFrame, episodes: DataFrame, cameras: DataFrame, ticks: DataFrame | None = None,
-                        episode: str = "episode") -> DataFrame:
+                        episode: str = "episode", together: bool = False) -> DataFrame:
     """Observation of every tick of each episode.
 
     ``states(episode, arm, frame_idx, joint, gripper, pose, enabled)``: the arms'
@@ -67,30 +68,38 @@ def replay_observations(states: DataFrame, episodes: DataFrame, cameras: DataFra
 
     Frames are numbers: cameras are not rows to be joined but one small row of
     counts an episode, which reaches the ticks by ``(episode, block of ticks)``,
-    so a long episode stays spread.
+    so a long episode stays spread. With ``together`` (``states`` dealt by
+    ``episode``, say as whole files) no state is moved at all: an episode is
+    then one task, so this does not suit ``ticks`` far beyond the streams' ends.
+    Where they are not dealt so, Spark deals them.
     """
-    if ticks is None:
+    if ticks is None and not together:
         ticks = states.groupBy(episode, "arm").agg(F.count(F.lit(1)).alias("n")).groupBy(episode).agg(F.max("n").alias("n_ticks"))
     types = episodes.select(episode, "action_type", F.col("image_types").isNotNull().alias("__asked"))
     # hints on joins of tables that grow with the episodes: none is sent whole through the driver, however well it compresses
-    ticks = ticks.select(episode, "n_ticks").join(types.hint("merge"), episode)
-    arms = cyclic_align(states.select(episode, "arm", "frame_idx", *ARM_FIELDS), ticks, episode, "arm", keep=["action_type", "__asked"])
-    # one exchange by block of ticks serves the streams' meeting and the episode's row
-    arms, block = with_chunk(_only_shown(arms.drop("frame_idx")), "tick", TICK_BLOCK)
-    wide = zip_streams(arms.repartition(episode, block), ["left", "right"], (episode, block, "tick"), "arm")
+    ticks = types if ticks is None else ticks.select(episode, "n_ticks").join(types.hint("merge"), episode)
+    arms = cyclic_align(states.select(episode, "arm", "frame_idx", *ARM_FIELDS), ticks, episode, "arm", keep=["action_type", "__asked"], together=together)
+    arms, block = with_chunk(_only_shown(arms.drop("frame_idx")), "tick", None if together else TICK_BLOCK)
+    if block:   # one exchange by block of ticks serves the streams' meeting and the episode's row
+        arms = arms.repartition(episode, block)
+    wide = zip_streams(arms, ["left", "right"], (episode, block, "tick") if block else (episode, "tick"), "arm")
 
     video = F.struct(F.col("path").alias("path"), F.col("n_frames").cast("bigint").alias("n_frames"))
     slots = cameras.filter(F.col("n_frames") > 0).groupBy(episode).agg(*[
         F.min(F.when(F.col("slot") == s, video)).alias(f"__{s}") for s in CAMERA_SLOTS])
     per_episode = episodes.select(episode, "robot", "action_type", "image_types").join(slots.hint("merge"), episode, "left")
-    wide = drop_chunks(attach_by_chunk(wide, per_episode, episode, block, tick_blocks(ticks, episode, block), hint="shuffle_hash"))
-
-    shown = F.map_from_entries(F.filter(F.array(*[
-        F.when(F.col(f"__{s}").isNotNull(), F.struct(F.lit(s).alias("slot"), F.struct(
-            F.col(f"__{s}.path").alias("path"), (F.col("tick") % F.col(f"__{s}.n_frames")).alias("frame_idx")).alias("frame")))
-        for s in CAMERA_SLOTS]), lambda e: e.isNotNull()))
-    flat = wide.select(episode, "tick", "robot", "action_type", "image_types", shown.alias("images"), *[
+    # which videos are shown is settled once an episode; a tick only turns their counts into frames
+    filled = F.map_from_entries(F.filter(F.array(*[
+        F.when(F.col(f"__{s}").isNotNull(), F.struct(F.lit(s).alias("slot"), F.col(f"__{s}").alias("video"))) for s in CAMERA_SLOTS]),
+        lambda e: e.isNotNull()))
+    per_episode = select_cameras(per_episode.withColumn("__videos", filled), "__videos").drop(*[f"__{s}" for s in CAMERA_SLOTS])
+    # in their partitions the ticks are in the order of their episodes by now
+    wide = drop_chunks(attach_by_chunk(wide, per_episode, episode, block, tick_blocks(ticks, episode, block) if block else None,
+                                       hint="shuffle_hash" if block else "merge"))
+
+    flat = wide.select(episode, "tick", "robot", "action_type", "image_types", "__videos", *[
         F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("left", "right") for c in ARM_FIELDS])
     seen = observation_status(select_state_vector(flat), image_types="image_types")
-    images = F.when(F.col("state") != "size_none", F.col("images")).alias("images")
-    return select_cameras(seen).select(episode, "tick", "robot", "action_type", "arm", "mode", "state", "vector", images)
+    frames = F.transform_values("__videos", lambda _, v: F.struct(v["path"].alias("path"), (F.col("tick") % v["n_frames"]).alias("frame_idx")))
+    return seen.select(episode, "tick", "robot", "action_type", "arm", "mode", "state", "vector",
+                       F.when(F.col("state") != "size_none", frames).alias("images"))

@@ -91,7 +91,7 @@ def attach_by_chunk(df: DataFrame, per_key: DataFrame, key: str | Sequence[str],
     """
     keys = [key] if isinstance(key, str) else list(key)
     if chunk is None:
-        return df.join(per_key, keys)
+        return df.join(per_key.hint(hint) if hint else per_key, keys)
     pairs = (df if log is None else log).select(*keys, chunk).distinct().join(per_key.hint(hint) if hint else per_key, keys)
     return df.join(pairs.hint(hint) if hint else pairs, [*keys, chunk])
 

@@ -446,13 +446,14 @@ def q_normalize_states(spark: SparkSession, sf: str) -> DataFrame:
 def q_replay_observations(spark: SparkSession, sf: str) -> DataFrame:
     """Episode files -> observations: S2, S3, S4, S5, J2, J1, P1-P6. An arm whose line did not parse is not enabled."""
     spec = robot_spec(spark)
-    lines = ep.split_state_lines(dv.state_files(spark, sf, pairs=True))
-    states = ep.normalize_states(ep.enrich_with_spec(lines, spec).filter("not unknown_robot"))
+    # the spec is attached to files, so no line of an unknown robot is parsed; files are dealt by episode, and lines stay there
+    files = ep.enrich_with_spec(dv.state_files(spark, sf, pairs=True), spec).filter("not unknown_robot")
+    states = ep.normalize_states(ep.split_state_lines(files))
     # a video of n bytes has 1 + n % 97 frames
     videos = ep.join_camera_files(dv.video_files(spark, sf), dv.recorded_episodes(spark, sf), spec)
     cameras = videos.select(F.col("episode_dir").alias("episode"), "slot", "path", (1 + F.col("length") % 97).alias("n_frames"))
     obs = rp.replay_observations(states.withColumn("enabled", ~F.col("corrupt")).withColumnRenamed("episode_dir", "episode"),
-                                 dv.replayed_episodes(spark, sf), cameras)
+                                 dv.replayed_episodes(spark, sf), cameras, together=True)
     frames = F.map_values("images")
     return obs.select("episode", "tick", "robot", "action_type", "arm", "mode", "state", array_len("vector").alias("vec_len"),
                       array_round_sum("vector").alias("vec_sum"), F.when(F.col("images").isNotNull(), F.size("images")).alias("n_images"),

@@ -9,10 +9,13 @@ the parquet scan).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.functions.timecols import micros
+from trajlake.sources.episodes import episode_of
 
 # Fixed rule values shared with plans/oracle.py.
 ROBOTS_BY_LABEL = ["aloha", "arx5", "ur5", "franka"]          # label % 4
@@ -239,6 +242,8 @@ def arm_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 ROBOTS_RECORDED = ["aloha", "arx5", "ur5", "franka", "gen9"]
 GRIPPER_KEYS = ["gripper", "gripper_width", "gripper", "gripper_width", "gripper"]
 POSE_KEYS = ["ee_pose_rpy", "end_effector_pose", "ee_positions", "ee_positions", "ee_positions"]
+# State lines of words up to this length are looked up.
+SPELLED = 63
 VIDEO_FILES = [["cam_wrist_left_rgb.mp4", "cam_wrist_right_rgb.mp4", "cam_high_rgb.mp4"],
                ["arm_realsense_rgb.mp4", "global_realsense_rgb.mp4", "right_realsense_rgb.mp4"],
                ["handeye_realsense_rgb.mp4", "global_realsense_rgb.mp4", "depth.mp4"],
@@ -270,6 +275,18 @@ def episode_meta_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(d % 11 == 4, F.lit('{"frames": ')).otherwise(whole).alias("body"))
 
 
+def state_line(n: int, grip: str, pose: str) -> str:
+    """A line of ``state_files`` for a word of ``n`` characters."""
+    if n == 0 or n % 13 == 12:
+        return f'{{"joint_positions": [{n}' if n else ""
+
+    def values(count: int) -> str:
+        return f"[{','.join([str(n)] * count)}]"
+
+    return (f'{{"joint_positions": {values(6 + n % 2)}, "{"grip" if n % 7 == 3 else grip}": {n}, '
+            f'"{pose}": {values(16 if n % 3 == 0 else 6 + n % 2)}}}')
+
+
 def state_files(spark: SparkSession, sf_dir: str, pairs: bool = False) -> DataFrame:
     """State logs (path, body, robot): the words of a text, split at blanks, are the lines.
 
@@ -279,7 +296,7 @@ def state_files(spark: SparkSession, sf_dir: str, pairs: bool = False) -> DataFr
     A two-arm robot's file is the left arm's for even doc_id, else the right's.
     Texts of even doc_id end in a newline. With ``pairs`` both files of a two-arm
     robot are of one episode: the left arm's doc_id is a multiple of 10, the right
-    arm's is five more.
+    arm's is five more. All files of an episode are then in one partition.
     """
     r, d = F.col("doc_id") % 5, F.col("doc_id")
     grip, pose = _pick(GRIPPER_KEYS, r), _pick(POSE_KEYS, r)
@@ -295,15 +312,24 @@ def state_files(spark: SparkSession, sf_dir: str, pairs: bool = False) -> DataFr
                          values(F.when(n % 3 == 0, 16).otherwise(6 + n % 2)), F.lit("}"))
         return F.when(n == 0, F.lit("")).when(n % 13 == 12, F.concat(F.lit('{"joint_positions": ['), text)).otherwise(whole)
 
+    def lines(robot: int | None = None) -> Column:
+        words = F.split("text", " ")
+        if robot is None:
+            return F.transform(words, lambda w: line(F.length(w)))
+        # the lines of words of up to SPELLED characters are written out; a longer word's is worked out
+        spelled = F.split(F.lit("\n".join(state_line(n, GRIPPER_KEYS[robot], POSE_KEYS[robot]) for n in range(SPELLED + 1))), "\n")
+        return F.transform(words, lambda w: F.coalesce(F.get(spelled, F.length(w)), line(F.length(w))))
+
     name = F.when(r != 0, F.lit("states.jsonl")).when(d % 2 == 0, F.lit("left_states.jsonl")).otherwise(F.lit("right_states.jsonl"))
-    body = F.concat(F.array_join(F.transform(F.transform(F.split("text", " "), F.length), line), "\n"), F.when(d % 2 == 0, F.lit("\n")).otherwise(F.lit("")))
+    written = functools.reduce(lambda expr, i: expr.when(r == i, lines(i)), range(1, len(ROBOTS_RECORDED)), F.when(r == 0, lines(0))).otherwise(lines())
+    body = F.concat(F.array_join(written, "\n"), F.when(d % 2 == 0, F.lit("\n")).otherwise(F.lit("")))
     # a file of the table may be one row group, which is one task: the texts are dealt before the lines are made, into a set
     # number of parts, since the lines are many times the texts by whose size parts would be put together
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     number = F.when(r == 0, d - d % 10).otherwise(d) if pairs else d
-    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition(parts, "doc_id").select(
-        F.concat(_episode_dir(number), F.lit("/states/"), name).alias("path"), body.alias("body"),
-        _pick(ROBOTS_RECORDED, r).alias("robot"))
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat(_episode_dir(number), F.lit("/states/"), name).alias("path"))
+    return texts.repartition(parts, episode_of("path") if pairs else "doc_id").select(
+        "path", body.alias("body"), _pick(ROBOTS_RECORDED, r).alias("robot"))
 
 
 def video_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,11 @@ def _path_parts(path: F.Column) -> dict[str, F.Column]:
     }
 
 
+def episode_of(path: F.Column | str) -> F.Column:
+    """The ``episode_dir`` of an episode file's path (not percent-encoded), as all readers here give it."""
+    return _path_parts(F.col(path) if isinstance(path, str) else path)["episode_dir"]
+
+
 def episode_catalog(spark: SparkSession, root: str) -> DataFrame:
     """One row per episode.
 
